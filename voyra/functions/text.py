@@ -150,7 +150,7 @@ def split_visit(c) -> Column:
 
 def visit_month(c) -> Column:
     """"Jul 2021" -> DATE 2021-07-01; anything else -> NULL."""
-    return F.try_to_date(_c(c), F.lit("MMM yyyy"))
+    return F.try_to_date(_c(c), "MMM yyyy")
 
 
 def none_if_sentinel(c) -> Column:
