@@ -88,6 +88,47 @@ def visit_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", visit.alias("visit"))
 
 
+def attraction_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed attraction records, one per source (a grouped aggregate with
+    map-side combine; every collected array is bounded by the 4 languages).
+
+    name = source; labels = sorted distinct languages; location = [source,
+    upper(first language)]; score = mean length in thousands, in tenths, capped
+    at 5.0; score_cnt = number of reviews; experiences = {short: [n < 1000
+    chars], long: [n >= 1000 chars]}; nearby = ([cafe <min doc>], [spot <max doc>]).
+    """
+    d = tables.documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars")
+    g = d.groupBy(F.col("source").alias("attr_name")).agg(
+        F.array_sort(F.collect_set("lang")).alias("labels"),
+        F.min("lang").alias("_l"),
+        F.least(F.lit(50), F.floor(F.sum("n_chars") / F.count(F.lit(1)) / 100)).cast("long").alias("_tenths"),
+        F.count(F.lit(1)).cast("int").alias("score_cnt"),
+        F.count_if(F.col("n_chars") < 1000).alias("_short"),
+        F.count_if(F.col("n_chars") >= 1000).alias("_long"),
+        F.min("doc_id").alias("_min"), F.max("doc_id").alias("_max"),
+    )
+    return g.select(
+        "attr_name",
+        F.col("attr_name").alias("name"),
+        F.array("attr_name", F.upper("_l")).alias("location"),
+        "labels",
+        (F.col("_tenths").cast("decimal(4,0)") / 10).cast("decimal(2,1)").alias("score"),
+        "score_cnt",
+        F.map_from_arrays(F.array(F.lit("short"), F.lit("long")),
+                          F.array(F.array(F.col("_short").cast("string")),
+                                  F.array(F.col("_long").cast("string")))).alias("experiences"),
+        F.struct(F.array(F.concat(F.lit("cafe "), F.col("_min").cast("string"))).alias("near_restas"),
+                 F.array(F.concat(F.lit("spot "), F.col("_max").cast("string"))).alias("near_attras"))
+        .alias("nearby"),
+    )
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled text for classification: doc_id, text, label (= lang)."""
+    d = tables.documents(spark, sf_dir, "doc_id", "text", "lang")
+    return d.select("doc_id", "text", F.col("lang").alias("label"))
+
+
 def review_page_url(attr_name, attr_page) -> "F.Column":
     """Site URL of one review page (the offset is the first review on it)."""
     return F.concat(

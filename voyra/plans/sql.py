@@ -53,3 +53,29 @@ def clean(expr: str) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+INFO = """info AS (
+  SELECT source AS attr_name, source AS name,
+         list_sort(list(DISTINCT lang)) AS labels,
+         [source, upper(min(lang))] AS location,
+         CAST(least(50, floor(sum(n_chars) / count(*) / 100)) AS BIGINT) AS tenths,
+         CAST(count(*) AS INTEGER) AS score_cnt,
+         count(*) FILTER (WHERE n_chars < 1000) AS n_short,
+         count(*) FILTER (WHERE n_chars >= 1000) AS n_long,
+         'cafe ' || CAST(min(doc_id) AS VARCHAR) AS near_resta,
+         'spot ' || CAST(max(doc_id) AS VARCHAR) AS near_attra
+  FROM documents GROUP BY source)"""
+
+CODES = """codes AS (
+  SELECT source AS name, dense_rank() OVER (ORDER BY source) - 1 AS code
+  FROM (SELECT DISTINCT source FROM documents))"""
+
+LANG_CODES = """lang_codes AS (
+  SELECT lang AS name, dense_rank() OVER (ORDER BY lang) - 1 AS code
+  FROM (SELECT DISTINCT lang FROM documents))"""
+
+SPLIT = """split AS (
+  SELECT doc_id, text, lang AS label,
+         CASE WHEN ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 10 < 6
+              THEN 'train' ELSE 'test' END AS part
+  FROM documents)"""
