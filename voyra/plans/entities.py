@@ -8,7 +8,7 @@
 |                       |                | title = first 40 characters                       |
 | labelled text         | documents      | text -> lang (4 classes); labels for quality      |
 | forum post / thread   | conversations  | thread = conv_id, post = turn, user = role,       |
-|                       |                | thread page = turn div 10                         |
+|                       |                | thread page = turn div 3                         |
 | fetch task / attempt  | events         | attraction = 'attr' || user_id, attempt = event,  |
 |                       |                | task page = attempt number div 10 within user,    |
 |                       |                | failed = event_type 'error'                       |
@@ -27,7 +27,7 @@ from voyra.operators.numbering import id_bucket, seq_number, time_bucket
 from voyra.sources import tables
 
 REVIEWS_PER_PAGE = 10
-POSTS_PER_PAGE = 10
+POSTS_PER_PAGE = 3
 ATTEMPTS_PER_PAGE = 10
 TITLE_CHARS = 40
 SITE = "https://www.example-travel.org"

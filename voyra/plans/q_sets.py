@@ -1 +1,82 @@
-"""Queries (placeholder)."""
+"""Queries for set operations."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from voyra.functions import html as H
+from voyra.functions import urls as U
+from voyra.operators import labels as L
+from voyra.operators import reviews as R
+from voyra.plans import entities as E
+from voyra.plans import sql as S
+from voyra.plans.q_scalar import LINKS_SQL, SCHEME_HOST_SQL
+from voyra.plans.registry import query
+from voyra.sources import tables
+
+
+@query("labels_concat", sql="""
+SELECT page_id, len(l) AS n_labels, array_to_string(l, '&') AS labels
+FROM (SELECT page_id, list_concat(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#:]+)', 1), '.'),
+                                  regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS l FROM pages)""")
+def labels_concat(spark, sf_dir):
+    """Host labels followed by the extra link list; duplicates kept."""
+    p = tables.pages(spark, sf_dir, "page_id", "url", "html")
+    l = F.concat(F.split(U.url_host("url"), r"\."), H.html_links("html"))
+    return p.select("page_id", F.size(l).cast("long").alias("n_labels"), F.array_join(l, "&").alias("labels"))
+
+
+@query("union_producers", sql=S.with_(S.REVIEWS, S.POSTS) + """
+SELECT 'review' AS kind, doc_id AS id, attr_name AS source, NULL::BIGINT AS conv_id, md5(review) AS text_md5 FROM reviews
+UNION ALL
+SELECT 'post' AS kind, turn AS id, NULL AS source, conv_id, md5(text) AS text_md5 FROM posts
+UNION ALL
+SELECT 'page' AS kind, page_id AS id, url AS source, NULL::BIGINT AS conv_id, md5(html) AS text_md5 FROM pages""")
+def union_producers(spark, sf_dir):
+    """Three producers into one collection, missing columns as NULL."""
+    r = E.reviews(spark, sf_dir, with_lang=False).select(
+        F.lit("review").alias("kind"), F.col("doc_id").alias("id"), F.col("attr_name").alias("source"),
+        F.md5("review").alias("text_md5"))
+    p = E.posts(spark, sf_dir).select(F.lit("post").alias("kind"), F.col("turn").alias("id"), "conv_id",
+                                     F.md5("text").alias("text_md5"))
+    g = tables.pages(spark, sf_dir).select(F.lit("page").alias("kind"), F.col("page_id").alias("id"),
+                                          F.col("url").alias("source"), F.md5("html").alias("text_md5"))
+    return r.unionByName(p, allowMissingColumns=True).unionByName(g, allowMissingColumns=True)
+
+
+@query("dedup_requests", sql=S.with_(LINKS_SQL) + f""",
+req AS (
+  SELECT page_id, -1 AS pos, url AS req_url FROM pages
+  UNION ALL
+  SELECT page_id, pos, CASE WHEN starts_with(href, '/') AND NOT starts_with(href, '//')
+                            THEN {SCHEME_HOST_SQL} || href ELSE href END FROM links)
+SELECT sha1(req_url) AS fp, arg_min(req_url, (page_id, pos)) AS url,
+       CAST(arg_min(page_id, (page_id, pos)) AS BIGINT) AS first_page_id
+FROM req GROUP BY sha1(req_url)""")
+def dedup_requests(spark, sf_dir):
+    """Every page URL and every absolute link is a request; each distinct
+    fingerprint is kept once, at its first (page_id, position)."""
+    p = tables.pages(spark, sf_dir, "page_id", "url", "html")
+    pages = p.select("page_id", F.lit(-1).alias("pos"), F.col("url").alias("req_url"))
+    base = F.regexp_extract("url", U.SCHEME_HOST, 1)
+    links = p.select("page_id", "url", F.posexplode(H.html_links("html")).alias("pos", "href")) \
+        .select("page_id", "pos", U.abs_url("href", base).alias("req_url"))
+    req = pages.unionByName(links).withColumn("fp", U.url_fingerprint("req_url"))
+    first = req.groupBy("fp").agg(F.min(F.struct("page_id", "pos", "req_url")).alias("m"))
+    return first.select("fp", F.col("m.req_url").alias("url"), F.col("m.page_id").alias("first_page_id"))
+
+
+@query("dedup_reviews", headline=True, sql=S.with_(S.REVIEWS) + """
+SELECT attr_name, title, min(review_id) AS review_id, arg_min(doc_id, review_id) AS doc_id, md5(review) AS review_md5
+FROM reviews GROUP BY attr_name, title, review""")
+def dedup_reviews(spark, sf_dir):
+    r = E.reviews(spark, sf_dir, with_lang=False)
+    d = R.dedup_reviews(r)
+    return d.select("attr_name", "title", "review_id", "doc_id", F.md5("review").alias("review_md5"))
+
+
+@query("train_test_split", sql=S.with_(S.SPLIT) + "SELECT doc_id, label, part FROM split")
+def train_test_split(spark, sf_dir):
+    """60/40 split by an md5 bucket of the id: deterministic, re-runnable."""
+    d = E.labelled(spark, sf_dir)
+    return d.select("doc_id", "label", L.split_part("doc_id").alias("part"))

@@ -1 +1,59 @@
-"""Queries (placeholder)."""
+"""Queries for numbering and per-key windows.
+
+Numbering uses ``seq_number`` (per key and id range, plus offsets), which
+equals ``row_number()`` but never sorts a whole key in one task.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from voyra.operators import labels as L
+from voyra.operators import reviews as R
+from voyra.operators.numbering import id_bucket, seq_number
+from voyra.plans import entities as E
+from voyra.plans import sql as S
+from voyra.plans.registry import query
+from voyra.sources import tables
+
+
+@query("review_id", headline=True, sql=S.with_(S.REVIEWS) + """
+SELECT attr_name, doc_id, review_id, attr_page FROM reviews""")
+def review_id(spark, sf_dir):
+    r = E.reviews(spark, sf_dir, with_lang=False)
+    return r.select("attr_name", "doc_id", "review_id", "attr_page")
+
+
+@query("batch_index", sql="""
+SELECT lang, doc_id, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 10 AS batch
+FROM documents""")
+def batch_index(spark, sf_dir):
+    """Ten records a batch, numbered per language in id order."""
+    d = tables.documents(spark, sf_dir, "doc_id", "lang")
+    n = seq_number(d, ["lang"], ["doc_id"], id_bucket("doc_id"), out="seq")
+    return n.select("lang", "doc_id", R.batch_index(n, "seq").alias("batch"))
+
+
+@query("latest_per_key", sql="""
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts,
+       arg_max(event_type, (ts, event_id)) AS event_type
+FROM events GROUP BY user_id""")
+def latest_per_key(spark, sf_dir):
+    """Last write per key wins (order: ts, then event_id)."""
+    e = tables.events(spark, sf_dir, "user_id", "event_id", "ts", "event_type")
+    return R.latest_per_key(e, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "ts", "event_type")
+
+
+@query("category_codes", sql=S.with_(S.CODES) + "SELECT name, code FROM codes")
+def category_codes(spark, sf_dir):
+    d = tables.documents(spark, sf_dir, "source")
+    c = L.category_codes(d, "source")
+    return c.select(F.col("source").alias("name"), "code")
+
+
+@query("page_cap", sql=S.with_(S.REVIEWS) + """
+SELECT attr_name, doc_id, review_id FROM reviews WHERE review_id < 25""")
+def page_cap(spark, sf_dir, k: int = 25):
+    """First ``k`` reviews of each attraction in id order."""
+    r = E.reviews(spark, sf_dir, with_lang=False)
+    return r.where(F.col("review_id") < k).select("attr_name", "doc_id", "review_id")

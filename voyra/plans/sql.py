@@ -16,7 +16,7 @@ REVIEWS = """reviews AS (
   FROM documents)"""
 
 POSTS = """posts AS (
-  SELECT conv_id, turn // 10 AS page, turn, role AS username,
+  SELECT conv_id, turn // 3 AS page, turn, role AS username,
          'turn ' || CAST(turn AS VARCHAR) AS posttime, text
   FROM conversations)"""
 
