@@ -1 +1,133 @@
-"""Queries (placeholder)."""
+"""Queries for record extraction from markup.
+
+The markup is rendered from the tables (voyra.plans.render), extracted with
+``mapInPandas`` and typed with Spark expressions; the oracle is plain SQL over
+the source tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from voyra.functions import html as H
+from voyra.functions import text as X
+from voyra.operators import extract as XT
+from voyra.operators import threads as TH
+from voyra.plans import render
+from voyra.plans import sql as S
+from voyra.plans.registry import query
+
+
+def typed_attraction(raw):
+    """Raw extracted fields -> the typed attraction record."""
+    return raw.select(
+        "attr_name",
+        F.col("name"),
+        F.concat(X.split_labels("labels_text"), F.col("extra_labels")).alias("labels"),
+        "location",
+        F.col("score").try_cast("decimal(2,1)").alias("score"),
+        X.to_int(X.digits_only("score_cnt")).alias("score_cnt"),
+        F.map_from_arrays("exp_names", "exp_lists").alias("experiences"),
+        F.struct("near_restas", "near_attras").alias("nearby"),
+    )
+
+
+@query("html_attraction", sql=S.with_(S.INFO) + """
+SELECT attr_name, name, array_to_string(labels, '&') || '&reviews ' || CAST(score_cnt AS VARCHAR) AS labels,
+       array_to_string(location, ', ') AS location,
+       CAST(CAST(tenths / 10.0 AS DECIMAL(2,1)) AS VARCHAR) AS score, score_cnt,
+       'short=' || CAST(n_short AS VARCHAR) || ';long=' || CAST(n_long AS VARCHAR) AS experiences,
+       near_resta || '|' || near_attra AS nearby
+FROM info""")
+def html_attraction(spark, sf_dir):
+    pages = render.attraction_pages(spark, sf_dir)
+    a = typed_attraction(XT.extract_attractions(pages, "html", ["attr_name"]))
+    exp = F.array_join(F.transform(F.map_entries("experiences"),
+                                   lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
+    return a.select("attr_name", "name", F.array_join("labels", "&").alias("labels"),
+                    F.array_join("location", ", ").alias("location"), F.col("score").cast("string").alias("score"),
+                    "score_cnt", exp.alias("experiences"),
+                    F.concat_ws("|", F.array_join("nearby.near_restas", ","),
+                                F.array_join("nearby.near_attras", ",")).alias("nearby"))
+
+
+def typed_reviews(raw, on_missing: str = "fill"):
+    """Extracted slots -> flat reviews. ``on_missing='fill'`` writes NONE for a
+    missing title; ``'stop'`` ends the page at its first slot without one."""
+    r = raw.withColumn("title", F.when(F.col("title") != "", F.col("title")))
+    if on_missing == "stop":
+        from voyra.operators.reviews import stop_at_missing
+        r = stop_at_missing(r, ["attr_name", "attr_page"], "slot", "title")
+    v = X.split_visit("time")
+    return r.select(
+        "attr_name", "attr_page",
+        (F.col("attr_page") * 10 + F.col("slot")).cast("int").alias("review_id"),
+        X.or_sentinel("title").alias("title"),
+        v["time"].alias("time"), v["type"].alias("type"), X.visit_month(v["time"]).alias("visit_month"),
+        F.array_join("fragments", "").alias("review"),
+    )
+
+
+REVIEW_SLOTS_SQL = S.with_(S.REVIEWS, S.VISITS) + """,
+slots AS (
+  SELECT r.attr_name, r.attr_page, r.review_id, CASE WHEN d.n_chars >= 200 THEN r.title END AS title,
+         CASE WHEN v.visit <> 'NONE' THEN v.visit END AS visit, r.review
+  FROM reviews r JOIN documents d USING (doc_id) LEFT JOIN visits v ON v.event_id = r.doc_id),
+parts AS (SELECT *, string_split(replace(visit, ' • ', '  '), '  ') AS p FROM slots)
+"""
+
+
+@query("html_reviews", headline=True, sql=REVIEW_SLOTS_SQL + """
+SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, CAST(review_id AS INTEGER) AS review_id,
+       coalesce(title, 'NONE') AS title, p[1] AS time,
+       CASE WHEN len(p) >= 2 THEN array_to_string(p[2:], '  ') END AS type,
+       CAST(try_strptime(p[1], '%b %Y') AS DATE) AS visit_month,
+       md5(replace(review, chr(10), '')) AS review_md5
+FROM parts""")
+def html_reviews(spark, sf_dir):
+    pages = render.review_pages(spark, sf_dir)
+    raw = XT.extract_reviews(pages, "html", ["attr_name", "attr_page"])
+    t = typed_reviews(raw.withColumn("attr_page", F.col("attr_page").cast("int")))
+    return t.select("attr_name", "attr_page", "review_id", "title", "time", "type", "visit_month",
+                    F.md5("review").alias("review_md5"))
+
+
+@query("html_page_total", sql=S.with_(S.REVIEWS) + """
+SELECT r.attr_name, CAST(r.attr_page AS INTEGER) AS attr_page, CAST(t.total AS INTEGER) AS total
+FROM (SELECT DISTINCT attr_name, attr_page FROM reviews) r
+JOIN (SELECT attr_name, count(*) AS total FROM reviews GROUP BY attr_name) t USING (attr_name)""")
+def html_page_total(spark, sf_dir):
+    pages = render.review_pages(spark, sf_dir)
+    return pages.select("attr_name", F.col("attr_page").cast("int").alias("attr_page"),
+                        H.html_page_total("html").alias("total"))
+
+
+@query("html_forum", sql=S.with_(S.POSTS) + """
+SELECT conv_id, page AS page_no, 'Thread ' || CAST(conv_id AS VARCHAR) AS topic,
+       'Page ' || CAST(page + 1 AS VARCHAR) AS page_label,
+       CAST(row_number() OVER (PARTITION BY conv_id, page ORDER BY turn) - 1 AS INTEGER) AS post_no,
+       CASE WHEN username <> 'system' THEN username END AS username, posttime,
+       md5(text) AS text_md5,
+       CASE WHEN page < max(page) OVER (PARTITION BY conv_id)
+            THEN '/forum/thread-' || CAST(conv_id AS VARCHAR) || '-page-' || CAST(page + 2 AS VARCHAR) || '.html'
+       END AS next
+FROM posts""")
+def html_forum(spark, sf_dir):
+    pages = render.forum_pages(spark, sf_dir).withColumnRenamed("page", "page_no")
+    f = XT.extract_forum(pages, "html", ["conv_id", "page_no"])
+    return f.select("conv_id", "page_no", F.col("topic"), F.col("page").alias("page_label"), "post_no",
+                    "username", "posttime", F.md5(F.array_join("posttext", "\n")).alias("text_md5"), "next")
+
+
+NEXT_HREF = r'<a class="next" href="([^"]*)"'
+
+
+@query("next_page_chain", sql=S.with_(S.POSTS) + """
+SELECT DISTINCT conv_id, page, page AS depth FROM posts""")
+def next_page_chain(spark, sf_dir):
+    """Follow each thread's next-page links from its first page."""
+    pages = render.forum_pages(spark, sf_dir)
+    href = F.regexp_extract("html", NEXT_HREF, 1)
+    nxt = F.regexp_extract(href, r"-page-(\d+)\.html$", 1).try_cast("long") - 1
+    edges = pages.select("conv_id", "page", F.when(href != "", nxt).alias("next_page"))
+    return TH.follow_chain(spark, edges)
