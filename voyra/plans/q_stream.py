@@ -1 +1,81 @@
-"""Queries (placeholder)."""
+"""Queries for incremental ingest. Each runs a stream to
+completion with the availableNow trigger and returns the read-back sink; the
+oracle is the batch answer over the same table (stream = batch)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from voyra.functions import html as H
+from voyra.functions import urls as U
+from voyra.plans.registry import query
+from voyra.session import scratch_dir
+from voyra.sinks import files as sinks
+from voyra.sources import tables
+from voyra.streaming import ingest as ST
+
+H1_SQL = r"""CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')
+  THEN trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')) END"""
+
+
+@query("stream_ingest", sql=f"""
+SELECT page_id, {H1_SQL} AS title,
+       CAST(len(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS INTEGER) AS n_links
+FROM pages""")
+def stream_ingest(spark, sf_dir):
+    """pages (file stream) -> parse -> parquet sink."""
+    s = ST.file_stream(spark, sf_dir, "pages")
+    parsed = s.select("page_id", H.html_title("html").alias("title"),
+                      F.size(H.html_links("html")).alias("n_links"))
+    out, ckpt = scratch_dir(spark, "ingest-out"), scratch_dir(spark, "ingest-ckpt")
+    ST.ingest(parsed, out, ckpt)
+    return spark.read.schema("page_id BIGINT, title STRING, n_links INT").parquet(out)
+
+
+@query("stream_drain", sql="SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_drain(spark, sf_dir):
+    """Stateful running counts; the run stops once the input is drained."""
+    s = ST.file_stream(spark, sf_dir, "events")
+    out, ckpt = scratch_dir(spark, "drain-out"), scratch_dir(spark, "drain-ckpt")
+    ST.drain_counts(s, ["event_type"], out, ckpt)
+    return spark.read.parquet(out).select("event_type", "n")
+
+
+@query("stream_batches", sql="""
+SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k, (row_number() OVER (ORDER BY doc_id) - 1) // 10 AS file_batch
+FROM documents""")
+def stream_batches(spark, sf_dir):
+    """foreachBatch writer, at most ten records a file, keyed within the batch."""
+    s = ST.file_stream(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out, ckpt = scratch_dir(spark, "batches-out"), scratch_dir(spark, "batches-ckpt")
+    ST.batch_files(s, out, ckpt, order="doc_id", per_file=10)
+    back = spark.read.schema("doc_id BIGINT, k BIGINT, batch_id BIGINT").json(out)
+    return back.select("doc_id", "k", F.floor(F.col("k") / 10).cast("long").alias("file_batch"))
+
+
+@query("stream_dedup", sql="SELECT DISTINCT sha1(url) AS fp FROM pages")
+def stream_dedup(spark, sf_dir):
+    """Every page requested twice (two producers); each fingerprint passes once."""
+    a = ST.file_stream(spark, sf_dir, "pages").select(U.url_fingerprint("url").alias("fp"))
+    b = ST.file_stream(spark, sf_dir, "pages").select(U.url_fingerprint("url").alias("fp"))
+    d = ST.dedup(a.unionByName(b), "fp")
+    out, ckpt = scratch_dir(spark, "dedup-out"), scratch_dir(spark, "dedup-ckpt")
+    ST.ingest(d, out, ckpt)
+    return spark.read.schema("fp STRING").parquet(out)
+
+
+@query("stream_resume", sql="SELECT event_id, user_id, event_type FROM events")
+def stream_resume(spark, sf_dir):
+    """Two runs over a landing folder that fills in two steps (first half of
+    the month, then the rest): the second run picks up only the new files and
+    the sink holds every event once."""
+    e = tables.events(spark, sf_dir, "event_id", "ts", "user_id", "event_type")
+    landing = scratch_dir(spark, "landing")
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING"
+    out, ckpt = scratch_dir(spark, "resume-out"), scratch_dir(spark, "resume-ckpt")
+    cut = F.to_timestamp(F.lit("2024-01-16 00:00:00"))
+    sinks.write_parquet(e.where(F.col("ts") < cut), f"{landing}/step=1", dynamic=False)
+    ST.ingest(ST.file_stream(spark, landing, schema=schema + ", step INT"), out, ckpt)
+    sinks.write_parquet(e.where(~(F.col("ts") < cut) | F.col("ts").isNull()), f"{landing}/step=2", dynamic=False)
+    ST.ingest(ST.file_stream(spark, landing, schema=schema + ", step INT"), out, ckpt)
+    return spark.read.schema(schema).parquet(out).select("event_id", "user_id", "event_type")
