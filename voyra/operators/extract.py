@@ -16,6 +16,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_BLOCK = {"p", "div", "ul", "ol", "dl", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article",
+          "header", "footer", "nav", "form", "pre", "blockquote", "aside", "main"}
+# element -> start tags that end it while it is open (HTML's optional end tags)
+AUTO_CLOSE = {"p": _BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
+              "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+# containers that stop the search for an element to close
+SCOPE = {"#root", "html", "body", "div", "ul", "ol", "table", "article", "section", "td", "th", "li",
+         "blockquote", "main", "aside", "nav", "header", "footer", "form"}
 
 # --- default selector tables (parameters, not site facts) ------------------
 ATTRACTION_SELECTORS = {
@@ -70,7 +78,21 @@ class _Builder(HTMLParser):
         self.root = Node("#root", {}, None)
         self.cur = self.root
 
+    def _implicit_close(self, tag):
+        """An open element that this start tag ends (``<p>`` ends an open
+        ``<p>``, ``<li>`` an open ``<li>`` ...), looked up to the nearest
+        container; close it and everything opened inside it."""
+        n = self.cur
+        while n is not None:
+            if tag in AUTO_CLOSE.get(n.tag, ()):
+                self.cur = n.parent
+                return
+            if n.tag in SCOPE:
+                return
+            n = n.parent
+
     def handle_starttag(self, tag, attrs):
+        self._implicit_close(tag)
         n = Node(tag, dict(attrs), self.cur)
         self.cur.children.append(n)
         if tag not in VOID:
