@@ -46,6 +46,8 @@ def main() -> None:
     load_all()
     keys = list(QUERIES) if os.environ.get("BENCH_ALL") else \
         [k for k in BENCH_QUERIES + HEADLINE if k in QUERIES]
+    if os.environ.get("BENCH_ONLY"):
+        keys = os.environ["BENCH_ONLY"].split(",")
     keys = list(dict.fromkeys(keys))
     ckpt = tempfile.mkdtemp(prefix="voyra-bench-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app="voyra-bench",

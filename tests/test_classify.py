@@ -12,11 +12,12 @@ TRAIN = [(1, "sunny park walk", "outdoor"), (2, "park lake sunny", "outdoor"),
          (5, "stadium match", "sport")]
 
 
-def test_naive_bayes_matches_hand_computation(spark):
+def test_naive_bayes_matches_hand_computation(spark, tmp_dir):
     train = spark.createDataFrame(TRAIN, "doc_id LONG, text STRING, label STRING")
-    model = C.nb_fit(train)
-    test = spark.createDataFrame([(9, "Art park, ART!", "indoor")], "doc_id LONG, text STRING, label STRING")
-    scores = {r.cls: r.score for r in C.nb_scores(model, test).collect()}
+    model = C.nb_fit(train, f"{tmp_dir}/nb")
+    test = spark.createDataFrame([(9, "Art park, ART!", "indoor"), (10, "zzz unknown", "sport")],
+                                 "doc_id LONG, text STRING, label STRING")
+    scores = {r.cls: r.score for r in C.nb_scores(model, test).where("doc_id = 9").collect()}
     vocab = {t for _, s, _ in TRAIN for t in s.split()}
     tok = {c: sum(len(s.split()) for _, s, l in TRAIN if l == c) for c in ("outdoor", "indoor", "sport")}
     cnt = {("indoor", "art"): 3, ("outdoor", "park"): 2}
@@ -25,8 +26,11 @@ def test_naive_bayes_matches_hand_computation(spark):
         for t in ["art", "park", "art"]:
             want += math.log((cnt.get((c, t), 0) + 1) / (tok[c] + len(vocab)))
         assert abs(scores[c] - want) < 1e-9
-    p = C.predict(C.nb_scores(model, test), test.select("doc_id", "label")).first()
+    preds = {r.doc_id: r for r in C.nb_predict(model, test).collect()}
+    p = preds[9]
     assert p.prediction == "indoor" and 0 < p.p_true < 1 and abs(p.loss + math.log(p.p_true)) < 1e-9
+    # no token in the vocabulary: the prior decides (ties to the smaller name)
+    assert preds[10].prediction == "indoor" and abs(preds[10].p_true - 0.2) < 1e-9
 
 
 def test_tokens_cap_and_case(spark):

@@ -2,16 +2,23 @@
 ML pipeline, and evaluation (loss, per-class report, top losses).
 
 Naive Bayes here is multinomial with add-one smoothing, written as grouped
-aggregates and equi-joins so it runs on the cluster at any size and has an
-exact SQL statement of the same computation:
+aggregates and one equi-join so it runs on the cluster at any size and has
+an exact SQL statement of the same computation:
 
   prior(c)   = log(docs of c / docs)
   w(t, c)    = log(count(t, c) + 1)                  (only observed pairs)
   denom(c)   = log(tokens of c + |V|)
-  score(d,c) = prior(c) - N(d) * denom(c) + sum over t in d of n(t, d) * w(t, c)
+  score(d,c) = prior(c) - N(d) * denom(c) + sum over t in d of w(t, c)
 
-N(d) counts the tokens of d that are in the training vocabulary V; unseen
-(t, c) pairs contribute log(1) = 0 to the sum, so only observed pairs join.
+N(d) counts the token occurrences of d that are in the training vocabulary
+V; unseen (t, c) pairs contribute log(1) = 0, so only observed pairs join.
+
+Plan: fit = one explode + one partial aggregate on (token, class), written
+once as the model table. Score = explode, one join on token with the model
+table plus one "vocabulary" row per token (so N(d) comes out of the same
+join), one aggregate on (doc, class) and one per document over at most
+K + 1 entries (K classes). A frequent token is one hot join key: AQE's skew
+rule splits it, and the model side for a token is only K + 1 rows.
 """
 
 from __future__ import annotations
@@ -40,62 +47,86 @@ def doc_tokens(docs: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS
 
 
 class NaiveBayes:
-    """Fitted model: per-class rows (small, checked) and token weights (a table)."""
+    """Fitted model: per-class rows (few, count checked) and the token weight
+    table ``(token, cls, w)`` read back from where it was written."""
+
+    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame):
+        self.classes, self.weights = classes, weights
 
-    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame, vocab: DataFrame):
-        self.classes, self.weights, self.vocab = classes, weights, vocab
+    def class_array(self) -> Column:
+        return F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(p).alias("prior"), F.lit(d).alias("denom"))
+                         for c, p, d in self.classes])
 
 
-def nb_fit(train: DataFrame, label: str = "label", text: str = "text",
+def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text",
            max_tokens: int = MAX_TOKENS) -> NaiveBayes:
-    toks = train.select(label, F.explode(tokens(text, max_tokens)).alias("token"))
-    weights = toks.groupBy("token", label).agg(F.count(F.lit(1)).alias("cnt"))
-    vocab = weights.select("token").distinct()
-    n_vocab = vocab.count()
-    per_class = train.groupBy(label).agg(F.count(F.lit(1)).alias("n_docs")).join(
-        weights.groupBy(label).agg(F.sum("cnt").alias("n_tok")), label, "left")
-    n_classes = per_class.count()
-    if n_classes > MAX_CLASSES:
-        raise ValueError(f"{n_classes} classes: too many to score without a class table join")
-    total = per_class.agg(F.sum("n_docs")).first()[0]
+    """Fit on ``train`` (label, text); the weight table is written to ``path``
+    (a folder under spark.checkpoint.dir) and everything after reads it."""
+    spark = train.sparkSession
+    toks = train.select(F.col(label).alias("cls"), F.explode(tokens(text, max_tokens)).alias("token"))
+    counts = toks.groupBy("token", "cls").agg(F.count(F.lit(1)).alias("cnt"))
+    counts.write.mode("overwrite").parquet(path)
+    counts = spark.read.parquet(path)
+    n_docs = train.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_docs"))
+    per_class = n_docs.join(counts.groupBy("cls").agg(F.sum("cnt").alias("n_tok")), "cls", "left")
+    stats = per_class.agg(F.count(F.lit(1)).alias("k"), F.sum("n_docs").alias("docs")).first()
+    if stats["k"] > MAX_CLASSES:
+        raise ValueError(f"{stats['k']} classes: more than {MAX_CLASSES}")
+    n_vocab = counts.select("token").distinct().count()
     rows = per_class.select(
-        label, (F.log(F.col("n_docs") / F.lit(total))).alias("prior"),
+        "cls", F.log(F.col("n_docs") / F.lit(stats["docs"])).alias("prior"),
         F.log(F.coalesce(F.col("n_tok"), F.lit(0)) + F.lit(n_vocab)).alias("denom")).collect()
     classes = sorted((r[0], r[1], r[2]) for r in rows)
-    w = weights.select("token", F.col(label).alias("cls"), F.log(F.col("cnt") + F.lit(1)).alias("w"))
-    return NaiveBayes(classes, w, vocab)
+    weights = counts.select("token", "cls", F.log(F.col("cnt") + F.lit(1)).alias("w"))
+    return NaiveBayes(classes, weights)
+
+
+def _score_entries(model: NaiveBayes, docs: DataFrame, keep: list[str], text: str,
+                   max_tokens: int) -> DataFrame:
+    """Per document: keep columns and ``_e`` = array of (cls, s, n), at most
+    K + 2 entries (cls NULL holds the in-vocabulary token count)."""
+    e = docs.select(*keep, F.explode(tokens(text, max_tokens)).alias("token"))
+    vocab_rows = model.weights.select("token").distinct().select(
+        "token", F.lit(None).cast("string").alias("cls"), F.lit(0.0).alias("w"))
+    w_ext = model.weights.unionByName(vocab_rows)
+    per = e.join(w_ext, "token").groupBy(*keep, "cls").agg(
+        F.sum("w").alias("s"), F.count(F.lit(1)).alias("n"))
+    marker = docs.select(*keep, F.lit(None).cast("string").alias("cls"), F.lit(0.0).alias("s"),
+                         F.lit(0).cast("long").alias("n"))
+    return per.unionByName(marker).groupBy(*keep).agg(F.collect_list(F.struct("cls", "s", "n")).alias("_e"))
+
+
+def _scores_col(model: NaiveBayes) -> Column:
+    """array<struct<ns, cls, score>> sorted by (-score, cls)."""
+    n_in = F.aggregate(F.filter("_e", lambda x: x["cls"].isNull()), F.lit(0).cast("long"),
+                       lambda a, x: a + x["n"])
+
+    def score(c):
+        s = F.aggregate(F.filter("_e", lambda x: x["cls"] == c["cls"]), F.lit(0.0), lambda a, x: a + x["s"])
+        v = c["prior"] - n_in * c["denom"] + s
+        return F.struct((-v).alias("ns"), c["cls"].alias("cls"), v.alias("score"))
+    return F.array_sort(F.transform(model.class_array(), score))
 
 
 def nb_scores(model: NaiveBayes, docs: DataFrame, text: str = "text",
               max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(doc_id, cls, score) for every document and class."""
-    dt = doc_tokens(docs, text, max_tokens).join(model.vocab, "token", "left_semi")
-    n_in = dt.groupBy("doc_id").agg(F.sum("n").alias("n_in"))
-    sparse = dt.join(model.weights, "token").groupBy("doc_id", "cls").agg(
-        F.sum(F.col("n") * F.col("w")).alias("s"))
-    cls = F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(p).alias("prior"), F.lit(d).alias("denom"))
-                    for c, p, d in model.classes])
-    dense = docs.select("doc_id").join(n_in, "doc_id", "left").select(
-        "doc_id", F.coalesce("n_in", F.lit(0)).alias("n_in"), F.explode(cls).alias("c"))
-    dense = dense.select("doc_id", F.col("c.cls").alias("cls"),
-                         (F.col("c.prior") - F.col("n_in") * F.col("c.denom")).alias("d"))
-    j = dense.join(sparse, ["doc_id", "cls"], "left")
-    return j.select("doc_id", "cls", (F.col("d") + F.coalesce("s", F.lit(0.0))).alias("score"))
-
-
-def predict(scores: DataFrame, truth: DataFrame, label: str = "label") -> DataFrame:
-    """Argmax class (ties to the smaller name), its softmax probability, and
-    the loss -log p(true class). ``truth``: (doc_id, label)."""
-    j = scores.join(truth.select("doc_id", F.col(label).alias("label")), "doc_id")
-    # one group per document, one entry per class (bounded by the class count);
-    # sorted by (-score, class): the head is the argmax, ties to the smaller name
-    g = j.groupBy("doc_id", "label").agg(F.array_sort(F.collect_list(
-        F.struct((-F.col("score")).alias("ns"), F.col("cls"), F.col("score")))).alias("_s"))
+    g = _score_entries(model, docs, ["doc_id"], text, max_tokens)
+    return g.select("doc_id", F.explode(_scores_col(model)).alias("x")).select(
+        "doc_id", "x.cls", "x.score")
+
+
+def nb_predict(model: NaiveBayes, docs: DataFrame, label: str = "label", text: str = "text",
+               max_tokens: int = MAX_TOKENS, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, label, prediction (argmax, ties to the smaller name), p_true
+    (softmax probability of the true class) and loss = -log p_true."""
+    keep = ["doc_id", label] + [k for k in (keep or []) if k not in ("doc_id", label)]
+    g = _score_entries(model, docs, keep, text, max_tokens).withColumn("_s", _scores_col(model))
     mx = F.col("_s")[0]["score"]
     z = F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - mx))
-    s_true = F.get(F.filter("_s", lambda x: x["cls"] == F.col("label")), 0)["score"]
+    s_true = F.get(F.filter("_s", lambda x: x["cls"] == F.col(label)), 0)["score"]
     loss = mx + F.log(z) - s_true
-    return g.select("doc_id", "label", F.col("_s")[0]["cls"].alias("prediction"),
+    return g.select(*keep, F.col("_s")[0]["cls"].alias("prediction"),
                     F.exp(-loss).alias("p_true"), loss.alias("loss"))
 
 
@@ -125,7 +156,7 @@ def lr_pipeline(max_tokens: int = MAX_TOKENS, num_features: int = 1 << 18, max_i
     (fitted on the training rows only) -> multinomial logistic regression."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, SQLTransformer, StringIndexer
+    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer, StringIndexer
 
     tok = RegexTokenizer(inputCol="text", outputCol="words_all", pattern=TOKEN_SPLIT, gaps=True, toLowercase=True)
     cap = SQLTransformer(statement=f"SELECT *, slice(words_all, 1, {max_tokens}) AS words FROM __THIS__")
@@ -134,18 +165,17 @@ def lr_pipeline(max_tokens: int = MAX_TOKENS, num_features: int = 1 << 18, max_i
     idx = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
                             family="multinomial")
-    stages = [tok, cap, tf, idf, idx, lr]
-    pipe = Pipeline(stages=stages)
-    return pipe, idx, IndexToString
+    return Pipeline(stages=[tok, cap, tf, idf, idx, lr])
 
 
 def lr_predictions(model, docs: DataFrame) -> DataFrame:
     """doc_id, label, prediction (class name), score (its probability)."""
-    from pyspark.ml.functions import vector_to_array
     from pyspark.ml.feature import StringIndexerModel
+    from pyspark.ml.functions import vector_to_array
     idx = [s for s in model.stages if isinstance(s, StringIndexerModel)][0]
     names = F.array(*[F.lit(x) for x in idx.labels])
     out = model.transform(docs)
     prob = vector_to_array("probability")
-    return out.select("doc_id", "label", F.element_at(names, F.col("prediction").cast("int") + 1).alias("prediction"),
-                      F.array_max(prob).alias("score"))
+    # the indexer keeps one extra index for labels unseen in training: no name
+    name = F.try_element_at(names, (F.col("prediction").cast("int") + 1))
+    return out.select("doc_id", "label", name.alias("prediction"), F.array_max(prob).alias("score"))

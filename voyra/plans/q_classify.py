@@ -53,17 +53,15 @@ preds AS (SELECT a.doc_id, a.label, a.part, a.prediction, l.lse - a.s_true AS lo
 def nb_predictions(spark, sf_dir):
     """(doc_id, label, part, prediction, p_true, loss) for every document."""
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))
-    model = C.nb_fit(d.where(F.col("part") == "train"))
-    scores = C.nb_scores(model, d)
-    preds = C.predict(scores, d.select("doc_id", "label"))
-    return preds.join(d.select("doc_id", "part"), "doc_id")
+    model = C.nb_fit(d.where(F.col("part") == "train"), scratch_dir(spark, "nb-model"))
+    return C.nb_predict(model, d, keep=["part"])
 
 
 @query("text_features", sql=f"""
 SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct, md5(array_to_string(t, ' ')) AS tokens_md5
 FROM (SELECT doc_id, {TOKENS_SQL} AS t FROM documents)""")
 def text_features(spark, sf_dir):
-    d = tables.documents(spark, sf_dir, "doc_id", "text")
+    d = tables.documents(spark, sf_dir, "doc_id", "text", spread=True)
     t = C.tokens("text")
     return d.select("doc_id", F.size(t).cast("long").alias("n_tokens"),
                     F.size(F.array_distinct(t)).cast("long").alias("n_distinct"),
@@ -138,7 +136,7 @@ def label_map(spark, sf_dir):
 
 def _fit_lr(spark, sf_dir, max_iter: int = 20):
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))
-    pipe, _, _ = C.lr_pipeline(max_iter=max_iter)
+    pipe = C.lr_pipeline(max_iter=max_iter)
     model = pipe.fit(d.where(F.col("part") == "train"))
     return model, d
 

@@ -15,6 +15,11 @@ from voyra.sources.files import CSV_OPTIONS
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, max_records: int | None):
+    if partition_by:
+        # Rebalance on the partition columns: few files per folder, and AQE
+        # splits a hot folder (one attraction with a third of the rows) over
+        # several tasks instead of one.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
