@@ -21,16 +21,16 @@ def test_task_init_only_once_and_complete(spark, tmp_dir):
     assert TK.task_init(spark, other, "n", url, path).count() == 4     # exists: untouched
     ts = dt.datetime(2024, 1, 1)
     attempts = spark.createDataFrame(
-        [("a", 0, ts, 1, True), ("a", 0, ts + dt.timedelta(1), 2, False),   # retried, then done
-         ("a", 1, ts, 3, False), ("a", 2, ts, 4, True), ("b", 0, ts, 5, True)],
-        "attr_name STRING, page LONG, ts TIMESTAMP, event_id LONG, failed BOOLEAN")
+        [("a", 0, ts, 1, 0, True), ("a", 0, ts + dt.timedelta(1), 2, 3, False),   # retried, then done
+         ("a", 1, ts, 3, 1, False), ("a", 2, ts, 4, 2, True), ("b", 0, ts, 5, 0, True)],
+        "attr_name STRING, page LONG, ts TIMESTAMP, event_id LONG, attempt LONG, failed BOOLEAN")
     status = TK.page_status(attempts)
     done = TK.write_task_update(spark, TK.task_complete(t, status), path)
     assert sorted((r.attr_name, r.page) for r in TK.scan_pending(done).collect()) == [("a", 2), ("b", 0)]
     retry = {(r.attr_name, r.page): (r.n_attempts, r.n_failed) for r in TK.retry_queue(status).collect()}
     assert retry == {("a", 2): (1, 1), ("b", 0): (1, 1)}
     # a later run where b's page worked: only its flag flips, a's stay
-    later = spark.createDataFrame([("b", 0, ts + dt.timedelta(2), 6, False)], attempts.schema)
+    later = spark.createDataFrame([("b", 0, ts + dt.timedelta(2), 6, 1, False)], attempts.schema)
     again = TK.write_task_update(spark, TK.task_complete(TK.read_tasks(spark, path), TK.page_status(later)), path)
     assert sorted((r.attr_name, r.page) for r in TK.scan_pending(again).collect()) == [("a", 2)]
 

@@ -53,13 +53,22 @@ def dedup_reviews(reviews: DataFrame, keys=("attr_name", "title", "review"),
     """Keep one row per distinct (attraction, title, body): the lowest id."""
     keys = list(keys)
     rest = [c for c in reviews.columns if c not in keys and c != order]
-    best = F.min(F.struct(F.col(order).alias(order), *[F.col(c) for c in rest])).alias("_b")
-    return reviews.groupBy(*keys).agg(best).select(*keys, f"_b.{order}", *[f"_b.{c}" for c in rest])
+    # min(id) and min_by(col, id) keep fixed-width buffers for numeric columns,
+    # so Spark hash-aggregates (no sort on the long text keys) and combines
+    # copies map-side before the shuffle.
+    aggs = [F.min(order).alias(order)] + [F.min_by(c, order).alias(c) for c in rest]
+    return reviews.groupBy(*keys).agg(*aggs).select(*keys, order, *rest)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last write wins: per key, the row with the greatest ``order``."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if len(order) == 1:
+        # one order column: max + max_by keep fixed-width buffers where the
+        # columns are numeric, so the aggregate hashes and combines map-side
+        o = order[0]
+        aggs = [F.max(o).alias(o)] + [F.max_by(c, o).alias(c) for c in rest]
+        return df.groupBy(*keys).agg(*aggs).select(*keys, o, *rest)
     last = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("_l")
     return df.groupBy(*keys).agg(last).select(*keys, *[f"_l.{c}" for c in order],
                                               *[f"_l.{c}" for c in rest])
@@ -86,22 +95,24 @@ def stop_at_missing(slots: DataFrame, page_keys: list[str], slot: str = "slot",
 
 
 def gen_page_urls(seeds: DataFrame, total: str, url_of, size: int = 10,
-                  mode: str = "ceil", chunk: int = 100_000) -> DataFrame:
-    """Seeds (attr_name, total items) -> one row per page: attr_name, page, url.
+                  mode: str = "ceil", chunk: int = 100_000, keep: list[str] | None = None) -> DataFrame:
+    """Seeds (attr_name, total items) -> one row per page: attr_name, page, url
+    (plus the seed columns named in ``keep``).
 
     ``mode``: 'ceil' lists every item; 'floor' and 'floor_plus_one' are the
     crawlers' truncating forms. ``url_of(attr_name_col, page_col)`` builds the URL.
     """
     from voyra.functions.text import page_count
-    s = seeds.select("attr_name", page_count(F.col(total), size, mode).alias("_np"))
+    keep = keep or []
+    s = seeds.select("attr_name", *keep, page_count(F.col(total), size, mode).alias("_np"))
     # Step 1: chunks of pages; step 2: pages inside a chunk, after a shuffle.
-    c = s.select("attr_name", "_np", F.explode(F.sequence(
+    c = s.select("attr_name", *keep, "_np", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("_np") - 1) / chunk).cast("long"))).alias("_c"))
     c = c.where(F.col("_np") > 0).repartition("attr_name", "_c")
     lo = F.col("_c") * chunk
     hi = F.least(lo + chunk, F.col("_np")) - 1
-    p = c.select("attr_name", F.explode(F.sequence(lo, hi)).alias("page"))
-    return p.select("attr_name", "page", url_of(F.col("attr_name"), F.col("page")).alias("url"))
+    p = c.select("attr_name", *keep, F.explode(F.sequence(lo, hi)).alias("page"))
+    return p.select(*keep, "attr_name", "page", url_of(F.col("attr_name"), F.col("page")).alias("url"))
 
 
 def batch_index(df: DataFrame, seq: str, per_batch: int = 10) -> Column:

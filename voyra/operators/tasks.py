@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voyra.operators.reviews import gen_page_urls, latest_per_key
+from voyra.operators.reviews import gen_page_urls
 
 TASK_BUCKETS = 64
 
@@ -49,15 +49,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def page_status(attempts: DataFrame) -> DataFrame:
-    """Latest attempt per (attr_name, page) -> done, n_attempts, n_failed."""
-    last = latest_per_key(attempts.select("attr_name", "page", "ts", "event_id", "failed"),
-                          ["attr_name", "page"], ["ts", "event_id"])
-    counts = attempts.groupBy("attr_name", "page").agg(
-        F.count(F.lit(1)).alias("n_attempts"), F.count_if("failed").alias("n_failed"))
-    return last.join(counts, ["attr_name", "page"]).select(
-        "attr_name", "page", (~F.col("failed")).alias("done"), "n_attempts", "n_failed",
-        F.col("ts").alias("last_ts"))
+def page_status(attempts: DataFrame, order: str = "attempt") -> DataFrame:
+    """Latest attempt per (attr_name, page) -> done, n_attempts, n_failed, last_ts.
+
+    ``order`` is the attempt's sequence number (a long that follows ts, then
+    event_id), so "latest" is ``max_by(.., order)``: one hash aggregate with
+    fixed-width buffers, combined map-side, no join."""
+    return attempts.groupBy("attr_name", "page").agg(
+        (~F.max_by("failed", order)).alias("done"),
+        F.count(F.lit(1)).alias("n_attempts"),
+        F.count_if("failed").alias("n_failed"),
+        F.max_by("ts", order).alias("last_ts"))
 
 
 def task_complete(tasks: DataFrame, status: DataFrame) -> DataFrame:

@@ -72,6 +72,13 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attempt_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds for the task table: attr_name, n = attempts logged (no numbering needed)."""
+    e = tables.events(spark, sf_dir, "user_id")
+    g = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return g.select(F.concat(F.lit("attr"), F.col("user_id").cast("string")).alias("attr_name"), "n")
+
+
 def visit_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visit strings in the three stored forms: event_id, visit.
 

@@ -91,9 +91,8 @@ def link_fanout(spark, sf_dir):
     seeds = d.groupBy(F.col("source").alias("attr_name")).agg(F.count(F.lit(1)).alias("n"))
     attractions = seeds.select("attr_name", "n", _attraction_url(F.col("attr_name")).alias("attr_url"))
     hit = links.join(attractions, "attr_url").select("listing", "attr_name", "n")
-    pages = R.gen_page_urls(hit.select("attr_name", "n"), "n", E.review_page_url)
-    return hit.select("listing", "attr_name").join(pages, "attr_name") \
-        .select("listing", "attr_name", "page", "url")
+    pages = R.gen_page_urls(hit, "n", E.review_page_url, keep=["listing"])
+    return pages.select("listing", "attr_name", "page", "url")
 
 
 @query("unseen", sql="""
@@ -146,10 +145,8 @@ tasks AS (
 
 def tasks_now(spark, sf_dir):
     """Task table built from the attempt log: init, then complete from status."""
-    a = E.attempts(spark, sf_dir)
-    seeds = a.groupBy("attr_name").agg(F.count(F.lit(1)).alias("n"))
-    tasks = TK.init_tasks(seeds, "n", E.review_page_url, size=E.ATTEMPTS_PER_PAGE)
-    return TK.task_complete(tasks, TK.page_status(a))
+    tasks = TK.init_tasks(E.attempt_totals(spark, sf_dir), "n", E.review_page_url, size=E.ATTEMPTS_PER_PAGE)
+    return TK.task_complete(tasks, TK.page_status(E.attempts(spark, sf_dir)))
 
 
 @query("pending_semi", sql=S.with_(TASKS_SQL) + """

@@ -104,7 +104,7 @@ def sink_csv(spark, sf_dir):
 
 
 def _seeds(spark, sf_dir):
-    return E.attempts(spark, sf_dir).groupBy("attr_name").agg(F.count(F.lit(1)).alias("n"))
+    return E.attempt_totals(spark, sf_dir)
 
 
 @query("task_init", sql=S.with_(TASKS_SQL) + "SELECT attr_name, page, url, false AS complete FROM tasks")
