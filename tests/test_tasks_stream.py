@@ -58,3 +58,14 @@ def test_stream_equals_batch_on_table(spark, tmp_dir):
     streamed = QUERIES["stream_drain"](spark, SF_SMALL)
     batch = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy("event_type").count()
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_follow_chain_with_cycle_and_long_chain(spark):
+    from voyra.operators.threads import follow_chain
+    rows = [(1, 0, 1), (1, 1, 2), (1, 2, 1),            # cycle back to page 1
+            (2, 0, None)] + [(3, p, p + 1 if p < 149 else None) for p in range(150)]  # 150 pages
+    edges = spark.createDataFrame(rows, "conv_id LONG, page LONG, next_page LONG")
+    got = {(r.conv_id, r.page): r.depth for r in follow_chain(spark, edges).collect()}
+    assert {k: v for k, v in got.items() if k[0] == 1} == {(1, 0): 0, (1, 1): 1, (1, 2): 2}
+    assert got[(2, 0)] == 0
+    assert len([k for k in got if k[0] == 3]) == 150 and got[(3, 149)] == 149

@@ -47,23 +47,35 @@ def next_links(posts: DataFrame) -> DataFrame:
     return pages.join(nxt, ["conv_id", "page"], "left")
 
 
-def follow_chain(spark: SparkSession, edges: DataFrame, max_depth: int = 100) -> DataFrame:
-    """Follow next-page links from every first page until none is left.
+def follow_chain(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """Follow next-page links from every thread's first page until none is left.
 
-    ``edges``: (conv_id, page, next_page or NULL). A recursive CTE: each
-    step is one join of the frontier with the edge table, and a depth cap
-    stops a cycle in the links.
+    ``edges``: (conv_id, page, next_page or NULL). A recursive CTE: each step
+    joins the frontier with the edge table. The edge table is written once to
+    the checkpoint folder, so iterations read it instead of recomputing it.
+
+    No path without repeats is longer than its thread's page count, so that
+    count (the largest over threads) bounds the recursion exactly; a cycle in
+    the links is walked at most that far and each page keeps the depth of its
+    first visit, as a crawler that skips seen URLs would.
     """
-    return spark.sql(
+    from voyra.session import checkpoint_root
+    checkpoint_root(spark)
+    edges = edges.select("conv_id", "page", "next_page").checkpoint(eager=True)
+    bound = edges.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    limit = spark.conf.get("spark.sql.cteRecursionLevelLimit", "100")
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(max(int(limit), bound + 2)))
+    chain = spark.sql(
         """
         WITH RECURSIVE chain(conv_id, page, depth) AS (
           SELECT conv_id, page, 0 FROM {edges} WHERE page = 0
           UNION ALL
           SELECT e.conv_id, e.next_page, c.depth + 1
           FROM chain c JOIN {edges} e ON e.conv_id = c.conv_id AND e.page = c.page
-          WHERE e.next_page IS NOT NULL AND c.depth < {max_depth}
+          WHERE e.next_page IS NOT NULL AND c.depth < {bound}
         )
-        SELECT conv_id, page, depth FROM chain
+        SELECT conv_id, page, min(depth) AS depth FROM chain GROUP BY conv_id, page
         """,
-        edges=edges, max_depth=max_depth,
+        edges=edges, bound=bound,
     )
+    return chain

@@ -34,10 +34,19 @@ SPEED_CONF = {
 }
 
 
+# Arrow batches hand whole pages to the Python extractors; the default of
+# 10,000 rows a batch is ~1 GB of 100 KB pages. Used when the session has not
+# chosen a value.
+ARROW_BATCH_ROWS = "512"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in RESULT_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, ARROW_BATCH_ROWS)
     return spark
 
 
