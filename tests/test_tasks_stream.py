@@ -61,7 +61,7 @@ def test_stream_equals_batch_on_table(spark, tmp_dir):
 
 
 def test_follow_chain_with_cycle_and_long_chain(spark):
-    from voyra.operators.threads import follow_chain
+    from voyra.operators.threads import follow_chain, follow_chain_recursive
     rows = [(1, 0, 1), (1, 1, 2), (1, 2, 1),            # cycle back to page 1
             (2, 0, None)] + [(3, p, p + 1 if p < 149 else None) for p in range(150)]  # 150 pages
     edges = spark.createDataFrame(rows, "conv_id LONG, page LONG, next_page LONG")
@@ -69,3 +69,6 @@ def test_follow_chain_with_cycle_and_long_chain(spark):
     assert {k: v for k, v in got.items() if k[0] == 1} == {(1, 0): 0, (1, 1): 1, (1, 2): 2}
     assert got[(2, 0)] == 0
     assert len([k for k in got if k[0] == 3]) == 150 and got[(3, 149)] == 149
+    small = edges.where("conv_id < 3")
+    a = sorted(map(tuple, follow_chain(spark, small).collect()))
+    assert a == sorted(map(tuple, follow_chain_recursive(spark, small).collect()))

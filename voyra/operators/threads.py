@@ -48,9 +48,42 @@ def next_links(posts: DataFrame) -> DataFrame:
 
 
 def follow_chain(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """Follow next-page links from every thread's first page until none is left.
-
-    ``edges``: (conv_id, page, next_page or NULL). A recursive CTE: each step
+    """Follow next-page links from every thread's first page until none is left:
+    (conv_id, page, depth) for every page reached, depth of its first visit.
+
+    Path doubling: ``reach`` holds the first visits at depths below ``step``;
+    ``jump`` maps a page to the page ``step`` links further. Each round extends
+    ``reach`` through ``jump`` (depths step .. 2*step-1) and squares ``jump``
+    with a self-join, so a thread of L pages takes ceil(log2 L) rounds of two
+    joins, keyed on (thread, page): a long thread is spread over its pages.
+    A first visit only follows from a first visit, so keeping the minimum
+    depth per page each round is exact and bounds ``reach`` by the pages.
+    Each round is checkpointed to the checkpoint folder (lineage stays short).
+    """
+    from voyra.session import checkpoint_root
+    checkpoint_root(spark)
+    edges = edges.select("conv_id", "page", "next_page").checkpoint(eager=True)
+    bound = edges.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    reach = edges.where(F.col("page") == 0).select("conv_id", "page", F.lit(0).cast("long").alias("depth"))
+    jump = edges.where(F.col("next_page").isNotNull()).select("conv_id", "page", F.col("next_page").alias("to"))
+    step = 1
+    while step < bound:
+        ext = reach.join(jump, ["conv_id", "page"]).select(
+            "conv_id", F.col("to").alias("page"), (F.col("depth") + F.lit(step)).alias("depth"))
+        reach = reach.unionByName(ext).groupBy("conv_id", "page").agg(F.min("depth").alias("depth"))
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = a.join(b, (F.col("a.conv_id") == F.col("b.conv_id")) & (F.col("a.to") == F.col("b.page"))) \
+            .select(F.col("a.conv_id").alias("conv_id"), F.col("a.page").alias("page"), F.col("b.to").alias("to"))
+        reach, jump = reach.checkpoint(eager=True), jump.checkpoint(eager=True)
+        step *= 2
+    return reach
+
+
+def follow_chain_recursive(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """The same walk as a recursive CTE (one join per link followed); kept as
+    the plain-SQL statement of ``follow_chain`` and used to check it.
+
+    ``edges``: (conv_id, page, next_page or NULL). Each step
     joins the frontier with the edge table. The edge table is written once to
     the checkpoint folder, so iterations read it instead of recomputing it.
 
@@ -68,7 +101,7 @@ def follow_chain(spark: SparkSession, edges: DataFrame) -> DataFrame:
     chain = spark.sql(
         """
         WITH RECURSIVE chain(conv_id, page, depth) AS (
-          SELECT conv_id, page, 0 FROM {edges} WHERE page = 0
+          SELECT conv_id, page, CAST(0 AS BIGINT) FROM {edges} WHERE page = 0
           UNION ALL
           SELECT e.conv_id, e.next_page, c.depth + 1
           FROM chain c JOIN {edges} e ON e.conv_id = c.conv_id AND e.page = c.page
