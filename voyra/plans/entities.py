@@ -33,9 +33,9 @@ TITLE_CHARS = 40
 SITE = "https://www.example-travel.org"
 
 
-def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True) -> DataFrame:
-    """Flat reviews: attr_name, review_id, attr_page, title, review, doc_id[, lang]."""
-    cols = ["doc_id", "source", "text"] + (["lang"] if with_lang else [])
+def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True, extra: tuple = ()) -> DataFrame:
+    """Flat reviews: attr_name, review_id, attr_page, title, review, doc_id[, lang][, extra...]."""
+    cols = ["doc_id", "source", "text"] + (["lang"] if with_lang else []) + list(extra)
     d = tables.documents(spark, sf_dir, *cols)
     d = seq_number(d, ["source"], ["doc_id"], id_bucket("doc_id"), out="review_id")
     out = [F.col("source").alias("attr_name"), "review_id",
@@ -44,7 +44,7 @@ def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True) -> DataFra
            F.col("text").alias("review"), "doc_id"]
     if with_lang:
         out.append("lang")
-    return d.select(*out)
+    return d.select(*out, *extra)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

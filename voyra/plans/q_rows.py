@@ -104,9 +104,8 @@ FROM slots s LEFT JOIN firsts f USING (attr_name, attr_page)
 WHERE f.first_missing IS NULL OR s.slot < f.first_missing""")
 def stop_at_missing(spark, sf_dir):
     """Short reviews (< 200 characters) carry no title; a page stops there."""
-    r = E.reviews(spark, sf_dir, with_lang=False)
-    n = tables.documents(spark, sf_dir, "doc_id", "n_chars")
-    s = r.join(n, "doc_id").select(
+    r = E.reviews(spark, sf_dir, with_lang=False, extra=("n_chars",))
+    s = r.select(
         "attr_name", "attr_page", "review_id", (F.col("review_id") % 10).alias("slot"),
         F.when(F.col("n_chars") >= 200, F.col("title")).alias("title"))
     kept = R.stop_at_missing(s, ["attr_name", "attr_page"], "slot", "title")

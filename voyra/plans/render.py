@@ -45,10 +45,9 @@ def attraction_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with their visit string (events joined on doc_id = event_id)
     and whether the title is shown (reviews under 200 characters have none)."""
-    r = E.reviews(spark, sf_dir, with_lang=False)
-    n = tables.documents(spark, sf_dir, "doc_id", "n_chars")
+    r = E.reviews(spark, sf_dir, with_lang=False, extra=("n_chars",))
     v = E.visit_strings(spark, sf_dir).withColumnRenamed("event_id", "doc_id")
-    return r.join(n, "doc_id").join(v, "doc_id", "left").select(
+    return r.join(v, "doc_id", "left").select(
         "attr_name", "attr_page", "review_id", "doc_id",
         F.when(F.col("n_chars") >= 200, F.col("title")).alias("title"),
         F.when(F.col("visit") != "NONE", F.col("visit")).alias("visit"), "review")
