@@ -77,3 +77,17 @@ def test_parser_survives_broken_markup():
     assert [XT.text(n) for n in XT.select(root, "div.a p")] == ["onetwo"]
     assert XT.text(XT.select_one(root, "p")) == "onetwo"
     assert XT.select(root, "span") == []
+
+
+def test_sql_table_functions_match_dataframe_form(spark):
+    XT.register_sql_functions(spark)
+    pages = spark.createDataFrame([("Tower", 2, REVIEW_PAGE)], "attr_name STRING, attr_page INT, html STRING")
+    pages.createOrReplaceTempView("review_pages_fixture")
+    via_sql = spark.sql("SELECT p.attr_name, p.attr_page, s.* FROM review_pages_fixture p, "
+                        "LATERAL review_slots(p.html) s")
+    via_df = XT.extract_reviews(pages, "html", ["attr_name", "attr_page"])
+    assert sorted(map(tuple, via_sql.collect())) == sorted(map(tuple, via_df.collect()))
+    forum = spark.createDataFrame([(7, FORUM)], "conv_id LONG, html STRING")
+    forum.createOrReplaceTempView("forum_fixture")
+    rows = spark.sql("SELECT f.conv_id, s.* FROM forum_fixture f, LATERAL forum_posts(f.html) s").collect()
+    assert [r.username for r in rows] == ["ann", None]

@@ -72,3 +72,16 @@ def test_follow_chain_with_cycle_and_long_chain(spark):
     small = edges.where("conv_id < 3")
     a = sorted(map(tuple, follow_chain(spark, small).collect()))
     assert a == sorted(map(tuple, follow_chain_recursive(spark, small).collect()))
+
+
+def test_dedup_within_watermark_on_events(spark, tmp_dir):
+    """Bounded-state form: the same key twice within the delay passes once."""
+    from conftest import SF_SMALL
+    s = ST.file_stream(spark, SF_SMALL, "events").select("event_id", "ts", "user_id")
+    twice = s.unionByName(ST.file_stream(spark, SF_SMALL, "events").select("event_id", "ts", "user_id"))
+    d = ST.dedup(twice, "event_id", event_time="ts", delay="2 days")
+    out, ckpt = f"{tmp_dir}/o", f"{tmp_dir}/c"
+    ST.ingest(d, out, ckpt)
+    got = spark.read.parquet(out)
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert got.count() == n and got.select("event_id").distinct().count() == n

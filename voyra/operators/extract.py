@@ -271,3 +271,38 @@ def extract_forum(pages: DataFrame, html: str, keep: list[str],
                                                       p["username"], p["posttime"], p["posttext"]])
             yield pd.DataFrame(rows, columns=cols)
     return pages.mapInPandas(run, _schema(pages, keep, FORUM_OUT))
+
+
+# --- SQL-facing form -------------------------------------------------------
+
+def register_sql_functions(spark) -> None:
+    """Register the extractors as Python table functions for SQL, e.g.
+
+        SELECT p.attr_name, s.* FROM pages p, LATERAL review_slots(p.html) s
+
+    (Arrow-batched UDTFs; the DataFrame form above is ``extract_*``)."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType=REVIEW_OUT, useArrow=True)
+    class ReviewSlots:
+        def eval(self, html: str):
+            for r in reviews_of(html or ""):
+                yield r["slot"], r["title"], r["time"], r["fragments"]
+
+    @udtf(returnType=ATTRACTION_OUT, useArrow=True)
+    class AttractionFields:
+        def eval(self, html: str):
+            a = attraction_of(html or "")
+            yield tuple(a[k] for k in ("name", "labels_text", "extra_labels", "location", "score", "score_cnt",
+                                       "near_restas", "near_attras", "exp_names", "exp_lists"))
+
+    @udtf(returnType=FORUM_OUT, useArrow=True)
+    class ForumPosts:
+        def eval(self, html: str):
+            f = forum_of(html or "")
+            for j, p in enumerate(f["posts"]):
+                yield f["topic"], f["page"], f["next"], j, p["username"], p["posttime"], p["posttext"]
+
+    spark.udtf.register("review_slots", ReviewSlots)
+    spark.udtf.register("attraction_fields", AttractionFields)
+    spark.udtf.register("forum_posts", ForumPosts)

@@ -143,18 +143,21 @@ def empty_guard(spark, sf_dir):
 
 
 @query("page_quarantine", sql=S.with_(S.ATTEMPTS, S.VISITS) + """
-SELECT a.attr_name, a.page, count(*) AS n_records,
-       count(*) FILTER (WHERE v.visit = 'NONE' OR TRY_CAST(try_strptime(split_part(replace(v.visit, ' • ', '  '), '  ', 1), '%b %Y') AS DATE) IS NULL) AS n_bad,
-       CASE WHEN count(*) FILTER (WHERE v.visit = 'NONE' OR try_strptime(split_part(replace(v.visit, ' • ', '  '), '  ', 1), '%b %Y') IS NULL) > 0
-            THEN 'bad' ELSE 'good' END AS status
-FROM attempts a JOIN visits v USING (event_id)
-GROUP BY a.attr_name, a.page""")
+SELECT attr_name, page, count(*) AS n_records, count(*) FILTER (WHERE bad) AS n_bad,
+       CASE WHEN count(*) FILTER (WHERE bad) > 0 THEN 'bad' ELSE 'good' END AS status
+FROM (SELECT a.attr_name, a.page,
+             p[1] = 'NONE' OR try_strptime(p[1], '%b %Y') IS NULL OR len(p) > 2 AS bad
+      FROM attempts a JOIN visits v USING (event_id),
+           LATERAL (SELECT string_split(replace(v.visit, ' • ', '  '), '  ') AS p))
+GROUP BY attr_name, page""")
 def page_quarantine(spark, sf_dir):
-    """A record whose visit month does not parse fails its whole page."""
+    """A record whose visit month does not parse, or whose visit string has
+    more than two parts, fails its whole page."""
     a = E.attempts(spark, sf_dir).select("attr_name", "page", "event_id")
     v = E.visit_strings(spark, sf_dir)
+    sv = X.split_visit("visit")
     rec = a.join(v, "event_id").select(
-        "attr_name", "page", X.visit_month(X.split_visit("visit")["time"]).isNull().alias("bad"))
+        "attr_name", "page", (X.visit_month(sv["time"]).isNull() | sv["extra"]).alias("bad"))
     return items.quarantine_pages(rec, ["attr_name", "page"], "bad")
 
 

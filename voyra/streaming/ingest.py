@@ -84,4 +84,7 @@ def dedup(stream: DataFrame, key: str, event_time: str | None = None, delay: str
     remembered for ``delay`` past the watermark (``dropDuplicatesWithinWatermark``)."""
     if event_time is None:
         return stream.dropDuplicates([key])
+    if dict(stream.dtypes).get(event_time) == "timestamp_ntz":
+        # watermarks need TIMESTAMP; the session zone is pinned to UTC
+        stream = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
