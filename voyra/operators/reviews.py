@@ -84,12 +84,13 @@ def stop_at_missing(slots: DataFrame, page_keys: list[str], slot: str = "slot",
                     title: str = "title") -> DataFrame:
     """Keep the slots before the first slot without a title on each page.
 
-    A page holds at most ten slots, so the per-page minimum is a bounded
-    aggregate joined back on the page key (both sides shuffle on it once).
+    A page holds at most ten slots, so a window over the page is bounded
+    (one shuffle on the page key, no self-join of the input).
     """
-    first_missing = (slots.where(F.col(title).isNull()).groupBy(*page_keys)
-                     .agg(F.min(slot).alias("_first_missing")))
-    j = slots.join(first_missing, page_keys, "left")
+    from pyspark.sql import Window
+    w = Window.partitionBy(*page_keys)
+    first_missing = F.min(F.when(F.col(title).isNull(), F.col(slot))).over(w)
+    j = slots.withColumn("_first_missing", first_missing)
     return j.where(F.col("_first_missing").isNull() | (F.col(slot) < F.col("_first_missing"))) \
             .drop("_first_missing")
 
