@@ -70,6 +70,26 @@ def test_route_sends_every_record_once(spark):
     assert counts == {"review": 1, "info": 1, "_unrouted": 3}
 
 
+def test_read_page_files_whole_text(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/site/a")
+    with open(f"{tmp_dir}/site/a/p1.html", "w") as f:
+        f.write("<html>\n<h1>One</h1>\n</html>")
+    with open(f"{tmp_dir}/site/p2.html", "w") as f:
+        f.write("<h1>Two</h1>")
+    with open(f"{tmp_dir}/site/notes.txt", "w") as f:
+        f.write("skip me")
+    got = {os.path.basename(r.url): r.html for r in src.read_page_files(spark, f"{tmp_dir}/site").collect()}
+    assert got == {"p1.html": "<html>\n<h1>One</h1>\n</html>", "p2.html": "<h1>Two</h1>"}
+
+
+def test_write_routed_one_folder_per_kind(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "review"), (2, "info"), (3, "review")], "id INT, kind STRING")
+    path = sinks.write_routed(df, "kind", f"{tmp_dir}/r")
+    assert sorted(d for d in os.listdir(path) if not d.startswith("_")) == ["kind=info", "kind=review"]
+    assert sorted(map(tuple, spark.read.json(path).select("id", "kind").collect())) == \
+        [(1, "review"), (2, "info"), (3, "review")]
+
+
 def test_quarantine_at_page_grain(spark):
     rec = spark.createDataFrame([("p", 0, False), ("p", 0, True), ("p", 1, False)], "a STRING, pg INT, bad BOOLEAN")
     got = {r.pg: r.status for r in items.quarantine_pages(rec, ["a", "pg"], "bad").collect()}

@@ -9,7 +9,7 @@ from voyra.operators.numbering import seq_number
 
 
 def category_codes(values: DataFrame, col: str, out: str = "code",
-                   prefix_chars: int = 2) -> DataFrame:
+                   prefix_chars: int = 8) -> DataFrame:
     """Distinct values of ``col`` -> (col, code), code = position in sorted
     order, 0-based (a ``StringIndexer`` with alphabetical order gives the same).
 

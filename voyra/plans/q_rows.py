@@ -67,13 +67,15 @@ ROUTE_SQL = """CASE role WHEN 'user' THEN 'review' WHEN 'assistant' THEN 'info'
 
 @query("route_by_type", sql=f"SELECT conv_id, turn, {ROUTE_SQL} AS route FROM conversations")
 def route_by_type(spark, sf_dir):
+    """Every record to the sink of its kind, in one pass (a folder per kind),
+    read back with the kind from the folder name."""
+    from voyra.session import scratch_dir
+    from voyra.sinks.files import write_routed
     c = tables.conversations(spark, sf_dir, "conv_id", "turn", "role")
     tagged = c.select("conv_id", "turn", items.kind_of("role").alias("route"))
-    routed = items.route(tagged, "route", ["review", "info", "other"])
-    out = None
-    for kind, df in routed.items():
-        out = df if out is None else out.unionByName(df)
-    return out
+    path = write_routed(tagged, "route", scratch_dir(spark, "routed"))
+    back = spark.read.schema("conv_id BIGINT, turn BIGINT, route STRING").json(path)
+    return back.select("conv_id", "turn", "route")
 
 
 @query("filter_eq_first", sql=S.with_(S.LANG_CODES) + """

@@ -91,6 +91,14 @@ def read_labelled_csv(spark: SparkSession, path: str, schema: str = LABELLED_TEX
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
+def read_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
+    """Saved pages, one file each -> (url, html); the url is the file path."""
+    from pyspark.sql import functions as F
+    df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
+        .text(path, wholetext=True)
+    return df.select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+
+
 def read_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """One 40-character hex digest per line -> fp."""
     return spark.read.text(path).withColumnRenamed("value", "fp")
