@@ -133,10 +133,16 @@ def nb_predict(model: NaiveBayes, docs: DataFrame, label: str = "label", text: s
 def class_report(preds: DataFrame) -> DataFrame:
     """Per class: precision, recall, F1, support (from the confusion counts)."""
     conf = preds.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
-    tp = conf.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("class"), F.col("n").alias("tp"))
-    sup = conf.groupBy(F.col("label").alias("class")).agg(F.sum("n").alias("support"))
-    pred = conf.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("predicted"))
-    r = sup.join(pred, "class", "full").join(tp, "class", "left").fillna(0, ["tp", "support", "predicted"])
+    # each confusion cell counts once for its true class (support, tp) and
+    # once for its predicted class: one more aggregate, no joins
+    n, hit = F.col("n"), F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
+    zero = F.lit(0).cast("long")
+    cells = conf.select(F.explode(F.array(
+        F.struct(F.col("label").alias("class"), n.alias("support"), zero.alias("predicted"), hit.alias("tp")),
+        F.struct(F.col("prediction").alias("class"), zero.alias("support"), n.alias("predicted"),
+                 zero.alias("tp")))).alias("c"))
+    r = cells.groupBy(F.col("c.class").alias("class")).agg(
+        F.sum("c.support").alias("support"), F.sum("c.predicted").alias("predicted"), F.sum("c.tp").alias("tp"))
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rc = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     r = r.select("class", p.alias("precision"), rc.alias("recall"), F.col("support").cast("long").alias("support"))

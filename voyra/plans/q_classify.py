@@ -15,7 +15,7 @@ from voyra.operators import labels as L
 from voyra.plans import entities as E
 from voyra.plans import sql as S
 from voyra.plans.registry import query
-from voyra.session import scratch_dir
+from voyra.session import materialize, scratch_dir
 from voyra.sinks import files as sinks
 from voyra.sources import files as src
 from voyra.sources import tables
@@ -122,7 +122,7 @@ def label_map(spark, sf_dir):
     """Code -> name table over the attraction names, the ``text,label`` file
     written and read back, and the names looked up again from the codes."""
     d = tables.documents(spark, sf_dir, "doc_id", "text", "source")
-    codes = L.category_codes(d, "source")
+    codes = materialize(L.category_codes(d, "source"))   # one row per class, used twice
     f = L.attach_codes(d, codes, "source").drop("source") \
         .withColumn("label", F.col("code").cast("int")).drop("code").select("doc_id", "text", "label")
     path = sinks.write_csv(f, scratch_dir(spark, "label-map"))

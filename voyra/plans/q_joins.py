@@ -19,6 +19,7 @@ from voyra.plans import entities as E
 from voyra.plans import sql as S
 from voyra.plans.q_sources import _page_url_sql
 from voyra.plans.registry import query
+from voyra.session import materialize
 from voyra.sources import tables
 
 
@@ -28,7 +29,7 @@ FROM documents d JOIN codes c ON d.source = c.name""")
 def label_lookup(spark, sf_dir):
     """name -> code (mapNI) on every row, then code -> name (mapIN) back."""
     d = tables.documents(spark, sf_dir, "doc_id", "source")
-    codes = L.category_codes(d, "source")
+    codes = materialize(L.category_codes(d, "source"))   # one row per class, used twice
     coded = L.attach_codes(d, codes, "source").select("doc_id", F.col("code").alias("target"))
     back = L.attach_names(coded.withColumnRenamed("target", "code"), codes, "source")
     return back.select("doc_id", F.col("code").alias("target"), F.col("source").alias("output_name"))
@@ -152,7 +153,10 @@ def tasks_now(spark, sf_dir):
 @query("pending_semi", sql=S.with_(TASKS_SQL) + """
 SELECT attr_name, page, url FROM tasks WHERE NOT complete""")
 def pending_semi(spark, sf_dir):
-    """Only the pages whose task is still open (left semi join on the pending set)."""
-    t = tasks_now(spark, sf_dir)
-    pending = TK.scan_pending(t).select("attr_name", "page")
-    return t.join(pending, ["attr_name", "page"], "left_semi").select("attr_name", "page", "url")
+    """Only the pages whose task is still open: the generated page list, left
+    semi join the open tasks read from the persisted task table (the filter
+    on ``complete`` is pushed into that scan)."""
+    from voyra.plans.q_sinks import _completed_table
+    pages = TK.init_tasks(E.attempt_totals(spark, sf_dir), "n", E.review_page_url, size=E.ATTEMPTS_PER_PAGE)
+    pending = TK.scan_pending(_completed_table(spark, sf_dir)).select("attr_name", "page")
+    return pages.join(pending, ["attr_name", "page"], "left_semi").select("attr_name", "page", "url")

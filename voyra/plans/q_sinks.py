@@ -14,7 +14,7 @@ from voyra.operators import tasks as TK
 from voyra.operators.numbering import id_bucket, seq_number
 from voyra.plans import entities as E
 from voyra.plans import sql as S
-from voyra.plans.q_joins import TASKS_SQL, tasks_now
+from voyra.plans.q_joins import TASKS_SQL
 from voyra.plans.registry import query
 from voyra.session import scratch_dir
 from voyra.sinks import files as sinks

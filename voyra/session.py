@@ -88,6 +88,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/voyra-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df):
+    """Compute a small table once for several consumers: a reliable checkpoint
+    in the shared checkpoint folder (survives executor loss, cuts lineage)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_path(p: str) -> str:
     """Strip a ``file:`` scheme for the few local-only checks in tests."""
     return p[5:] if p.startswith("file:") else p
