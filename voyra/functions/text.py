@@ -68,12 +68,21 @@ def strip_markers(c) -> Column:
     return F.regexp_replace(_c(c), MARKER_PATTERN, "")
 
 
+def _emoji_guard() -> str:
+    """Character class of the first character of every alias key: a text
+    without any of them has nothing to replace."""
+    firsts = sorted({e[0] for e, _ in EMOJI_ALIASES})
+    return "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in firsts) + "]"
+
+
 def demojize(c) -> Column:
-    """Replace each emoji of the alias table by its ``:alias:`` text."""
-    out = _c(c)
+    """Replace each emoji of the alias table by its ``:alias:`` text. One
+    character-class scan decides whether the replace chain runs at all."""
+    col = _c(c)
+    out = col
     for emo, alias in EMOJI_ALIASES:
         out = F.replace(out, F.lit(emo), F.lit(alias))
-    return out
+    return F.when(col.rlike(_emoji_guard()), out).otherwise(col)
 
 
 def ascii_filter(c) -> Column:
