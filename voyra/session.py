@@ -40,6 +40,29 @@ SPEED_CONF = {
 ARROW_BATCH_ROWS = "512"
 
 
+# Settings for a large cluster (about 100 TB of input, 1000 executors). The
+# shuffle starts wide and AQE coalesces it to ~256 MB partitions, splits
+# skewed ones (a key with a third of the rows) and turns joins into
+# broadcasts only under the measured-size threshold.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_BATCH_ROWS,
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in RESULT_CONF.items():
         if spark.conf.get(k, None) != v:
@@ -65,6 +88,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return configure(spark)
 
 
+def cluster_session(app: str = "voyra", extra: dict | None = None) -> SparkSession:
+    """Session for a cluster run: master, executors and ``spark.checkpoint.dir``
+    come from the submit configuration; the settings above are added."""
+    b = SparkSession.builder.appName(app)
+    for k, v in {**CLUSTER_CONF, **RESULT_CONF, **(extra or {})}.items():
+        b = b.config(k, v)
+    return configure(b.getOrCreate())
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
