@@ -42,10 +42,6 @@ def html_title(c) -> Column:
     return F.when(_c(c).rlike(H1), F.trim(strip_tags(h)))
 
 
-def html_head_title(c) -> Column:
-    return F.when(_c(c).rlike(TITLE), F.trim(F.regexp_extract(_c(c), TITLE, 1)))
-
-
 def html_links(c) -> Column:
     """Every ``href`` of an ``<a>`` tag, in page order."""
     return F.regexp_extract_all(_c(c), F.lit(LINK_HREF), 1)

@@ -40,12 +40,6 @@ def tokens(text: str | Column, max_tokens: int = MAX_TOKENS) -> Column:
     return F.slice(toks, 1, max_tokens)
 
 
-def doc_tokens(docs: DataFrame, text: str = "text", max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(doc_id, token, n): term counts per document (combined map-side)."""
-    e = docs.select("doc_id", F.explode(tokens(text, max_tokens)).alias("token"))
-    return e.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
-
-
 class NaiveBayes:
     """Fitted model: per-class rows (few, count checked) and the token weight
     table ``(token, cls, w)`` read back from where it was written."""

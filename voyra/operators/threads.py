@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def post_struct():
     return F.struct(F.col("username"), F.col("posttime"), F.split(F.col("text"), "\n").alias("posttext"))
 
@@ -39,14 +38,6 @@ def body_concat(posts: DataFrame) -> DataFrame:
     return g.select("conv_id", "page", F.array_join(F.transform("_f", lambda e: e["text"]), "").alias("body"))
 
 
-def next_links(posts: DataFrame) -> DataFrame:
-    """Edge table of thread pages: (conv_id, page) -> (conv_id, page + 1) when
-    the next page exists (a "next" link on the page)."""
-    pages = posts.select("conv_id", "page").distinct()
-    nxt = pages.select("conv_id", (F.col("page") - 1).alias("page"), F.col("page").alias("next_page"))
-    return pages.join(nxt, ["conv_id", "page"], "left")
-
-
 def follow_chain(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Follow next-page links from every thread's first page until none is left:
     (conv_id, page, depth) for every page reached, depth of its first visit.

@@ -144,12 +144,6 @@ tasks AS (
   FROM last)"""
 
 
-def tasks_now(spark, sf_dir):
-    """Task table built from the attempt log: init, then complete from status."""
-    tasks = TK.init_tasks(E.attempt_totals(spark, sf_dir), "n", E.review_page_url, size=E.ATTEMPTS_PER_PAGE)
-    return TK.task_complete(tasks, TK.page_status(E.attempts(spark, sf_dir)))
-
-
 @query("pending_semi", sql=S.with_(TASKS_SQL) + """
 SELECT attr_name, page, url FROM tasks WHERE NOT complete""")
 def pending_semi(spark, sf_dir):
