@@ -59,19 +59,24 @@ def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text"
     spark = train.sparkSession
     toks = train.select(F.col(label).alias("cls"), F.explode(tokens(text, max_tokens)).alias("token"))
     counts = toks.groupBy("token", "cls").agg(F.count(F.lit(1)).alias("cnt"))
-    counts.write.mode("overwrite").parquet(path)
-    counts = spark.read.parquet(path)
+    # the model table: observed (token, class) counts plus one vocabulary row
+    # per token (cls NULL), written once and read back
+    vocab = counts.select("token").distinct().select(
+        "token", F.lit(None).cast("string").alias("cls"), F.lit(None).cast("long").alias("cnt"))
+    counts.unionByName(vocab).write.mode("overwrite").parquet(path)
+    model = spark.read.parquet(path)
+    n_vocab = model.where(F.col("cls").isNull()).count()
     n_docs = train.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_docs"))
-    per_class = n_docs.join(counts.groupBy("cls").agg(F.sum("cnt").alias("n_tok")), "cls", "left")
-    stats = per_class.agg(F.count(F.lit(1)).alias("k"), F.sum("n_docs").alias("docs")).first()
-    if stats["k"] > MAX_CLASSES:
-        raise ValueError(f"{stats['k']} classes: more than {MAX_CLASSES}")
-    n_vocab = counts.select("token").distinct().count()
-    rows = per_class.select(
-        "cls", F.log(F.col("n_docs") / F.lit(stats["docs"])).alias("prior"),
-        F.log(F.coalesce(F.col("n_tok"), F.lit(0)) + F.lit(n_vocab)).alias("denom")).collect()
-    classes = sorted((r[0], r[1], r[2]) for r in rows)
-    weights = counts.select("token", "cls", F.log(F.col("cnt") + F.lit(1)).alias("w"))
+    n_tok = model.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.sum("cnt").alias("n_tok"))
+    rows = n_docs.join(n_tok, "cls", "left").limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    import math
+    docs = sum(r["n_docs"] for r in rows)
+    classes = sorted((r["cls"], math.log(r["n_docs"] / docs), math.log((r["n_tok"] or 0) + n_vocab))
+                     for r in rows)
+    weights = model.select("token", "cls", F.when(F.col("cls").isNull(), F.lit(0.0))
+                           .otherwise(F.log(F.col("cnt") + F.lit(1))).alias("w"))
     return NaiveBayes(classes, weights)
 
 
@@ -80,10 +85,7 @@ def _score_entries(model: NaiveBayes, docs: DataFrame, keep: list[str], text: st
     """Per document: keep columns and ``_e`` = array of (cls, s, n), at most
     K + 2 entries (cls NULL holds the in-vocabulary token count)."""
     e = docs.select(*keep, F.explode(tokens(text, max_tokens)).alias("token"))
-    vocab_rows = model.weights.select("token").distinct().select(
-        "token", F.lit(None).cast("string").alias("cls"), F.lit(0.0).alias("w"))
-    w_ext = model.weights.unionByName(vocab_rows)
-    per = e.join(w_ext, "token").groupBy(*keep, "cls").agg(
+    per = e.join(model.weights, "token").groupBy(*keep, "cls").agg(
         F.sum("w").alias("s"), F.count(F.lit(1)).alias("n"))
     marker = docs.select(*keep, F.lit(None).cast("string").alias("cls"), F.lit(0.0).alias("s"),
                          F.lit(0).cast("long").alias("n"))
