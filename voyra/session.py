@@ -63,6 +63,31 @@ CLUSTER_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``voyra`` importable in the Python workers (the extractors run
+    there): zip the package once per application and add it with
+    ``addPyFile``, as ``--py-files`` would; Spark serves it to every executor."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _shipped:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="voyra-pyfiles-"), "voyra.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _shipped.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in RESULT_CONF.items():
         if spark.conf.get(k, None) != v:
@@ -70,6 +95,7 @@ def configure(spark: SparkSession) -> SparkSession:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key, "10000") == "10000":
         spark.conf.set(key, ARROW_BATCH_ROWS)
+    ship_package(spark)
     return spark
 
 
