@@ -96,7 +96,7 @@ def read_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> Dat
     from pyspark.sql import functions as F
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
         .text(path, wholetext=True)
-    return df.select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+    return df.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
 def read_fingerprints(spark: SparkSession, path: str) -> DataFrame:
