@@ -2,8 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
-
 from voyra.operators import classify as C
 from voyra.operators import labels as L
 

@@ -1,7 +1,5 @@
 """Extractors on hand-written markup (invented text)."""
 
-from pyspark.sql import functions as F
-
 from voyra.operators import extract as XT
 from voyra.plans.q_extract import typed_attraction, typed_reviews
 

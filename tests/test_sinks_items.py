@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from voyra.operators import items
 from voyra.sinks import files as sinks

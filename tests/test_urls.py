@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from voyra.functions import urls as U
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from voyra.functions.html import html_escape as esc
 from voyra.plans import entities as E
-from voyra.sources import tables
 
 
 def _items(arr, tag: str = "li") -> Column:
