@@ -35,6 +35,28 @@ def test_clean_text_matches_brute_force_and_is_idempotent(spark, texts):
         assert brute_clean(got[i]) == got[i]
 
 
+_SEG = st.text(alphabet="abcXYZ019-_", min_size=1, max_size=5)
+_PATH = (st.lists(_SEG, max_size=3).map(lambda p: "/" + "/".join(p)) | st.just("")
+         | st.lists(_SEG, min_size=1, max_size=3).map(lambda p: "/" + "/".join(p) + "/"))
+_BASE = st.builds(lambda s, h, p, q, f: f"{s}://{h}.org{p}{q}{f}", st.sampled_from(["http", "https"]), _SEG, _PATH,
+                  st.sampled_from(["", "?a=1", "?b=2&c=3"]), st.sampled_from(["", "#top"]))
+_ROOTED = st.lists(_SEG, min_size=1, max_size=3).map(lambda p: "/" + "/".join(p))
+_HREF = st.one_of(_ROOTED, st.builds(lambda s, p: s + p, _SEG, _PATH),
+                  st.sampled_from(["", "?p=2", "#r5", "//cdn.org/x", "https://other.org/y", "mailto:a@b.org"]),
+                  st.builds(lambda p, q: p + q, _ROOTED, st.sampled_from(["?x=1", "#f"])))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_BASE, _HREF), min_size=20, max_size=60))
+def test_url_join_matches_urllib_without_dot_segments(spark, pairs):
+    from urllib.parse import urljoin
+
+    from voyra.functions import urls as U
+    df = spark.createDataFrame(pairs, "b STRING, h STRING")
+    got = [r[0] for r in df.select(U.url_join("b", "h")).collect()]
+    assert got == [urljoin(b, h) for b, h in pairs]
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot", None]), st.integers(0, 10_000)),
                 min_size=1, max_size=200, unique_by=lambda x: (x[0], x[1])),

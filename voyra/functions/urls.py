@@ -44,7 +44,7 @@ def url_join(base, href) -> Column:
             .when(href.startswith("/"), F.concat(scheme_host, href))
             .when(href.startswith("?"), F.concat(no_query, href))
             .when(href.startswith("#"), F.concat(no_frag, href))
-            .when(href == "", no_frag)
+            .when(href == "", base)   # an empty link is the page itself, fragment kept
             .otherwise(F.concat(dir_, href)))
 
 

@@ -163,7 +163,7 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos,
             WHEN starts_with(href, '/') THEN {SCHEME_HOST_SQL} || href
             WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
             WHEN starts_with(href, '#') THEN regexp_replace(url, '#.*$', '') || href
-            WHEN href = '' THEN regexp_replace(url, '#.*$', '')
+            WHEN href = '' THEN url
             ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href
        END AS joined
 FROM links""")
