@@ -29,3 +29,10 @@ def test_stored_corpus_figures(spark):
     got = dict(map(tuple, flat.groupBy(companion.alias("c")).count().collect()))
     assert got == {"NONE": 363, "Couples": 134, "Friends": 119, "Family": 108, "Solo": 58, "Business": 18}
     assert flat.where(X.visit_month(v["time"]).isNull()).count() == 39
+
+
+@pytest.mark.skipif(not os.path.isdir(CORPUS), reason="stored corpus not available")
+def test_stored_fingerprints(spark):
+    fps = src.read_fingerprints(spark, CORPUS, glob="requests.seen")
+    assert fps.count() == 40                                  # 33 + 7 crawl folders with 1
+    assert fps.where(~F.col("fp").rlike("^[0-9a-f]{40}$")).count() == 0

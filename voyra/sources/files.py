@@ -99,6 +99,10 @@ def read_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> Dat
     return df.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
-def read_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """One 40-character hex digest per line -> fp."""
-    return spark.read.text(path).withColumnRenamed("value", "fp")
+def read_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """One 40-character hex digest per line -> fp. With ``glob``, every file
+    of that name below ``path`` (one seen-file per crawl folder)."""
+    r = spark.read
+    if glob:
+        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    return r.text(path).withColumnRenamed("value", "fp")
