@@ -28,6 +28,8 @@ def query(key: str, sql: str | None = None, headline: bool = False):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__module__ = fn.__module__
+        run.__wrapped__ = fn
         QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = sql
