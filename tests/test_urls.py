@@ -17,7 +17,7 @@ def test_url_join_forms(spark):
 
 
 def test_url_page_no_needs_three_integers(spark):
-    df = spark.createDataFrame([("https://x.org/Attraction_Review-g186338-d187547-Reviews-or30-London.html",),
+    df = spark.createDataFrame([("https://x.org/Attraction_Review-g100-d2042-Reviews-or30-Old_Mill.html",),
                                 ("https://x.org/a-1-b-2",), ("https://x.org/none",)], "u STRING")
     assert [r[0] for r in df.select(U.url_page_no("u")).collect()] == [3, None, None]
 

@@ -31,6 +31,8 @@ POSTS_PER_PAGE = 3
 ATTEMPTS_PER_PAGE = 10
 TITLE_CHARS = 40
 SITE = "https://www.example-travel.org"
+# review-page path: region id, attraction id, then "Reviews[-or<offset>]" and the name
+REVIEW_PATH = "/Attraction_Review-g100-d"
 
 
 def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True, extra: tuple = ()) -> DataFrame:
@@ -139,7 +141,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_page_url(attr_name, attr_page) -> "F.Column":
     """Site URL of one review page (the offset is the first review on it)."""
     return F.concat(
-        F.lit(SITE + "/Attraction_Review-g186338-d"),
+        F.lit(SITE + REVIEW_PATH),
         F.regexp_extract(attr_name, r"(\d+)$", 1),
         F.lit("-Reviews-or"),
         (attr_page * REVIEWS_PER_PAGE).cast("string"),

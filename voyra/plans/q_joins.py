@@ -63,7 +63,7 @@ def parent_context(spark, sf_dir):
 
 
 def _attraction_url(attr):
-    return F.concat(F.lit(E.SITE + "/Attraction_Review-g186338-d"), F.regexp_extract(attr, r"(\d+)$", 1),
+    return F.concat(F.lit(E.SITE + E.REVIEW_PATH), F.regexp_extract(attr, r"(\d+)$", 1),
                     F.lit("-Reviews-"), attr, F.lit(".html"))
 
 
@@ -138,7 +138,7 @@ last AS (SELECT attr_name, page, arg_max(failed, (ts, event_id)) AS last_failed
          FROM attempts GROUP BY attr_name, page),
 tasks AS (
   SELECT attr_name, page,
-         '""" + E.SITE + """/Attraction_Review-g186338-d' || regexp_extract(attr_name, '(\\d+)$', 1)
+         '""" + E.SITE + E.REVIEW_PATH + """' || regexp_extract(attr_name, '(\\d+)$', 1)
            || '-Reviews-or' || CAST(page * 10 AS VARCHAR) || '-' || attr_name || '.html' AS url,
          NOT last_failed AS complete
   FROM last)"""

@@ -186,12 +186,12 @@ PAGE_LIST_SQL = f"""page_list AS (
 
 @query("url_template", sql=S.with_(PAGE_LIST_SQL) + f"""
 SELECT attr_name, page,
-       replace('{E.SITE}/Attraction_Review-g186338-d' || regexp_extract(attr_name, '(\\d+)$', 1)
+       replace('{E.SITE}{E.REVIEW_PATH}' || regexp_extract(attr_name, '(\\d+)$', 1)
                || '-Reviews-' || attr_name || '.html', 'Reviews', 'Reviews-or' || CAST(page * 10 AS VARCHAR)) AS url
 FROM page_list""")
 def url_template(spark, sf_dir):
     pl = _review_page_list(spark, sf_dir).select("attr_name", "page")
-    template = F.concat(F.lit(E.SITE + "/Attraction_Review-g186338-d"),
+    template = F.concat(F.lit(E.SITE + E.REVIEW_PATH),
                         F.regexp_extract("attr_name", r"(\d+)$", 1), F.lit("-Reviews-"),
                         F.col("attr_name"), F.lit(".html"))
     return pl.select("attr_name", "page", U.url_template(template, F.col("page") * 10).alias("url"))

@@ -103,7 +103,7 @@ def scan_csv(spark, sf_dir):
 
 
 def _page_url_sql(attr, page):
-    return (f"'{E.SITE}/Attraction_Review-g186338-d' || regexp_extract({attr}, '(\\d+)$', 1)"
+    return (f"'{E.SITE}{E.REVIEW_PATH}' || regexp_extract({attr}, '(\\d+)$', 1)"
             f" || '-Reviews-or' || CAST({page} * 10 AS VARCHAR) || '-' || {attr} || '.html'")
 
 
