@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"   # tokens are runs of letters and digits
 MAX_TOKENS = 512                  # the reference's maxlen
 MAX_CLASSES = 10_000              # refuse to inline more class rows than this
+MODEL_BROADCAST_ROWS = 4_000_000  # broadcast the weight table up to this many rows (~256 MB)
 # --- end of fixed values -------------------------------------------------
 
 
@@ -44,8 +45,14 @@ class NaiveBayes:
     """Fitted model: per-class rows (few, count checked) and the token weight
     table ``(token, cls, w)`` read back from where it was written."""
 
-    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame):
-        self.classes, self.weights = classes, weights
+    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame, rows: int):
+        self.classes, self.weights, self.rows = classes, weights, rows
+
+    def join_side(self) -> DataFrame:
+        """The weight table for the token join: broadcast when its counted
+        size is under ``MODEL_BROADCAST_ROWS`` (no shuffle of the token rows),
+        else a plain join (sort-merge, AQE splits hot tokens)."""
+        return F.broadcast(self.weights) if self.rows <= MODEL_BROADCAST_ROWS else self.weights
 
     def class_array(self) -> Column:
         return F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(p).alias("prior"), F.lit(d).alias("denom"))
@@ -65,7 +72,8 @@ def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text"
         "token", F.lit(None).cast("string").alias("cls"), F.lit(None).cast("long").alias("cnt"))
     counts.unionByName(vocab).write.mode("overwrite").parquet(path)
     model = spark.read.parquet(path)
-    n_vocab = model.where(F.col("cls").isNull()).count()
+    sizes = model.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("cls").isNull()).alias("vocab")).first()
+    n_vocab = sizes["vocab"]
     n_docs = train.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_docs"))
     n_tok = model.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.sum("cnt").alias("n_tok"))
     rows = n_docs.join(n_tok, "cls", "left").limit(MAX_CLASSES + 1).collect()
@@ -77,7 +85,7 @@ def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text"
                      for r in rows)
     weights = model.select("token", "cls", F.when(F.col("cls").isNull(), F.lit(0.0))
                            .otherwise(F.log(F.col("cnt") + F.lit(1))).alias("w"))
-    return NaiveBayes(classes, weights)
+    return NaiveBayes(classes, weights, sizes["rows"])
 
 
 def _score_entries(model: NaiveBayes, docs: DataFrame, keep: list[str], text: str,
@@ -85,7 +93,7 @@ def _score_entries(model: NaiveBayes, docs: DataFrame, keep: list[str], text: st
     """Per document: keep columns and ``_e`` = array of (cls, s, n), at most
     K + 2 entries (cls NULL holds the in-vocabulary token count)."""
     e = docs.select(*keep, F.explode(tokens(text, max_tokens)).alias("token"))
-    per = e.join(model.weights, "token").groupBy(*keep, "cls").agg(
+    per = e.join(model.join_side(), "token").groupBy(*keep, "cls").agg(
         F.sum("w").alias("s"), F.count(F.lit(1)).alias("n"))
     marker = docs.select(*keep, F.lit(None).cast("string").alias("cls"), F.lit(0.0).alias("s"),
                          F.lit(0).cast("long").alias("n"))
