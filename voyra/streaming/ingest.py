@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from voyra.sources.tables import SCHEMAS
 
 
+MAX_FILES_PER_BATCH = 10_000
+
+
 def file_stream(spark: SparkSession, directory: str, table: str | None = None,
-                schema: str | None = None, max_files: int | None = None) -> DataFrame:
+                schema: str | None = None, max_files: int | None = MAX_FILES_PER_BATCH) -> DataFrame:
     """Parquet files arriving in ``directory`` (only ``{table}.parquet`` when
-    a table is named, so a folder holding several tables can be read)."""
+    a table is named, so a folder holding several tables can be read). A
+    backlog is taken in micro-batches of at most ``max_files`` files, so
+    availableNow drains it in bounded steps rather than one giant batch."""
     r = spark.readStream.schema(schema or SCHEMAS[table])
     if table:
         r = r.option("pathGlobFilter", f"{table}.parquet")
