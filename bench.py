@@ -58,21 +58,27 @@ def main() -> None:
     if os.path.isdir(warm):
         for k in keys:
             QUERIES[k](spark, warm).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, failed = {}, {}
     for k in keys:
         t0 = time.perf_counter()
-        QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[k] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[k] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001  (report, keep timing the rest)
+            failed[k] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
-    }))
+    }
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
