@@ -50,10 +50,24 @@ preds AS (SELECT a.doc_id, a.label, a.part, a.prediction, l.lse - a.s_true AS lo
 """
 
 
+# Fitted models per (application, tables folder): the fits are deterministic,
+# so the queries that evaluate the same model share one fit. What is kept on
+# the driver is the model itself (class rows / coefficients), not data.
+_MODELS: dict = {}
+
+
+def _memo(spark, sf_dir, kind, fit):
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    if key not in _MODELS:
+        _MODELS[key] = fit()
+    return _MODELS[key]
+
+
 def nb_predictions(spark, sf_dir):
     """(doc_id, label, part, prediction, p_true, loss) for every document."""
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))
-    model = C.nb_fit(d.where(F.col("part") == "train"), scratch_dir(spark, "nb-model"))
+    model = _memo(spark, sf_dir, "nb", lambda: C.nb_fit(d.where(F.col("part") == "train"),
+                                                        scratch_dir(spark, "nb-model")))
     return C.nb_predict(model, d, keep=["part"])
 
 
@@ -136,8 +150,8 @@ def label_map(spark, sf_dir):
 
 def _fit_lr(spark, sf_dir, max_iter: int = 20):
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))
-    pipe = C.lr_pipeline(max_iter=max_iter)
-    model = pipe.fit(d.where(F.col("part") == "train"))
+    model = _memo(spark, sf_dir, f"lr{max_iter}",
+                  lambda: C.lr_pipeline(max_iter=max_iter).fit(d.where(F.col("part") == "train")))
     return model, d
 
 
@@ -171,7 +185,7 @@ def model_compare(spark, sf_dir):
 def model_save(spark, sf_dir):
     """Persist the fitted pipeline, load it back and predict with the copy."""
     from pyspark.ml import PipelineModel
-    model, d = _fit_lr(spark, sf_dir, max_iter=10)
+    model, d = _fit_lr(spark, sf_dir)
     path = scratch_dir(spark, "model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
