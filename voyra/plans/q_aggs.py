@@ -69,22 +69,25 @@ def item_counts(spark, sf_dir):
 
 
 @query("fetch_counts", sql="""
-SELECT CAST(ts AS DATE) AS run, count(*) FILTER (WHERE event_type <> 'error') AS n_success,
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run, count(*) FILTER (WHERE event_type <> 'error') AS n_success,
        count(*) FILTER (WHERE event_type = 'error') AS n_failed
 FROM events GROUP BY 1""")
 def fetch_counts(spark, sf_dir):
     e = tables.events(spark, sf_dir, "ts", "event_type")
-    return TK.fetch_counts(e.select("ts", (F.col("event_type") == "error").alias("failed")))
+    out = TK.fetch_counts(e.select("ts", (F.col("event_type") == "error").alias("failed")))
+    return out.select(F.col("run").cast("string").alias("run"), "n_success", "n_failed")
 
 
 @query("run_elapsed", sql="""
-SELECT CAST(ts AS DATE) AS run, min(ts) AS start_ts, max(ts) AS end_ts,
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run, CAST(min(ts) AS VARCHAR) AS start_ts,
+       CAST(max(ts) AS VARCHAR) AS end_ts,
        round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS elapsed_s
 FROM events GROUP BY 1""")
 def run_elapsed(spark, sf_dir):
     e = tables.events(spark, sf_dir, "ts")
     out = TK.run_elapsed(e)
-    return out.select("run", "start_ts", "end_ts", F.round("elapsed_s", 6).alias("elapsed_s"))
+    return out.select(F.col("run").cast("string").alias("run"), F.col("start_ts").cast("string").alias("start_ts"),
+                      F.col("end_ts").cast("string").alias("end_ts"), F.round("elapsed_s", 6).alias("elapsed_s"))
 
 
 @query("page_assemble", sql=S.with_(S.REVIEWS) + """

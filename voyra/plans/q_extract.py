@@ -81,14 +81,15 @@ parts AS (SELECT *, string_split(replace(visit, ' • ', '  '), '  ') AS p FROM
 SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, CAST(review_id AS INTEGER) AS review_id,
        coalesce(title, 'NONE') AS title, p[1] AS time,
        CASE WHEN len(p) >= 2 THEN array_to_string(p[2:], '  ') END AS type,
-       CAST(try_strptime(p[1], '%b %Y') AS DATE) AS visit_month,
+       CAST(CAST(try_strptime(p[1], '%b %Y') AS DATE) AS VARCHAR) AS visit_month,
        md5(replace(review, chr(10), '')) AS review_md5
 FROM parts""")
 def html_reviews(spark, sf_dir):
     pages = render.review_pages(spark, sf_dir)
     raw = XT.extract_reviews(pages, "html", ["attr_name", "attr_page"])
     t = typed_reviews(raw.withColumn("attr_page", F.col("attr_page").cast("int")))
-    return t.select("attr_name", "attr_page", "review_id", "title", "time", "type", "visit_month",
+    return t.select("attr_name", "attr_page", "review_id", "title", "time", "type",
+                    F.col("visit_month").cast("string").alias("visit_month"),
                     F.md5("review").alias("review_md5"))
 
 

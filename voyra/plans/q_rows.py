@@ -52,13 +52,14 @@ def build_review(spark, sf_dir):
 
 @query("item_project", sql=S.with_(S.REVIEWS) + """
 SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, CAST(review_id AS INTEGER) AS review_id,
-       title, CAST(NULL AS DATE) AS visit_month, CAST(NULL AS VARCHAR) AS companion, md5(review) AS review_md5
+       title, CAST(NULL AS VARCHAR) AS visit_month, CAST(NULL AS VARCHAR) AS companion, md5(review) AS review_md5
 FROM reviews""")
 def item_project(spark, sf_dir):
     r = E.reviews(spark, sf_dir)  # carries doc_id and lang, which the item does not declare
     r = r.withColumn("visit_month", F.lit(None)).withColumn("companion", F.lit(None))
     flat = items.item_project(r, items.FLAT_REVIEW, extra="drop")
-    return flat.select("attr_name", "attr_page", "review_id", "title", "visit_month", "companion",
+    return flat.select("attr_name", "attr_page", "review_id", "title",
+                       F.col("visit_month").cast("string").alias("visit_month"), "companion",
                        F.md5("review").alias("review_md5"))
 
 

@@ -128,10 +128,11 @@ def split_visit(spark, sf_dir):
 
 
 @query("visit_month", sql=SPLIT_VISIT_SQL +
-       "SELECT event_id, CAST(try_strptime(time, '%b %Y') AS DATE) AS visit_month FROM split")
+       "SELECT event_id, CAST(CAST(try_strptime(time, '%b %Y') AS DATE) AS VARCHAR) AS visit_month FROM split")
 def visit_month(spark, sf_dir):
+    """Typed month of the visit (shown as its ISO date text in the result)."""
     v = E.visit_strings(spark, sf_dir)
-    return v.select("event_id", X.visit_month(X.split_visit("visit")["time"]).alias("visit_month"))
+    return v.select("event_id", X.visit_month(X.split_visit("visit")["time"]).cast("string").alias("visit_month"))
 
 
 LINKS_SQL = """links AS (

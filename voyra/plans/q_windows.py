@@ -35,13 +35,14 @@ def batch_index(spark, sf_dir):
 
 
 @query("latest_per_key", sql="""
-SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts,
+SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, CAST(max(ts) AS VARCHAR) AS ts,
        arg_max(event_type, (ts, event_id)) AS event_type
 FROM events GROUP BY user_id""")
 def latest_per_key(spark, sf_dir):
     """Last write per key wins (order: ts, then event_id)."""
     e = tables.events(spark, sf_dir, "user_id", "event_id", "ts", "event_type")
-    return R.latest_per_key(e, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "ts", "event_type")
+    last = R.latest_per_key(e, ["user_id"], ["ts", "event_id"])
+    return last.select("user_id", "event_id", F.col("ts").cast("string").alias("ts"), "event_type")
 
 
 @query("category_codes", sql=S.with_(S.CODES) + "SELECT name, code FROM codes")
