@@ -67,3 +67,5 @@ def test_seq_number_is_row_number(spark, rows, width):
     want = df.withColumn("s", F.row_number().over(Window.partitionBy("k").orderBy("id")) - 1)
     key = lambda r: (str(r.k), r.id, r.s)
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    by_range = seq_number(df, ["k"], ["id"], out="s")          # range form: any id spacing
+    assert sorted(map(key, by_range.collect())) == sorted(map(key, want.collect()))

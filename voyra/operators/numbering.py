@@ -23,15 +23,28 @@ def _join_cond(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def seq_number(df: DataFrame, keys: list[str], order: list[str | Column],
-               bucket: Column, out: str = "seq") -> DataFrame:
+def seq_number(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None = None,
+               out: str = "seq") -> DataFrame:
     """Add ``out`` = row_number()-1 over (partition by keys order by order).
 
-    ``bucket`` must be a column that never decreases along ``order`` within a
-    key (for a numeric id: ``floor(id / width)``). ``order`` must be a total
-    order within a key (add a unique id as the last column), or the numbering
-    of ties is arbitrary, as with the plain window.
+    ``order`` must be a total order within a key (end it with a unique id),
+    or the numbering of ties is arbitrary, as with the plain window.
+
+    Without ``bucket`` (the default) the rows are range-partitioned on
+    (keys, order): Spark samples the data to pick the range bounds, so a key
+    with a third of the rows is cut over many partitions whatever its ids
+    look like. Each partition is sorted, every row gets its position from
+    ``monotonically_increasing_id`` (partition index and row offset), and a
+    small (partition, key) count table gives each piece its offset.
+
+    With ``bucket`` (a column that never decreases along ``order`` within a
+    key, e.g. ``floor(id / width)``) the rows are numbered inside (key,
+    bucket) with a window instead: no sampling pass and no materialised
+    copy, the better choice when ids are dense (the driver tables' ids and
+    event minutes are); the range form is for sparse order keys.
     """
+    if bucket is None:
+        return _seq_by_range(df, keys, order, out)
     b = df.withColumn("_vb", bucket)
     part = [*keys, "_vb"]
     counts = b.groupBy(*part).agg(F.count(F.lit(1)).alias("_vn"))
@@ -43,6 +56,31 @@ def seq_number(df: DataFrame, keys: list[str], order: list[str | Column],
     return j.select(*cols, (offsets["_voff"] + local["_vr"] - F.lit(1)).cast("long").alias(out))
 
 
+def _seq_by_range(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [*keys, *order]
+    r = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    mid = F.monotonically_increasing_id()
+    r = r.withColumn("_vp", F.shiftright(mid, 33)).withColumn("_vi", mid.bitwiseAND(F.lit((1 << 33) - 1)))
+    # Range bounds come from sampling, and a recomputation may sample anew:
+    # write the stamped rows once so the count table and the rows agree.
+    from voyra.session import materialize
+    r = materialize(r)
+    # per (partition, key): where the key starts in the partition and how many rows it has
+    pieces = r.groupBy("_vp", *keys).agg(F.min("_vi").alias("_vfirst"), F.count(F.lit(1)).alias("_vn"))
+    w = Window.partitionBy(*keys).orderBy("_vp").rowsBetween(Window.unboundedPreceding, -1)
+    ren = {k: f"_vk{i}" for i, k in enumerate(keys)}
+    offs = pieces.select(F.col("_vp").alias("_op"), *[F.col(k).alias(ren[k]) for k in keys], "_vfirst",
+                         F.coalesce(F.sum("_vn").over(w), F.lit(0)).alias("_voff"))
+    cond = F.col("_vp") == F.col("_op")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(ren[k]))
+    # one row per (partition, key) piece: small, so AQE broadcasts it
+    j = r.join(offs, cond, "inner")
+    seq = F.col("_voff") + F.col("_vi") - F.col("_vfirst")
+    return j.select(*df.columns, seq.cast("long").alias(out))
+
+
 def id_bucket(col: str | Column, width: int = 1 << 16) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.floor(c / F.lit(width)).cast("long")
