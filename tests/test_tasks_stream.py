@@ -19,6 +19,11 @@ def test_task_init_only_once_and_complete(spark, tmp_dir):
     assert t.count() == 4 and t.where("complete").count() == 0
     other = spark.createDataFrame([("z", 100)], "attr_name STRING, n LONG")
     assert TK.task_init(spark, other, "n", url, path).count() == 4     # exists: untouched
+    # a folder without the commit marker (a run that died while writing) is initialised again
+    import os
+    half = f"{tmp_dir}/half"
+    os.makedirs(f"{half}/_bucket=3")
+    assert TK.task_init(spark, seeds, "n", url, half).count() == 4
     ts = dt.datetime(2024, 1, 1)
     attempts = spark.createDataFrame(
         [("a", 0, ts, 1, 0, True), ("a", 0, ts + dt.timedelta(1), 2, 3, False),   # retried, then done

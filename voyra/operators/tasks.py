@@ -29,11 +29,14 @@ def init_tasks(seeds: DataFrame, total: str, url_of, size: int = 10, mode: str =
 
 def task_init(spark: SparkSession, seeds: DataFrame, total: str, url_of, path: str,
               size: int = 10) -> DataFrame:
-    """Create and fill the task table only if it does not exist yet."""
+    """Create and fill the task table only if it does not exist yet.
+
+    "Exists" means a committed table (its ``_SUCCESS`` marker): a folder
+    left by a run that died while writing it is initialised again."""
     from voyra.sinks.files import write_parquet
-    if not _exists(spark, path):
+    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         t = init_tasks(seeds, total, url_of, size).withColumn("_bucket", task_bucket())
-        write_parquet(t, path, mode="overwrite", partition_by=["_bucket"])
+        write_parquet(t, path, mode="overwrite", partition_by=["_bucket"], dynamic=False)
     return read_tasks(spark, path)
 
 
@@ -72,10 +75,11 @@ def task_complete(tasks: DataFrame, status: DataFrame) -> DataFrame:
 
 def write_task_update(spark: SparkSession, tasks: DataFrame, path: str) -> DataFrame:
     """Persist a task table (replacing only the buckets present) and read it back."""
+    from voyra.session import materialize
     from voyra.sinks.files import write_parquet
     staged = tasks.withColumn("_bucket", task_bucket())
     # Materialise before overwriting the folder the plan reads from.
-    staged = staged.checkpoint(eager=True)
+    staged = materialize(staged)
     write_parquet(staged, path, mode="overwrite", partition_by=["_bucket"], dynamic=True)
     return read_tasks(spark, path)
 
