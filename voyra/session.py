@@ -8,6 +8,7 @@ to write intermediate tables that every executor can see.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -74,7 +75,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _shipped:
+    if app in _shipped or os.environ.get("VOYRA_SHIP_PACKAGE", "1") == "0":
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="voyra-pyfiles-"), "voyra.zip")
