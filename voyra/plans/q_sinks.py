@@ -26,11 +26,12 @@ from voyra.sources import tables
 SELECT attr_name, name, CAST(CAST(tenths / 10.0 AS DECIMAL(2,1)) AS VARCHAR) AS score,
        CAST(score_cnt AS VARCHAR) AS score_cnt FROM info""")
 def sink_item_json(spark, sf_dir):
-    """One JSON document per attraction, in a folder per attraction."""
+    """One JSON document per attraction, in hash-bucket folders of the name
+    (a folder per attraction does not scale; each document keeps its name)."""
     from voyra.operators.items import build_attraction
     a = E.attraction_info(spark, sf_dir)
     items = a.select("attr_name", build_attraction().alias("attr_info"))
-    path = sinks.write_json(items, scratch_dir(spark, "attr-info"), partition_by=["attr_name"])
+    path = sinks.write_json_by_key(items, scratch_dir(spark, "attr-info"), "attr_name")
     back = src.read_attractions(spark, path)
     return back.select("attr_name", "attr_info.name", "attr_info.score", "attr_info.score_cnt")
 
@@ -39,12 +40,14 @@ def sink_item_json(spark, sf_dir):
 SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, count(*) AS n_reviews FROM reviews
 GROUP BY attr_name, attr_page""")
 def sink_page_json(spark, sf_dir):
-    """One document per (attraction, page), one file each, in a folder per attraction."""
+    """One document per (attraction, page) in hash-bucket folders of the
+    attraction; ``max_records=1`` in ``write_json_by_key`` would give the
+    crawler's one-file-per-page layout (many small files at scale)."""
     r = E.reviews(spark, sf_dir, with_lang=False).select(
         "attr_name", "attr_page", "review_id", "title", F.lit("NONE").alias("time"),
         F.lit("NONE").alias("type"), "review")
     pages = R.page_assemble(r)
-    path = sinks.write_json(pages, scratch_dir(spark, "review-pages"), partition_by=["attr_name"], max_records=1)
+    path = sinks.write_json_by_key(pages, scratch_dir(spark, "review-pages"), "attr_name")
     back = src.read_review_pages(spark, path)
     return back.select("attr_name", "attr_page", F.size("attr_reviews").cast("long").alias("n_reviews"))
 

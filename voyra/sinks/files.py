@@ -60,6 +60,25 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+KEY_BUCKETS = 256
+
+
+def key_bucket(col: str, buckets: int = KEY_BUCKETS):
+    """Folder bucket of a high-cardinality key (one folder per attraction
+    does not scale to millions of attractions; a fixed number of hash
+    buckets does, and each document keeps its key)."""
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def write_json_by_key(df: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS,
+                      max_records: int | None = None) -> str:
+    """Documents grouped in ``buckets`` folders by a hash of ``key``; only the
+    buckets present are replaced. ``max_records=1`` gives one file per
+    document (the crawler's exact layout; many small files at scale)."""
+    return write_json(df.withColumn("key_bucket", key_bucket(key, buckets)), path,
+                      partition_by=["key_bucket"], max_records=max_records)
+
+
 def write_routed(df: DataFrame, kind_col: str, path: str) -> str:
     """Every record to the folder of its kind in one pass over the data
     (instead of one filtered write per kind)."""
