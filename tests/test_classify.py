@@ -2,6 +2,8 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 from voyra.operators import classify as C
 from voyra.operators import labels as L
 
@@ -58,3 +60,15 @@ def test_category_codes_alphabetical(spark):
     df = spark.createDataFrame([("zoo",), ("art",), ("Park",), ("art",), (None,)], "n STRING")
     got = {r.n: r.code for r in L.category_codes(df, "n").collect()}
     assert got == {"Park": 0, "art": 1, "zoo": 2}
+
+
+def test_random_split_and_distinct_counts(spark):
+    from voyra.operators.profile import distinct_counts
+    df = spark.range(5000).withColumnRenamed("id", "doc_id").withColumn("g", F.col("doc_id") % 37)
+    a, b = L.random_split(df, 0.6, seed=7)
+    ids_a, ids_b = {r.doc_id for r in a.collect()}, {r.doc_id for r in b.collect()}
+    assert not ids_a & ids_b and len(ids_a | ids_b) == 5000
+    exact = distinct_counts(df, ["g", "doc_id"]).first()
+    approx = distinct_counts(df, ["g", "doc_id"], approx=True).first()
+    assert (exact.g, exact.doc_id) == (37, 5000)
+    assert abs(approx.doc_id - 5000) < 0.05 * 5000 and approx.g == 37

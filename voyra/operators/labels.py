@@ -39,6 +39,14 @@ def md5_bucket(col: str | Column, buckets: int = 10) -> Column:
     return head % F.lit(buckets)
 
 
+def random_split(df: DataFrame, train: float = 0.6, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Random train/test split (``randomSplit``): per-partition Bernoulli
+    sampling, no shuffle. Reproducible only for the same input partitioning;
+    ``split_part`` is the form that gives the same split on any layout."""
+    a, b = df.randomSplit([train, 1.0 - train], seed=seed)
+    return a, b
+
+
 def split_part(col: str | Column, train_tenths: int = 6) -> Column:
     """'train' for md5 bucket < train_tenths of 10, else 'test' (60/40 by default)."""
     return F.when(md5_bucket(col) < train_tenths, F.lit("train")).otherwise(F.lit("test"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voyra.operators import items
+from voyra.operators import profile as P
 from voyra.operators import reviews as R
 from voyra.operators import tasks as TK
 from voyra.operators import threads as TH
@@ -15,18 +16,6 @@ from voyra.plans.registry import query
 from voyra.sources import tables
 
 
-def describe(df, col):
-    """count / unique / top / freq of one string column (top: most frequent,
-    ties to the smallest value)."""
-    counts = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("v").isNotNull())
-    return counts.agg(
-        F.sum("n").cast("long").alias("count"),
-        F.count(F.lit(1)).alias("unique"),
-        F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("top"),
-        F.max("n").alias("freq"),
-    ).select(F.lit(col).alias("column"), "*")
-
-
 def _describe_sql(col):
     return f"""
 SELECT '{col}' AS "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique",
@@ -37,7 +26,7 @@ FROM (SELECT {col} AS v, count(*) AS n FROM documents WHERE {col} IS NOT NULL GR
 @query("describe_cat", sql=_describe_sql("source") + "\nUNION ALL" + _describe_sql("lang"))
 def describe_cat(spark, sf_dir):
     d = tables.documents(spark, sf_dir, "source", "lang")
-    return describe(d, "source").unionByName(describe(d, "lang"))
+    return P.describe(d, "source").unionByName(P.describe(d, "lang"))
 
 
 @query("nunique", sql="""
@@ -47,8 +36,9 @@ def nunique(spark, sf_dir):
     """Distinct counts; texts are counted by their SHA-256 digest, so the
     distinct shuffle moves 32 bytes a row instead of whole texts."""
     d = tables.documents(spark, sf_dir, "source", "lang", "text")
-    return d.agg(F.count_distinct("source").alias("n_sources"), F.count_distinct("lang").alias("n_classes"),
-                 F.count_distinct(F.sha2("text", 256)).alias("n_texts"))
+    counts = P.distinct_counts(d, ["source", "lang", "text"], digest=("text",))
+    return counts.select(F.col("source").alias("n_sources"), F.col("lang").alias("n_classes"),
+                         F.col("text").alias("n_texts"))
 
 
 @query("unique_list", sql="SELECT source AS value, min(doc_id) AS first_seen FROM documents GROUP BY source")

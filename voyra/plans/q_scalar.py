@@ -223,7 +223,9 @@ def url_fingerprint(spark, sf_dir):
 def to_json(spark, sf_dir):
     """Post record -> JSON text; the check reads the fields back out of the text."""
     c = tables.conversations(spark, sf_dir)
-    j = c.select("conv_id", "turn", F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("json"))
+    # indented text, as the stored documents are written
+    j = c.select("conv_id", "turn", F.to_json(F.struct("conv_id", "turn", "role", "text"),
+                                              {"pretty": "true"}).alias("json"))
     back = F.from_json("json", "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
     return j.select(back["conv_id"].alias("conv_id"), back["turn"].alias("turn"),
                     back["role"].alias("role"), F.md5(back["text"]).alias("text_md5"))
