@@ -56,6 +56,23 @@ def test_stream_resume_and_dedup_across_runs(spark, tmp_dir):
     assert spark.read.parquet(out).count() == 3
 
 
+def test_batch_files_over_several_micro_batches(spark, tmp_dir):
+    import glob
+    landing, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for i, (lo, hi) in enumerate([(0, 25), (25, 30), (30, 61)]):
+        spark.range(lo, hi).withColumnRenamed("id", "doc_id").coalesce(1).write.parquet(f"{landing}/{i}")
+    s = ST.file_stream(spark, landing + "/*", schema="doc_id LONG", max_files=1)
+    ST.batch_files(s, out, ckpt, order="doc_id", per_file=10)
+    back = spark.read.json(out)
+    assert back.count() == 61 and back.select("doc_id").distinct().count() == 61
+    per_batch = {r.batch_id: (r.n, r.lo, r.hi) for r in back.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).collect()}
+    assert sorted(v[0] for v in per_batch.values()) == [5, 25, 31]
+    assert all(lo == 0 and hi == n - 1 for n, lo, hi in per_batch.values())   # numbered per batch
+    for f in glob.glob(f"{out}/batch_id=*/*.json"):
+        assert sum(1 for _ in open(f)) <= 10
+
+
 def test_stream_equals_batch_on_table(spark, tmp_dir):
     from conftest import SF_SMALL
     from voyra.plans.registry import QUERIES, load_all
