@@ -64,6 +64,35 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema("fp STRING").parquet(out)
 
 
+@query("stream_task_state", sql="""
+SELECT 'attr' || CAST(user_id AS VARCHAR) AS task,
+       NOT arg_max(event_type = 'error', (ts, event_id)) AS done,
+       count(*) AS n_attempts, count(*) FILTER (WHERE event_type = 'error') AS n_failed,
+       CAST(max(ts) AS VARCHAR) AS last_ts
+FROM events GROUP BY user_id""")
+def stream_task_state(spark, sf_dir):
+    """Task state (task = attraction of the fetch log) maintained by a stream
+    over two runs: the first half of the month, then the rest. The second run
+    continues from the state in the checkpoint and upserts the touched tasks."""
+    e = tables.events(spark, sf_dir, "event_id", "ts", "user_id", "event_type")
+    landing = scratch_dir(spark, "task-landing")
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, step INT"
+    out, ckpt = scratch_dir(spark, "task-state"), scratch_dir(spark, "task-state-ckpt")
+    cut = F.to_timestamp(F.lit("2024-01-16 00:00:00"))
+
+    def run():
+        s = ST.file_stream(spark, landing, schema=schema).select(
+            F.concat(F.lit("attr"), F.col("user_id").cast("string")).alias("task"), "ts", "event_id",
+            (F.col("event_type") == "error").alias("failed"))
+        ST.task_state(s, out, ckpt)
+    sinks.write_parquet(e.where(F.col("ts") < cut), f"{landing}/step=1", dynamic=False)
+    run()
+    sinks.write_parquet(e.where(~(F.col("ts") < cut) | F.col("ts").isNull()), f"{landing}/step=2", dynamic=False)
+    run()
+    t = spark.read.schema(ST.TASK_STATE).parquet(out)
+    return t.select("task", "done", "n_attempts", "n_failed", F.col("last_ts").cast("string").alias("last_ts"))
+
+
 @query("stream_resume", sql="SELECT event_id, user_id, event_type FROM events")
 def stream_resume(spark, sf_dir):
     """Two runs over a landing folder that fills in two steps (first half of

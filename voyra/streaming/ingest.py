@@ -83,6 +83,47 @@ def batch_files(stream: DataFrame, out_path: str, checkpoint: str, order: str, p
     return run_available_now(w)
 
 
+TASK_STATE = "task STRING, done BOOLEAN, n_attempts BIGINT, n_failed BIGINT, last_ts TIMESTAMP_NTZ, _bucket INT"
+
+
+def task_state(stream: DataFrame, out_path: str, checkpoint: str, buckets: int = 16):
+    """Per task, the status of its latest attempt and its attempt counts,
+    kept in streaming state and upserted into a table after every batch.
+
+    ``stream``: (task, ts, event_id, failed). The aggregate runs in update
+    mode, so a batch emits only the tasks it touched, with their absolute
+    totals (not deltas); ``foreachBatch`` rewrites just the hash buckets those
+    tasks live in. A replayed batch therefore writes the same rows again:
+    the upsert is idempotent, and the state itself is exactly-once through
+    the checkpoint.
+    """
+    from voyra.session import materialize
+    from voyra.sinks.files import write_parquet
+    from voyra.operators.tasks import _exists
+
+    agg = stream.groupBy("task").agg(
+        F.max(F.struct("ts", "event_id", "failed")).alias("last"),
+        F.count(F.lit(1)).alias("n_attempts"),
+        F.count_if("failed").alias("n_failed"))
+
+    def upsert(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        upd = batch.select("task", (~F.col("last.failed")).alias("done"), "n_attempts", "n_failed",
+                           F.col("last.ts").alias("last_ts"),
+                           F.pmod(F.xxhash64("task"), F.lit(buckets)).cast("int").alias("_bucket"))
+        if _exists(spark, f"{out_path.rstrip('/')}/_SUCCESS"):
+            old = spark.read.schema(TASK_STATE).parquet(out_path)
+            touched = upd.select("_bucket").distinct()
+            keep = old.join(touched, "_bucket", "left_semi").join(upd.select("task"), "task", "left_anti")
+            merged = materialize(keep.unionByName(upd))
+            write_parquet(merged, out_path, mode="overwrite", partition_by=["_bucket"], dynamic=True)
+        else:
+            write_parquet(upd, out_path, mode="overwrite", partition_by=["_bucket"], dynamic=False)
+
+    w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    return run_available_now(w)
+
+
 def dedup(stream: DataFrame, key: str, event_time: str | None = None, delay: str = "1 day") -> DataFrame:
     """Drop requests already seen, across runs (the seen set is the state in
     the checkpoint). With ``event_time`` the state is bounded: a key is
