@@ -73,6 +73,23 @@ def test_batch_files_over_several_micro_batches(spark, tmp_dir):
         assert sum(1 for _ in open(f)) <= 10
 
 
+def test_streaming_task_state_updates_and_reruns(spark, tmp_dir):
+    landing, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/state", f"{tmp_dir}/ckpt"
+    schema = "task STRING, ts TIMESTAMP, event_id LONG, failed BOOLEAN"
+    t0 = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([("a", t0, 1, True), ("b", t0, 2, False)], schema).write.parquet(f"{landing}/1")
+
+    def run():
+        ST.task_state(ST.file_stream(spark, landing + "/*", schema=schema), out, ckpt)
+        return {r.task: (r.done, r.n_attempts, r.n_failed)
+                for r in spark.read.schema(ST.TASK_STATE).parquet(out).collect()}
+    assert run() == {"a": (False, 1, 1), "b": (True, 1, 0)}
+    # a retry of a succeeds later; b is untouched
+    spark.createDataFrame([("a", t0 + dt.timedelta(1), 3, False)], schema).write.parquet(f"{landing}/2")
+    assert run() == {"a": (True, 2, 1), "b": (True, 1, 0)}
+    assert run() == {"a": (True, 2, 1), "b": (True, 1, 0)}       # nothing new: same table
+
+
 def test_stream_equals_batch_on_table(spark, tmp_dir):
     from conftest import SF_SMALL
     from voyra.plans.registry import QUERIES, load_all
