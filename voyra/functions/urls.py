@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 SCHEME_HOST = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:]+)"
 ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+# Review-page URLs: the page slot follows this word, as "-or<offset>".
+PAGE_SLOT = "Reviews"
+OFFSET_MARK = "-or"
 # --- end of fixed values -------------------------------------------------
 
 
@@ -51,7 +54,7 @@ def url_join(base, href) -> Column:
 def url_template(u, offset) -> Column:
     """Insert the review offset after every ``Reviews`` in the URL."""
     off = F.lit(offset) if isinstance(offset, int) else _c(offset)
-    return F.regexp_replace(_c(u), F.lit("Reviews"), F.concat(F.lit("Reviews-or"), off.cast("string")))
+    return F.regexp_replace(_c(u), F.lit(PAGE_SLOT), F.concat(F.lit(PAGE_SLOT + OFFSET_MARK), off.cast("string")))
 
 
 def url_page_no(u, size: int = 10) -> Column:

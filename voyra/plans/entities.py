@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voyra.functions.urls import OFFSET_MARK, PAGE_SLOT
 from voyra.operators.numbering import id_bucket, seq_number, time_bucket
 from voyra.sources import tables
 
@@ -143,7 +144,7 @@ def review_page_url(attr_name, attr_page) -> "F.Column":
     return F.concat(
         F.lit(SITE + REVIEW_PATH),
         F.regexp_extract(attr_name, r"(\d+)$", 1),
-        F.lit("-Reviews-or"),
+        F.lit("-" + PAGE_SLOT + OFFSET_MARK),
         (attr_page * REVIEWS_PER_PAGE).cast("string"),
         F.lit("-"), attr_name, F.lit(".html"),
     )

@@ -64,7 +64,7 @@ def parent_context(spark, sf_dir):
 
 def _attraction_url(attr):
     return F.concat(F.lit(E.SITE + E.REVIEW_PATH), F.regexp_extract(attr, r"(\d+)$", 1),
-                    F.lit("-Reviews-"), attr, F.lit(".html"))
+                    F.lit(f"-{U.PAGE_SLOT}-"), attr, F.lit(".html"))
 
 
 @query("link_fanout", sql=S.with_(S.CODES, PAGE_LIST_SQL) + """

@@ -193,7 +193,7 @@ FROM page_list""")
 def url_template(spark, sf_dir):
     pl = _review_page_list(spark, sf_dir).select("attr_name", "page")
     template = F.concat(F.lit(E.SITE + E.REVIEW_PATH),
-                        F.regexp_extract("attr_name", r"(\d+)$", 1), F.lit("-Reviews-"),
+                        F.regexp_extract("attr_name", r"(\d+)$", 1), F.lit(f"-{U.PAGE_SLOT}-"),
                         F.col("attr_name"), F.lit(".html"))
     return pl.select("attr_name", "page", U.url_template(template, F.col("page") * 10).alias("url"))
 
