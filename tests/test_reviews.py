@@ -54,6 +54,22 @@ def test_seq_number_equals_row_number_with_hot_key(spark):
     assert sorted(r.s for r in glob.collect()) == list(range(len(rows)))
 
 
+def test_hot_key_is_spread_over_partitions(spark):
+    """One key holds a third of the rows. A per-key window puts all of it in
+    one partition; the bucketed and the range numbering both spread it."""
+    n = 30_000
+    df = spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i % 50}", i) for i in range(n)], "k STRING, id LONG")
+
+    def max_share(parted):
+        sizes = [r["count"] for r in parted.groupBy(F.spark_partition_id()).count().collect()]
+        return max(sizes) / n
+    by_key = df.repartition(8, "k")                                    # what Window.partitionBy(k) needs
+    by_bucket = df.withColumn("_vb", id_bucket("id", 1000)).repartition(8, "k", "_vb")
+    by_range = df.repartitionByRange(8, "k", "id")
+    assert max_share(by_key) >= 1 / 3
+    assert max_share(by_bucket) < 0.25 and max_share(by_range) < 0.25
+
+
 def test_stop_at_missing(spark):
     df = spark.createDataFrame([("p", 0, "a"), ("p", 1, None), ("p", 2, "c"), ("q", 0, "x")],
                                "pg STRING, slot INT, title STRING")
