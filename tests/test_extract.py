@@ -70,6 +70,21 @@ def test_forum_page(spark):
     assert rows[1].username is None and rows[1].posttext == ["Reply"]
 
 
+def test_escaped_text_round_trips_through_the_parser(spark):
+    from pyspark.sql import functions as F
+
+    from voyra.functions.html import html_escape
+    tricky = ['a < b && c > d', 'say "hi" & \'bye\'', '&amp; is not &', '</div><script>x</script>',
+              'café • naïve', '&#39; &lt;tag&gt;', 'line1\nline2']
+    df = spark.createDataFrame([(t,) for t in tricky], "t STRING")
+    html = df.select(F.concat(F.lit('<div class="review"><div>u</div><div>*</div><div class="title">'),
+                              html_escape(F.col("t")), F.lit('</div><div class="body"><span>'),
+                              html_escape(F.col("t")), F.lit("</span></div></div>")).alias("h")).collect()
+    for t, row in zip(tricky, html):
+        (r,) = XT.reviews_of(row.h)
+        assert r["title"] == t and r["fragments"] == [t]
+
+
 def test_parser_survives_broken_markup():
     root = XT.parse_html("<div class='a'><p>one<br><b>two</div><p>three")
     assert [XT.text(n) for n in XT.select(root, "div.a p")] == ["onetwo"]
