@@ -36,15 +36,26 @@ SITE = "https://www.example-travel.org"
 REVIEW_PATH = "/Attraction_Review-g100-d"
 
 
-def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True, extra: tuple = ()) -> DataFrame:
-    """Flat reviews: attr_name, review_id, attr_page, title, review, doc_id[, lang][, extra...]."""
+def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True, extra: tuple = (),
+            digest_only: bool = False) -> DataFrame:
+    """Flat reviews: attr_name, review_id, attr_page, title, review, doc_id[, lang][, extra...].
+
+    ``digest_only``: the body is replaced by review_key (SHA-256) and
+    review_md5, computed before the numbering shuffle, so no text moves."""
     cols = ["doc_id", "source", "text"] + (["lang"] if with_lang else []) + list(extra)
     d = tables.documents(spark, sf_dir, *cols)
+    body = ["text"]
+    if digest_only:
+        d = d.select(*[c for c in d.columns if c != "text"], F.substring("text", 1, TITLE_CHARS).alias("title"),
+                     F.sha2("text", 256).alias("review_key"), F.md5("text").alias("review_md5"))
+        body = ["review_key", "review_md5"]
+    else:
+        d = d.withColumn("title", F.substring("text", 1, TITLE_CHARS))
     d = seq_number(d, ["source"], ["doc_id"], id_bucket("doc_id"), out="review_id")
     out = [F.col("source").alias("attr_name"), "review_id",
-           F.floor(F.col("review_id") / REVIEWS_PER_PAGE).cast("long").alias("attr_page"),
-           F.substring("text", 1, TITLE_CHARS).alias("title"),
-           F.col("text").alias("review"), "doc_id"]
+           F.floor(F.col("review_id") / REVIEWS_PER_PAGE).cast("long").alias("attr_page"), "title"]
+    out += [F.col("text").alias("review")] if not digest_only else body
+    out.append("doc_id")
     if with_lang:
         out.append("lang")
     return d.select(*out, *extra)
