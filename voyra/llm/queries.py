@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import quality as Q
+from voyra.llm import mixing, quality as Q, warc
 
 
 @query("op7_quality_rules")
@@ -14,3 +14,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     df, q = Q.quality(docs, keep=["doc_id"])
     return df.select("doc_id", f"{q}.*")
+
+
+@query("op8_warc_revisits", sql="""
+WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (
+  SELECT page_id, n, hex, array_to_string(list_transform(range(32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((
+      CAST('0x' || substr(hex, CAST(1 + 5 * (k // 4) AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INT)) & 31) AS INT), 1)), '') AS digest
+  FROM d),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY hex, n) AS top FROM bits)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to
+FROM m
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back; revisits joined to their responses."""
+    return warc.archive(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query("op10_source_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and its training position."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
