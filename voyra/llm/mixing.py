@@ -32,7 +32,7 @@ from voyra.llm.common import map_text, scratch
 WEIGHTS = (3, 1, 2)      # by a source's rank, repeating
 SHARE = 1.5
 MAX_PASSES = 2
-BUCKET_ROWS = 8192
+BUCKET_ROWS = 1024
 
 # (time, factor) knots of the weight schedule by a source's rank, repeating; a
 # factor scales the source's weight, is linear between knots and has mean 1.

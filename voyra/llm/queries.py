@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import mixing, quality as Q, warc
+from voyra.llm import mixing, quality as Q, secret_scan, warc
 
 
 @query("op7_quality_rules")
@@ -39,3 +41,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, and its training position."""
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def _either(pattern: str) -> str:
+    """The keywords of the assign rule with each letter in either case, for RE2."""
+    return re.sub(r"\(\?i:([^()]*)\)", lambda m: "(?:" + re.sub(
+        "[a-z]", lambda c: f"[{c[0]}{c[0].upper()}]", m[1]) + ")", pattern)
+
+
+def _secret_sql() -> str:
+    cols, lists = [], []
+    for i, r in enumerate(secret_scan.RULES):
+        rx = _either(r.pattern).replace("'", "''")
+        cols.append(f"regexp_extract_all(t, '{rx}') AS m{i}, string_split_regex(t, '{rx}') AS p{i}, "
+                    f"regexp_extract_all(t, '{rx}', {r.group}) AS v{i}")
+        start = (f"coalesce(list_sum(list_transform(p{i}[1:k], lambda x: length(x))), 0) + "
+                 f"coalesce(list_sum(list_transform(m{i}[1:k - 1], lambda x: length(x))), 0)")
+        lists.append(f"list_transform(list_filter(range(1, len(m{i}) + 1), lambda k: length(v{i}[k]) >= {r.min_chars}), "
+                     f"lambda k: {{'s': CAST({start} AS BIGINT), 'r': {i}, 'e': CAST({start} + length(m{i}[k]) AS BIGINT), 'kind': '{r.kind}'}})")
+    text = "array_to_string(list_transform({}, lambda x: x.kind || ':' || x.s || ':' || x.e), ',')"
+    base = "list_filter(s, lambda x: x.r < 3)"
+    count = ", ".join(f"CAST(len(list_filter(s, lambda x: x.r = {i})) AS BIGINT) AS n_{r.kind}"
+                      for i, r in enumerate(secret_scan.BASE))
+    return (f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), "
+            f"f AS (SELECT doc_id, {', '.join(cols)} FROM d), "
+            f"g AS (SELECT doc_id, list_sort(list_concat({', '.join(lists)})) AS s FROM f) "
+            f"SELECT doc_id, {count}, sha256(coalesce({text.format(base)}, '')) AS base_sha256, "
+            f"coalesce({text.format('s')}, '') AS spans FROM g")
+
+
+@query("op6_secret_scans", sql=_secret_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, found through the trigram index."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    df, spans = secret_scan.scan(docs)
+    kinds = [r.kind for r in secret_scan.BASE]
+    base = F.filter(F.col(spans), lambda s: s["kind"].isin(kinds))
+    counts = [F.size(F.filter(F.col(spans), secret_scan.is_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return df.select("doc_id", *counts, F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+                     secret_scan.span_text(F.col(spans)).alias("spans"))
