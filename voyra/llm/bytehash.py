@@ -155,3 +155,12 @@ def words_of(lo: int, hi: int, buf: np.ndarray, offs: np.ndarray) -> Slice:
     first = np.searchsorted(starts, offs)
     row = np.repeat(np.arange(hi - lo), np.diff(first))
     return Slice(lo, hi, buf, offs, starts, ends, row, first)
+
+
+def take_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """String array of the byte spans (each valid UTF-8)."""
+    size = ends - starts
+    offs = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(size, out=offs[1:])
+    at = np.repeat(starts - offs[:-1], size) + np.arange(offs[-1])
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offs), pa.py_buffer(buf[at])).cast(pa.string())

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import mixing, quality as Q, secret_scan, warc
+from voyra.llm import bpe, lengths, mixing, quality as Q, secret_scan, warc
 
 
 @query("op7_quality_rules")
@@ -80,3 +80,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter(F.col(spans), secret_scan.is_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
     return df.select("doc_id", *counts, F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
                      secret_scan.span_text(F.col(spans)).alias("spans"))
+
+
+@query("op1_bpe_codec")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded through the distinct-word table, and decoded again."""
+    coded = bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    coded = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                         F.sha2(decimal, 256).alias("ids_sha256"), "ids")
+    back, text = bpe.decode(coded)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col(text), 256).alias("decoded_sha256"))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, quantile shares and truncated totals for every context limit."""
+    return lengths.limits(lengths.histogram(read(spark, sf_dir, "documents", "text")))
