@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import bpe, lengths, mixing, quality as Q, secret_scan, warc
+from voyra.llm import bpe, lengths, mixing, quality as Q, secret_scan, substring, warc
 
 
 @query("op7_quality_rules")
@@ -97,3 +97,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, quantile shares and truncated totals for every context limit."""
     return lengths.limits(lengths.histogram(read(spark, sf_dir, "documents", "text")))
+
+
+@query("op2_substring_dedup", sql="""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+starts AS (
+  SELECT doc_id, ws, CAST(unnest(range(1, greatest(len(ws) - 11, 1))) AS BIGINT) AS p FROM w),
+windows AS (SELECT doc_id, p, sha256(array_to_string(ws[p:p + 12], ' ')) AS h FROM starts),
+low AS (SELECT h, min(doc_id) AS first_doc FROM windows GROUP BY h),
+hit AS (SELECT DISTINCT doc_id, p FROM windows JOIN low USING (h) WHERE doc_id > first_doc),
+gone AS (
+  SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, p + unnest(range(13)) AS k FROM hit) GROUP BY doc_id),
+cut AS (
+  SELECT w.doc_id, ws, coalesce(ks, []) AS ks FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ks) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(ks, i)), ' ')) AS kept_sha256
+FROM cut
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a 13-word window shares with an earlier document, removed."""
+    df, d = substring.deduplicate(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+    return df.select("doc_id", f"{d}.n_words", f"{d}.n_removed", F.sha2(F.col(d)["kept"], 256).alias("kept_sha256"))
