@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import bpe, lengths, mixing, quality as Q, secret_scan, substring, warc
+from voyra.llm import bpe, jaccard, lengths, mixing, quality as Q, secret_scan, substring, warc
 
 
 @query("op7_quality_rules")
@@ -119,3 +119,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a 13-word window shares with an earlier document, removed."""
     df, d = substring.deduplicate(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
     return df.select("doc_id", f"{d}.n_words", f"{d}.n_removed", F.sha2(F.col(d)["kept"], 256).alias("kept_sha256"))
+
+
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicate documents (4-word shingles, Jaccard 0.85 or more) of every document."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard.join(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
