@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from voyra.llm import bytehash as B
 from voyra.llm.bpe import encode_words, vocabulary_path
-from voyra.llm.common import map_text
+from voyra.llm.common import map_text, scratch
 
-RANGE = 1024
+RANGE = 256
 CACHE_WORDS = 1 << 18
 
 _cache: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -65,9 +65,9 @@ def token_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = N
 
 
 def histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """(n_tokens, n_docs), exact."""
+    """(n_tokens, n_docs), exact; written once, so that no answer encodes again."""
     df, c = token_counts(docs, text, [], path)
-    return df.groupBy(F.col(c)["n_tokens"].alias("n_tokens")).agg(F.count("*").alias("n_docs"))
+    return scratch(df.groupBy(F.col(c)["n_tokens"].alias("n_tokens")).agg(F.count("*").alias("n_docs")), "lengths")
 
 
 def limits(hist: DataFrame) -> DataFrame:
