@@ -77,14 +77,29 @@ def pieces(path: str) -> pa.Array:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Unsigned numbers as compressed byte planes (low bytes first)."""
-    planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+    """Small unsigned numbers near their entropy: the bit length of each as compressed
+    bytes, then the bits below the leading one, length by length."""
+    v = values.astype(np.uint64) + np.uint64(1)
+    length = (np.frexp(v.astype(np.float64))[1] - 1).astype(np.uint8)
+    head = pa.compress(length.tobytes(), codec="zstd", asbytes=True)
+    parts = [len(head).to_bytes(8, "little"), head]
+    for c in range(1, int(length.max(initial=0)) + 1):
+        low = v[length == c] - (np.uint64(1) << np.uint64(c))
+        parts.append(np.packbits((low[:, None] >> np.arange(c, dtype=np.uint64)) & np.uint64(1) != 0).tobytes())
+    return b"".join(parts)
 
 
 def _unpack(blob: bytes, n: int) -> np.ndarray:
-    raw = pa.decompress(blob, decompressed_size=4 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel()
+    at = 8 + int.from_bytes(blob[:8], "little")
+    length = np.frombuffer(pa.decompress(blob[8:at], decompressed_size=n, codec="zstd", asbytes=True), np.uint8)
+    out = np.zeros(n, np.int64)
+    for c in range(1, int(length.max(initial=0)) + 1):
+        mine = np.flatnonzero(length == c)
+        size = -(-len(mine) * c // 8)
+        bits = np.unpackbits(np.frombuffer(blob, np.uint8, size, at), count=len(mine) * c).reshape(-1, c)
+        out[mine] = (1 << c) - 1 + bits.astype(np.int64) @ (1 << np.arange(c, dtype=np.int64))
+        at += size
+    return out
 
 
 class _Chunk:
@@ -126,12 +141,13 @@ class _Chunk:
         counts = np.concatenate(self.counts or [np.zeros(0, np.int64)])
         ids = pa.concat_arrays(self.ids)
         n = len(full) + 1
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts[full], len(words)).astype(np.int32)), words)
         none = pa.nulls(n - 1, pa.binary())
+        text = [" ".join(words[lo:hi].to_pylist()).encode() for lo, hi in zip(starts[full], ends[full])]
         return pa.RecordBatch.from_arrays([
             pa.array([key] * n, pa.int64()),
             pa.array([*full.tolist(), None], pa.int64()),
-            pa.concat_arrays([lists, pa.nulls(1, lists.type)]),
+            pa.array([*map(len, text), None], pa.int64()),
+            pa.array([*(pa.compress(t, codec="zstd", asbytes=True) for t in text), None], pa.binary()),
             pa.concat_arrays([pa.nulls(n - 1, pa.list_(id_type)),
                               pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]),
             pa.concat_arrays([none, pa.array([_pack(counts)], pa.binary())]),
@@ -142,7 +158,7 @@ class _Chunk:
         ], _CHUNK_COLUMNS)
 
 
-_CHUNK_COLUMNS = ["chunk", "bucket", "words", "ids", "doc_words", "n_distinct", "home", "n_words", "sequence"]
+_CHUNK_COLUMNS = ["chunk", "bucket", "words_bytes", "words", "ids", "doc_words", "n_distinct", "home", "n_words", "sequence"]
 
 
 def chunks(docs: DataFrame, id_col: str, text: str, buckets: int) -> DataFrame:
@@ -150,7 +166,7 @@ def chunks(docs: DataFrame, id_col: str, text: str, buckets: int) -> DataFrame:
     order, bucket of each number) and one for each chunk and bucket (its words)."""
     id_field = docs.schema[id_col].dataType
     schema = T.StructType.fromDDL(
-        "chunk long, bucket long, words array<string>, ids array<long>, doc_words binary, "
+        "chunk long, bucket long, words_bytes long, words binary, ids array<long>, doc_words binary, "
         "n_distinct long, home binary, n_words long, sequence binary")
     schema = T.StructType([T.StructField(f.name, T.ArrayType(id_field)) if f.name == "ids" else f for f in schema])
     arrow_id = to_arrow_schema(T.StructType([T.StructField("i", id_field)])).types[0]
@@ -175,18 +191,20 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(32, -(-total // BUCKET_BYTES))
     packed = scratch(chunks(docs, id_col, text, buckets), "bpe-chunks")
-    words = packed.filter(F.col("bucket").isNotNull()).select("bucket", "chunk", "words")
-    sequences = packed.filter(F.col("bucket").isNull()).drop("bucket", "words")
+    words = packed.filter(F.col("bucket").isNotNull()).select("bucket", "chunk", "words_bytes", "words")
+    sequences = packed.filter(F.col("bucket").isNull()).drop("bucket", "words_bytes", "words")
 
     def encode_bucket(table: pa.Table) -> pa.Table:
-        lists = table.column("words").combine_chunks()
-        flat = lists.flatten().dictionary_encode()
+        texts = [pa.decompress(w, decompressed_size=n, codec="zstd", asbytes=True).decode().split(" ")
+                 for w, n in zip(table.column("words").to_pylist(), table.column("words_bytes").to_pylist())]
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        flat = pa.array([w for t in texts for w in t], pa.string()).dictionary_encode()
+        del texts
         coded = encode_words(flat.dictionary.to_pylist(), path)       # each distinct word once
         size = np.array([len(c) for c in coded], np.int64)
         ids = np.fromiter((i for c in coded for i in c), np.int64, int(size.sum()))
         begin = np.concatenate([[0], np.cumsum(size)])
         at = flat.indices.to_numpy()
-        bounds = lists.offsets.to_numpy()
         sizes_out, ids_out = [], []
         for lo, hi in zip(bounds, bounds[1:]):
             w = at[lo:hi]
@@ -205,15 +223,15 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
     def join_back(left: pa.Table, right: pa.Table) -> pa.Table:
         sizes, begins, flat, total = {}, {}, [], 0
         for r in right.to_pylist():
-            n = _unpack(r["sizes"], r["n"]).astype(np.int64)
+            n = _unpack(r["sizes"], r["n"])
             sizes[r["bucket"]] = n
             begins[r["bucket"]] = total + np.concatenate([[0], np.cumsum(n)[:-1]])
             flat.append(_unpack(r["ids"], int(n.sum())))
             total += int(n.sum())
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        flat = np.concatenate(flat) if flat else np.zeros(0, np.int64)
         tables = []
         for r in left.to_pylist():                                    # one row a chunk
-            home = _unpack(r["home"], r["n_distinct"]).astype(np.int64)
+            home = _unpack(r["home"], r["n_distinct"])
             order = np.argsort(home, kind="stable")
             used = sorted(sizes)
             size, begin = np.empty(len(home), np.int64), np.empty(len(home), np.int64)
@@ -223,7 +241,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
             at = _unpack(r["sequence"], r["n_words"])
             per_doc = _unpack(r["doc_words"], len(r["ids"]))
             n = size[at]
-            ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(per_doc, dtype=np.int64)]
+            ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(per_doc)]
             ids = _gather(flat, begin[at], n).astype(np.int32)
             tables.append(pa.Table.from_arrays([
                 pa.array(r["ids"], arrow.types[0]),
