@@ -9,8 +9,10 @@ to the chunks that have it; there they are joined back by position. A word
 leaves a chunk once however often it occurs, so no word is a hot key, and text
 itself is never shuffled.
 
-The chunks are written once to the scratch folder: their composition depends
-on how the input was split, and both sides of the join must agree on it.
+Chunks are made twice, once for the words and once for the order, so that nothing
+is kept on disk but the shuffles. A chunk's key is a digest of its words in
+order: an input that gives other rows on a second read (it should be a table
+scan) fails with an error, never with wrong ids.
 
 Decoding: an id-to-piece join against the vocabulary (a table bounded by the
 tokenizer, not by the data), pieces put together with a space, as the library
@@ -26,6 +28,7 @@ result; null ids and ids outside the vocabulary decode to nothing; other columns
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from voyra.llm import bytehash as B
-from voyra.llm.common import fresh, scratch
+from voyra.llm.common import fresh
 
 WORD_BPE = "word_bpe_49k.json"
 CHUNK_BYTES = 8 << 20
@@ -85,7 +88,10 @@ def _pack(values: np.ndarray) -> bytes:
     parts = [len(head).to_bytes(8, "little"), head]
     for c in range(1, int(length.max(initial=0)) + 1):
         low = v[length == c] - (np.uint64(1) << np.uint64(c))
-        parts.append(np.packbits((low[:, None] >> np.arange(c, dtype=np.uint64)) & np.uint64(1) != 0).tobytes())
+        bits = np.empty((len(low), c), bool)
+        for k in range(c):
+            bits[:, k] = (low >> np.uint64(k)) & np.uint64(1)
+        parts.append(np.packbits(bits).tobytes())
     return b"".join(parts)
 
 
@@ -97,7 +103,10 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
         mine = np.flatnonzero(length == c)
         size = -(-len(mine) * c // 8)
         bits = np.unpackbits(np.frombuffer(blob, np.uint8, size, at), count=len(mine) * c).reshape(-1, c)
-        out[mine] = (1 << c) - 1 + bits.astype(np.int64) @ (1 << np.arange(c, dtype=np.int64))
+        value = np.full(len(mine), (1 << c) - 1, np.int64)
+        for k in range(c):
+            value += bits[:, k].astype(np.int64) << k
+        out[mine] = value
         at += size
     return out
 
@@ -122,7 +131,7 @@ class _Chunk:
             self.words.append((new[fresh_], B.take_spans(s.buf, s.starts[at], s.ends[at])))
             self.known = np.union1d(self.known, new)
 
-    def rows(self, key: int, buckets: int, id_type: pa.DataType) -> pa.RecordBatch:
+    def rows(self, part: int, want: str, buckets: int, id_type: pa.DataType) -> pa.RecordBatch:
         hashes = np.concatenate(self.hashes or [np.zeros(0, np.uint64)])
         at = np.searchsorted(self.known, hashes)
         often = np.bincount(at, minlength=len(self.known))
@@ -137,50 +146,44 @@ class _Chunk:
         ends = np.searchsorted(home[order], np.arange(buckets), side="right")
         starts = np.concatenate([[0], ends[:-1]])
         full = np.flatnonzero(ends > starts)
-        words = words.take(pa.array(order))
         counts = np.concatenate(self.counts or [np.zeros(0, np.int64)])
+        key = part ^ int.from_bytes(hashlib.blake2b(hashes.tobytes() + counts.tobytes(), digest_size=3).digest(), "little")
+        if want == "words":
+            words = words.take(pa.array(order))
+            text = [" ".join(words[lo:hi].to_pylist()).encode() for lo, hi in zip(starts[full], ends[full])]
+            return pa.RecordBatch.from_arrays([
+                pa.array([key] * len(full), pa.int64()), pa.array(full, pa.int64()), pa.array([len(t) for t in text], pa.int64()),
+                pa.array([pa.compress(t, codec="zstd", asbytes=True) for t in text], pa.binary())],
+                ["chunk", "bucket", "words_bytes", "words"])
         ids = pa.concat_arrays(self.ids)
-        n = len(full) + 1
-        none = pa.nulls(n - 1, pa.binary())
-        text = [" ".join(words[lo:hi].to_pylist()).encode() for lo, hi in zip(starts[full], ends[full])]
         return pa.RecordBatch.from_arrays([
-            pa.array([key] * n, pa.int64()),
-            pa.array([*full.tolist(), None], pa.int64()),
-            pa.array([*map(len, text), None], pa.int64()),
-            pa.array([*(pa.compress(t, codec="zstd", asbytes=True) for t in text), None], pa.binary()),
-            pa.concat_arrays([pa.nulls(n - 1, pa.list_(id_type)),
-                              pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]),
-            pa.concat_arrays([none, pa.array([_pack(counts)], pa.binary())]),
-            pa.array([None] * (n - 1) + [len(rank)], pa.int64()),
-            pa.concat_arrays([none, pa.array([_pack(home)], pa.binary())]),
-            pa.array([None] * (n - 1) + [len(hashes)], pa.int64()),
-            pa.concat_arrays([none, pa.array([_pack(rank[at])], pa.binary())]),
-        ], _CHUNK_COLUMNS)
-
-
-_CHUNK_COLUMNS = ["chunk", "bucket", "words_bytes", "words", "ids", "doc_words", "n_distinct", "home", "n_words", "sequence"]
-
-
-def chunks(docs: DataFrame, id_col: str, text: str, buckets: int) -> DataFrame:
-    """One row for each chunk (its ids, words for each document, word numbers in
-    order, bucket of each number) and one for each chunk and bucket (its words)."""
+            pa.array([key], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            pa.array([_pack(counts)], pa.binary()), pa.array([len(rank)], pa.int64()), pa.array([_pack(home)], pa.binary()),
+            pa.array([len(hashes)], pa.int64()), pa.array([_pack(rank[at])], pa.binary())],
+            ["chunk", "ids", "doc_words", "n_distinct", "home", "n_words", "sequence"])
+
+
+def chunks(docs: DataFrame, id_col: str, text: str, buckets: int, want: str) -> DataFrame:
+    """``words``: one row for each chunk and bucket, with its distinct words;
+    ``sequence``: one row for each chunk, with its ids, words for each document,
+    bucket of each word number, and the numbers in order."""
     id_field = docs.schema[id_col].dataType
     schema = T.StructType.fromDDL(
-        "chunk long, bucket long, words_bytes long, words binary, ids array<long>, doc_words binary, "
-        "n_distinct long, home binary, n_words long, sequence binary")
+        "chunk long, bucket long, words_bytes long, words binary" if want == "words" else
+        "chunk long, ids array<long>, doc_words binary, n_distinct long, home binary, n_words long, sequence binary")
     schema = T.StructType([T.StructField(f.name, T.ArrayType(id_field)) if f.name == "ids" else f for f in schema])
     arrow_id = to_arrow_schema(T.StructType([T.StructField("i", id_field)])).types[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        key, chunk = TaskContext.get().partitionId() << 32, _Chunk()
+        part, chunk = TaskContext.get().partitionId() << 42, _Chunk()
         for b in batches:
             chunk.add(b.column(0), b.column(1))
             if chunk.size >= CHUNK_BYTES:
-                yield chunk.rows(key, buckets, arrow_id)
-                key, chunk = key + 1, _Chunk()
+                yield chunk.rows(part, want, buckets, arrow_id)
+                part, chunk = part + (1 << 24), _Chunk()
         if chunk.ids:
-            yield chunk.rows(key, buckets, arrow_id)
+            yield chunk.rows(part, want, buckets, arrow_id)
 
     return docs.select(F.col(id_col), F.col(text)).mapInArrow(run, schema)
 
@@ -190,9 +193,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
     path = path or vocabulary_path()
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(32, -(-total // BUCKET_BYTES))
-    packed = scratch(chunks(docs, id_col, text, buckets), "bpe-chunks")
-    words = packed.filter(F.col("bucket").isNotNull()).select("bucket", "chunk", "words_bytes", "words")
-    sequences = packed.filter(F.col("bucket").isNull()).drop("bucket", "words_bytes", "words")
+    words = chunks(docs, id_col, text, buckets, "words")
+    sequences = chunks(docs, id_col, text, buckets, "sequence")
 
     def encode_bucket(table: pa.Table) -> pa.Table:
         texts = [pa.decompress(w, decompressed_size=n, codec="zstd", asbytes=True).decode().split(" ")
@@ -230,10 +232,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: st
             total += int(n.sum())
         flat = np.concatenate(flat) if flat else np.zeros(0, np.int64)
         tables = []
+        if not len(left):
+            raise ValueError("the input gave other rows on its second read; write it to a table first")
         for r in left.to_pylist():                                    # one row a chunk
             home = _unpack(r["home"], r["n_distinct"])
             order = np.argsort(home, kind="stable")
             used = sorted(sizes)
+            if [len(sizes[b]) for b in used] != np.unique(home, return_counts=True)[1].tolist():
+                raise ValueError("the input gave other rows on its second read; write it to a table first")
             size, begin = np.empty(len(home), np.int64), np.empty(len(home), np.int64)
             if used:
                 size[order] = np.concatenate([sizes[b] for b in used])
