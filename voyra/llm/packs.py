@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from voyra.llm import bytehash as B
 
 SCHEMA = "key long, docs binary, counts binary, hashes binary, extra binary"
-BATCH_ENTRIES = 1_500_000
+BATCH_ENTRIES = 600_000
 BUCKET_BYTES = 6 << 20         # text for each bucket and for each block of documents
 
 REPEATED = "repeated"          # flag every document of a hash that two documents hold
@@ -56,18 +56,27 @@ def _hashes(blob: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _small(x: np.ndarray) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.compress(x.astype("<i8").tobytes(), codec="zstd", asbytes=True)
+
+
+def _large(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    return np.frombuffer(pa.decompress(blob[8:], decompressed_size=8 * n, codec="zstd", asbytes=True), "<i8")
+
+
 def pack(key: np.ndarray, docs: np.ndarray, hashes: np.ndarray, width: int) -> list[Row]:
     order = np.lexsort((docs, key))
     key, docs, hashes = key[order], docs[order], hashes[order]
     change = np.ones(len(key), bool)
     change[1:] = (key[1:] != key[:-1]) | (docs[1:] != docs[:-1])
     begin = np.flatnonzero(change)
-    counts = np.diff(np.append(begin, len(key))).astype("<i4")
-    owners, keys = docs[begin].astype("<i8"), key[begin]
+    counts = np.diff(np.append(begin, len(key)))
+    owners, keys = docs[begin], key[begin]
     at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     upto = np.append(at[1:], len(keys))
     ends = np.append(begin, len(key))
-    return [(int(keys[i]), owners[i:j].tobytes(), counts[i:j].tobytes(), _bytes(hashes[ends[i]: ends[j]], width), None)
+    return [(int(keys[i]), _small(np.diff(owners[i:j], prepend=0)), _small(counts[i:j]), _bytes(hashes[ends[i]: ends[j]], width), None)
             for i, j in zip(at, upto)]
 
 
@@ -76,7 +85,7 @@ def unpack(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
     docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for d, c, h in zip(*(table.column(x).to_pylist() for x in ("docs", "counts", "hashes"))):
         if h:
-            docs.append(np.repeat(np.frombuffer(d, "<i8"), np.frombuffer(c, "<i4")))
+            docs.append(np.repeat(np.cumsum(_large(d)), _large(c)))
             hashes.append(_hashes(h, width))
     return np.concatenate(docs), np.concatenate(hashes)
 
