@@ -6,9 +6,9 @@ as Parquet and read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voyra.llm import quality as Q
+from voyra.llm import bpe, jaccard, mixing, quality as Q, secret_scan
 from voyra.llm.common import prepare, read, scratch
 
 
@@ -18,7 +18,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return Q.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of the n-gram Jaccard join the document with the smallest id."""
+    prepare(spark)
+    return jaccard.one_of_each(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, found secrets replaced by a mark; ``n_chars`` follows the text."""
+    prepare(spark)
+    clean = secret_scan.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training stream: documents that the mix takes, repeated as it repeats them,
+    sorted by training position."""
+    prepare(spark)
+    return mixing.mixed_documents(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document of the stream, and the text that they decode to."""
+    prepare(spark)
+    decoded, text = bpe.decode(bpe.encode(docs))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col(text).alias("decoded"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
+]
 
 # The repetition rule and the tokenizer's merges have no SQL form; the tests
 # hold run() against a brute-force version.

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import bpe, jaccard, lengths, mixing, quality as Q, secret_scan, substring, warc
+from voyra.llm import bpe, jaccard, lengths, mixing, qalsh, quality as Q, secret_scan, substring, warc
 
 
 @query("op7_quality_rules")
@@ -126,3 +126,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near-duplicate documents (4-word shingles, Jaccard 0.85 or more) of every document."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return jaccard.join(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
+
+
+@query("op3_collision_neighbours")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every vector whose id is divisible by 100, among all vectors."""
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return qalsh.nearest(vectors, vectors.filter("vec_id % 100 = 0"), 10)
