@@ -118,10 +118,10 @@ class _Chunk:
         self.ids, self.counts, self.hashes, self.words, self.known = [], [], [], [], np.zeros(0, np.uint64)
         self.size = 0
 
-    def add(self, ids: pa.Array, text: pa.Array) -> None:
+    def add(self, ids: pa.Array, text: pa.Array, lower: bool = False) -> None:
         self.ids.append(ids)
         self.size += text.nbytes
-        for s in B.slices(text):
+        for s in B.slices(text, lower=lower):
             self.counts.append(s.counts())
             h = s.word_hash()
             self.hashes.append(h)

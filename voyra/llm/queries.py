@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import bpe, jaccard, lengths, mixing, qalsh, quality as Q, secret_scan, substring, warc
+from voyra.llm import attention, bpe, jaccard, lengths, mixing, qalsh, quality as Q, secret_scan, substring, warc
 
 
 @query("op7_quality_rules")
@@ -133,3 +133,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest found of every vector whose id is divisible by 100, among all vectors."""
     vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return qalsh.nearest(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
+@query("op5_attention_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and attention-model score of every document."""
+    return attention.score(read(spark, sf_dir, "documents", "doc_id", "text"))
