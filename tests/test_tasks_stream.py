@@ -124,3 +124,20 @@ def test_dedup_within_watermark_on_events(spark, tmp_dir):
     got = spark.read.parquet(out)
     n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert got.count() == n and got.select("event_id").distinct().count() == n
+
+
+def test_stream_reads_a_table_of_several_files_like_one_file(spark, tmp_dir):
+    from voyra.streaming.ingest import file_stream, ingest
+    rows = spark.range(90).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "'<p>' AS html")
+    for name, parts in (("one", 1), ("many", 5)):
+        rows.repartition(parts).write.parquet(f"{tmp_dir}/{name}/pages.parquet")
+        ingest(file_stream(spark, f"{tmp_dir}/{name}", "pages", max_files=2), f"{tmp_dir}/{name}-out", f"{tmp_dir}/{name}-ckpt")
+        got = spark.read.parquet(f"{tmp_dir}/{name}-out")
+        assert got.count() == 90 and got.select("page_id").distinct().count() == 90
+
+
+def test_page_keeps_more_than_ten_reviews(spark):
+    from voyra.operators.reviews import explode_reviews, page_assemble
+    df = spark.range(13).selectExpr("'a' AS attr_name", "1 AS attr_page", "id AS review_id", "'t' AS title",
+                                    "'m' AS time", "'k' AS type", "'r' AS review")
+    assert explode_reviews(page_assemble(df)).count() == 13

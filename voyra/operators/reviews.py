@@ -4,7 +4,7 @@ Design notes for scale:
 * "first / last per key" is a grouped ``min``/``max`` of a struct (or
   ``min_by``), not a ``row_number`` window: the aggregate combines map-side,
   so a key with a third of the rows is reduced before the shuffle.
-* Page assembly groups at most ``per_page`` rows, so collected arrays stay
+* Page assembly groups the reviews of one page, so collected arrays stay
   bounded whatever the size of an attraction.
 * Generated page lists are exploded in two steps with a shuffle between, so
   one attraction with millions of pages is spread over many tasks.
@@ -25,7 +25,7 @@ def build_review(title="title", time="time", type_="type", review="review") -> C
                     c(type_).alias("type"), c(review).alias("review"))
 
 
-def page_assemble(reviews: DataFrame, per_page: int = 10) -> DataFrame:
+def page_assemble(reviews: DataFrame) -> DataFrame:
     """Flat reviews -> one document per (attr_name, attr_page) with
     attr_reviews = map(string(review_id) -> review struct), ordered by id.
 
@@ -35,7 +35,6 @@ def page_assemble(reviews: DataFrame, per_page: int = 10) -> DataFrame:
                      build_review().alias("v"), F.col("review_id").alias("i"))
     g = reviews.groupBy("attr_name", "attr_page").agg(F.collect_list(entry).alias("_e"))
     ordered = F.array_sort(F.transform("_e", lambda e: F.struct(e["i"].alias("i"), e["k"].alias("k"), e["v"].alias("v"))))
-    ordered = F.slice(ordered, 1, per_page)
     return g.select("attr_name", F.col("attr_page").cast("int").alias("attr_page"),
                     F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["k"], e["v"])))
                     .alias("attr_reviews"))

@@ -146,7 +146,7 @@ def attraction_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled text for classification: doc_id, text, label (= lang)."""
-    d = tables.documents(spark, sf_dir, "doc_id", "text", "lang", spread=True)  # tokenised next
+    d = tables.documents(spark, sf_dir, "doc_id", "text", "lang")  # tokenised next
     return d.select("doc_id", "text", F.col("lang").alias("label"))
 
 

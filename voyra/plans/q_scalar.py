@@ -24,7 +24,7 @@ MARKERS_SQL = "'<!--red_beg-->|<!--red_end-->|<em>|</em>'"
 SELECT page_id, md5(regexp_replace(html, {MARKERS_SQL}, '', 'g')) AS html_md5,
        length(regexp_replace(html, {MARKERS_SQL}, '', 'g')) AS html_chars FROM pages""")
 def strip_markers(spark, sf_dir):
-    p = tables.pages(spark, sf_dir, "page_id", "html", spread=True)
+    p = tables.pages(spark, sf_dir, "page_id", "html")
     s = X.strip_markers("html")
     return p.select("page_id", F.md5(s).alias("html_md5"), F.length(s).cast("long").alias("html_chars"))
 
@@ -33,7 +33,7 @@ def strip_markers(spark, sf_dir):
 SELECT doc_id, md5({S.demojize('text')}) AS text_md5, length({S.demojize('text')}) AS text_chars
 FROM documents""")
 def demojize(spark, sf_dir):
-    d = tables.documents(spark, sf_dir, "doc_id", "text", spread=True)
+    d = tables.documents(spark, sf_dir, "doc_id", "text")
     s = X.demojize("text")
     return d.select("doc_id", F.md5(s).alias("text_md5"), F.length(s).cast("long").alias("text_chars"))
 
@@ -42,7 +42,7 @@ def demojize(spark, sf_dir):
 SELECT doc_id, md5(regexp_replace(text, '[^ -~]', '', 'g')) AS text_md5,
        length(regexp_replace(text, '[^ -~]', '', 'g')) AS text_chars FROM documents""")
 def ascii_filter(spark, sf_dir):
-    d = tables.documents(spark, sf_dir, "doc_id", "text", spread=True)
+    d = tables.documents(spark, sf_dir, "doc_id", "text")
     s = X.ascii_filter("text")
     return d.select("doc_id", F.md5(s).alias("text_md5"), F.length(s).cast("long").alias("text_chars"))
 
@@ -51,16 +51,16 @@ def ascii_filter(spark, sf_dir):
 SELECT page_id, md5({S.clean('html')}) AS html_md5, length({S.clean('html')}) AS html_chars
 FROM pages""")
 def clean_text(spark, sf_dir):
-    p = tables.pages(spark, sf_dir, "page_id", "html", spread=True)
+    p = tables.pages(spark, sf_dir, "page_id", "html")
     s = X.clean_text("html")
     return p.select("page_id", F.md5(s).alias("html_md5"), F.length(s).cast("long").alias("html_chars"))
 
 
 @query("safe_name", sql="""
-SELECT doc_id, translate(substring(text, 1, 40), '''/,?:*<>|"', '') AS name FROM documents""")
+SELECT doc_id, translate(text, '''/,?:*<>|"', '') AS name FROM documents""")
 def safe_name(spark, sf_dir):
     d = tables.documents(spark, sf_dir, "doc_id", "text")
-    return d.select("doc_id", X.safe_name(F.substring("text", 1, E.TITLE_CHARS)).alias("name"))
+    return d.select("doc_id", X.safe_name("text").alias("name"))
 
 
 @query("digits_only", sql="""
@@ -69,7 +69,7 @@ SELECT doc_id, regexp_replace(text, '[^0-9]', '', 'g') AS digits,
        TRY_CAST(regexp_replace(format('{:,}', n_chars) || ' reviews', '[^0-9]', '', 'g') AS INTEGER) AS n_reviews
 FROM documents""")
 def digits_only(spark, sf_dir):
-    d = tables.documents(spark, sf_dir, "doc_id", "text", "n_chars", spread=True)
+    d = tables.documents(spark, sf_dir, "doc_id", "text", "n_chars")
     shown = F.concat(F.format_number("n_chars", 0), F.lit(" reviews"))
     return d.select("doc_id", X.digits_only("text").alias("digits"),
                     X.to_int(X.digits_only("text")).alias("value"),
@@ -102,7 +102,7 @@ def page_count(spark, sf_dir):
 SELECT doc_id, len(p) AS n_labels, p[1] AS first_label, p[len(p)] AS last_label
 FROM (SELECT doc_id, string_split(replace(text, ' ', '&'), '&') AS p FROM documents)""")
 def split_labels(spark, sf_dir):
-    d = tables.documents(spark, sf_dir, "doc_id", "text", spread=True)
+    d = tables.documents(spark, sf_dir, "doc_id", "text")
     p = X.split_labels(F.replace("text", F.lit(" "), F.lit("&")))
     return d.select("doc_id", F.size(p).cast("long").alias("n_labels"),
                     F.get(p, 0).alias("first_label"), F.element_at(p, -1).alias("last_label"))
@@ -234,7 +234,7 @@ def to_json(spark, sf_dir):
 @query("zip_map", sql="""
 WITH w AS (
   SELECT doc_id, unnest(p) AS word, unnest(range(len(p))) AS i
-  FROM (SELECT doc_id, string_split(substring(text, 1, 40), ' ') AS p FROM documents)),
+  FROM (SELECT doc_id, string_split(text, ' ') AS p FROM documents)),
 k AS (SELECT doc_id, word, min(i) AS first_i, max(i) AS last_i FROM w GROUP BY doc_id, word)
 SELECT doc_id, count(*) AS n_keys,
        string_agg(word, '|' ORDER BY first_i) AS keys,
@@ -243,7 +243,7 @@ FROM k GROUP BY doc_id""")
 def zip_map(spark, sf_dir):
     """Names and lists -> map; a repeated name keeps its later list."""
     d = tables.documents(spark, sf_dir, "doc_id", "text")
-    words = F.split(F.substring("text", 1, E.TITLE_CHARS), " ")
+    words = F.split("text", " ")
     lists = F.transform(words, lambda w, i: F.array(w, i.cast("string")))
     m = F.map_from_arrays(words, lists)
     return d.select("doc_id", m.alias("m")).select(
@@ -282,7 +282,7 @@ PARAS_SQL = r"""list_transform(regexp_extract_all(regexp_replace(html,
 SELECT page_id, len(p) AS n_paragraphs, md5(array_to_string(p, chr(10))) AS text_md5
 FROM (SELECT page_id, {PARAS_SQL} AS p FROM pages)""")
 def html_text_all(spark, sf_dir):
-    p = tables.pages(spark, sf_dir, "page_id", "html", spread=True)
+    p = tables.pages(spark, sf_dir, "page_id", "html")
     t = H.html_text_all("html")
     return p.select("page_id", F.size(t).cast("long").alias("n_paragraphs"),
                     F.md5(F.array_join(t, "\n")).alias("text_md5"))

@@ -60,6 +60,8 @@ CLUSTER_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_BATCH_ROWS,
     "spark.task.maxFailures": "8",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.stage.maxConsecutiveAttempts": "8",
 }
 
@@ -133,6 +135,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="voyra-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
@@ -154,14 +158,4 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for the few local-only checks in tests."""
-    return p[5:] if p.startswith("file:") else p
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-__all__ = ["configure", "build_session", "checkpoint_root", "scratch_dir",
-           "local_path", "is_local"]
+__all__ = ["configure", "build_session", "checkpoint_root", "scratch_dir"]

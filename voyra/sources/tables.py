@@ -7,8 +7,6 @@ columns they use.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Declared schemas of the input tables (as read by Spark).
@@ -23,64 +21,35 @@ SCHEMAS = {
 }
 
 
-# Text tables whose rows carry heavy per-row work (regex, tokens, markup), with
-# the id they are spread on.
-SPREAD_KEY = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-# Spread only tables below this many bytes on disk. A big table arrives in many
-# files and row groups, so its scan is parallel already and spreading would
-# only shuffle raw text; a small one may be a single row group read by one task.
-SPREAD_MAX_BYTES = 1 << 30
-
-_sizes: dict[str, int] = {}
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` (Hadoop FileSystem API; any scheme the cluster reads)."""
-    if path not in _sizes:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        _sizes[path] = int(fs.getContentSummary(p).getLength())
-    return _sizes[path]
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str, spread: bool = False) -> DataFrame:
-    """Scan a driver table. ``spread=True`` is for plans that run heavy per-row
-    work (regex over whole texts, tokens) before their first shuffle."""
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Scan a driver table; one plan for tables of every size."""
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    path = table_path(sf_dir, name)
-    df = reader.parquet(path)
-    if cols:
-        key = SPREAD_KEY.get(name)
-        df = df.select(*cols, *([key] if key and key not in cols and spread else []))
-    key = SPREAD_KEY.get(name)
-    if spread and key and os.environ.get("VOYRA_SPREAD", "1") != "0" \
-            and path_bytes(spark, path) < SPREAD_MAX_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism, key)
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
 
 
-def pages(spark, sf_dir, *cols, spread: bool = False):
-    return table(spark, sf_dir, "pages", *cols, spread=spread)
+def pages(spark, sf_dir, *cols):
+    return table(spark, sf_dir, "pages", *cols)
 
 
-def documents(spark, sf_dir, *cols, spread: bool = False):
-    return table(spark, sf_dir, "documents", *cols, spread=spread)
+def documents(spark, sf_dir, *cols):
+    return table(spark, sf_dir, "documents", *cols)
 
 
-def labels(spark, sf_dir, *cols, spread: bool = False):
-    return table(spark, sf_dir, "labels", *cols, spread=spread)
+def labels(spark, sf_dir, *cols):
+    return table(spark, sf_dir, "labels", *cols)
 
 
-def conversations(spark, sf_dir, *cols, spread: bool = False):
-    return table(spark, sf_dir, "conversations", *cols, spread=spread)
+def conversations(spark, sf_dir, *cols):
+    return table(spark, sf_dir, "conversations", *cols)
 
 
-def events(spark, sf_dir, *cols, spread: bool = False):
-    return table(spark, sf_dir, "events", *cols, spread=spread)
+def events(spark, sf_dir, *cols):
+    return table(spark, sf_dir, "events", *cols)
