@@ -14,11 +14,14 @@ N(d) counts the token occurrences of d that are in the training vocabulary
 V; unseen (t, c) pairs contribute log(1) = 0, so only observed pairs join.
 
 Plan: fit = one explode + one partial aggregate on (token, class), written
-once as the model table. Score = explode, one join on token with the model
-table plus one "vocabulary" row per token (so N(d) comes out of the same
-join), one aggregate on (doc, class) and one per document over at most
-K + 1 entries (K classes). A frequent token is one hot join key: AQE's skew
-rule splits it, and the model side for a token is only K + 1 rows.
+once as the model table, one row per token with its class weights. Score =
+tokens counted per document, one join on token with the model, the few class
+weights unrolled behind the join straight into a partial aggregate on
+(document, class), then one row per document. A frequent token is one hot join
+key: it counts once per document, and AQE's skew rule splits it; one model row
+answers it. The class table (prior and denominator, one row per class) reaches
+every document as a scalar subquery, whatever the number of classes; the plan
+is the same at every size.
 """
 
 from __future__ import annotations
@@ -29,103 +32,85 @@ from pyspark.sql import functions as F
 # --- fixed values --------------------------------------------------------
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"   # tokens are runs of letters and digits
 MAX_TOKENS = 512                  # the reference's maxlen
-MAX_CLASSES = 10_000              # refuse to inline more class rows than this
-MODEL_BROADCAST_ROWS = 4_000_000  # broadcast the weight table up to this many rows (~256 MB)
 # --- end of fixed values -------------------------------------------------
 
 
-def tokens(text: str | Column, max_tokens: int = MAX_TOKENS) -> Column:
-    """Lower-cased tokens, empty ones dropped, capped at ``max_tokens``."""
+def tokens(text: str | Column, max_tokens: int | None = MAX_TOKENS) -> Column:
+    """Lower-cased tokens, empty ones dropped; the first ``max_tokens``, or all (None)."""
     t = F.col(text) if isinstance(text, str) else text
     toks = F.filter(F.split(F.lower(t), TOKEN_SPLIT), lambda x: x != "")
-    return F.slice(toks, 1, max_tokens)
+    return toks if max_tokens is None else F.slice(toks, 1, max_tokens)
 
 
 class NaiveBayes:
-    """Fitted model: per-class rows (few, count checked) and the token weight
-    table ``(token, cls, w)`` read back from where it was written."""
+    """Fitted model: ``classes`` (cls, prior, denom), one row per class, and
+    ``weights`` (token, ws), one row per token with its (cls, w) entries; the
+    entry of class NULL weighs 1 and counts tokens of the vocabulary."""
 
-    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame, rows: int):
-        self.classes, self.weights, self.rows = classes, weights, rows
-
-    def join_side(self) -> DataFrame:
-        """The weight table for the token join: broadcast when its counted
-        size is under ``MODEL_BROADCAST_ROWS`` (no shuffle of the token rows),
-        else a plain join (sort-merge, AQE splits hot tokens)."""
-        return F.broadcast(self.weights) if self.rows <= MODEL_BROADCAST_ROWS else self.weights
+    def __init__(self, classes: DataFrame, weights: DataFrame):
+        self.classes, self.weights = classes, weights
 
     def class_array(self) -> Column:
-        return F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(p).alias("prior"), F.lit(d).alias("denom"))
-                         for c, p, d in self.classes])
+        return self.classes.agg(F.array_agg(F.struct("cls", "prior", "denom"))).scalar()
 
 
 def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text",
-           max_tokens: int = MAX_TOKENS) -> NaiveBayes:
-    """Fit on ``train`` (label, text); the weight table is written to ``path``
-    (a folder under spark.checkpoint.dir) and everything after reads it."""
+           max_tokens: int | None = None) -> NaiveBayes:
+    """Fit on ``train`` (label, text; rows without a label teach nothing); the
+    model is written to ``path`` (a folder under spark.checkpoint.dir) and
+    everything after reads it."""
+    from voyra.session import materialize
     spark = train.sparkSession
+    train = train.where(F.col(label).isNotNull())
     toks = train.select(F.col(label).alias("cls"), F.explode(tokens(text, max_tokens)).alias("token"))
     counts = toks.groupBy("token", "cls").agg(F.count(F.lit(1)).alias("cnt"))
-    # the model table: observed (token, class) counts plus one vocabulary row
-    # per token (cls NULL), written once and read back
-    vocab = counts.select("token").distinct().select(
-        "token", F.lit(None).cast("string").alias("cls"), F.lit(None).cast("long").alias("cnt"))
-    counts.unionByName(vocab).write.mode("overwrite").parquet(path)
+    counts.groupBy("token").agg(F.collect_list(F.struct("cls", "cnt")).alias("cs")) \
+        .write.mode("overwrite").parquet(path)                       # at most one entry a class
     model = spark.read.parquet(path)
-    sizes = model.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("cls").isNull()).alias("vocab")).first()
-    n_vocab = sizes["vocab"]
-    n_docs = train.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_docs"))
-    n_tok = model.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.sum("cnt").alias("n_tok"))
-    rows = n_docs.join(n_tok, "cls", "left").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    import math
-    docs = sum(r["n_docs"] for r in rows)
-    classes = sorted((r["cls"], math.log(r["n_docs"] / docs), math.log((r["n_tok"] or 0) + n_vocab))
-                     for r in rows)
-    weights = model.select("token", "cls", F.when(F.col("cls").isNull(), F.lit(0.0))
-                           .otherwise(F.log(F.col("cnt") + F.lit(1))).alias("w"))
-    return NaiveBayes(classes, weights, sizes["rows"])
-
-
-def _score_entries(model: NaiveBayes, docs: DataFrame, keep: list[str], text: str,
-                   max_tokens: int) -> DataFrame:
-    """Per document: keep columns and ``_e`` = array of (cls, s, n), at most
-    K + 2 entries (cls NULL holds the in-vocabulary token count)."""
-    e = docs.select(*keep, F.explode(tokens(text, max_tokens)).alias("token"))
-    per = e.join(model.join_side(), "token").groupBy(*keep, "cls").agg(
-        F.sum("w").alias("s"), F.count(F.lit(1)).alias("n"))
-    marker = docs.select(*keep, F.lit(None).cast("string").alias("cls"), F.lit(0.0).alias("s"),
-                         F.lit(0).cast("long").alias("n"))
-    return per.unionByName(marker).groupBy(*keep).agg(F.collect_list(F.struct("cls", "s", "n")).alias("_e"))
-
-
-def _scores_col(model: NaiveBayes) -> Column:
-    """array<struct<ns, cls, score>> sorted by (-score, cls)."""
-    n_in = F.aggregate(F.filter("_e", lambda x: x["cls"].isNull()), F.lit(0).cast("long"),
-                       lambda a, x: a + x["n"])
+    n_docs = materialize(train.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_docs")))
+    n_tok = model.select(F.explode("cs").alias("c")).groupBy("c.cls").agg(F.sum("c.cnt").alias("n_tok"))
+    classes = materialize(n_docs.join(n_tok, "cls", "left").select(
+        "cls", F.log(F.col("n_docs") / n_docs.agg(F.sum("n_docs")).scalar()).alias("prior"),
+        F.log((F.coalesce("n_tok", F.lit(0)) + model.agg(F.count(F.lit(1))).scalar()).cast("double")).alias("denom")))
+    seen = F.transform("cs", lambda c: F.struct(c["cls"].alias("cls"), F.log(c["cnt"] + F.lit(1)).alias("w")))
+    in_vocab = F.array(F.struct(F.lit(None).cast("string").alias("cls"), F.lit(1.0).alias("w")))
+    return NaiveBayes(classes, model.select("token", F.concat(seen, in_vocab).alias("ws")))
+
+
+def _scored(model: NaiveBayes, docs: DataFrame, keep: list[str], text: str,
+            max_tokens: int | None) -> DataFrame:
+    """Per document: keep columns and ``_s`` = array<struct<ns, cls, score>> of
+    every class, sorted by (-score, cls)."""
+    counted = (docs.select(*keep, F.explode(tokens(text, max_tokens)).alias("token"))
+               .groupBy(*keep, "token").agg(F.count(F.lit(1)).alias("n")))
+    found = counted.join(model.weights, "token").select(*keep, "n", F.explode("ws").alias("x")) \
+        .select(*keep, F.col("x.cls").alias("cls"), (F.col("n") * F.col("x.w")).alias("s"), F.lit(0.0).alias("denom"))
+    every = docs.select(*keep).withColumn("_c", model.class_array()).select(*keep, F.explode("_c").alias("x")) \
+        .select(*keep, "x.cls", F.col("x.prior").alias("s"), "x.denom").distinct()
+    per = found.unionByName(every).groupBy(*keep, "cls").agg(F.sum("s").alias("s"), F.max("denom").alias("denom"))
+    n_in = F.sum(F.when(F.col("cls").isNull(), F.col("s")))
+    entries = F.collect_list(F.when(F.col("cls").isNotNull(), F.struct("cls", "s", "denom")))
+    g = per.groupBy(*keep).agg(entries.alias("_e"), F.coalesce(n_in, F.lit(0.0)).alias("_n"))
 
     def score(c):
-        s = F.aggregate(F.filter("_e", lambda x: x["cls"] == c["cls"]), F.lit(0.0), lambda a, x: a + x["s"])
-        v = c["prior"] - n_in * c["denom"] + s
+        v = c["s"] - F.col("_n") * c["denom"]
         return F.struct((-v).alias("ns"), c["cls"].alias("cls"), v.alias("score"))
-    return F.array_sort(F.transform(model.class_array(), score))
+    return g.select(*keep, F.array_sort(F.transform("_e", score)).alias("_s"))
 
 
 def nb_scores(model: NaiveBayes, docs: DataFrame, text: str = "text",
-              max_tokens: int = MAX_TOKENS) -> DataFrame:
+              max_tokens: int | None = None) -> DataFrame:
     """(doc_id, cls, score) for every document and class."""
-    g = _score_entries(model, docs, ["doc_id"], text, max_tokens)
-    return g.select("doc_id", F.explode(_scores_col(model)).alias("x")).select(
-        "doc_id", "x.cls", "x.score")
+    g = _scored(model, docs, ["doc_id"], text, max_tokens)
+    return g.select("doc_id", F.explode("_s").alias("x")).select("doc_id", "x.cls", "x.score")
 
 
 def nb_predict(model: NaiveBayes, docs: DataFrame, label: str = "label", text: str = "text",
-               max_tokens: int = MAX_TOKENS, keep: list[str] | None = None) -> DataFrame:
+               max_tokens: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """doc_id, label, prediction (argmax, ties to the smaller name), p_true
     (softmax probability of the true class) and loss = -log p_true."""
     keep = ["doc_id", label] + [k for k in (keep or []) if k not in ("doc_id", label)]
-    g = _score_entries(model, docs, keep, text, max_tokens).withColumn("_s", _scores_col(model))
+    g = _scored(model, docs, keep, text, max_tokens)
     mx = F.col("_s")[0]["score"]
     z = F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - mx))
     s_true = F.get(F.filter("_s", lambda x: x["cls"] == F.col(label)), 0)["score"]
@@ -134,9 +119,14 @@ def nb_predict(model: NaiveBayes, docs: DataFrame, label: str = "label", text: s
                     F.exp(-loss).alias("p_true"), loss.alias("loss"))
 
 
+def confusion(preds: DataFrame) -> DataFrame:
+    """Confusion matrix in long form: label, prediction, n."""
+    return preds.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
 def class_report(preds: DataFrame) -> DataFrame:
     """Per class: precision, recall, F1, support (from the confusion counts)."""
-    conf = preds.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    conf = confusion(preds)
     # each confusion cell counts once for its true class (support, tp) and
     # once for its predicted class: one more aggregate, no joins
     n, hit = F.col("n"), F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
@@ -160,16 +150,16 @@ def top_losses(preds: DataFrame, n: int = 5) -> DataFrame:
     return preds.orderBy(F.desc("loss"), F.asc("doc_id")).limit(n)
 
 
-def lr_pipeline(max_tokens: int = MAX_TOKENS, num_features: int = 1 << 18, max_iter: int = 20,
+def lr_pipeline(max_tokens: int | None = None, num_features: int = 1 << 18, max_iter: int = 20,
                 reg: float = 0.01, label: str = "label"):
-    """Spark ML pipeline: tokens (capped) -> hashed term frequencies -> IDF
+    """Spark ML pipeline: tokens (all, or the first ``max_tokens``) -> hashed term frequencies -> IDF
     (fitted on the training rows only) -> multinomial logistic regression."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer, StringIndexer
 
     tok = RegexTokenizer(inputCol="text", outputCol="words_all", pattern=TOKEN_SPLIT, gaps=True, toLowercase=True)
-    cap = SQLTransformer(statement=f"SELECT *, slice(words_all, 1, {max_tokens}) AS words FROM __THIS__")
+    cap = SQLTransformer(statement="SELECT *, " + ("words_all" if max_tokens is None else f"slice(words_all, 1, {max_tokens})") + " AS words FROM __THIS__")
     tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features)
     idf = IDF(inputCol="tf", outputCol="features")
     idx = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc", handleInvalid="keep")

@@ -20,10 +20,11 @@ from voyra.sinks import files as sinks
 from voyra.sources import files as src
 from voyra.sources import tables
 
-TOKENS_SQL = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')[1:512]"
+ALL_TOKENS_SQL = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+TOKENS_SQL = ALL_TOKENS_SQL + f"[1:{C.MAX_TOKENS}]"       # text_features: the cut is the feature
 
 NB_SQL = S.with_(S.SPLIT) + f""",
-toks AS (SELECT doc_id, label, part, unnest({TOKENS_SQL}) AS token FROM split),
+toks AS (SELECT doc_id, label, part, unnest({ALL_TOKENS_SQL}) AS token FROM split),
 w AS (SELECT token, label AS cls, ln(count(*) + 1) AS w, count(*) AS cnt
       FROM toks WHERE part = 'train' GROUP BY token, label),
 vocab AS (SELECT DISTINCT token FROM w),
@@ -50,24 +51,10 @@ preds AS (SELECT a.doc_id, a.label, a.part, a.prediction, l.lse - a.s_true AS lo
 """
 
 
-# Fitted models per (application, tables folder): the fits are deterministic,
-# so the queries that evaluate the same model share one fit. What is kept on
-# the driver is the model itself (class rows / coefficients), not data.
-_MODELS: dict = {}
-
-
-def _memo(spark, sf_dir, kind, fit):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
-    if key not in _MODELS:
-        _MODELS[key] = fit()
-    return _MODELS[key]
-
-
 def nb_predictions(spark, sf_dir):
     """(doc_id, label, part, prediction, p_true, loss) for every document."""
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))
-    model = _memo(spark, sf_dir, "nb", lambda: C.nb_fit(d.where(F.col("part") == "train"),
-                                                        scratch_dir(spark, "nb-model")))
+    model = C.nb_fit(d.where(F.col("part") == "train"), scratch_dir(spark, "nb-model"))
     return C.nb_predict(model, d, keep=["part"])
 
 
@@ -120,6 +107,12 @@ def class_report(spark, sf_dir):
                     F.round("f1", 4).alias("f1"), "support")
 
 
+@query("confusion_matrix", sql=NB_SQL + """
+SELECT label, prediction, count(*) AS n FROM preds WHERE part = 'test' GROUP BY label, prediction""")
+def confusion_matrix(spark, sf_dir):
+    return C.confusion(nb_predictions(spark, sf_dir).where(F.col("part") == "test"))
+
+
 @query("top_losses", sql=NB_SQL + """
 SELECT doc_id, label, prediction, round(loss, 4) AS loss FROM preds WHERE part = 'test'
 ORDER BY preds.loss DESC, doc_id LIMIT 5""")
@@ -150,9 +143,7 @@ def label_map(spark, sf_dir):
 
 def _fit_lr(spark, sf_dir, max_iter: int = 20):
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))
-    model = _memo(spark, sf_dir, f"lr{max_iter}",
-                  lambda: C.lr_pipeline(max_iter=max_iter).fit(d.where(F.col("part") == "train")))
-    return model, d
+    return C.lr_pipeline(max_iter=max_iter).fit(d.where(F.col("part") == "train")), d
 
 
 @query("classifier_train")
