@@ -71,7 +71,10 @@ def map_text(df: DataFrame, text: str, fields: str, fn: Callable[[pa.Array], lis
     """
     keep = list(df.columns) if keep is None else keep
     name = fresh(df, out)
-    src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(fresh(df, "text_in")))
+    # a kept text is sent once, not a second time as the input of ``fn``
+    more = [] if text in keep else [F.col(f"`{text}`").alias(fresh(df, "text_in"))]
+    src = df.select(*[F.col(f"`{c}`") for c in keep], *more)
+    at = keep.index(text) if text in keep else len(keep)
     struct = T.StructType.fromDDL(fields)
     schema = T.StructType([*src.schema.fields[: len(keep)], T.StructField(name, struct)])
     names = [f.name for f in struct.fields]
@@ -80,7 +83,7 @@ def map_text(df: DataFrame, text: str, fields: str, fn: Callable[[pa.Array], lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [b.column(i) for i in range(len(kept))]
-            vals = [v if isinstance(v, pa.Array) else pa.array(v) for v in fn(b.column(len(kept)))]
+            vals = [v if isinstance(v, pa.Array) else pa.array(v) for v in fn(b.column(at))]
             yield pa.RecordBatch.from_arrays([*cols, pa.StructArray.from_arrays(vals, names)], [*kept, name])
 
     return src.mapInArrow(run, schema), name

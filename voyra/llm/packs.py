@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from voyra.llm import bytehash as B
 
 SCHEMA = "key long, docs binary, counts binary, hashes binary, extra binary"
-BATCH_ENTRIES = 600_000
+BATCH_ENTRIES = 200_000
 BUCKET_BYTES = 6 << 20         # text for each bucket and for each block of documents
 
 REPEATED = "repeated"          # flag every document of a hash that two documents hold
