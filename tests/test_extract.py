@@ -104,3 +104,12 @@ def test_sql_table_functions_match_dataframe_form(spark):
     forum.createOrReplaceTempView("forum_fixture")
     rows = spark.sql("SELECT f.conv_id, s.* FROM forum_fixture f, LATERAL forum_posts(f.html) s").collect()
     assert [r.username for r in rows] == ["ann", None]
+
+
+def test_links_and_heading_in_any_form(spark):
+    from voyra.functions import html as H
+    page = ("<H1 class=x>Salt &amp; <B>Light</B></H1><A HREF='/one'>1</A><a class=\"n\" href=/two>2</a>"
+            "<a href = \"/q?a=1&amp;b=2\">3</a><a name=\"x\">none</a><a data-href=\"no\" href=\"\">4</a>")
+    got = spark.createDataFrame([(page,), (None,)], "html string").select(H.html_links("html"), H.html_title("html")).collect()
+    assert list(got[0][0]) == ["/one", "/two", "/q?a=1&b=2", ""] and got[0][1] == "Salt &amp; Light"
+    assert got[1][0] is None and got[1][1] is None

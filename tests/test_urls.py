@@ -36,3 +36,13 @@ def test_abs_url(spark):
     df = spark.createDataFrame([("/a",), ("//b.org/c",), ("http://d.org",)], "h STRING")
     assert [r[0] for r in df.select(U.abs_url("h", "https://site.org")).collect()] == \
         ["https://site.org/a", "//b.org/c", "http://d.org"]
+
+
+def test_url_join_folds_dot_segments(spark):
+    from urllib.parse import urljoin
+    bases = ["http://h.org/a/b/c.html", "http://h.org", "http://h.org/a/?x=1#f"]
+    links = ["../x.html", "./x", "../../../up", "..", ".", "/a/./b/../c?q=../d", "d/../e#../f", "plain", ".hidden", "a..b"]
+    pairs = [(b, l) for b in bases for l in links]
+    df = spark.createDataFrame(pairs, "b string, l string")
+    got = [r[0] for r in df.select(U.url_join("b", "l")).collect()]
+    assert got == [urljoin(b, l) for b, l in pairs]

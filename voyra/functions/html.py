@@ -16,9 +16,11 @@ from voyra.functions.text import comma_int
 # --- fixed values --------------------------------------------------------
 SCRIPT_OR_STYLE = r"(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
 TAG = r"<[^>]*>"
-H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
-TITLE = r"(?s)<title[^>]*>(.*?)</title>"
-LINK_HREF = r"<a\s[^>]*href=\"([^\"]*)\""
+H1 = r"(?is)<h1[^>]*>(.*?)</h1>"
+TITLE = r"(?is)<title[^>]*>(.*?)</title>"
+LINK_HREF = r"(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+QUOTES = r"^[\"']|[\"']$"
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
 PARAGRAPH = r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"
 PAGE_TOTAL = r"of ([0-9][0-9,]*)"
 # --- end of fixed values -------------------------------------------------
@@ -37,14 +39,16 @@ def strip_tags(c) -> Column:
 
 
 def html_title(c) -> Column:
-    """Text of the first <h1> (tags inside removed); NULL when there is none."""
+    """Text of the first <h1> (tags inside removed, entities as they stand); NULL when there is none."""
     h = F.regexp_extract(_c(c), H1, 1)
     return F.when(_c(c).rlike(H1), F.trim(strip_tags(h)))
 
 
 def html_links(c) -> Column:
-    """Every ``href`` of an ``<a>`` tag, in page order."""
-    return F.regexp_extract_all(_c(c), F.lit(LINK_HREF), 1)
+    """Every ``href`` of an ``<a>`` tag, in page order: either quote or none, tags
+    in either case, entities decoded."""
+    found = F.regexp_extract_all(_c(c), F.lit(LINK_HREF), 1)
+    return F.transform(found, lambda h: html_unescape(F.regexp_replace(h, QUOTES, "")))
 
 
 def html_text_all(c) -> Column:
@@ -58,6 +62,14 @@ def html_page_total(c) -> Column:
     return comma_int(F.regexp_extract(_c(c), PAGE_TOTAL, 1))
 
 
+def html_unescape(c) -> Column:
+    """The named entities of ``html_escape`` and the two forms of the single quote, decoded."""
+    c = _c(c)
+    for a, b in ENTITIES:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
 def html_escape(c) -> Column:
     """Escape text for use inside markup (the inverse of what a parser undoes)."""
     c = _c(c)

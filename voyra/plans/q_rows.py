@@ -85,12 +85,11 @@ FROM documents d JOIN lang_codes c ON d.lang = c.name GROUP BY c.code""")
 def filter_eq_first(spark, sf_dir):
     d = tables.documents(spark, sf_dir, "doc_id", "source", "lang")
     codes = L.category_codes(d, "lang")
-    t = L.attach_codes(d, codes, "lang").withColumnRenamed("code", "target")
     # Set-based form of "rows of class k, then the first name", for all k at once:
-    # the first id per class is a hash aggregate (map-side combined); its name
-    # comes from a join with that K-row table, which AQE broadcasts.
-    first = t.groupBy("target").agg(F.min("doc_id").alias("doc_id"))
-    return first.join(d.select("doc_id", "source"), "doc_id").select(
+    # the first id per class is a hash aggregate (map-side combined); codes and
+    # names come from joins with that K-row table.
+    first = L.attach_codes(d.groupBy("lang").agg(F.min("doc_id").alias("doc_id")), codes, "lang")
+    return first.select("doc_id", F.col("code").alias("target")).join(d.select("doc_id", "source"), "doc_id").select(
         "target", F.col("source").alias("first_output"))
 
 

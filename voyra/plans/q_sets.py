@@ -34,9 +34,8 @@ UNION ALL
 SELECT 'page' AS kind, page_id AS id, url AS source, NULL::BIGINT AS conv_id, md5(html) AS text_md5 FROM pages""")
 def union_producers(spark, sf_dir):
     """Three producers into one collection, missing columns as NULL."""
-    r = E.reviews(spark, sf_dir, with_lang=False).select(
-        F.lit("review").alias("kind"), F.col("doc_id").alias("id"), F.col("attr_name").alias("source"),
-        F.md5("review").alias("text_md5"))
+    r = tables.documents(spark, sf_dir, "doc_id", "source", "text").select(
+        F.lit("review").alias("kind"), F.col("doc_id").alias("id"), "source", F.md5("text").alias("text_md5"))
     p = E.posts(spark, sf_dir).select(F.lit("post").alias("kind"), F.col("turn").alias("id"), "conv_id",
                                      F.md5("text").alias("text_md5"))
     g = tables.pages(spark, sf_dir).select(F.lit("page").alias("kind"), F.col("page_id").alias("id"),
@@ -62,8 +61,9 @@ def dedup_requests(spark, sf_dir):
     links = p.select("page_id", "url", F.posexplode(H.html_links("html")).alias("pos", "href")) \
         .select("page_id", "pos", U.abs_url("href", base).alias("req_url"))
     req = pages.unionByName(links).withColumn("fp", U.url_fingerprint("req_url"))
-    first = req.groupBy("fp").agg(F.min(F.struct("page_id", "pos", "req_url")).alias("m"))
-    return first.select("fp", F.col("m.req_url").alias("url"), F.col("m.page_id").alias("first_page_id"))
+    # the fingerprint fixes the URL, so both are keys and the buffer is one long: a hash aggregate
+    first = req.groupBy("fp", "req_url").agg(F.min("page_id").alias("first_page_id"))
+    return first.select("fp", F.col("req_url").alias("url"), "first_page_id")
 
 
 @query("dedup_reviews", headline=True, sql=S.with_(S.REVIEWS) + """
