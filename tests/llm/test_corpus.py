@@ -400,3 +400,11 @@ def test_pipeline_against_brute_force(spark, docs):
     assert len(out) >= len({r["doc_id"] for r in out}) > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "secrets", "source_mix", "token_ids"]
     assert mixing.MAX_PASSES == 2 and max(Counter(r["doc_id"] for r in out).values()) <= 2
+
+
+def test_word_ids_equal_the_tokenizer():
+    from voyra.llm import attention as A
+    from voyra.llm.bpe import encode_words, vocabulary_path
+    words = ["the", "a", "zzzzqx", "it's", "\u00e9t\u00e9", "x1y2", "--", "<b>", "\u4f60\u597d", "abcdefghijklmnopqrstuvwxyz" * 9, "\ufb01n", "!"]
+    assert A.word_ids(words, vocabulary_path()) == encode_words(words, vocabulary_path())
+    assert A.word_ids([], vocabulary_path()) == []
