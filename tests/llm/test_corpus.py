@@ -84,6 +84,29 @@ def test_quality_rules(docs, empty):
     assert Q.keep_good(docs).columns == docs.columns
 
 
+def test_each_repetition_limit_rejects_by_itself(spark, docs):
+    from voyra.llm import quality as Q
+
+    def page(n, *blocks):
+        """``n`` words, with each (length, times) block of words repeated at even distances."""
+        parts = [[f"b{k}x{j}" for j in range(size)] for k, (size, times) in enumerate(blocks) for _ in range(times)]
+        rest = [f"u{j}" for j in range(n - sum(map(len, parts)))]
+        step = len(rest) // (len(parts) + 1)
+        out = rest[:step]
+        for k, part in enumerate(parts):
+            out += part + rest[(k + 1) * step: (k + 2) * step if k + 1 < len(parts) else None]
+        return " ".join(out)
+    texts = {"clean": page(400), "one short line twice": page(400, (9, 2)), "passage of 95 twice": page(400, (95, 2)),
+             "covered only": page(400, *[(10, 2)] * 6), "longest only": page(400, (36, 2))}
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    quality, q = Q.quality(df)
+    got = {r["doc_id"]: r[q] for r in quality.collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {k for k, r in got.items() if not r["kept"]} == {"passage of 95 twice", "covered only", "longest only"}
+    assert (got["covered only"]["covered_words"], got["covered only"]["longest_repeat"]) == (120, 10)
+    assert (got["longest only"]["covered_words"], got["longest only"]["longest_repeat"]) == (72, 36)
+
+
 # 2 ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("window,first", [(13, 4), (5, 2), (3, 4)])

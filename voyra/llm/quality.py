@@ -8,6 +8,11 @@ that starts there. The spans of all repeats of at least ``MIN_REPEAT`` words
 are united; a text fails when they cover more than ``MAX_COVERED`` of its words
 or when one repeat is longer than ``MAX_LONGEST`` of them.
 
+Both limits lie well below the base rule: every covered word is also in a
+repeated 3-word window, so a covered limit of ``MAX_REPEAT_PCT`` could reject
+nothing more, and a passage found twice covers twice its length, so the longest
+limit acts by itself only below half of the covered one.
+
 All texts of a slice are sorted at once: the row is part of the first rank, so
 suffixes of different texts never compare equal, and each doubling round sorts
 only the suffixes that still share a rank.
@@ -29,8 +34,8 @@ from voyra.llm.common import map_text
 MIN_WORDS = 50           # base rule: fewer words fail
 MAX_REPEAT_PCT = 50      # base rule: percent of words in repeated 3-word windows
 MIN_REPEAT = 8           # words of a repeat that counts as covered
-MAX_COVERED = 0.5        # share of words inside such repeats
-MAX_LONGEST = 0.4        # longest repeat, as a share of the text's words
+MAX_COVERED = 0.2        # share of words inside such repeats
+MAX_LONGEST = 0.08       # longest repeat, as a share of the text's words
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
