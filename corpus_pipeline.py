@@ -19,9 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of the n-gram Jaccard join the document with the smallest id."""
+    """Of each component of the n-gram Jaccard join (five words, 0.8 or more) the document with the smallest id."""
     prepare(spark)
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, length=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

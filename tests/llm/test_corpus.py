@@ -173,6 +173,23 @@ def test_jaccard_join(spark, docs, block_entries):
     assert {r["doc_id"] for r in jaccard.one_of_each(df).collect()} == heads
 
 
+def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark, docs):
+    import corpus_pipeline
+    rng = np.random.default_rng(5)
+    texts = []
+    for g in range(12):                              # copies with 10 to 32% of text added, or words changed
+        w = [f"g{g}w{i}" for i in range(200)]
+        texts.append(" ".join(w))
+        texts += [" ".join(w + [f"n{g}x{i}" for i in range(int(200 * share))]) for share in (0.10 + g / 100, 0.18 + g / 200, 0.32)]
+        for k in rng.choice(200, 4, replace=False):
+            w[k] = f"v{rng.integers(9)}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()}
+    assert kept == {c for _, c in brute_components(texts, 5, 80)}
+    assert kept != {c for _, c in brute_components(texts, 4, 85)}
+
+
 def test_jaccard_join_empty(empty):
     from voyra.llm import jaccard
     assert jaccard.join(empty).count() == 0
