@@ -173,6 +173,26 @@ def test_jaccard_join(spark, docs, block_entries):
     assert {r["doc_id"] for r in jaccard.one_of_each(df).collect()} == heads
 
 
+def test_one_of_each_holds_rows_not_ids(spark, docs):
+    from voyra.llm import jaccard
+
+    def text(g, change=None):
+        return " ".join(f"{g}{i}" if i != change else "changed" for i in range(120))
+    table = [
+        (5, text("a"), "once"), (5, text("a"), "once"), (6, text("a", 3), None),        # whole copies and a near copy
+        (5, text("b"), "other component"), (7, text("b", 9), None),                     # a head's id in another component
+        (None, text("c"), "alone"), (None, text("d"), "linked"), (None, text("d", 4), "linked"),
+        (None, text("e"), None), (8, text("e", 2), "known id"),
+        (9, "", "no words"), (9, "", "no words"), (None, None, "null"),
+    ]
+    df = spark.createDataFrame(table, "doc_id long, text string, row_key string").repartition(3)
+    out = jaccard.one_of_each(df)
+    assert out.columns == df.columns
+    assert Counter((r["doc_id"], r["row_key"]) for r in out.collect()) == Counter(
+        [(5, "once"), (5, "other component"), (None, "alone"), (None, "linked"), (8, "known id"),
+         (9, "no words"), (9, "no words"), (None, "null")])
+
+
 def test_near_duplicates_stage_takes_five_words_and_four_fifths(spark, docs):
     import corpus_pipeline
     rng = np.random.default_rng(5)

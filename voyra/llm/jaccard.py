@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from voyra.llm import bytehash as B, packs
-from voyra.llm.common import scratch
+from voyra.llm.common import fresh, scratch
 from voyra.llm.components import components
 
 SHINGLE = 4
@@ -46,6 +46,7 @@ BLOCK_ENTRIES = 2_000_000       # columns held by the rows of one block
 
 PACK_BYTES = 8
 STATS = np.dtype([("uid", "<i8"), ("id", "<i8"), ("known", "<i8"), ("n", "<i8"), ("a", "<u8"), ("b", "<u8")])
+SAME = ["n", "sum_a", "sum_b"]   # rows that agree in these have equal sets
 ROWS = "uid long, id long, n long, sum_a decimal(20,0), sum_b decimal(20,0), columns binary"
 
 
@@ -69,12 +70,10 @@ def shingle_sets(s: B.Slice, length: int = SHINGLE) -> tuple[np.ndarray, np.ndar
 
 
 def _scan(docs: DataFrame, length: int, pieces: int) -> DataFrame:
-    """Packed (uid, hash) entries, and one row for each batch and block with the
+    """Packed (uid, hash) entries of (id, text, uid), and one row for each batch and block with the
     documents' own figures (uid, id, set size, two sums that tell sets apart)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        uid = TaskContext.get().partitionId() << 36
         held: list[tuple] = []
         size = 0
 
@@ -90,18 +89,18 @@ def _scan(docs: DataFrame, length: int, pieces: int) -> DataFrame:
             ids = b.column(0)
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy().astype(np.int64)
+            uid = b.column(2).to_numpy()
             for s in B.slices(b.column(1), lower=True):
                 row, h = shingle_sets(s, length)
                 stats = np.zeros(s.n, STATS)
-                stats["uid"] = uid + np.arange(s.n)
+                stats["uid"] = uid[s.lo: s.hi]
                 stats["id"], stats["known"] = ids[s.lo: s.hi], known[s.lo: s.hi]
                 stats["n"] = np.bincount(row, minlength=s.n)
                 for name, salt in (("a", 1), ("b", 2)):
                     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(B.mix(h + np.uint64(salt)))])
                     ends = np.cumsum(stats["n"])
                     stats[name] = total[ends] - total[ends - stats["n"]]
-                held.append((uid + row, h, stats))
-                uid += s.n
+                held.append((uid[s.lo + row], h, stats))
                 size += len(h)
                 if size >= packs.BATCH_ENTRIES:
                     yield flush()
@@ -245,33 +244,57 @@ def _links(rows: DataFrame, percent: int, block_entries: int) -> DataFrame:
     return rows.groupBy("unit", "i", "j").applyInArrow(multiply, "a long, b long")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = SHINGLE,
-         percent: int = PERCENT, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
-    """(id, n_shingles, class_id, component_id), one row for each row of ``docs``:
-    the smallest id with the same shingle set, and the smallest one reachable by links."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+def _classes(src: DataFrame, length: int, percent: int, block_entries: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of (id, text, uid): its rows with their sets' figures, the classes of equal
+    sets, and (node, component) for every class_uid that a link joins to another."""
     pieces = packs.pieces_for(src.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     shared = packs.shared(_scan(src, length, pieces), packs.REPEATED, pieces, PACK_BYTES)
     # uids depend on how the input was split: they are made once, and written
     rows = scratch(_rows(scratch(shared, "jaccard-shared"), percent), "jaccard-documents")
-    same = ["n", "sum_a", "sum_b"]
-    classes = rows.filter("n > 0").groupBy(*same).agg(
+    classes = rows.filter("n > 0").groupBy(*SAME).agg(
         F.min("id").alias("class_id"), F.min("uid").alias("class_uid"))
     classes = scratch(classes, "jaccard-classes")
     heads = rows.filter("columns IS NOT NULL").join(classes.select(F.col("class_uid").alias("uid")), "uid", "left_semi")
     linked = components(_links(heads, percent, block_entries))
     linked = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
+    return rows, classes, linked
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = SHINGLE,
+         percent: int = PERCENT, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """(id, n_shingles, class_id, component_id), one row for each row of ``docs``:
+    the smallest id with the same shingle set, and the smallest one reachable by links."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"),
+                      F.monotonically_increasing_id().alias("uid"))
+    rows, classes, linked = _classes(src, length, percent, block_entries)
     reach = classes.join(linked, classes["class_uid"] == linked["node"])
     lowest = scratch(reach.groupBy("component").agg(F.min("class_id").alias("component_id")), "jaccard-components")
-    reach = reach.select(*same, "component").join(lowest, "component").drop("component")
-    classes = classes.join(reach, same, "left")
-    out = rows.drop("columns").join(classes, same, "left")
+    reach = reach.select(*SAME, "component").join(lowest, "component").drop("component")
+    classes = classes.join(reach, SAME, "left")
+    out = rows.drop("columns").join(classes, SAME, "left")
     return out.select("id", F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
                       F.when(F.col("n") > 0, F.coalesce("component_id", "class_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **rule) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component."""
-    heads = join(docs, id_col, text, **rule).filter("id = component_id").select(F.col("id").alias("head_id__")).distinct()
-    return docs.join(heads, docs[id_col] == heads["head_id__"], "left_semi")
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = SHINGLE,
+                percent: int = PERCENT, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """Of each component the row with the smallest id; of several rows with that id
+    the first one read.
+
+    Components are made of rows, not of ids: whole copies of a row stay once, rows
+    with the same id in two components are held apart, a row without an id stays
+    where no linked row has one, and a row without words is a component of its own.
+    ``docs`` is written once with a key for each row, which the heads are met by.
+    """
+    uid = fresh(docs, "row_key")
+    keyed = scratch(docs.withColumn(uid, F.monotonically_increasing_id()), "jaccard-input")
+    src = keyed.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.col(uid).alias("uid"))
+    rows, classes, linked = _classes(src, length, percent, block_entries)
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "uid")).alias("head")
+    of_class = rows.filter("n > 0").groupBy(*SAME).agg(first)
+    root = F.coalesce("component", "class_uid").alias("root")
+    of_class = of_class.join(classes, SAME).join(linked, F.col("class_uid") == F.col("node"), "left").select(root, "head")
+    heads = of_class.groupBy("root").agg(F.min("head").alias("head")).select(F.col("head.uid").alias("head_uid"))
+    heads = heads.unionByName(rows.filter("n = 0").select(F.col("uid").alias("head_uid")))
+    return keyed.join(heads, keyed[uid] == heads["head_uid"], "left_semi").drop(uid)
