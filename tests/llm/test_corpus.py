@@ -386,6 +386,51 @@ def test_mixing(docs, empty):
     assert stream.columns == docs.columns
 
 
+def test_mixed_documents_row_by_row(spark, docs):
+    """The stage's rows in order, with repeated and null ids, against the same plan in Python."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    from voyra.llm import mixing
+    rng = np.random.default_rng(8)
+    table = [(i, int(rng.integers(1, 90)), "src%d" % (i % 3) if i % 7 else None) for i in range(60)]
+    table += [(3, 40, "src0"), (3, 40, "src0"), (3, 41, "src0"), (3, 25, "src1"), (None, 30, "src0"), (None, 30, "src0"),
+              (None, 17, "src2"), (None, 5, None), (4, 0, "src1")]
+    table = [(i, " ".join(f"w{k}x{j}" for j in range(n)), s, n) for k, (i, n, s) in enumerate(table)]
+    table += [table[-5], table[60]]                   # whole copies
+    df = spark.createDataFrame(table, "doc_id long, text string, source string, size long").repartition(3)
+    keyed = df.select("*", F.xxhash64("doc_id").alias("key"), F.xxhash64(*df.columns).alias("content")).collect()
+    keyed = [(r["content"] if r["doc_id"] is None else r["key"], r) for r in keyed]
+    own = {}
+    for key, r in keyed:
+        own.setdefault(r["source"], []).append((key % 16, key, -1 if r["doc_id"] is None else r["doc_id"], r["size"], r["content"], r))
+    target = {r["source"]: r["target"] for r in mixing.mix(df).collect()}
+    begin = {0: lambda x: 1.5 - math.sqrt(2.25 - 2 * x), 1: lambda x: math.sqrt(0.25 + 2 * x) - 0.5, 2: lambda x: x}
+    want = []
+    for rank, s in enumerate(sorted(own, key=lambda s: (s is None, s or ""))):
+        at, goal, whole = 0, math.floor(target[s] + 0.5), sum(x[3] for x in own[s])
+        for copy in range(3):                         # pass after pass, until the target is reached
+            for *_, n, content, r in sorted(own[s], key=lambda x: x[:5]):
+                words = min(n, goal - at)
+                if n and words > 0 and 2 * words >= n:
+                    taken = sum(max(0, min(n, goal - (at - copy * whole) - k * whole)) for k in range(3))
+                    share = min((at + min(taken, n) / 2) / target[s], 1.0)
+                    want.append((begin[rank % 3](share), tuple(r[c] for c in df.columns)))
+                at += n
+    got = [tuple(r) for r in corpus_pipeline.source_mix(spark, df, "").collect()]
+    assert Counter(got) == Counter(r for _, r in want)
+    place = {}
+    for x, r in want:
+        place.setdefault(r, []).append(x)
+    seen, last = Counter(), -1.0
+    for r in got:                                     # each next copy of a row stands where the plan has it
+        x = sorted(place[r])[seen[r]]
+        seen[r] += 1
+        assert x >= last - 1e-9
+        last = x
+    ids = Counter(r[0] for r in got)
+    assert ids[None] >= 4 and ids[3] >= 5
+
+
 # 5 ---------------------------------------------------------------------------
 
 def test_gradient_matches_differences():

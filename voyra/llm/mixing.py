@@ -18,7 +18,8 @@ of bucket totals (one row for each source and bucket) gives the offsets.
 
 Defined results: a null text or one without words has size 0 and is taken 0
 times; a null source is a source of its own, last in order; rows that repeat a
-doc_id count as rows of their own; an empty table gives an empty result.
+doc_id count as rows of their own, and so do rows without one, which take their
+place in the order by their content; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -81,15 +82,29 @@ def targets(per_source: DataFrame, weights=WEIGHTS, share: float = SHARE,
     return df.select("source", "source_size", "source_rank", target.alias("target"))
 
 
+def _order(id_col: str, content: Column | None) -> Column:
+    """Hashed order of a source's rows; those without an id go by their content, if it is at hand."""
+    key = F.xxhash64(id_col)
+    return key if content is None else F.when(F.col(id_col).isNull(), content).otherwise(key)
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size: str = "size",
          **rule) -> DataFrame:
     """One row for each row of ``docs``: doc_id, source, size, source_size, source_rank,
     target, start (words of the source before it) and taken."""
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
                      F.col(size).cast("long").alias("size"))
+    df = _planned(df.withColumn("order_key", _order("doc_id", None)), None, ["order_key", "doc_id", "size"], **rule)
+    return df.select("doc_id", "source", "size", "source_size", "source_rank", "target", "start", "taken")
+
+
+def _planned(light: DataFrame, rows: DataFrame | None, order: list[str], **rule) -> DataFrame:
+    """``rows`` (``light`` itself, if None) with source_size, source_rank, target, start
+    and taken. Both have source, size, order_key; ``light`` is read several times."""
+    df = light
     buckets = max(16, -(-df.count() // BUCKET_ROWS))
-    df = df.withColumn("order_key", F.xxhash64("doc_id"))
-    df = df.withColumn("bucket", F.pmod("order_key", F.lit(buckets)).cast("int"))
+    bucket = F.pmod("order_key", F.lit(buckets)).cast("int")
+    df = df.withColumn("bucket", bucket)
     per_bucket = df.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     goal = targets(per_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), **rule)
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -98,8 +113,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size:
         F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset"))
     goal = goal.withColumnRenamed("source", "goal_source")
     offset = offset.join(goal, offset["of_source"].eqNullSafe(goal["goal_source"])).drop("goal_source")
-    inside = (W.partitionBy("source", "bucket").orderBy("order_key", "doc_id", "size")
-              .rowsBetween(W.unboundedPreceding, -1))
+    inside = W.partitionBy("source", "bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    df = df if rows is None else rows.withColumn("bucket", bucket)
     df = df.withColumn("inner_start", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     df = df.join(offset, df["source"].eqNullSafe(offset["of_source"])
                  & (df["bucket"] == offset["of_bucket"]))
@@ -108,8 +123,9 @@ def plan(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size:
     passes = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0)
     rest = words - passes * F.col("source_size")
     partial = F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))
-    return df.select("doc_id", "source", "size", "source_size", "source_rank", "target",
-                     start.alias("start"), (passes * F.col("size") + partial).cast("long").alias("taken"))
+    return df.withColumn("start", start).withColumn(
+        "taken", (passes * F.col("size") + partial).cast("long")).drop(
+        "bucket", "order_key", "of_source", "of_bucket", "offset", "inner_start")
 
 
 def _invert(knots: tuple, share: Column) -> Column:
@@ -144,15 +160,13 @@ def position(schedules=SCHEDULES, words_before: Column | None = None) -> Column:
 
 
 def copies(planned: DataFrame) -> DataFrame:
-    """One row for each copy that the mix reads: doc_id, copy (from 0), words, position.
-    A document is in at most ``MAX_PASSES`` + 1 rows, whatever the input's size."""
+    """One row for each copy that the mix reads, with the columns of ``planned``, copy (from 0),
+    words and position. A document is in at most ``MAX_PASSES`` + 1 rows, whatever the input's size."""
     n = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     df = planned.filter(F.col("taken") > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), n - 1)))
     words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size"))
     begin = F.col("start") + F.col("copy") * F.col("source_size")
-    return df.withColumn("words", words).select(
-        "doc_id", "source", "copy", "words",
-        position(words_before=begin).alias("position"))
+    return df.withColumn("words", words).withColumn("position", position(words_before=begin))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
@@ -169,13 +183,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source: str = "sour
                     text: str = "text", **rule) -> DataFrame:
     """The training stream as rows of ``docs``: one row for each copy of which at
     least half is taken, range-sorted by position, with the columns of ``docs``.
-    A doc_id is expected once (as after deduplication); null ids are left out."""
-    planned = mix(docs, id_col, source, text, **rule).drop("source")
-    stream = copies(planned.withColumn("source", F.lit(None).cast("string")))
-    sizes_of = planned.select(F.col("doc_id").alias("size_id"), "size")
-    chosen = (stream.join(sizes_of, stream["doc_id"] == sizes_of["size_id"])
-              .filter(2 * F.col("words") >= F.col("size"))
-              .select(F.col("doc_id").alias("mix_id__"), F.col("position").alias("mix_position__"),
-                      F.col("copy").alias("mix_copy__")))
-    out = docs.join(chosen, docs[id_col] == chosen["mix_id__"]).drop("mix_id__")
-    return out.orderBy("mix_position__", id_col, "mix_copy__").select(*[docs[c] for c in docs.columns])
+
+    Each row is planned and repeated by itself, whatever its id: nothing is joined
+    on it. Only rows that agree in id and size are ordered by their content."""
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    sized, c = sizes(docs, text)
+    rows = sized.select(F.struct(*row).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                        F.col(f"`{source}`").alias("source"), F.col(c)["size"].alias("size"),
+                        F.xxhash64(*row).alias("content"))
+    rows = rows.withColumn("order_key", _order("doc_id", F.col("content")))
+    light = scratch(rows.select("source", "size", "order_key"), "mix-sizes")
+    stream = copies(_planned(light, rows, ["order_key", "doc_id", "size", "content"], **rule))
+    stream = stream.filter(2 * F.col("words") >= F.col("size"))
+    return stream.orderBy("position", "doc_id", "copy", "content").select("row.*")
