@@ -73,6 +73,45 @@ def test_batch_files_over_several_micro_batches(spark, tmp_dir):
         assert sum(1 for _ in open(f)) <= 10
 
 
+def test_batch_numbers_run_on_over_micro_batches_and_replays(spark, tmp_dir):
+    import os
+    import shutil
+    landing, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+
+    def land(*parts):
+        for i, lo, hi in parts:
+            spark.range(lo, hi).withColumnRenamed("id", "doc_id").coalesce(1).write.parquet(f"{landing}/{i}")
+            for f in os.listdir(f"{landing}/{i}"):
+                os.utime(f"{landing}/{i}/{f}", (1_700_000_000 + i, 1_700_000_000 + i))
+
+    def run():
+        s = ST.file_stream(spark, landing + "/*", schema="doc_id LONG", max_files=1)
+        ST.batch_files(s, out, ckpt, order="doc_id", per_file=10, run_on=True)
+        return sorted((r.doc_id, r.k, r.batch_id) for r in spark.read.json(out).collect())
+    land((0, 0, 25), (1, 25, 30), (2, 30, 61))
+    got = run()
+    assert [x[:2] for x in got] == [(i, i) for i in range(61)] and len({x[2] for x in got}) == 3
+    # a last batch that was written but not committed is run again: the same numbers
+    for f in os.listdir(f"{ckpt}/commits"):
+        if f in ("2", ".2.crc"):
+            os.unlink(f"{ckpt}/commits/{f}")
+    shutil.rmtree(f"{out}/batch_id=2")
+    assert run() == got
+    # a later run goes on where the last one stopped
+    land((3, 61, 70))
+    assert [x[:2] for x in run()] == [(i, i) for i in range(70)]
+
+
+def test_stream_batches_equals_its_sql_over_many_files(spark, tmp_dir, monkeypatch):
+    from voyra.plans.registry import QUERIES, load_all
+    load_all()
+    monkeypatch.setattr(ST.file_stream, "__defaults__", (None, None, 2))      # as if a batch ended at two files
+    docs = spark.range(83).selectExpr("(id * 37) % 83 AS doc_id", "'t' AS text", "'en' AS lang", "'s' AS source", "id AS n_chars")
+    docs.repartition(7).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = sorted(tuple(r) for r in QUERIES["stream_batches"](spark, tmp_dir).collect())
+    assert got == [(i, i, i // 10) for i in range(83)]
+
+
 def test_streaming_task_state_updates_and_reruns(spark, tmp_dir):
     landing, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/state", f"{tmp_dir}/ckpt"
     schema = "task STRING, ts TIMESTAMP, event_id LONG, failed BOOLEAN"

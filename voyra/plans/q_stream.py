@@ -45,10 +45,12 @@ def stream_drain(spark, sf_dir):
 SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k, (row_number() OVER (ORDER BY doc_id) - 1) // 10 AS file_batch
 FROM documents""")
 def stream_batches(spark, sf_dir):
-    """foreachBatch writer, at most ten records a file, keyed within the batch."""
-    s = ST.file_stream(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    """foreachBatch writer, at most ten records a file, keyed by a number that runs on
+    over the batches. The backlog is one batch, whatever its number of files: files
+    need not be in the order of their ids, and the numbers are."""
+    s = ST.file_stream(spark, sf_dir, "documents", max_files=None).select("doc_id", "source", "text")
     out, ckpt = scratch_dir(spark, "batches-out"), scratch_dir(spark, "batches-ckpt")
-    ST.batch_files(s, out, ckpt, order="doc_id", per_file=10)
+    ST.batch_files(s, out, ckpt, order="doc_id", per_file=10, run_on=True)
     back = spark.read.schema("doc_id BIGINT, k BIGINT, batch_id BIGINT").json(out)
     return back.select("doc_id", "k", F.floor(F.col("k") / 10).cast("long").alias("file_batch"))
 

@@ -61,14 +61,33 @@ def drain_counts(stream: DataFrame, keys: list[str], out_path: str, checkpoint:
     return run_available_now(w)
 
 
-def batch_files(stream: DataFrame, out_path: str, checkpoint: str, order: str, per_file: int = 10):
+def batch_files(stream: DataFrame, out_path: str, checkpoint: str, order: str, per_file: int = 10,
+                run_on: bool = False):
     """Micro-batch writer: each batch numbered in ``order``, key = running
     number within the batch, at most ``per_file`` records a file, one folder
-    per batch id (so a replayed batch overwrites its own folder only)."""
+    per batch id (so a replayed batch overwrites its own folder only).
+
+    With ``run_on`` the number goes on from batch to batch: each batch's row count
+    is kept in a table beside the checkpoint's own folders, one folder per batch
+    id, and a batch starts at the sum of those before it. A replayed batch, which
+    has the same rows, gets the same numbers again. Batches follow the files'
+    arrival, so the numbers of several batches are in ``order`` only if the files are.
+    """
     from voyra.operators.numbering import id_bucket, seq_number
 
+    counts = f"{checkpoint.rstrip('/')}/batch_counts"
+
+    def first_number(batch: DataFrame, batch_id: int) -> int:
+        spark = batch.sparkSession
+        size = spark.range(1).select(F.lit(batch.count()).cast("long").alias("n_rows"))
+        size.coalesce(1).write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
+        sizes = spark.read.schema("n_rows BIGINT, batch_id BIGINT").parquet(counts)
+        return sizes.where(F.col("batch_id") < batch_id).agg(F.sum("n_rows")).first()[0] or 0
+
     def write(batch: DataFrame, batch_id: int):
         n = seq_number(batch, [], [order], id_bucket(order), out="k")
+        if run_on:
+            n = n.withColumn("k", F.col("k") + F.lit(first_number(batch, batch_id)).cast("long"))
         n = n.withColumn("batch_id", F.lit(batch_id).cast("long"))
         n.repartitionByRange(F.floor(F.col("k") / per_file)).sortWithinPartitions("k") \
             .write.mode("overwrite").option("maxRecordsPerFile", per_file) \
