@@ -332,6 +332,23 @@ def test_neighbours_recall_and_scores(spark, docs):
     assert qalsh.nearest(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark, docs):
+    from voyra.llm import qalsh
+    rng = np.random.default_rng(2)
+    x = {i: rng.standard_normal(8) for i in range(40)}
+    rows_ = [(i, v.tolist()) for i, v in x.items()]
+    moved = (x[0] + 0.5).tolist()
+    near = min((i for i in x if i), key=lambda i: ((x[i] - x[0]) ** 2).sum())
+    rows_ += [rows_[0], rows_[near], rows_[near], (0, moved)]        # the query twice and moved, its neighbour three times
+    v = spark.createDataFrame(rows_, "vec_id long, embedding array<double>").repartition(3)
+    got = qalsh.nearest(v, v.filter("vec_id = 0"), 10, block_vectors=16).orderBy("rank").collect()
+    score = {i: min(np.sqrt(((x[i] - q) ** 2).sum()) for q in (x[0], x[0] + 0.5)) for i in x if i}
+    assert [r["rank"] for r in got] == list(range(1, 11)) and len({r["vec_id"] for r in got}) == 10
+    assert all(r["score"] == pytest.approx(score[r["vec_id"]]) for r in got)
+    exact = sorted(score, key=score.get)[:10]
+    assert len({r["vec_id"] for r in got} & set(exact)) >= 9
+
+
 # 8 ---------------------------------------------------------------------------
 
 def test_warc_round_trip(spark, docs, tmp_dir):

@@ -16,7 +16,9 @@ at most k rows for a query, and the k best of these are the result.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 parts take no part; vectors are compared with those of the same length; equal
-distances go to the smaller id; rows with the query's id are its own; fewer
+distances go to the smaller id; rows with the query's id are its own; rows that
+repeat an id are one vector with several places, and one query: a neighbour counts
+once, with the smallest distance of any of its rows to any of the query's; fewer
 than k candidates give all of them; an empty table gives an empty result;
 further columns are not read.
 """
@@ -40,6 +42,12 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & ~bad & F.exists(v, lambda x: x != 0)
 
 
+def _nearest_rows(ids: np.ndarray, dist: np.ndarray) -> np.ndarray:
+    """Places of the rows by distance, then id; of each id only the nearest row."""
+    order = np.lexsort((ids, dist))
+    return order[np.sort(np.unique(ids[order], return_index=True)[1])]
+
+
 def _search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int,
             projections: int = PROJECTIONS) -> tuple[list, list, list]:
     """The k best found for each query among one block of vectors."""
@@ -49,6 +57,7 @@ def _search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray
     order = np.argsort(values, axis=0, kind="stable").T.copy()
     arrays = np.take_along_axis(values.T, order, axis=1)
     need = int(np.ceil(THRESHOLD * projections))
+    again = len(np.unique(ids)) < n
     first = max(float(values.std()) * 0.1, 1e-12)
     out_q, out_v, out_s = [], [], []
     for i in range(len(q)):
@@ -72,13 +81,15 @@ def _search(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray
                 found.append(hit)
                 dist.append(np.sqrt(((x[hit] - q[i]) ** 2).sum(axis=1)))
                 every = np.concatenate(dist)
+                if again:
+                    every = every[_nearest_rows(ids[np.concatenate(found)], every)]
                 kth = np.partition(every, k - 1)[k - 1] if len(every) >= k else np.inf
             if kth <= SAFE * half or seen.all():
                 break
             half *= GROWTH
         if found:
             f, d = np.concatenate(found), np.concatenate(dist)
-            best = np.lexsort((ids[f], d))[:k]
+            best = _nearest_rows(ids[f], d)[:k]
             out_q += [int(query_ids[i])] * len(best)
             out_v += ids[f[best]].tolist()
             out_s += d[best].tolist()
@@ -92,7 +103,7 @@ def _matrix(col: pa.ChunkedArray) -> np.ndarray:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id",
             vector: str = "embedding", block_vectors: int = BLOCK_VECTORS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of ``vectors`` for each row of ``queries``."""
+    """(query_id, rank, vec_id, score): the k nearest found of ``vectors`` for each id of ``queries``."""
     def rows(df: DataFrame) -> DataFrame:
         return df.filter(_usable(F.col(vector)) & F.col(id_col).isNotNull()).select(
             F.col(id_col).cast("long").alias("id"), F.size(vector).alias("dim"), F.col(vector).alias("v"))
@@ -115,5 +126,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     key = ["dim", "block", "query_block"]
     best = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
+    best = best.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
