@@ -6,7 +6,7 @@ as Parquet and read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voyra.llm import bpe, jaccard, mixing, quality as Q, secret_scan
 from voyra.llm.common import prepare, read, scratch
@@ -38,11 +38,23 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def written_place() -> Column:
+    """Place of a row in the order in which its table was written: part file, file of
+    that task, row. It rises along the order; it isn't a count."""
+    name = F.col("_metadata.file_name")
+    part, file = (F.coalesce(F.regexp_extract(name, p, 1).try_cast("long"), F.lit(0).cast("long"))
+                  for p in (r"^part-(\d+)", r"-c(\d+)\."))
+    return F.shiftleft(part, 42) + F.shiftleft(file, 31) + F.col("_metadata.row_index")
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the stream, and the text that they decode to."""
+    """Ids of every document of the stream, and the text that they decode to. The rows
+    come in any order; sorted by ``position`` they are the stream as source_mix wrote it."""
     prepare(spark)
-    decoded, text = bpe.decode(bpe.encode(docs))
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col(text).alias("decoded"))
+    docs = docs.select(F.struct("doc_id", written_place().alias("position")).alias("row"), "text")
+    decoded, text = bpe.decode(bpe.encode(docs, "row"))
+    return decoded.select("row.doc_id", "row.position", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                          F.col(text).alias("decoded"))
 
 
 STAGES = [

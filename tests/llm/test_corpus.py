@@ -524,6 +524,20 @@ def test_pipeline_against_brute_force(spark, docs):
     assert mixing.MAX_PASSES == 2 and max(Counter(r["doc_id"] for r in out).values()) <= 2
 
 
+def test_position_gives_back_the_written_order(spark, docs):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    from voyra.llm.common import scratch
+    limit = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "20")                      # several files of each of seven tasks
+    written = scratch(spark.range(0, 300, 1, 7).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text")), "test-order")
+    spark.conf.set(limit, before)
+    assert len(written.inputFiles()) == 21
+    out = corpus_pipeline.token_ids(spark, written, "").orderBy("position").collect()
+    assert [r["doc_id"] for r in out] == list(range(300)) and len({r["position"] for r in out}) == 300
+
+
 def test_word_ids_equal_the_tokenizer():
     from voyra.llm import attention as A
     from voyra.llm.bpe import encode_words, vocabulary_path
