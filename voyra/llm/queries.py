@@ -7,7 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from voyra.llm.common import ORACLE, QUERIES, query, read
-from voyra.llm import attention, bpe, jaccard, lengths, mixing, qalsh, quality as Q, secret_scan, substring, warc
+from voyra.llm import (attention, bpe, filter_audit, jaccard, lengths, mixing, qalsh, quality as Q, secret_scan, substring,
+                       toxicity, variants, warc)
 
 
 @query("op7_quality_rules")
@@ -139,3 +140,60 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram base score and attention-model score of every document."""
     return attention.score(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op11_pu_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, from classifiers trained on confirmed and unlabelled text."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    df, t = toxicity.score(docs, model, keep=["doc_id"])
+    score = F.col(t)["score"]
+    return df.select("doc_id", F.coalesce(~toxicity.in_training(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                     score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its near words, its form and its root."""
+    return variants.variants(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op13_filter_audit", sql="""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+m AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS low FROM d),
+f AS (
+  SELECT part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN low < m.doc_id THEN 16 ELSE 0 END AS failed,
+    CASE WHEN quality = 1 THEN 1 ELSE 0 END AS good, CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS bad
+  FROM m LEFT JOIN labels ON labels.doc_id = m.doc_id),
+c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM f GROUP BY part, failed),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (
+  SELECT l1.x || l2.x || l3.x || l4.x || l5.x AS filter_order, [l1.b, l2.b, l3.b, l4.b, l5.b] AS bits
+  FROM l l1, l l2, l l3, l l4, l l5 WHERE l1.b + l2.b + l3.b + l4.b + l5.b = 31
+    AND len(list_distinct([l1.x, l2.x, l3.x, l4.x, l5.x])) = 5),
+s AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before
+  FROM o, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step) k),
+r AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN failed & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN failed & bit > 0 AND failed & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN failed & bit > 0 AND failed & before > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failed & bit > 0 AND failed & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failed & bit > 0 AND failed & before = 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of every order of five filters keeps and removes, by source."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return filter_audit.audit(filter_audit.counts(docs, read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")))
