@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from voyra.operators import tasks as TK
+from voyra.sinks.versions import Store
 from voyra.streaming import ingest as ST
 
 
@@ -121,7 +122,7 @@ def test_streaming_task_state_updates_and_reruns(spark, tmp_dir):
     def run():
         ST.task_state(ST.file_stream(spark, landing + "/*", schema=schema), out, ckpt)
         return {r.task: (r.done, r.n_attempts, r.n_failed)
-                for r in spark.read.schema(ST.TASK_STATE).parquet(out).collect()}
+                for r in Store(spark, out).read("state").collect()}
     assert run() == {"a": (False, 1, 1), "b": (True, 1, 0)}
     # a retry of a succeeds later; b is untouched
     spark.createDataFrame([("a", t0 + dt.timedelta(1), 3, False)], schema).write.parquet(f"{landing}/2")

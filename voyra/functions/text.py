@@ -106,13 +106,13 @@ def digits_only(c) -> Column:
 
 
 def to_int(c) -> Column:
-    """String to int; anything that is not a number becomes NULL."""
-    return _c(c).try_cast("int")
+    """String to a long; anything that is not a number becomes NULL."""
+    return _c(c).try_cast("long")
 
 
 def comma_int(c) -> Column:
     """"52,910" -> 52910."""
-    return F.replace(_c(c), F.lit(","), F.lit("")).try_cast("int")
+    return F.replace(_c(c), F.lit(","), F.lit("")).try_cast("long")
 
 
 def page_count(n, size: int = 10, mode: str = "ceil") -> Column:

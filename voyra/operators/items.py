@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 FLAT_REVIEW = T.StructType([
     T.StructField("attr_name", T.StringType()),
-    T.StructField("attr_page", T.IntegerType()),
-    T.StructField("review_id", T.IntegerType()),
+    T.StructField("attr_page", T.LongType()),
+    T.StructField("review_id", T.LongType()),
     T.StructField("title", T.StringType()),
     T.StructField("visit_month", T.DateType()),
     T.StructField("companion", T.StringType()),

@@ -35,15 +35,15 @@ def page_assemble(reviews: DataFrame) -> DataFrame:
                      build_review().alias("v"), F.col("review_id").alias("i"))
     g = reviews.groupBy("attr_name", "attr_page").agg(F.collect_list(entry).alias("_e"))
     ordered = F.array_sort(F.transform("_e", lambda e: F.struct(e["i"].alias("i"), e["k"].alias("k"), e["v"].alias("v"))))
-    return g.select("attr_name", F.col("attr_page").cast("int").alias("attr_page"),
+    return g.select("attr_name", F.col("attr_page").cast("long").alias("attr_page"),
                     F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["k"], e["v"])))
                     .alias("attr_reviews"))
 
 
 def explode_reviews(pages: DataFrame) -> DataFrame:
-    """Review-page documents -> one row per review with an int review_id."""
+    """Review-page documents -> one row per review; review_id is a long."""
     e = pages.select("attr_name", "attr_page", F.explode("attr_reviews").alias("k", "v"))
-    return e.select("attr_name", "attr_page", F.col("k").cast("int").alias("review_id"),
+    return e.select("attr_name", "attr_page", F.col("k").try_cast("long").alias("review_id"),
                     "v.title", "v.time", "v.type", "v.review")
 
 

@@ -1,10 +1,9 @@
 """Task state for resumable ingest: init, status, complete, pending, retry.
 
 The task table is ``(attr_name, page, url, complete)``; the reference kept one
-SQLite table per attraction, here it is one table partitioned by a hash
-bucket of the attraction, so an update rewrites only the buckets it touches
-(dynamic partition overwrite) and millions of attractions do not become
-millions of folders.
+SQLite table per attraction, here it is one table of a versioned store
+(``voyra.sinks.versions``), in hash buckets of its key: an update rewrites only the
+buckets it touches, and is there as a whole or not at all.
 """
 
 from __future__ import annotations
@@ -13,12 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voyra.operators.reviews import gen_page_urls
+from voyra.sinks.versions import ConcurrentCommit, Merge, Store
 
-TASK_BUCKETS = 64
-
-
-def task_bucket(attr_name: str = "attr_name", buckets: int = TASK_BUCKETS):
-    return F.pmod(F.xxhash64(F.col(attr_name)), F.lit(buckets)).cast("int")
+TASKS = "tasks"
+TASK_KEY = ["attr_name", "page"]
 
 
 def init_tasks(seeds: DataFrame, total: str, url_of, size: int = 10, mode: str = "ceil") -> DataFrame:
@@ -31,25 +28,20 @@ def task_init(spark: SparkSession, seeds: DataFrame, total: str, url_of, path: s
               size: int = 10) -> DataFrame:
     """Create and fill the task table only if it does not exist yet.
 
-    "Exists" means a committed table (its ``_SUCCESS`` marker): a folder
-    left by a run that died while writing it is initialised again."""
-    from voyra.sinks.files import write_parquet
-    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        t = init_tasks(seeds, total, url_of, size).withColumn("_bucket", task_bucket())
-        write_parquet(t, path, mode="overwrite", partition_by=["_bucket"], dynamic=False)
-    return read_tasks(spark, path)
+    It exists once its first version is published: what a run that died before that
+    has written is not seen, and the table is initialised again."""
+    store = Store(spark, path)
+    if not store.has(TASKS):
+        try:
+            store.commit({TASKS: Merge(init_tasks(seeds, total, url_of, size))}, {TASKS: TASK_KEY})
+        except ConcurrentCommit:
+            if not store.has(TASKS):
+                raise
+    return store.read(TASKS)
 
 
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.schema("attr_name STRING, page BIGINT, url STRING, complete BOOLEAN, _bucket INT")
-            .parquet(path).drop("_bucket"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    return Store(spark, path).read(TASKS)
 
 
 def page_status(attempts: DataFrame, order: str = "attempt") -> DataFrame:
@@ -73,15 +65,29 @@ def task_complete(tasks: DataFrame, status: DataFrame) -> DataFrame:
                     (F.col("complete") | F.coalesce(F.col("done"), F.lit(False))).alias("complete"))
 
 
+def completed(status: DataFrame) -> Merge:
+    """The change that marks pages (attr_name, page, done) done; other pages keep their flag,
+    and pages that are no task are left out."""
+    def resolve(j: DataFrame) -> DataFrame:
+        done = F.coalesce("old_complete", F.lit(False)) | F.coalesce("new_done", F.lit(False))
+        return j.where("old_row").select("attr_name", "page", F.col("old_url").alias("url"), done.alias("complete"))
+    return Merge(status.select("attr_name", "page", "done"), resolve)
+
+
+def complete_pages(spark: SparkSession, status: DataFrame, path: str) -> DataFrame:
+    """Mark the pages done whose latest attempt succeeded, as one new version of the
+    persisted table, and read it back."""
+    store = Store(spark, path)
+    store.commit({TASKS: completed(status)})
+    return store.read(TASKS)
+
+
 def write_task_update(spark: SparkSession, tasks: DataFrame, path: str) -> DataFrame:
-    """Persist a task table (replacing only the buckets present) and read it back."""
-    from voyra.session import materialize
-    from voyra.sinks.files import write_parquet
-    staged = tasks.withColumn("_bucket", task_bucket())
-    # Materialise before overwriting the folder the plan reads from.
-    staged = materialize(staged)
-    write_parquet(staged, path, mode="overwrite", partition_by=["_bucket"], dynamic=True)
-    return read_tasks(spark, path)
+    """Put task rows into the persisted table (those of the same page are replaced) as
+    one new version, and read it back."""
+    store = Store(spark, path)
+    store.commit({TASKS: Merge(tasks)}, {TASKS: TASK_KEY})
+    return store.read(TASKS)
 
 
 def scan_pending(tasks: DataFrame) -> DataFrame:

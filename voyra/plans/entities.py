@@ -123,7 +123,7 @@ def attraction_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.collect_set("lang")).alias("labels"),
         F.min("lang").alias("_l"),
         F.least(F.lit(50), F.floor(F.sum("n_chars") / F.count(F.lit(1)) / 100)).cast("long").alias("_tenths"),
-        F.count(F.lit(1)).cast("int").alias("score_cnt"),
+        F.count(F.lit(1)).alias("score_cnt"),
         F.count_if(F.col("n_chars") < 1000).alias("_short"),
         F.count_if(F.col("n_chars") >= 1000).alias("_long"),
         F.min("doc_id").alias("_min"), F.max("doc_id").alias("_max"),

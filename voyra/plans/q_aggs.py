@@ -81,7 +81,7 @@ def run_elapsed(spark, sf_dir):
 
 
 @query("page_assemble", sql=S.with_(S.REVIEWS) + """
-SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, count(*) AS n_reviews,
+SELECT attr_name, CAST(attr_page AS BIGINT) AS attr_page, count(*) AS n_reviews,
        string_agg(CAST(review_id AS VARCHAR), ',' ORDER BY review_id) AS ids,
        md5(string_agg(title, '|' ORDER BY review_id)) AS titles_md5
 FROM reviews GROUP BY attr_name, attr_page""")

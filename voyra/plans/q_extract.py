@@ -61,7 +61,7 @@ def typed_reviews(raw, on_missing: str = "fill"):
     v = X.split_visit("time")
     return r.select(
         "attr_name", "attr_page",
-        (F.col("attr_page") * 10 + F.col("slot")).cast("int").alias("review_id"),
+        (F.col("attr_page") * 10 + F.col("slot")).cast("long").alias("review_id"),
         X.or_sentinel("title").alias("title"),
         v["time"].alias("time"), v["type"].alias("type"), X.visit_month(v["time"]).alias("visit_month"),
         F.array_join("fragments", "").alias("review"),
@@ -78,7 +78,7 @@ parts AS (SELECT *, string_split(replace(visit, ' • ', '  '), '  ') AS p FROM
 
 
 @query("html_reviews", headline=True, sql=REVIEW_SLOTS_SQL + """
-SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, CAST(review_id AS INTEGER) AS review_id,
+SELECT attr_name, CAST(attr_page AS BIGINT) AS attr_page, CAST(review_id AS BIGINT) AS review_id,
        coalesce(title, 'NONE') AS title, p[1] AS time,
        CASE WHEN len(p) >= 2 THEN array_to_string(p[2:], '  ') END AS type,
        CAST(CAST(try_strptime(p[1], '%b %Y') AS DATE) AS VARCHAR) AS visit_month,
@@ -87,19 +87,19 @@ FROM parts""")
 def html_reviews(spark, sf_dir):
     pages = render.review_pages(spark, sf_dir)
     raw = XT.extract_reviews(pages, "html", ["attr_name", "attr_page"])
-    t = typed_reviews(raw.withColumn("attr_page", F.col("attr_page").cast("int")))
+    t = typed_reviews(raw)
     return t.select("attr_name", "attr_page", "review_id", "title", "time", "type",
                     F.col("visit_month").cast("string").alias("visit_month"),
                     F.md5("review").alias("review_md5"))
 
 
 @query("html_page_total", sql=S.with_(S.REVIEWS) + """
-SELECT r.attr_name, CAST(r.attr_page AS INTEGER) AS attr_page, CAST(t.total AS INTEGER) AS total
+SELECT r.attr_name, CAST(r.attr_page AS BIGINT) AS attr_page, CAST(t.total AS BIGINT) AS total
 FROM (SELECT DISTINCT attr_name, attr_page FROM reviews) r
 JOIN (SELECT attr_name, count(*) AS total FROM reviews GROUP BY attr_name) t USING (attr_name)""")
 def html_page_total(spark, sf_dir):
     pages = render.review_pages(spark, sf_dir)
-    return pages.select("attr_name", F.col("attr_page").cast("int").alias("attr_page"),
+    return pages.select("attr_name", "attr_page",
                         H.html_page_total("html").alias("total"))
 
 

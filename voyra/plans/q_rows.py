@@ -51,7 +51,7 @@ def build_review(spark, sf_dir):
 
 
 @query("item_project", sql=S.with_(S.REVIEWS) + """
-SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, CAST(review_id AS INTEGER) AS review_id,
+SELECT attr_name, CAST(attr_page AS BIGINT) AS attr_page, CAST(review_id AS BIGINT) AS review_id,
        title, CAST(NULL AS VARCHAR) AS visit_month, CAST(NULL AS VARCHAR) AS companion, md5(review) AS review_md5
 FROM reviews""")
 def item_project(spark, sf_dir):

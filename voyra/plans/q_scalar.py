@@ -65,8 +65,8 @@ def safe_name(spark, sf_dir):
 
 @query("digits_only", sql="""
 SELECT doc_id, regexp_replace(text, '[^0-9]', '', 'g') AS digits,
-       TRY_CAST(regexp_replace(text, '[^0-9]', '', 'g') AS INTEGER) AS value,
-       TRY_CAST(regexp_replace(format('{:,}', n_chars) || ' reviews', '[^0-9]', '', 'g') AS INTEGER) AS n_reviews
+       TRY_CAST(regexp_replace(text, '[^0-9]', '', 'g') AS BIGINT) AS value,
+       TRY_CAST(regexp_replace(format('{:,}', n_chars) || ' reviews', '[^0-9]', '', 'g') AS BIGINT) AS n_reviews
 FROM documents""")
 def digits_only(spark, sf_dir):
     d = tables.documents(spark, sf_dir, "doc_id", "text", "n_chars")
@@ -77,7 +77,7 @@ def digits_only(spark, sf_dir):
 
 
 @query("comma_int", sql="""
-SELECT doc_id, format('{:,}', n_chars) AS shown, CAST(n_chars AS INTEGER) AS value FROM documents""")
+SELECT doc_id, format('{:,}', n_chars) AS shown, CAST(n_chars AS BIGINT) AS value FROM documents""")
 def comma_int(spark, sf_dir):
     d = tables.documents(spark, sf_dir, "doc_id", "n_chars")
     shown = F.format_number("n_chars", 0)

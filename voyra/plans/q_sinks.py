@@ -15,9 +15,11 @@ from voyra.operators.numbering import id_bucket, seq_number
 from voyra.plans import entities as E
 from voyra.plans import sql as S
 from voyra.plans.q_joins import TASKS_SQL
+from voyra.plans.q_sources import review_page_documents
 from voyra.plans.registry import query
 from voyra.session import scratch_dir
 from voyra.sinks import files as sinks
+from voyra.sinks.versions import Merge, Store
 from voyra.sources import files as src
 from voyra.sources import tables
 
@@ -37,7 +39,7 @@ def sink_item_json(spark, sf_dir):
 
 
 @query("sink_page_json", sql=S.with_(S.REVIEWS) + """
-SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, count(*) AS n_reviews FROM reviews
+SELECT attr_name, CAST(attr_page AS BIGINT) AS attr_page, count(*) AS n_reviews FROM reviews
 GROUP BY attr_name, attr_page""")
 def sink_page_json(spark, sf_dir):
     """One document per (attraction, page) in hash-bucket folders of the
@@ -120,9 +122,8 @@ def task_init(spark, sf_dir):
 
 def _completed_table(spark, sf_dir):
     path = scratch_dir(spark, "tasks")
-    t = TK.task_init(spark, _seeds(spark, sf_dir), "n", E.review_page_url, path, size=E.ATTEMPTS_PER_PAGE)
-    status = TK.page_status(E.attempts(spark, sf_dir))
-    return TK.write_task_update(spark, TK.task_complete(t, status), path)
+    TK.task_init(spark, _seeds(spark, sf_dir), "n", E.review_page_url, path, size=E.ATTEMPTS_PER_PAGE)
+    return TK.complete_pages(spark, TK.page_status(E.attempts(spark, sf_dir)), path)
 
 
 @query("task_complete", sql=S.with_(TASKS_SQL) + "SELECT attr_name, page, url, complete FROM tasks")
@@ -146,14 +147,13 @@ def retry_queue(spark, sf_dir):
 
 @query("sink_append", sql="SELECT source AS attr_name, 2 * count(*) AS n FROM documents GROUP BY source")
 def sink_append(spark, sf_dir):
-    """Two runs append JSON lines to the same folder (one document per line,
-    so appended runs stay readable)."""
-    d = tables.documents(spark, sf_dir, "doc_id", "source")
+    """Two runs append their review pages as indented objects back to back; all of
+    them are read again."""
     path = scratch_dir(spark, "append")
-    sinks.write_json(d, path, mode="append")
-    sinks.write_json(d, path, mode="append")
-    back = spark.read.schema("doc_id BIGINT, source STRING").json(path)
-    return back.groupBy(F.col("source").alias("attr_name")).agg(F.count(F.lit(1)).alias("n"))
+    for _ in range(2):
+        sinks.write_json_appended(review_page_documents(spark, sf_dir), path, "attr_name", "attr_page")
+    back = src.read_review_pages(spark, path, layout="files", glob="part-*")
+    return back.groupBy("attr_name").agg(F.sum(F.size("attr_reviews")).alias("n"))
 
 
 @query("sink_upsert", sql="""
@@ -162,14 +162,14 @@ WITH v1 AS (SELECT source AS attr_name, count(*) AS n, 1 AS version FROM documen
 SELECT attr_name, n, version FROM v2
 UNION ALL SELECT attr_name, n, version FROM v1 WHERE attr_name NOT IN (SELECT attr_name FROM v2)""")
 def sink_upsert(spark, sf_dir):
-    """Upsert a second batch of per-attraction counts onto a first: union, then
-    the latest version per key (the database write itself is not built)."""
+    """A second batch of per-attraction counts merged into the table of the first: one
+    commit each, the later row of a key stays."""
     d = tables.documents(spark, sf_dir, "source", "lang")
-    v1 = d.where(F.col("lang") == "en").groupBy(F.col("source").alias("attr_name")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("version", F.lit(1))
-    path = sinks.write_parquet(v1, scratch_dir(spark, "upsert"))
-    v2 = d.where(F.col("lang") != "en").groupBy(F.col("source").alias("attr_name")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("version", F.lit(2))
-    base = spark.read.parquet(path)
-    merged = R.latest_per_key(base.unionByName(v2), ["attr_name"], ["version"])
-    return merged.select("attr_name", "n", "version")
+
+    def counts(rows, version):
+        return rows.groupBy(F.col("source").alias("attr_name")).agg(F.count(F.lit(1)).alias("n")) \
+            .withColumn("version", F.lit(version))
+    store = Store(spark, scratch_dir(spark, "upsert"))
+    store.commit({"counts": Merge(counts(d.where(F.col("lang") == "en"), 1))}, {"counts": ["attr_name"]})
+    store.commit({"counts": Merge(counts(d.where(F.col("lang") != "en"), 2))})
+    return store.read("counts")

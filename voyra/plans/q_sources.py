@@ -57,35 +57,38 @@ def scan_pages(spark, sf_dir):
                     F.length("html").cast("long").alias("html_chars"))
 
 
-def _review_pages_written(spark, sf_dir):
-    """Assemble review pages from documents, write them as JSON documents."""
+def review_page_documents(spark, sf_dir):
+    """Review pages assembled from documents."""
     r = E.reviews(spark, sf_dir, with_lang=False)
     r = r.select("attr_name", "attr_page", "review_id", "title",
                  F.lit(None).cast("string").alias("time"),
                  F.lit(None).cast("string").alias("type"), "review")
-    pages = R.page_assemble(r)
-    return sinks.write_json(pages, scratch_dir(spark, "review-pages"))
+    return R.page_assemble(r)
 
 
 @query("scan_review_json", sql=S.with_(S.REVIEWS) + """
-SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, count(*) AS n_reviews,
-       CAST(min(review_id) AS INTEGER) AS first_id, CAST(max(review_id) AS INTEGER) AS last_id
+SELECT attr_name, CAST(attr_page AS BIGINT) AS attr_page, count(*) AS n_reviews,
+       CAST(min(review_id) AS BIGINT) AS first_id, CAST(max(review_id) AS BIGINT) AS last_id
 FROM reviews GROUP BY attr_name, attr_page""")
 def scan_review_json(spark, sf_dir):
-    pages = src.read_review_pages(spark, _review_pages_written(spark, sf_dir))
-    keys = F.transform(F.map_keys("attr_reviews"), lambda k: k.cast("int"))
+    """Files in which indented documents follow each other without a separator, taken
+    apart and read."""
+    path = sinks.write_json_appended(review_page_documents(spark, sf_dir), scratch_dir(spark, "review-files"),
+                                     "attr_name", "attr_page")
+    pages = src.read_review_pages(spark, path, layout="files", glob="part-*")
+    keys = F.transform(F.map_keys("attr_reviews"), lambda k: k.try_cast("long"))
     return pages.select("attr_name", "attr_page",
                         F.size("attr_reviews").cast("long").alias("n_reviews"),
                         F.array_min(keys).alias("first_id"), F.array_max(keys).alias("last_id"))
 
 
 @query("explode_reviews", sql=S.with_(S.REVIEWS) + """
-SELECT attr_name, CAST(attr_page AS INTEGER) AS attr_page, CAST(review_id AS INTEGER) AS review_id,
+SELECT attr_name, CAST(attr_page AS BIGINT) AS attr_page, CAST(review_id AS BIGINT) AS review_id,
        title, md5(review) AS review_md5
 FROM reviews""")
 def explode_reviews(spark, sf_dir):
-    pages = src.read_review_pages(spark, _review_pages_written(spark, sf_dir))
-    e = R.explode_reviews(pages)
+    path = sinks.write_json(review_page_documents(spark, sf_dir), scratch_dir(spark, "review-pages"))
+    e = R.explode_reviews(src.read_review_pages(spark, path))
     return e.select("attr_name", "attr_page", "review_id", "title", F.md5("review").alias("review_md5"))
 
 

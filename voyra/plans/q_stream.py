@@ -11,6 +11,7 @@ from voyra.functions import urls as U
 from voyra.plans.registry import query
 from voyra.session import scratch_dir
 from voyra.sinks import files as sinks
+from voyra.sinks.versions import Store
 from voyra.sources import tables
 from voyra.streaming import ingest as ST
 
@@ -36,9 +37,9 @@ def stream_ingest(spark, sf_dir):
 def stream_drain(spark, sf_dir):
     """Stateful running counts; the run stops once the input is drained."""
     s = ST.file_stream(spark, sf_dir, "events")
-    out, ckpt = scratch_dir(spark, "drain-out"), scratch_dir(spark, "drain-ckpt")
-    ST.drain_counts(s, ["event_type"], out, ckpt)
-    return spark.read.parquet(out).select("event_type", "n")
+    store = Store(spark, scratch_dir(spark, "drain-out"))
+    ST.drain_counts(s, ["event_type"], store, scratch_dir(spark, "drain-ckpt"))
+    return store.read("counts").select("event_type", "n")
 
 
 @query("stream_batches", sql="""
@@ -79,19 +80,19 @@ def stream_task_state(spark, sf_dir):
     e = tables.events(spark, sf_dir, "event_id", "ts", "user_id", "event_type")
     landing = scratch_dir(spark, "task-landing")
     schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, step INT"
-    out, ckpt = scratch_dir(spark, "task-state"), scratch_dir(spark, "task-state-ckpt")
+    store, ckpt = Store(spark, scratch_dir(spark, "task-state")), scratch_dir(spark, "task-state-ckpt")
     cut = F.to_timestamp(F.lit("2024-01-16 00:00:00"))
 
     def run():
         s = ST.file_stream(spark, landing, schema=schema).select(
             F.concat(F.lit("attr"), F.col("user_id").cast("string")).alias("task"), "ts", "event_id",
             (F.col("event_type") == "error").alias("failed"))
-        ST.task_state(s, out, ckpt)
+        ST.task_state(s, store, ckpt)
     sinks.write_parquet(e.where(F.col("ts") < cut), f"{landing}/step=1", dynamic=False)
     run()
     sinks.write_parquet(e.where(~(F.col("ts") < cut) | F.col("ts").isNull()), f"{landing}/step=2", dynamic=False)
     run()
-    t = spark.read.schema(ST.TASK_STATE).parquet(out)
+    t = store.read("state")
     return t.select("task", "done", "n_attempts", "n_failed", F.col("last_ts").cast("string").alias("last_ts"))
 
 

@@ -59,7 +59,7 @@ INFO = """info AS (
          list_sort(list(DISTINCT lang)) AS labels,
          [source, upper(min(lang))] AS location,
          CAST(least(50, floor(sum(n_chars) / count(*) / 100)) AS BIGINT) AS tenths,
-         CAST(count(*) AS INTEGER) AS score_cnt,
+         CAST(count(*) AS BIGINT) AS score_cnt,
          count(*) FILTER (WHERE n_chars < 1000) AS n_short,
          count(*) FILTER (WHERE n_chars >= 1000) AS n_long,
          'cafe ' || CAST(min(doc_id) AS VARCHAR) AS near_resta,

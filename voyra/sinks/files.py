@@ -28,29 +28,39 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, max_record
     return w
 
 
+def _save(df: DataFrame, mode: str, partition_by: list[str] | None, max_records: int | None, dynamic: bool):
+    w = _writer(df, mode, partition_by, max_records)
+    return w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                partition_by: list[str] | None = None, max_records: int | None = None,
                dynamic: bool = True) -> str:
     """JSON lines. With ``dynamic`` only the partitions present in ``df`` are replaced."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        _writer(df, mode, partition_by, max_records).json(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    _save(df, mode, partition_by, max_records, dynamic).json(path)
+    return path
+
+
+def write_json_appended(df: DataFrame, path: str, key: str, order: str, per_row: int = 8,
+                        max_records: int | None = None) -> str:
+    """Appends indented documents, those of a key one straight after the other, as a
+    crawler that reopens its file does. ``order`` (whole numbers from 0 within the key) puts
+    ``per_row`` neighbours into one line-wise record, so no key is gathered whole;
+    ``read_documents`` takes the files apart again."""
+    doc = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"pretty": "true"})
+    rows = df.select(F.col(f"`{key}`").alias("k"), F.floor(F.col(f"`{order}`") / per_row).alias("part"),
+                     F.col(f"`{order}`").alias("o"), doc.alias("doc"))
+    rows = rows.groupBy("k", "part").agg(F.array_sort(F.collect_list(F.struct("o", "doc"))).alias("docs"))
+    w = rows.select(F.array_join(F.transform("docs", lambda d: d["doc"]), "").alias("value")).write.mode("append")
+    if max_records:
+        w = w.option("maxRecordsPerFile", max_records)
+    w.text(path)
     return path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None, dynamic: bool = True) -> str:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        _writer(df, mode, partition_by, None).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    _save(df, mode, partition_by, None, dynamic).parquet(path)
     return path
 
 

@@ -7,8 +7,11 @@ data and the plan is fixed before the first byte is read.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voyra.sources.json_documents import read_documents
+
 REVIEW = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("time", T.StringType()),
@@ -18,7 +21,7 @@ REVIEW = T.StructType([
 
 REVIEW_PAGE = T.StructType([
     T.StructField("attr_name", T.StringType()),
-    T.StructField("attr_page", T.IntegerType()),
+    T.StructField("attr_page", T.LongType()),
     # JSON object keys are strings; the key is page * 10 + slot.
     T.StructField("attr_reviews", T.MapType(T.StringType(), REVIEW)),
 ])
@@ -69,18 +72,29 @@ CSV_OPTIONS = {
 }
 
 
-def read_review_pages(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+# how a review-page document begins (the crawler dumps the name first)
+REVIEW_PAGE_STARTS = r'\{\s*"attr_name"\s*:'
+REVIEW_FILES = "*__reviews_*.json"
+
+
+def read_review_pages(spark: SparkSession, path: str, layout: str = "lines", glob: str = REVIEW_FILES) -> DataFrame:
     """Review-page documents.
 
     ``layout='lines'``: one document per line (what ``sinks`` writes).
-    ``layout='files'``: one pretty-printed document per file, in a folder per
-    attraction named ``{attr}/{attr}__reviews_{page}.json`` (the crawler's form).
+    ``layout='files'``: indented documents, one file or several appended to it back to back,
+    in a folder per attraction named ``{attr}/{attr}__reviews_{page}.json`` (the crawler's
+    form). Only readable documents; ``read_review_faults`` has the rest.
     """
-    r = spark.read.schema(REVIEW_PAGE)
-    if layout == "files":
-        r = (r.option("multiLine", "true").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*__reviews_*.json"))
-    return r.json(path)
+    if layout == "lines":
+        return spark.read.schema(REVIEW_PAGE).json(path)
+    d = read_documents(spark, path, REVIEW_PAGE, glob, REVIEW_PAGE_STARTS)
+    return d.where(F.col("fault").isNull()).select("document.*")
+
+
+def read_review_faults(spark: SparkSession, path: str, glob: str = REVIEW_FILES) -> DataFrame:
+    """(path, place, fault, body) of what the files hold besides readable documents."""
+    d = read_documents(spark, path, REVIEW_PAGE, glob, REVIEW_PAGE_STARTS)
+    return d.where(F.col("fault").isNotNull()).select("path", "place", "fault", "body")
 
 
 def read_attractions(spark: SparkSession, path: str) -> DataFrame:
@@ -93,7 +107,6 @@ def read_labelled_csv(spark: SparkSession, path: str, schema: str = LABELLED_TEX
 
 def read_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """Saved pages, one file each -> (url, html); the url is the file path."""
-    from pyspark.sql import functions as F
     df = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
         .text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))

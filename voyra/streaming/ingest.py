@@ -9,9 +9,14 @@ last run stopped and a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voyra.operators.tasks import TASKS, completed
+from voyra.session import scratch_dir
+from voyra.sinks.versions import Merge, Store
 from voyra.sources.tables import SCHEMAS
 
 
@@ -49,15 +54,44 @@ def ingest(stream: DataFrame, out_path: str, checkpoint: str, partition_by: list
     return run_available_now(w)
 
 
-def drain_counts(stream: DataFrame, keys: list[str], out_path: str, checkpoint: str):
-    """Running counts per key kept in streaming state; each micro-batch
-    replaces the result table with the current totals."""
+def _input_of(batch: DataFrame, batch_id: int) -> tuple[str, int]:
+    """What a micro-batch is to a versioned store: its stream's id, which lives in the
+    checkpoint, and its number. A replayed batch has both again."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id
+
+
+def drain_counts(stream: DataFrame, keys: list[str], store: Store | str, checkpoint: str, table: str = "counts"):
+    """Running counts per key kept in streaming state; each micro-batch merges the
+    totals that it changed into ``table``, as one version."""
+    store = Store.at(stream.sparkSession, store)
     agg = stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(out_path)
+        store.commit({table: Merge(batch)}, {table: keys}, batch=_input_of(batch, batch_id))
 
-    w = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = agg.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return run_available_now(w)
+
+
+def pages_and_tasks(stream: DataFrame, store: Store | str, checkpoint: str, parse: Callable[[DataFrame], DataFrame],
+                    pages: str = "pages"):
+    """Page documents and task state in one step: each micro-batch is parsed to documents
+    (attr_name, attr_page, ...), and one version holds both the documents and the marks of
+    their tasks. A run that dies before the version is published has done neither, one
+    that dies after it finds the batch done: no page is lost, and none is there twice."""
+    store = Store.at(stream.sparkSession, store)
+
+    def write(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        docs = parse(batch)
+        staged = scratch_dir(spark, "parsed-pages")            # both merges read what was parsed once
+        docs.write.parquet(staged)
+        docs = spark.read.schema(docs.schema).parquet(staged)
+        done = docs.select("attr_name", F.col("attr_page").alias("page"), F.lit(True).alias("done"))
+        store.commit({pages: Merge(docs), TASKS: completed(done)}, {pages: ["attr_name", "attr_page"]},
+                     batch=_input_of(batch, batch_id))
+
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return run_available_now(w)
 
 
@@ -97,42 +131,26 @@ def batch_files(stream: DataFrame, out_path: str, checkpoint: str, order: str, p
     return run_available_now(w)
 
 
-TASK_STATE = "task STRING, done BOOLEAN, n_attempts BIGINT, n_failed BIGINT, last_ts TIMESTAMP_NTZ, _bucket INT"
-
-
-def task_state(stream: DataFrame, out_path: str, checkpoint: str, buckets: int = 16):
+def task_state(stream: DataFrame, store: Store | str, checkpoint: str, table: str = "state"):
     """Per task, the status of its latest attempt and its attempt counts,
-    kept in streaming state and upserted into a table after every batch.
+    kept in streaming state and merged into a table after every batch.
 
     ``stream``: (task, ts, event_id, failed). The aggregate runs in update
     mode, so a batch emits only the tasks it touched, with their absolute
-    totals (not deltas); ``foreachBatch`` rewrites just the hash buckets those
-    tasks live in. A replayed batch therefore writes the same rows again:
-    the upsert is idempotent, and the state itself is exactly-once through
-    the checkpoint.
+    totals (not deltas); the merge rewrites just the hash buckets those tasks
+    live in and publishes one version. A replayed batch is known by its
+    number and changes nothing.
     """
-    from voyra.session import materialize
-    from voyra.sinks.files import write_parquet
-    from voyra.operators.tasks import _exists
-
+    store = Store.at(stream.sparkSession, store)
     agg = stream.groupBy("task").agg(
         F.max(F.struct("ts", "event_id", "failed")).alias("last"),
         F.count(F.lit(1)).alias("n_attempts"),
         F.count_if("failed").alias("n_failed"))
 
     def upsert(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
         upd = batch.select("task", (~F.col("last.failed")).alias("done"), "n_attempts", "n_failed",
-                           F.col("last.ts").alias("last_ts"),
-                           F.pmod(F.xxhash64("task"), F.lit(buckets)).cast("int").alias("_bucket"))
-        if _exists(spark, f"{out_path.rstrip('/')}/_SUCCESS"):
-            old = spark.read.schema(TASK_STATE).parquet(out_path)
-            touched = upd.select("_bucket").distinct()
-            keep = old.join(touched, "_bucket", "left_semi").join(upd.select("task"), "task", "left_anti")
-            merged = materialize(keep.unionByName(upd))
-            write_parquet(merged, out_path, mode="overwrite", partition_by=["_bucket"], dynamic=True)
-        else:
-            write_parquet(upd, out_path, mode="overwrite", partition_by=["_bucket"], dynamic=False)
+                           F.col("last.ts").alias("last_ts"))
+        store.commit({table: Merge(upd)}, {table: ["task"]}, batch=_input_of(batch, batch_id))
 
     w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return run_available_now(w)
