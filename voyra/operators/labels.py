@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from voyra.operators.numbering import seq_number
 
 
-def category_codes(values: DataFrame, col: str, out: str = "code",
-                   prefix_chars: int = 8) -> DataFrame:
+def category_codes(values: DataFrame, col: str, out: str = "code") -> DataFrame:
     """Distinct values of ``col`` -> (col, code), code = position in sorted
     order, 0-based (a ``StringIndexer`` with alphabetical order gives the same).
 
-    Numbered with ``seq_number`` over a prefix of the value, which never
-    decreases in sort order, so a long value list is numbered by many tasks.
+    Numbered with ``seq_number`` over ranges cut where the values are, so a long
+    list is numbered by many tasks, however much its values begin alike.
     """
     d = values.select(col).where(F.col(col).isNotNull()).distinct()
-    return seq_number(d, [], [col], F.substring(col, 1, prefix_chars), out=out)
+    return seq_number(d, [], [col], out=out)
 
 
 def attach_codes(df: DataFrame, codes: DataFrame, col: str, code: str = "code") -> DataFrame:

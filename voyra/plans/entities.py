@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voyra.functions.urls import OFFSET_MARK, PAGE_SLOT
-from voyra.operators.numbering import id_bucket, seq_number, time_bucket
+from voyra.operators.numbering import number_by_id, seq_number
 from voyra.sources import tables
 
 REVIEWS_PER_PAGE = 10
@@ -51,7 +51,7 @@ def reviews(spark: SparkSession, sf_dir: str, with_lang: bool = True, extra: tup
         body = ["review_key", "review_md5"]
     else:
         d = d.withColumn("title", F.substring("text", 1, TITLE_CHARS))
-    d = seq_number(d, ["source"], ["doc_id"], id_bucket("doc_id"), out="review_id")
+    d = number_by_id(d, ["source"], "doc_id", out="review_id")
     out = [F.col("source").alias("attr_name"), "review_id",
            F.floor(F.col("review_id") / REVIEWS_PER_PAGE).cast("long").alias("attr_page"), "title"]
     out += [F.col("text").alias("review")] if not digest_only else body
@@ -77,7 +77,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch attempts: attr_name, page, attempt, ts, event_id, failed."""
     e = tables.events(spark, sf_dir, "event_id", "ts", "user_id", "event_type")
-    e = seq_number(e, ["user_id"], ["ts", "event_id"], time_bucket("ts"), out="attempt")
+    e = seq_number(e, ["user_id"], ["ts", "event_id"], out="attempt")
     return e.select(
         F.concat(F.lit("attr"), F.col("user_id").cast("string")).alias("attr_name"),
         F.floor(F.col("attempt") / ATTEMPTS_PER_PAGE).cast("long").alias("page"),

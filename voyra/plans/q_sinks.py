@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voyra.operators import labels as L
 from voyra.operators import reviews as R
 from voyra.operators import tasks as TK
-from voyra.operators.numbering import id_bucket, seq_number
+from voyra.operators.numbering import number_by_id
 from voyra.plans import entities as E
 from voyra.plans import sql as S
 from voyra.plans.q_joins import TASKS_SQL
@@ -61,7 +61,7 @@ GROUP BY 1""")
 def sink_batches(spark, sf_dir):
     """Files of at most ten reviews each; key = batch * 10 + slot."""
     d = tables.documents(spark, sf_dir, "doc_id", "source", "text")
-    n = seq_number(d, [], ["doc_id"], id_bucket("doc_id"), out="k")
+    n = number_by_id(d, [], "doc_id", out="k")
     n = n.withColumn("batch", R.batch_index(n, "k"))
     recs = n.select("batch", "k", "doc_id", F.struct(F.substring("text", 1, 40).alias("title"),
                                                      F.col("text").alias("review")).alias("r"))
@@ -90,7 +90,7 @@ def sink_numbered(spark, sf_dir):
     """The run numbered 0..n-1 in arrival order (doc_id), without a global
     single-partition window."""
     d = tables.documents(spark, sf_dir, "doc_id", "source")
-    n = seq_number(d, [], ["doc_id"], id_bucket("doc_id"), out="k")
+    n = number_by_id(d, [], "doc_id", out="k")
     path = sinks.write_json(n.select("k", "doc_id", "source"), scratch_dir(spark, "numbered"))
     return spark.read.schema("k BIGINT, doc_id BIGINT, source STRING").json(path)
 

@@ -1,6 +1,6 @@
 """Queries for numbering and per-key windows.
 
-Numbering uses ``seq_number`` (per key and id range, plus offsets), which
+Numbering uses ``number_by_id`` (per key and range of ids, plus offsets), which
 equals ``row_number()`` but never sorts a whole key in one task.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from voyra.operators import labels as L
 from voyra.operators import reviews as R
-from voyra.operators.numbering import id_bucket, seq_number
+from voyra.operators.numbering import number_by_id
 from voyra.plans import entities as E
 from voyra.plans import sql as S
 from voyra.plans.registry import query
@@ -31,7 +31,7 @@ FROM documents""")
 def batch_index(spark, sf_dir):
     """Ten records a batch, numbered per language in id order."""
     d = tables.documents(spark, sf_dir, "doc_id", "lang")
-    n = seq_number(d, ["lang"], ["doc_id"], id_bucket("doc_id"), out="seq")
+    n = number_by_id(d, ["lang"], "doc_id", out="seq")
     return n.select("lang", "doc_id", R.batch_index(n, "seq").alias("batch"))
 
 

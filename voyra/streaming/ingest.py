@@ -107,7 +107,7 @@ def batch_files(stream: DataFrame, out_path: str, checkpoint: str, order: str, p
     has the same rows, gets the same numbers again. Batches follow the files'
     arrival, so the numbers of several batches are in ``order`` only if the files are.
     """
-    from voyra.operators.numbering import id_bucket, seq_number
+    from voyra.operators.numbering import number_by_id
 
     counts = f"{checkpoint.rstrip('/')}/batch_counts"
 
@@ -119,7 +119,7 @@ def batch_files(stream: DataFrame, out_path: str, checkpoint: str, order: str, p
         return sizes.where(F.col("batch_id") < batch_id).agg(F.sum("n_rows")).first()[0] or 0
 
     def write(batch: DataFrame, batch_id: int):
-        n = seq_number(batch, [], [order], id_bucket(order), out="k")
+        n = number_by_id(batch, [], order, out="k")
         if run_on:
             n = n.withColumn("k", F.col("k") + F.lit(first_number(batch, batch_id)).cast("long"))
         n = n.withColumn("batch_id", F.lit(batch_id).cast("long"))
