@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -44,15 +45,38 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+_watchers: list[list[str]] = []
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under ``spark.checkpoint.dir`` and read it
     back: cuts lineage, and a lost executor loses nothing that is written."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    for made in _watchers:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def tables_made() -> Iterator[list[str]]:
+    """The folders that ``scratch`` makes inside the block."""
+    made: list[str] = []
+    _watchers.append(made)
+    try:
+        yield made
+    finally:
+        _watchers[:] = [w for w in _watchers if w is not made]
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Delete folders that ``scratch`` made and that nothing reads any more."""
+    for f in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

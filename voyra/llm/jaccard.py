@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from voyra.llm import bytehash as B, packs
-from voyra.llm.common import fresh, scratch
+from voyra.llm.common import discard, fresh, scratch, tables_made
 from voyra.llm.components import components
 
 SHINGLE = 4
@@ -248,14 +248,21 @@ def _classes(src: DataFrame, length: int, percent: int, block_entries: int) -> t
     """Of (id, text, uid): its rows with their sets' figures, the classes of equal
     sets, and (node, component) for every class_uid that a link joins to another."""
     pieces = packs.pieces_for(src.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    spark = src.sparkSession
     shared = packs.shared(_scan(src, length, pieces), packs.REPEATED, pieces, PACK_BYTES)
     # uids depend on how the input was split: they are made once, and written
-    rows = scratch(_rows(scratch(shared, "jaccard-shared"), percent), "jaccard-documents")
+    with tables_made() as made:
+        shared = scratch(shared, "jaccard-shared")
+    rows = scratch(_rows(shared, percent), "jaccard-documents")
+    discard(spark, *made)
     classes = rows.filter("n > 0").groupBy(*SAME).agg(
         F.min("id").alias("class_id"), F.min("uid").alias("class_uid"))
     classes = scratch(classes, "jaccard-classes")
     heads = rows.filter("columns IS NOT NULL").join(classes.select(F.col("class_uid").alias("uid")), "uid", "left_semi")
-    linked = components(_links(heads, percent, block_entries))
+    with tables_made() as made:
+        linked = components(_links(heads, percent, block_entries))
+    # what is read from here on: the last table of components, and the rows without their columns
+    discard(spark, *made[:-1])
     linked = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
     return rows, classes, linked
 

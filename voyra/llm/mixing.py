@@ -103,21 +103,19 @@ def _planned(light: DataFrame, rows: DataFrame | None, order: list[str], **rule)
     and taken. Both have source, size, order_key; ``light`` is read several times."""
     df = light
     buckets = max(16, -(-df.count() // BUCKET_ROWS))
-    bucket = F.pmod("order_key", F.lit(buckets)).cast("int")
-    df = df.withColumn("bucket", bucket)
-    per_bucket = df.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    goal = targets(per_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), **rule)
-    before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offset = per_bucket.select(
-        F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"),
-        F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset"))
-    goal = goal.withColumnRenamed("source", "goal_source")
-    offset = offset.join(goal, offset["of_source"].eqNullSafe(goal["goal_source"])).drop("goal_source")
-    inside = W.partitionBy("source", "bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    df = df if rows is None else rows.withColumn("bucket", bucket)
+    # a struct that holds the source: null sources meet in a plain equi-join, which then
+    # asks for the window's own partitioning, so that rows are dealt out once for both
+    at = [F.struct("source").alias("src"), F.pmod("order_key", F.lit(buckets)).cast("int").alias("bucket")]
+    per_bucket = df.select("*", *at).groupBy("src", "bucket").agg(F.sum("size").alias("bucket_size"))
+    per_bucket = scratch(per_bucket, "mix-buckets")
+    goal = targets(per_bucket.groupBy(F.col("src.source").alias("source")).agg(F.sum("bucket_size").alias("source_size")), **rule)
+    before = W.partitionBy("src").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    offset = per_bucket.select("src", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset"))
+    offset = offset.join(goal.select(F.struct("source").alias("src"), *[c for c in goal.columns if c != "source"]), "src")
+    inside = W.partitionBy("src", "bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    df = (df if rows is None else rows).select("*", *at)
     df = df.withColumn("inner_start", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    df = df.join(offset, df["source"].eqNullSafe(offset["of_source"])
-                 & (df["bucket"] == offset["of_bucket"]))
+    df = df.join(offset, ["src", "bucket"])
     start = F.col("offset") + F.col("inner_start")
     words = F.round(F.col("target")).cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0)
@@ -125,7 +123,7 @@ def _planned(light: DataFrame, rows: DataFrame | None, order: list[str], **rule)
     partial = F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))
     return df.withColumn("start", start).withColumn(
         "taken", (passes * F.col("size") + partial).cast("long")).drop(
-        "bucket", "order_key", "of_source", "of_bucket", "offset", "inner_start")
+        "bucket", "src", "order_key", "offset", "inner_start")
 
 
 def _invert(knots: tuple, share: Column) -> Column:
