@@ -1,7 +1,9 @@
 """Training-data pipeline over ``documents``.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
-as Parquet and read again as the next stage's ``docs``.
+as Parquet and read again as the next stage's ``docs``. When a stage begins, the one
+before it is written: the intermediate tables that it made are deleted then, but for those
+that ``docs`` itself still reads.
 """
 
 from __future__ import annotations
@@ -9,24 +11,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voyra.llm import bpe, jaccard, mixing, quality as Q, secret_scan
-from voyra.llm.common import prepare, read, scratch
+from voyra.llm.common import discard, prepare, read, scratch, tables_made
+
+_left: list[str] = []            # intermediate tables of the stage that was called last
+
+
+def _begin(spark: SparkSession, docs: DataFrame) -> None:
+    prepare(spark)
+    if _left:
+        files = docs.inputFiles()
+        still = [p for p in _left if any(p in f for f in files)]
+        discard(spark, *[p for p in _left if p not in still])
+        _left[:] = still
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the repetition rule."""
-    prepare(spark)
+    _begin(spark, docs)
     return Q.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of the n-gram Jaccard join (five words, 0.8 or more) the document with the smallest id."""
-    prepare(spark)
-    return jaccard.one_of_each(docs, length=5, percent=80)
+    _begin(spark, docs)
+    with tables_made() as made:
+        out = jaccard.one_of_each(docs, length=5, percent=80)
+    _left.extend(made)
+    return out
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, found secrets replaced by a mark; ``n_chars`` follows the text."""
-    prepare(spark)
+    _begin(spark, docs)
     clean = secret_scan.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
@@ -34,8 +50,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training stream: documents that the mix takes, repeated as it repeats them,
     sorted by training position."""
-    prepare(spark)
-    return mixing.mixed_documents(docs)
+    _begin(spark, docs)
+    with tables_made() as made:
+        out = mixing.mixed_documents(docs)
+    _left.extend(made)
+    return out
 
 
 def written_place() -> Column:
@@ -50,7 +69,7 @@ def written_place() -> Column:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the stream, and the text that they decode to. The rows
     come in any order; sorted by ``position`` they are the stream as source_mix wrote it."""
-    prepare(spark)
+    _begin(spark, docs)
     docs = docs.select(F.struct("doc_id", written_place().alias("position")).alias("row"), "text")
     decoded, text = bpe.decode(bpe.encode(docs, "row"))
     return decoded.select("row.doc_id", "row.position", F.size("ids").cast("long").alias("n_tokens"), "ids",
