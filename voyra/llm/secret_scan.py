@@ -10,7 +10,8 @@ every text.
 
 Offsets come from the regex's own cut of the text: matches and the pieces
 between them, with cumulative lengths in code points. The cumulative sums are
-made in two levels, so a text with very many matches does not cost their square.
+made in two levels of ``CHUNK``: a match costs at most ``CHUNK`` additions, and the sums
+over chunks the square of the number of chunks (a 131,072nd of that of the matches).
 
 Defined results: a null or empty text has no spans; rows that repeat an id are
 scanned each by itself; a null id is an id like any other; an empty table gives
@@ -42,7 +43,7 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 ADDED = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),       # flat: a repeated group would recurse for each word
     Rule("git_token", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("map_key", r"AIza[A-Za-z0-9_-]{35}"),
@@ -143,40 +144,52 @@ def candidates(index: DataFrame, queries: dict[str, list[Clause]]) -> DataFrame:
             .filter(F.size("kinds") > 0))
 
 
-def _spans(text: Column, rule: Rule) -> Column:
-    """Array of (start, end) of a rule's matches, in code points."""
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is made once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _total(steps: Column, first: Column, n: Column | int) -> Column:
+    """Length of ``n`` steps, from the one with index ``first``."""
+    return F.aggregate(F.slice(steps, first + 1, n if isinstance(n, Column) else F.lit(n)), F.lit(0).cast("long"),
+                       lambda a, s: a + s["gap"] + s["size"])
+
+
+def _chunks(n: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))
+
+
+def _sum(values: Column, n: Column) -> Column:
+    return F.aggregate(F.slice(values, F.lit(1), n), F.lit(0).cast("long"), lambda a, v: a + v)
+
+
+def _spans(text: Column, rule: Rule, size=F.length) -> Column:
+    """Array of (start, end) of a rule's matches; ``size`` measures texts (F.length: code points,
+    F.octet_length: bytes). ``limited`` is the code points of the group with a limit."""
     pattern = F.lit(rule.pattern)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    limited = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    cut = F.split(text, rule.pattern, -1)
-
-    def offsets(row: Column) -> Column:
-        steps = row["steps"]
-        n = F.size(steps)
-        chunk = F.transform(
-            F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")),
-            lambda c: F.aggregate(F.slice(steps, c * CHUNK + 1, F.lit(CHUNK)), F.lit(0).cast("long"),
-                                  lambda a, s: a + s["gap"] + s["size"]))
-        # one more struct level keeps the chunk sums from being made for every match
-        return F.flatten(F.transform(F.array(F.struct(steps.alias("steps"), chunk.alias("sums"))), lambda x: F.transform(
-            x["steps"], lambda s, i: _span(x["steps"], x["sums"], s, i))))
-
-    def _span(steps: Column, sums: Column, s: Column, i: Column) -> Column:
-        c = F.floor(i / CHUNK).cast("int")
-        total = lambda a, v: a + v
-        start = (F.aggregate(F.slice(sums, F.lit(1), c), F.lit(0).cast("long"), total)
-                 + F.aggregate(F.slice(steps, c * CHUNK + 1, i - c * CHUNK), F.lit(0).cast("long"),
-                               lambda a, v: a + v["gap"] + v["size"]) + s["gap"])
-        return F.struct(start.alias("start"), (start + s["size"]).alias("end"), s["limited"].alias("limited"))
-
-    steps = F.transform(
-        F.arrays_zip(whole.alias("m"), F.slice(cut, F.lit(1), F.size(whole)).alias("g"), limited.alias("v")),
-        lambda z: F.struct(F.length(z["g"]).cast("long").alias("gap"), F.length(z["m"]).cast("long").alias("size"),
-                           F.length(z["v"]).alias("limited")))
-    found = F.flatten(F.transform(F.array(F.struct(steps.alias("steps"))), offsets))
+    found = F.struct(F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"), F.split(text, rule.pattern, -1).alias("g"),
+                     *([F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("v")] if rule.group else []))
+
+    def steps(f: Column) -> Column:
+        zipped = F.arrays_zip(f["m"].alias("m"), F.slice(f["g"], F.lit(1), F.size(f["m"])).alias("g"),
+                              f["v" if rule.group else "m"].alias("v"))
+        return F.transform(zipped, lambda z: F.struct(size(z["g"]).cast("long").alias("gap"), size(z["m"]).cast("long").alias("size"),
+                                                      F.length(z["v"]).alias("limited")))
+
+    def placed(x: Column) -> Column:
+        def span(s: Column, i: Column) -> Column:
+            c = F.floor(i / CHUNK).cast("int")
+            start = F.get(x["before"], c) + _total(x["steps"], c * CHUNK, i - c * CHUNK) + s["gap"]
+            return F.struct(start.alias("start"), (start + s["size"]).alias("end"), s["limited"].alias("limited"))
+        return F.transform(x["steps"], span)
+
+    # lengths are summed inside chunks, then over the chunks before each, once a chunk
+    spans = _let(_let(_let(F.struct(_let(found, steps).alias("steps")), lambda x: F.struct(
+        x["steps"].alias("steps"), F.transform(_chunks(F.size(x["steps"])), lambda c: _total(x["steps"], c * CHUNK, CHUNK)).alias("sums"))),
+        lambda x: F.struct(x["steps"].alias("steps"), F.transform(x["sums"], lambda _, c: _sum(x["sums"], c)).alias("before"))), placed)
     none = F.array().cast("array<struct<start:bigint,end:bigint,limited:int>>")
-    found = F.when(F.rlike(text, pattern), found).otherwise(none)
-    return F.filter(found, lambda s: s["limited"] >= rule.min_chars)
+    spans = F.when(F.rlike(text, pattern), spans).otherwise(none)
+    return F.filter(spans, lambda s: s["limited"] >= rule.min_chars)
 
 
 def _labelled(order: int, kind: str):
@@ -185,8 +198,9 @@ def _labelled(order: int, kind: str):
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-         rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, str]:
-    """``docs`` with an array column of (kind, start, end), by start, then by rule.
+         rules: tuple[Rule, ...] = RULES, size=F.length) -> tuple[DataFrame, str]:
+    """``docs`` with an array column of (kind, start, end), by start, then by rule; places in
+    code points, or in what ``size`` measures.
 
     Returns the frame and the name of the new column.
     """
@@ -204,7 +218,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     body = F.coalesce(F.col(text), F.lit(""))
     each = []
     for i, rule in enumerate(rules):
-        spans = _spans(body, rule)
+        spans = _spans(body, rule, size)
         if rule.kind in indexed:
             spans = F.when(F.array_contains(F.col(kinds), rule.kind), spans).otherwise(
                 F.array().cast("array<struct<start:bigint,end:bigint,limited:int>>"))
@@ -226,16 +240,28 @@ def span_text(spans: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mark: str = "[SECRET]",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mark`` (overlapping spans by one)."""
-    df, name = scan(docs, id_col, text, rules)
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        piece = F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        fresh_span = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(piece, F.lit(mark))).alias("out"))
-        inside = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when(s["start"] >= acc["at"], fresh_span).otherwise(inside)
-
-    built = F.aggregate(F.col(name), state, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.lit(2147483647))))
-    clean = F.when(F.size(name) > 0, built).otherwise(F.col(text))
-    return df.withColumn(text, clean).select(*docs.columns)
+    # in bytes: a stretch of a byte string is cut without a look at what is before it
+    df, name = scan(docs, id_col, text, rules, F.octet_length)
+
+    def ends(spans: Column, first: Column, n: Column) -> Column:
+        return F.array_max(F.transform(F.slice(spans, first + 1, n), lambda s: s["end"]))
+
+    def clean(x: Column) -> Column:
+        def reach(i: Column) -> Column:
+            """Where the spans before ``i`` end at most."""
+            c = F.floor(i / CHUNK).cast("int")
+            zero = F.lit(0).cast("long")
+            return F.greatest(F.get(x["before"], c), F.coalesce(ends(x["spans"], c * CHUNK, i - c * CHUNK), zero))
+
+        def piece(s: Column, i: Column) -> Column:
+            """The text between the spans before and this one, and its mark."""
+            return _let(reach(i), lambda at: F.when(s["start"] >= at, F.concat(
+                F.substring(x["body"], (at + 1).cast("int"), (s["start"] - at).cast("int")).cast("string"), F.lit(mark))).otherwise(""))
+        tail = F.substring(x["body"], (reach(F.size(x["spans"])) + 1).cast("int"), F.lit(2147483647)).cast("string")
+        return F.concat(F.array_join(F.transform(x["spans"], piece), ""), tail)
+
+    built = _let(_let(F.struct(F.col(text).cast("binary").alias("body"), F.col(name).alias("spans"), F.transform(
+        _chunks(F.size(name) + 1), lambda c: ends(F.col(name), c * CHUNK, F.lit(CHUNK))).alias("tops")), lambda x: F.struct(
+            x["body"].alias("body"), x["spans"].alias("spans"), F.transform(x["tops"], lambda _, c: F.coalesce(
+                F.array_max(F.slice(x["tops"], F.lit(1), c)), F.lit(0).cast("long"))).alias("before"))), clean)
+    return df.withColumn(text, F.when(F.size(name) > 0, built).otherwise(F.col(text))).select(*docs.columns)
