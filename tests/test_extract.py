@@ -1,5 +1,6 @@
 """Extractors on hand-written markup (invented text)."""
 
+from voyra.functions import html as H
 from voyra.operators import extract as XT
 from voyra.plans.q_extract import typed_attraction, typed_reviews
 
@@ -107,9 +108,31 @@ def test_sql_table_functions_match_dataframe_form(spark):
 
 
 def test_links_and_heading_in_any_form(spark):
-    from voyra.functions import html as H
     page = ("<H1 class=x>Salt &amp; <B>Light</B></H1><A HREF='/one'>1</A><a class=\"n\" href=/two>2</a>"
             "<a href = \"/q?a=1&amp;b=2\">3</a><a name=\"x\">none</a><a data-href=\"no\" href=\"\">4</a>")
     got = spark.createDataFrame([(page,), (None,)], "html string").select(H.html_links("html"), H.html_title("html")).collect()
-    assert list(got[0][0]) == ["/one", "/two", "/q?a=1&b=2", ""] and got[0][1] == "Salt &amp; Light"
+    assert list(got[0][0]) == ["/one", "/two", "/q?a=1&b=2", ""] and got[0][1] == "Salt & Light"
     assert got[1][0] is None and got[1][1] is None
+
+
+def test_entities_are_decoded_once(spark):
+    """Against the standard library, for entities with a semicolon."""
+    import html
+    texts = ["&amp;lt;", "a &lt;b&gt; &#39;c&#x27; &quot;", "&eacute;&Eacute;&euro;&nbsp;&hellip;", "&#128512; &#x1F600;", "&unknown; & &; &#; &amp",
+             "&#0;&#xD800;&#x110000;&#9999999;", "&#150;&#x80;", "plain", "", "&apos;", "a&amp;b&amp;amp;c"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = [r[0] for r in df.select(H.html_unescape("t")).collect()]
+    expect = [html.unescape(t) for t in texts]
+    expect[4] = "&unknown; & &; &#; &amp"           # the last has no semicolon
+    assert got == expect + [None]
+
+
+def test_links_in_comments_scripts_and_styles_are_none(spark):
+    page = ("<!-- <a href='/no1'>x</a> --><script>s = \"<a href='/no2'>y</a>\"</script><style>a:after{content:\"<a href=/no3>\"}</style>"
+            "<A HREF='/a?x=1&amp;y=2'>One &amp; <b>two</b></A><a class=\"x\" href=\"\">empty</a><a href=/b>B</a><a name='c'>none</a>")
+    df = spark.createDataFrame([(page,), (None,)], "html string")
+    links, both = df.select(H.html_links("html"), H.html_links_and_texts("html")).first()
+    assert links == ["/a?x=1&y=2", "", "/b"]
+    assert [tuple(x) for x in both] == [("/a?x=1&y=2", "One & two"), ("", "empty"), ("/b", "B")]
+    title = spark.createDataFrame([("<h1>Smith&#39;s &lt;Gallery&gt; &amp;amp;</h1>",)], "html string").select(H.html_title("html")).first()[0]
+    assert title == "Smith's <Gallery> &amp;"

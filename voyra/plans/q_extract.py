@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from voyra.functions import html as H
 from voyra.functions import text as X
+from voyra.functions import urls as U
 from voyra.operators import extract as XT
+from voyra.operators import frontier as FR
+from voyra.operators import reviews as R
 from voyra.operators import threads as TH
+from voyra.plans import entities as E
 from voyra.plans import render
 from voyra.plans import sql as S
 from voyra.plans.registry import query
@@ -132,3 +136,86 @@ def next_page_chain(spark, sf_dir):
     nxt = F.regexp_extract(href, r"-page-(\d+)\.html$", 1).try_cast("long") - 1
     edges = pages.select("conv_id", "page", F.when(href != "", nxt).alias("next_page"))
     return TH.follow_chain(spark, edges)
+
+
+# ---------------------------------------------------------------- the walk over the site
+
+SITE = FR.Site(
+    patterns=(("region", r"/Region-oa\d+\.html$"), ("review_page", r"-Reviews-or\d+-"), ("attraction", r"-Reviews-"),
+              ("forum_index", r"/forum/index-\d+\.html$"), ("thread", r"/forum/thread-\d+-page-\d+\.html$")),
+    leads={"region": ("region", "attraction"), "attraction": ("review_page",), "forum_index": ("forum_index", "thread"),
+           "thread": ("thread",)},
+    names=("attraction", "thread_topic"))
+
+
+def site_links(spark, sf_dir):
+    """Typed links of the region's, the forum's and the threads' pages, and the review pages that an
+    attraction's own page counts (they are generated from its total, as crawlers do)."""
+    forum = render.forum_pages(spark, sf_dir).select(F.concat(F.lit(E.SITE), "url").alias("url"), "html")
+    pages = render.region_pages(spark, sf_dir).unionByName(render.forum_index_pages(spark, sf_dir)).unionByName(forum)
+    attractions = render.attraction_pages(spark, sf_dir)
+    total = X.comma_int(F.regexp_extract("html", r'class="score-count">([0-9,]+) reviews', 1))
+    seeds = attractions.select("attr_name", render.attraction_url(F.col("attr_name")).alias("from_url"), total.alias("n"))
+    listed = R.gen_page_urls(seeds, "n", E.review_page_url, keep=["from_url"])
+    listed = listed.select("from_url", F.col("url").alias("to_url"), F.lit("review_page").alias("kind"), F.lit("").alias("label"))
+    links = FR.typed_links(pages, SITE)
+    # a thread's topic is what the index calls it; its next pages are called "Next"
+    topic = (F.col("kind") == "thread") & SITE.kind(F.col("from_url")).isin("forum_index")
+    return links.withColumn("kind", F.when(topic, "thread_topic").otherwise(F.col("kind"))).unionByName(listed)
+
+
+@query("frontier_walk", sql=S.with_(S.REVIEWS, S.POSTS, S.CODES) + f"""
+, threads AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS n FROM (SELECT DISTINCT conv_id FROM posts)),
+indexes AS (SELECT DISTINCT n // {render.INDEX_SIZE} AS i, CAST(ceil((n // {render.INDEX_SIZE}) / {render.INDEX_AHEAD}.0) AS BIGINT) AS d FROM threads),
+names AS (SELECT name, code, code // {render.LISTING_SIZE} AS listing FROM codes),
+urls AS (
+  SELECT name, '{E.SITE}{E.REVIEW_PATH}' || regexp_extract(name, '(\\d+)$', 1) || '-Reviews-' AS head, listing FROM names),
+thread_pages AS (SELECT DISTINCT conv_id, page FROM posts)
+SELECT '{E.SITE}/Region-oa' || CAST(listing AS VARCHAR) || '.html' AS url, 'region' AS kind, listing AS depth,
+  CASE WHEN listing > 0 THEN '{E.SITE}/Region-oa' || CAST(listing - 1 AS VARCHAR) || '.html' END AS parent, NULL AS context
+FROM (SELECT DISTINCT listing FROM names)
+UNION ALL
+SELECT head || name || '.html', 'attraction', listing + 1, '{E.SITE}/Region-oa' || CAST(listing AS VARCHAR) || '.html', name FROM urls
+UNION ALL
+SELECT head || 'or' || CAST(attr_page * 10 AS VARCHAR) || '-' || name || '.html', 'review_page', listing + 2, head || name || '.html', name
+FROM urls JOIN (SELECT DISTINCT attr_name, attr_page FROM reviews) r ON r.attr_name = name
+UNION ALL
+SELECT '{E.SITE}/forum/index-' || CAST(a.i AS VARCHAR) || '.html', 'forum_index', a.d,
+  (SELECT min('{E.SITE}/forum/index-' || CAST(b.i AS VARCHAR) || '.html') FROM indexes b
+   WHERE b.i < a.i AND b.i >= a.i - {render.INDEX_AHEAD} AND b.d = a.d - 1), NULL
+FROM indexes a
+UNION ALL
+SELECT '{E.SITE}/forum/thread-' || CAST(p.conv_id AS VARCHAR) || '-page-' || CAST(p.page + 1 AS VARCHAR) || '.html', 'thread',
+  i.d + 1 + p.page,
+  CASE WHEN p.page = 0 THEN '{E.SITE}/forum/index-' || CAST(i.i AS VARCHAR) || '.html'
+       ELSE '{E.SITE}/forum/thread-' || CAST(p.conv_id AS VARCHAR) || '-page-' || CAST(p.page AS VARCHAR) || '.html' END,
+  'Thread ' || CAST(p.conv_id AS VARCHAR)
+FROM thread_pages p JOIN threads t USING (conv_id) JOIN indexes i ON i.i = t.n // {render.INDEX_SIZE}
+""".replace("'-Reviews-' AS head", "'-Reviews' AS head").replace("head || name || '.html'", "head || '-' || name || '.html'")
+       .replace("head || 'or'", "head || '-or'"))
+def frontier_walk(spark, sf_dir):
+    """Every page that can be reached from the region's and the forum's first page, with its
+    depth, the page it was found on, and the attraction or thread it belongs to."""
+    roots = spark.createDataFrame([(f"{E.SITE}/Region-oa0.html",), (f"{E.SITE}/forum/index-0.html",)], "url string")
+    found = FR.walk(spark, site_links(spark, sf_dir), roots, SITE)
+    kind = F.when(F.col("kind") == "thread_topic", "thread").otherwise(F.col("kind"))
+    return found.select("url", kind.alias("kind"), "depth", "parent", "context")
+
+
+@query("forum_index_links", sql=S.with_(S.POSTS) + f"""
+SELECT '{E.SITE}/forum/index-' || CAST((row_number() OVER (ORDER BY conv_id) - 1) // {render.INDEX_SIZE} AS VARCHAR) || '.html' AS index_url,
+  '{E.SITE}/forum/thread-' || CAST(conv_id AS VARCHAR) || '-page-1.html' AS thread_url, 'Thread ' || CAST(conv_id AS VARCHAR) AS topic
+FROM (SELECT DISTINCT conv_id FROM posts)""")
+def forum_index_links(spark, sf_dir):
+    """The thread links of the forum's index pages."""
+    links = FR.typed_links(render.forum_index_pages(spark, sf_dir), SITE).where("kind = 'thread'")
+    return links.select(F.col("from_url").alias("index_url"), F.col("to_url").alias("thread_url"), F.col("label").alias("topic"))
+
+
+# ---------------------------------------------------------------- clean, extract, sink, complete
+
+def page_documents(pages):
+    """Review pages (url, html) -> page documents, cleaned: the name as it may be a key, number from the URL."""
+    named = pages.select(X.safe_name(H.html_title("html")).alias("attr_name"), U.url_page_no("url").alias("attr_page"), "html")
+    t = typed_reviews(XT.extract_reviews(named, "html", ["attr_name", "attr_page"]))
+    return R.page_assemble(t.withColumns({c: X.clean_text(c) for c in ("title", "review")}))

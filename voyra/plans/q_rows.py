@@ -129,8 +129,8 @@ def slot_limit(spark, sf_dir):
                     F.md5(F.array_join(s, "\n")).alias("slots_md5"))
 
 
-@query("range_slice", sql="""
-SELECT page_id, array_to_string(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)[16:20], '|') AS links
+@query("range_slice", sql=f"""
+SELECT page_id, array_to_string({S.links('html')}[16:20], '|') AS links
 FROM pages""")
 def range_slice(spark, sf_dir):
     """Links 15..19 (0-based) of each page."""

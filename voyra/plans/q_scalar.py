@@ -135,9 +135,9 @@ def visit_month(spark, sf_dir):
     return v.select("event_id", X.visit_month(X.split_visit("visit")["time"]).cast("string").alias("visit_month"))
 
 
-LINKS_SQL = """links AS (
+LINKS_SQL = f"""links AS (
   SELECT page_id, url, unnest(l) AS href, unnest(range(len(l))) AS pos
-  FROM (SELECT page_id, url, regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1) AS l FROM pages))"""
+  FROM (SELECT page_id, url, {S.links('html')} AS l FROM pages))"""
 SCHEME_HOST_SQL = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1)"
 
 
@@ -252,10 +252,11 @@ def zip_map(spark, sf_dir):
         F.array_join(F.transform(F.map_values("m"), lambda v: F.array_join(v, ":")), "|").alias("vals"))
 
 
-@query("html_title", sql=r"""
-SELECT page_id, CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')
-  THEN trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')) END AS title
-FROM pages""")
+TITLE_SQL = f"""CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')
+  THEN {S.unescape("trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'))")} END"""
+
+
+@query("html_title", sql=f"SELECT page_id, {TITLE_SQL} AS title FROM pages")
 def html_title(spark, sf_dir):
     p = tables.pages(spark, sf_dir, "page_id", "html")
     return p.select("page_id", H.html_title("html").alias("title"))
@@ -266,8 +267,7 @@ def html_links(spark, sf_dir):
     return _links(spark, sf_dir).select("page_id", "pos", "href")
 
 
-@query("first_match", sql="""
-SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)[1] AS first_link FROM pages""")
+@query("first_match", sql=f"SELECT page_id, {S.links('html')}[1] AS first_link FROM pages")
 def first_match(spark, sf_dir):
     p = tables.pages(spark, sf_dir, "page_id", "html")
     return p.select("page_id", F.get(H.html_links("html"), 0).alias("first_link"))

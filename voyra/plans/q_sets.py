@@ -15,10 +15,10 @@ from voyra.plans.registry import query
 from voyra.sources import tables
 
 
-@query("labels_concat", sql="""
+@query("labels_concat", sql=f"""
 SELECT page_id, len(l) AS n_labels, array_to_string(l, '&') AS labels
 FROM (SELECT page_id, list_concat(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#:]+)', 1), '.'),
-                                  regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS l FROM pages)""")
+                                  {S.links('html')}) AS l FROM pages)""")
 def labels_concat(spark, sf_dir):
     """Host labels followed by the extra link list; duplicates kept."""
     p = tables.pages(spark, sf_dir, "page_id", "url", "html")

@@ -39,7 +39,7 @@ def page_link_stats_df(spark, sf_dir):
 
 query("page_link_stats", headline=True, sql=f"""
 SELECT {HOST_SQL} AS host, count(*) AS n_pages,
-       CAST(sum(len(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1))) AS BIGINT) AS n_links,
+       CAST(sum(len({S.links('html')})) AS BIGINT) AS n_links,
        count(title) AS n_titled, CAST(sum(length(title)) AS BIGINT) AS title_chars
 FROM (SELECT url, html,
              CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')

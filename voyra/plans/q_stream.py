@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 from voyra.functions import html as H
 from voyra.functions import urls as U
+from voyra.operators import tasks as TK
+from voyra.plans import entities as E
+from voyra.plans import render
+from voyra.plans import sql as S
+from voyra.plans.q_extract import REVIEW_SLOTS_SQL, page_documents
+from voyra.plans.q_scalar import TITLE_SQL
 from voyra.plans.registry import query
 from voyra.session import scratch_dir
 from voyra.sinks import files as sinks
@@ -15,13 +21,9 @@ from voyra.sinks.versions import Store
 from voyra.sources import tables
 from voyra.streaming import ingest as ST
 
-H1_SQL = r"""CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')
-  THEN trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')) END"""
-
 
 @query("stream_ingest", sql=f"""
-SELECT page_id, {H1_SQL} AS title,
-       CAST(len(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS INTEGER) AS n_links
+SELECT page_id, {TITLE_SQL} AS title, CAST(len({S.links('html')}) AS INTEGER) AS n_links
 FROM pages""")
 def stream_ingest(spark, sf_dir):
     """pages (file stream) -> parse -> parquet sink."""
@@ -111,3 +113,29 @@ def stream_resume(spark, sf_dir):
     sinks.write_parquet(e.where(~(F.col("ts") < cut) | F.col("ts").isNull()), f"{landing}/step=2", dynamic=False)
     ST.ingest(ST.file_stream(spark, landing, schema=schema + ", step INT"), out, ckpt)
     return spark.read.schema(schema).parquet(out).select("event_id", "user_id", "event_type")
+
+
+@query("stream_pages", sql=REVIEW_SLOTS_SQL + f"""
+SELECT attr_name, attr_page, count(*) AS n_reviews,
+       md5(string_agg({S.clean("coalesce(title, 'NONE')")}, '|' ORDER BY review_id)) AS titles_md5,
+       md5(string_agg({S.clean("replace(review, chr(10), '')")}, '|' ORDER BY review_id)) AS reviews_md5, true AS complete
+FROM slots GROUP BY attr_name, attr_page""")
+def stream_pages(spark, sf_dir):
+    """Fetched review pages land in two steps; a stream takes them in, a run each: pages are
+    cleaned, extracted and assembled to documents, which are committed with the marks of
+    their tasks, one version a micro-batch. Documents and task marks read back together."""
+    store, ckpt, landing = Store(spark, scratch_dir(spark, "site")), scratch_dir(spark, "site-ckpt"), scratch_dir(spark, "site-landing")
+    seeds = tables.documents(spark, sf_dir, "source").groupBy(F.col("source").alias("attr_name")).agg(F.count(F.lit(1)).alias("n"))
+    TK.task_init(spark, seeds, "n", E.review_page_url, store.path)
+    pages = render.review_pages(spark, sf_dir).select("url", "html").withColumn("half", F.pmod(F.xxhash64("url"), F.lit(2)))
+    sinks.write_parquet(pages, f"{landing}/all", partition_by=["half"], dynamic=False)
+    fetched = f"{landing}/fetched"
+    for half in (0, 1):
+        spark.read.schema("url STRING, html STRING").parquet(f"{landing}/all/half={half}").write.parquet(f"{fetched}/step={half}")
+        ST.pages_and_tasks(ST.file_stream(spark, fetched, schema="url STRING, html STRING, step INT"), store, ckpt, page_documents)
+    docs, tasks = store.read("pages"), TK.read_tasks(spark, store.path)
+    both = docs.join(tasks.withColumnRenamed("page", "attr_page"), ["attr_name", "attr_page"])
+    values = F.map_values("attr_reviews")
+    return both.select("attr_name", "attr_page", F.size(values).cast("long").alias("n_reviews"),
+                       F.md5(F.array_join(F.transform(values, lambda v: v["title"]), "|")).alias("titles_md5"),
+                       F.md5(F.array_join(F.transform(values, lambda v: v["review"]), "|")).alias("reviews_md5"), "complete")

@@ -11,7 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voyra.functions.html import html_escape as esc
+from voyra.functions.urls import PAGE_SLOT
+from voyra.operators.labels import category_codes
+from voyra.operators.numbering import number_by_id
 from voyra.plans import entities as E
+from voyra.session import materialize
+from voyra.sources import tables
 
 
 def _items(arr, tag: str = "li") -> Column:
@@ -102,3 +107,55 @@ def forum_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('</h1><div class="pageno">Page '), (F.col("page") + 1).cast("string"), F.lit("</div>"),
         F.array_join(F.transform("_p", lambda e: e["h"]), ""), nxt, F.lit("</body></html>"))
     return g.select("conv_id", "page", forum_url(F.col("conv_id"), F.col("page")).alias("url"), html.alias("html"))
+
+
+LISTING_SIZE = 30        # attractions a region page lists
+INDEX_SIZE = 20          # threads a forum index page lists
+INDEX_AHEAD = 10         # index pages that an index page links to
+
+
+def attraction_url(attr) -> Column:
+    return F.concat(F.lit(E.SITE + E.REVIEW_PATH), F.regexp_extract(attr, r"(\d+)$", 1),
+                    F.lit(f"-{PAGE_SLOT}-"), attr, F.lit(".html"))
+
+
+def region_url(page) -> Column:
+    return F.concat(F.lit(E.SITE + "/Region-oa"), page.cast("string"), F.lit(".html"))
+
+
+def index_url(page) -> Column:
+    return F.concat(F.lit(E.SITE + "/forum/index-"), page.cast("string"), F.lit(".html"))
+
+
+def _link(url: Column, label: Column, css: str = "item") -> Column:
+    """A root-relative link; an advertisement beside it is inside a comment."""
+    return F.concat(F.lit(f'<a class="{css}" href=\''), esc(F.replace(url, F.lit(E.SITE), F.lit(""))), F.lit("'><b>"), esc(label),
+                    F.lit("</b></a><!-- <a href='/ad.html'>ad</a> -->"))
+
+
+def _list_pages(items: DataFrame, size: int, url: Column, label: Column) -> DataFrame:
+    """(n, ...) numbered items -> (page, links): ``size`` links a page."""
+    row = items.select(F.floor(F.col("n") / size).cast("long").alias("page"), "n", _link(url, label).alias("a"))
+    g = row.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("n", "a"))).alias("l"))
+    return g.select("page", F.array_join(F.transform("l", lambda x: x["a"]), "").alias("links"))
+
+
+def region_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, html of the region's listing pages, each with a link to the next."""
+    names = materialize(category_codes(tables.documents(spark, sf_dir, "source"), "source", out="n"))
+    pages = _list_pages(names, LISTING_SIZE, attraction_url(F.col("source")), F.col("source"))
+    pages = pages.withColumn("last", names.agg(F.floor(F.max("n") / LISTING_SIZE)).scalar())
+    more = F.when(F.col("page") < F.col("last"), _link(region_url(F.col("page") + 1), F.lit("Next"), "next")).otherwise("")
+    html = F.concat(F.lit("<html><script>var a = \"<a href='/x.html'>x</a>\";</script><body>"), "links", more, F.lit("</body></html>"))
+    return pages.select(region_url(F.col("page")).alias("url"), html.alias("html"))
+
+
+def forum_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, html of the forum's index pages: threads, and the index pages that follow."""
+    threads = materialize(number_by_id(tables.conversations(spark, sf_dir, "conv_id").distinct(), [], "conv_id", "n"))
+    label = F.concat(F.lit("Thread "), F.col("conv_id").cast("string"))
+    pages = _list_pages(threads, INDEX_SIZE, F.concat(F.lit(E.SITE), forum_url(F.col("conv_id"), F.lit(0))), label)
+    pages = pages.withColumn("last", threads.agg(F.floor(F.max("n") / INDEX_SIZE)).scalar())
+    ahead = F.filter(F.transform(F.sequence(F.lit(1), F.lit(INDEX_AHEAD)), lambda k: F.col("page") + k), lambda p: p <= F.col("last"))
+    more = F.array_join(F.transform(ahead, lambda p: _link(index_url(p), (p + 1).cast("string"), "page")), "")
+    return pages.select(index_url(F.col("page")).alias("url"), F.concat(F.lit("<html><body>"), "links", more, F.lit("</body></html>")).alias("html"))

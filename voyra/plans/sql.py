@@ -51,6 +51,24 @@ def clean(expr: str) -> str:
     return f"regexp_replace({demojize(marked)}, '[^ -~]', '', 'g')"
 
 
+def unescape(expr: str) -> str:
+    """The entities of the test pages decoded (the last one last)."""
+    for entity, text in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        expr = f"replace({expr}, {q(entity)}, {q(text)})"
+    return expr
+
+
+LINK_RX = (r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
+           r"""|<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)""")
+
+
+def links(html: str) -> str:
+    """List of the links of a page: either quote or none, comments, scripts and styles left out."""
+    found = f"list_filter(regexp_extract_all({html}, '{LINK_RX}', 1), lambda x: x <> '')"
+    bare = """regexp_replace(x, '^["'']|["'']$', '', 'g')"""
+    return f"list_transform({found}, lambda x: {unescape(bare)})"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
