@@ -72,3 +72,107 @@ def test_random_split_and_distinct_counts(spark):
     approx = distinct_counts(df, ["g", "doc_id"], approx=True).first()
     assert (exact.g, exact.doc_id) == (37, 5000)
     assert abs(approx.doc_id - 5000) < 0.05 * 5000 and approx.g == 37
+
+
+def test_naive_bayes_of_odd_texts_and_classes(spark, tmp_dir):
+    """Empty and null texts, a class without tokens, null labels, repeated ids, no training rows."""
+    schema = "doc_id LONG, text STRING, label STRING"
+    train = spark.createDataFrame(TRAIN + [(6, None, "empty"), (7, "", "empty"), (8, "park", None)], schema)
+    model = C.nb_fit(train, f"{tmp_dir}/nb")
+    assert [c[0] for c in model.classes] == ["empty", "indoor", "outdoor", "sport"]
+    test = spark.createDataFrame([(1, "art art", "indoor"), (2, None, "sport"), (2, None, "sport"), (3, "zzz", None), (4, "", "other")], schema)
+    got = {r.doc_id: r for r in C.nb_predict(model, test).collect()}
+    assert got[1].prediction == "indoor" and set(got) == {1, 2, 3, 4}
+    assert got[2].prediction == "empty" and abs(got[2].p_true - 1 / 7) < 1e-9         # the priors decide: 2, 2, 2 and 1 of 7
+    assert got[3].loss is None and got[4].p_true is None
+    none = C.nb_fit(train.limit(0), f"{tmp_dir}/none")
+    assert none.classes == [] and [r.prediction for r in C.nb_predict(none, test.where("doc_id = 1")).collect()] == [None]
+
+
+def test_tokens_are_counted_in_one_shuffle(spark):
+    docs = spark.createDataFrame([(i, "a b a " * i, "x") for i in range(5)], "doc_id LONG, text STRING, label STRING")
+    counts = C.token_counts(docs, ["doc_id", "label"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert {(r.doc_id, r.token, r.n) for r in counts.collect()} == {(0, " 0", 0)} | {(i, t, i * (2 if t == "a" else 1)) for i in range(1, 5) for t in "ab"}
+
+
+def sgd_rows():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    words = {c: [f"{c}{i}" for i in range(15)] for c in "xyz"}
+    rows = []
+    for i in range(240):
+        c = "xyz"[i % 3]
+        rows.append((i, " ".join(rng.choice(words[c] + ["the", "of", "and"] * 4, 12)), c))
+    return rows + [(900, None, "x"), (901, "", "y"), (902, "x1 x2", None)]
+
+
+def test_sgd_against_numpy(spark):
+    """Every step's gradient, batch and rate, by plain loops over dense rows."""
+    import numpy as np
+    from voyra.operators import sgd as G
+    schema = "doc_id LONG, text STRING, label STRING"
+    df = spark.createDataFrame(sgd_rows(), schema).repartition(3)
+    k, epochs, size, rate, seed = 64, 2, 100, 3.0, 5
+    rows = [r for r in df.select("*", *[F.pmod(F.xxhash64(F.lit(seed), F.lit(e), "doc_id"), F.lit(3)).alias(f"b{e}") for e in range(epochs)]).collect() if r.label]
+    bucket = {t: b for t, b in df.select(F.explode(C.tokens("text", None)).alias("t")).select("t", F.pmod(F.xxhash64("t"), F.lit(k))).distinct().collect()}
+    x = np.zeros((len(rows), k + 1))
+    for i, r in enumerate(rows):
+        for t in (r.text or "").split():
+            x[i, bucket[t]] += 1
+        x[i, :k] = np.log1p(x[i, :k])
+        x[i, :k] /= max(np.sqrt((x[i, :k] ** 2).sum()), 1e-300)
+        x[i, k] = 1
+    y = np.array(["xyz".index(r.label) for r in rows])
+    w = np.zeros((3, k + 1))
+    steps = 3 * epochs
+    for s in range(steps):
+        e, b = divmod(s, 3)
+        mine = np.array([r[f"b{e}"] == b for r in rows])
+        p = G.softmax(x[mine] @ w.T)
+        p[np.arange(mine.sum()), y[mine]] -= 1
+        t = (s + 0.5) / steps
+        w = w - rate * (t / 0.3 if t < 0.3 else (1 - t) / 0.7) * (p.T @ x[mine]) / mine.sum()
+    model = G.fit(df, epochs, size, rate, seed, k)
+    assert model.classes == ["x", "y", "z"] and np.allclose(model.weights, w, atol=1e-9)
+    got = {r.doc_id: r for r in G.predict(model, df, ["doc_id"]).collect()}
+    for i, r in enumerate(rows):
+        p = G.softmax(x[i: i + 1] @ w.T)[0]
+        assert abs(got[r.doc_id].score - p.max()) < 1e-9 and abs(p["xyz".index(got[r.doc_id].prediction)] - p.max()) < 1e-12
+
+
+def test_sgd_parameters_act(spark):
+    import numpy as np
+    from voyra.operators import sgd as G
+    df = spark.createDataFrame(sgd_rows(), "doc_id LONG, text STRING, label STRING")
+
+    def accuracy(model):
+        got = G.predict(model, df.where("label IS NOT NULL"), ["doc_id", "label"]).collect()
+        return np.mean([r.prediction == r.label for r in got])
+    base = G.fit(df, 2, 64, 3.0, num_features=256)
+    assert accuracy(base) >= 0.95
+    again = G.fit(df.repartition(5), 2, 64, 3.0, num_features=256)
+    assert np.allclose(base.weights, again.weights, atol=1e-9)
+    for other in (G.fit(df, 1, 64, 3.0, num_features=256), G.fit(df, 2, 243, 3.0, num_features=256), G.fit(df, 2, 64, 0.01, num_features=256),
+                  G.fit(df, 2, 64, 3.0, seed=1, num_features=256)):
+        assert not np.allclose(base.weights, other.weights, atol=1e-6)
+    assert np.abs(G.fit(df, 2, 64, 0.01, num_features=256).weights).max() < np.abs(base.weights).max() / 10
+    one = G.fit(df.where("label = 'x'"), 1, 64, 3.0, num_features=16)
+    assert one.classes == ["x"] and [r.prediction for r in G.predict(one, df.limit(1), ["doc_id"]).collect()] == ["x"]
+    none = G.fit(df.limit(0), 1, 64, 3.0, num_features=16)
+    assert none.classes == [] and G.predict(none, df.limit(2), ["doc_id"]).count() == 2
+
+
+def test_gradient_sums_are_a_tree(spark, monkeypatch):
+    import numpy as np
+    from voyra.operators import sgd as G
+    monkeypatch.setattr(G, "FAN", 2)
+    rows = G.features(spark.createDataFrame(sgd_rows()[:60], "doc_id LONG, text STRING, label STRING"), ["doc_id"], num_features=32) \
+        .withColumn("cls", F.lit(1).cast("long")).repartition(9)
+    w = np.ones((2, 33)) * 0.1
+    g, n = G._summed(rows, w, rows.rdd.getNumPartitions())
+    import pyarrow as pa
+    whole = pa.Table.from_batches([pa.RecordBatch.from_pylist([r.asDict() for r in rows.collect()], schema=pa.schema(
+        [("doc_id", pa.int64()), ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float64())), ("cls", pa.int64())]))])
+    assert n == 60 and np.allclose(g, G.gradient(whole, w))

@@ -13,19 +13,21 @@ an exact SQL statement of the same computation:
 N(d) counts the token occurrences of d that are in the training vocabulary
 V; unseen (t, c) pairs contribute log(1) = 0, so only observed pairs join.
 
-Plan: fit = one explode + one partial aggregate on (token, class), written
-once as the model table, one row per token with its class weights. Score =
-tokens counted per document, one join on token with the model, the few class
-weights unrolled behind the join straight into a partial aggregate on
-(document, class), then one row per document. A frequent token is one hot join
-key: it counts once per document, and AQE's skew rule splits it; one model row
-answers it. The class table (prior and denominator, one row per class) reaches
-every document as a scalar subquery, whatever the number of classes; the plan
-is the same at every size.
+Plan: a document's tokens are counted once (``token_counts``: texts meet by document first, so
+words are counted where they are cut and only counts move on), and both halves read those
+counts. Fit = one partial aggregate on (token, class), written as the model table,
+one row per token with a weight for each class. Score = the counts joined with the
+model on token, and one sum for each class straight into a partial aggregate on the
+document. A frequent token is one hot join key: it counts once per document, and AQE's
+skew rule splits it; one model row answers it. The class table (prior and denominator, one
+row per class) goes through the driver: classes are labels that a model is trained for, and
+each is a column of sums; the plan is the same at every size.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,81 +44,91 @@ def tokens(text: str | Column, max_tokens: int | None = MAX_TOKENS) -> Column:
     return toks if max_tokens is None else F.slice(toks, 1, max_tokens)
 
 
+def token_counts(docs: DataFrame, keep: list[str], text: str = "text", max_tokens: int | None = None) -> DataFrame:
+    """(keep..., token, n) of every document (``keep`` begins with its id): how often it has each token.
+    A document without tokens has one row, with a token that is in no text and n = 0."""
+    one = keep[0]
+    t = F.col("_t")
+    none = F.concat(F.lit(" "), F.coalesce(F.col(one).cast("string"), F.lit("")))
+    rows = docs.select(*keep, F.col(text).alias("_text")).repartition(one).withColumn("_t", F.coalesce(tokens("_text", max_tokens), F.array().cast("array<string>")))
+    rows = rows.select(*keep, (F.size(t) > 0).cast("long").alias("_some"), F.explode(F.when(F.size(t) > 0, t).otherwise(F.array(none))).alias("token"))
+    return rows.groupBy(*keep, "token").agg(F.sum("_some").alias("n"))
+
+
 class NaiveBayes:
-    """Fitted model: ``classes`` (cls, prior, denom), one row per class, and
-    ``weights`` (token, ws), one row per token with its (cls, w) entries; the
-    entry of class NULL weighs 1 and counts tokens of the vocabulary."""
+    """Fitted model: ``classes`` (cls, prior, denom), a list with one entry per class, by name, and
+    ``weights`` (token, ws), one row per token with a weight for each of them."""
 
-    def __init__(self, classes: DataFrame, weights: DataFrame):
+    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame):
         self.classes, self.weights = classes, weights
 
-    def class_array(self) -> Column:
-        return self.classes.agg(F.array_agg(F.struct("cls", "prior", "denom"))).scalar()
+
+def nb_fit_counts(counts: DataFrame, train: DataFrame, path: str, label: str = "label") -> NaiveBayes:
+    """Fit on the token counts of the documents ``train`` (rows without a label teach nothing); the
+    model is written to ``path`` (a folder under spark.checkpoint.dir) and everything after reads it."""
+    spark = train.sparkSession
+    n_docs = {r[0]: r[1] for r in train.where(F.col(label).isNotNull()).groupBy(label).count().collect()}   # one row a class
+    names = sorted(n_docs)
+    known = counts.where(F.col(label).isNotNull() & (F.col("n") > 0))
+    per_class = known.groupBy("token", F.col(label).alias("cls")).agg(F.sum("n").alias("n"))
+    sums = [F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("n"))), F.lit(0)) for c in names]
+    per_class.groupBy("token").agg(F.array(*sums).alias("ns")).write.mode("overwrite").parquet(path)
+    model = spark.read.schema("token STRING, ns ARRAY<BIGINT>").parquet(path)
+    totals = model.agg(F.count(F.lit(1)).alias("v"), *[F.sum(F.col("ns")[i]) for i in range(len(names))]).first()
+    docs = sum(n_docs.values())
+    classes = [(c, math.log(n_docs[c] / docs), math.log((totals[i + 1] or 0) + totals[0]) if (totals[i + 1] or 0) + totals[0] else 0.0)
+               for i, c in enumerate(names)]
+    return NaiveBayes(classes, model.select("token", F.transform("ns", lambda n: F.log(n + F.lit(1))).alias("ws")))
 
 
 def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text",
            max_tokens: int | None = None) -> NaiveBayes:
-    """Fit on ``train`` (label, text; rows without a label teach nothing); the
-    model is written to ``path`` (a folder under spark.checkpoint.dir) and
-    everything after reads it."""
-    from voyra.session import materialize
-    spark = train.sparkSession
-    train = train.where(F.col(label).isNotNull())
-    toks = train.select(F.col(label).alias("cls"), F.explode(tokens(text, max_tokens)).alias("token"))
-    counts = toks.groupBy("token", "cls").agg(F.count(F.lit(1)).alias("cnt"))
-    counts.groupBy("token").agg(F.collect_list(F.struct("cls", "cnt")).alias("cs")) \
-        .write.mode("overwrite").parquet(path)                       # at most one entry a class
-    model = spark.read.parquet(path)
-    n_docs = materialize(train.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n_docs")))
-    n_tok = model.select(F.explode("cs").alias("c")).groupBy("c.cls").agg(F.sum("c.cnt").alias("n_tok"))
-    classes = materialize(n_docs.join(n_tok, "cls", "left").select(
-        "cls", F.log(F.col("n_docs") / n_docs.agg(F.sum("n_docs")).scalar()).alias("prior"),
-        F.log((F.coalesce("n_tok", F.lit(0)) + model.agg(F.count(F.lit(1))).scalar()).cast("double")).alias("denom")))
-    seen = F.transform("cs", lambda c: F.struct(c["cls"].alias("cls"), F.log(c["cnt"] + F.lit(1)).alias("w")))
-    in_vocab = F.array(F.struct(F.lit(None).cast("string").alias("cls"), F.lit(1.0).alias("w")))
-    return NaiveBayes(classes, model.select("token", F.concat(seen, in_vocab).alias("ws")))
-
-
-def _scored(model: NaiveBayes, docs: DataFrame, keep: list[str], text: str,
-            max_tokens: int | None) -> DataFrame:
+    """``nb_fit_counts`` from texts (label, text)."""
+    one = train.withColumn("_one", F.monotonically_increasing_id())
+    return nb_fit_counts(token_counts(one, ["_one", label], text, max_tokens), train, path, label)
+
+
+def _scored(model: NaiveBayes, counts: DataFrame, keep: list[str]) -> DataFrame:
     """Per document: keep columns and ``_s`` = array<struct<ns, cls, score>> of
     every class, sorted by (-score, cls)."""
-    counted = (docs.select(*keep, F.explode(tokens(text, max_tokens)).alias("token"))
-               .groupBy(*keep, "token").agg(F.count(F.lit(1)).alias("n")))
-    found = counted.join(model.weights, "token").select(*keep, "n", F.explode("ws").alias("x")) \
-        .select(*keep, F.col("x.cls").alias("cls"), (F.col("n") * F.col("x.w")).alias("s"), F.lit(0.0).alias("denom"))
-    every = docs.select(*keep).withColumn("_c", model.class_array()).select(*keep, F.explode("_c").alias("x")) \
-        .select(*keep, "x.cls", F.col("x.prior").alias("s"), "x.denom").distinct()
-    per = found.unionByName(every).groupBy(*keep, "cls").agg(F.sum("s").alias("s"), F.max("denom").alias("denom"))
-    n_in = F.sum(F.when(F.col("cls").isNull(), F.col("s")))
-    entries = F.collect_list(F.when(F.col("cls").isNotNull(), F.struct("cls", "s", "denom")))
-    g = per.groupBy(*keep).agg(entries.alias("_e"), F.coalesce(n_in, F.lit(0.0)).alias("_n"))
-
-    def score(c):
-        v = c["s"] - F.col("_n") * c["denom"]
-        return F.struct((-v).alias("ns"), c["cls"].alias("cls"), v.alias("score"))
-    return g.select(*keep, F.array_sort(F.transform("_e", score)).alias("_s"))
+    j = counts.join(model.weights, "token", "left")
+    n_in = F.coalesce(F.sum(F.when(F.col("ws").isNotNull(), F.col("n"))), F.lit(0))
+    # a token that is in no class's texts weighs log(1) = 0
+    sums = [F.coalesce(F.sum(F.col("n") * F.col("ws")[i]), F.lit(0.0)).alias(f"_s{i}") for i in range(len(model.classes))]
+    g = j.groupBy(*keep).agg(n_in.alias("_n"), *sums)
+
+    def entry(i, cls, prior, denom):
+        v = F.lit(prior) - F.col("_n") * F.lit(denom) + F.col(f"_s{i}")
+        return F.struct((-v).alias("ns"), F.lit(cls).alias("cls"), v.alias("score"))
+    entries = [entry(i, *c) for i, c in enumerate(model.classes)]
+    none = "array<struct<ns:double,cls:string,score:double>>"
+    return g.select(*keep, F.array_sort(F.array(*entries)).alias("_s") if entries else F.array().cast(none).alias("_s"))
 
 
 def nb_scores(model: NaiveBayes, docs: DataFrame, text: str = "text",
               max_tokens: int | None = None) -> DataFrame:
     """(doc_id, cls, score) for every document and class."""
-    g = _scored(model, docs, ["doc_id"], text, max_tokens)
+    g = _scored(model, token_counts(docs, ["doc_id"], text, max_tokens), ["doc_id"])
     return g.select("doc_id", F.explode("_s").alias("x")).select("doc_id", "x.cls", "x.score")
 
 
-def nb_predict(model: NaiveBayes, docs: DataFrame, label: str = "label", text: str = "text",
-               max_tokens: int | None = None, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, label, prediction (argmax, ties to the smaller name), p_true
+def nb_predict_counts(model: NaiveBayes, counts: DataFrame, keep: list[str], label: str = "label") -> DataFrame:
+    """keep columns, prediction (argmax, ties to the smaller name), p_true
     (softmax probability of the true class) and loss = -log p_true."""
-    keep = ["doc_id", label] + [k for k in (keep or []) if k not in ("doc_id", label)]
-    g = _scored(model, docs, keep, text, max_tokens)
-    mx = F.col("_s")[0]["score"]
+    g = _scored(model, counts, keep)
+    top = F.get("_s", F.lit(0))
+    mx = top["score"]
     z = F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - mx))
     s_true = F.get(F.filter("_s", lambda x: x["cls"] == F.col(label)), 0)["score"]
     loss = mx + F.log(z) - s_true
-    return g.select(*keep, F.col("_s")[0]["cls"].alias("prediction"),
-                    F.exp(-loss).alias("p_true"), loss.alias("loss"))
+    return g.select(*keep, top["cls"].alias("prediction"), F.exp(-loss).alias("p_true"), loss.alias("loss"))
+
+
+def nb_predict(model: NaiveBayes, docs: DataFrame, label: str = "label", text: str = "text",
+               max_tokens: int | None = None, keep: list[str] | None = None) -> DataFrame:
+    """``nb_predict_counts`` from texts: doc_id, label, further ``keep``, prediction, p_true, loss."""
+    keep = ["doc_id", label] + [k for k in (keep or []) if k not in ("doc_id", label)]
+    return nb_predict_counts(model, token_counts(docs, keep, text, max_tokens), keep, label)
 
 
 def confusion(preds: DataFrame) -> DataFrame:
