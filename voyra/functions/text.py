@@ -65,14 +65,19 @@ def _c(c) -> Column:
 
 
 def strip_markers(c) -> Column:
-    return F.regexp_replace(_c(c), MARKER_PATTERN, "")
+    """Markers deleted; a text without the beginning of one is not looked through for them."""
+    c = _c(c)
+    may = c.contains("<!--red_") | c.contains("<em>") | c.contains("</em>")
+    return F.when(may, F.regexp_replace(c, MARKER_PATTERN, "")).otherwise(c)
 
 
 def _emoji_guard() -> str:
-    """Character class of the first character of every alias key: a text
-    without any of them has nothing to replace."""
-    firsts = sorted({e[0] for e, _ in EMOJI_ALIASES})
-    return "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in firsts) + "]"
+    """Character class that holds the first character of every alias key: a text
+    without any of it has nothing to replace. Two ranges, below and beyond U+FFFF:
+    a class of single characters costs a test for each of them."""
+    firsts = sorted(ord(e[0]) for e, _ in EMOJI_ALIASES)
+    low, high = [x for x in firsts if x < 0x10000], [x for x in firsts if x >= 0x10000]
+    return f"[\\x{{{low[0]:X}}}-\\x{{{low[-1]:X}}}\\x{{{high[0]:X}}}-\\x{{{high[-1]:X}}}]"
 
 
 def demojize(c) -> Column:
@@ -86,7 +91,7 @@ def demojize(c) -> Column:
 
 
 def ascii_filter(c) -> Column:
-    return F.regexp_replace(_c(c), NON_PRINTABLE_ASCII, "")
+    return F.regexp_replace(_c(c), NON_PRINTABLE_ASCII + "+", "")       # a run of them goes at once
 
 
 def clean_text(c, enabled: bool = True) -> Column:

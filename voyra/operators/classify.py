@@ -13,7 +13,7 @@ an exact SQL statement of the same computation:
 N(d) counts the token occurrences of d that are in the training vocabulary
 V; unseen (t, c) pairs contribute log(1) = 0, so only observed pairs join.
 
-Plan: a document's tokens are counted once (``token_counts``: texts meet by document first, so
+Plan: a document's tokens are counted once (``token_counts``: whole texts are dealt out first, so
 words are counted where they are cut and only counts move on), and both halves read those
 counts. Fit = one partial aggregate on (token, class), written as the model table,
 one row per token with a weight for each class. Score = the counts joined with the
@@ -45,14 +45,16 @@ def tokens(text: str | Column, max_tokens: int | None = MAX_TOKENS) -> Column:
 
 
 def token_counts(docs: DataFrame, keep: list[str], text: str = "text", max_tokens: int | None = None) -> DataFrame:
-    """(keep..., token, n) of every document (``keep`` begins with its id): how often it has each token.
-    A document without tokens has one row, with a token that is in no text and n = 0."""
-    one = keep[0]
+    """(keep..., token, n) of every row of ``docs``: how often its text has each token. A row without
+    tokens has one entry, with a token that is in no text and n = 0; rows that agree in
+    ``keep`` have entries of their own, for the reader to add up."""
     t = F.col("_t")
-    none = F.concat(F.lit(" "), F.coalesce(F.col(one).cast("string"), F.lit("")))
-    rows = docs.select(*keep, F.col(text).alias("_text")).repartition(one).withColumn("_t", F.coalesce(tokens("_text", max_tokens), F.array().cast("array<string>")))
-    rows = rows.select(*keep, (F.size(t) > 0).cast("long").alias("_some"), F.explode(F.when(F.size(t) > 0, t).otherwise(F.array(none))).alias("token"))
-    return rows.groupBy(*keep, "token").agg(F.sum("_some").alias("n"))
+    # rows are dealt out by a number of their own, so no id, and no text without tokens, is a hot key
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keep, F.col(text).alias("_text")).repartition("_row")
+    rows = rows.withColumn("_t", F.coalesce(tokens("_text", max_tokens), F.array().cast("array<string>")))
+    none = F.array(F.concat(F.lit(" "), F.col("_row").cast("string")))
+    rows = rows.select("_row", *keep, (F.size(t) > 0).cast("long").alias("_some"), F.explode(F.when(F.size(t) > 0, t).otherwise(none)).alias("token"))
+    return rows.groupBy("_row", *keep, "token").agg(F.sum("_some").alias("n")).drop("_row")
 
 
 class NaiveBayes:
@@ -84,8 +86,7 @@ def nb_fit_counts(counts: DataFrame, train: DataFrame, path: str, label: str = "
 def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text",
            max_tokens: int | None = None) -> NaiveBayes:
     """``nb_fit_counts`` from texts (label, text)."""
-    one = train.withColumn("_one", F.monotonically_increasing_id())
-    return nb_fit_counts(token_counts(one, ["_one", label], text, max_tokens), train, path, label)
+    return nb_fit_counts(token_counts(train, [label], text, max_tokens), train, path, label)
 
 
 def _scored(model: NaiveBayes, counts: DataFrame, keep: list[str]) -> DataFrame:

@@ -102,7 +102,7 @@ SELECT r.attr_name, CAST(r.attr_page AS BIGINT) AS attr_page, CAST(t.total AS BI
 FROM (SELECT DISTINCT attr_name, attr_page FROM reviews) r
 JOIN (SELECT attr_name, count(*) AS total FROM reviews GROUP BY attr_name) t USING (attr_name)""")
 def html_page_total(spark, sf_dir):
-    pages = render.review_pages(spark, sf_dir)
+    pages = render.review_page_heads(spark, sf_dir)
     return pages.select("attr_name", "attr_page",
                         H.html_page_total("html").alias("total"))
 
@@ -131,7 +131,7 @@ NEXT_HREF = r'<a class="next" href="([^"]*)"'
 SELECT DISTINCT conv_id, page, page AS depth FROM posts""")
 def next_page_chain(spark, sf_dir):
     """Follow each thread's next-page links from its first page."""
-    pages = render.forum_pages(spark, sf_dir)
+    pages = render.forum_page_feet(spark, sf_dir)
     href = F.regexp_extract("html", NEXT_HREF, 1)
     nxt = F.regexp_extract(href, r"-page-(\d+)\.html$", 1).try_cast("long") - 1
     edges = pages.select("conv_id", "page", F.when(href != "", nxt).alias("next_page"))

@@ -56,11 +56,11 @@ def dedup_requests(spark, sf_dir):
     """Every page URL and every absolute link is a request; each distinct
     fingerprint is kept once, at its first (page_id, position)."""
     p = tables.pages(spark, sf_dir, "page_id", "url", "html")
-    pages = p.select("page_id", F.lit(-1).alias("pos"), F.col("url").alias("req_url"))
+    # the page and its links leave one scan as one list
     base = F.regexp_extract("url", U.SCHEME_HOST, 1)
-    links = p.select("page_id", "url", F.posexplode(H.html_links("html")).alias("pos", "href")) \
-        .select("page_id", "pos", U.abs_url("href", base).alias("req_url"))
-    req = pages.unionByName(links).withColumn("fp", U.url_fingerprint("req_url"))
+    listed = p.select("page_id", "url", base.alias("base"), F.coalesce(H.html_links("html"), F.array().cast("array<string>")).alias("links"))
+    every = F.concat(F.array("url"), F.transform("links", lambda h: U.abs_url(h, F.col("base"))))
+    req = listed.select("page_id", F.explode(every).alias("req_url")).withColumn("fp", U.url_fingerprint("req_url"))
     # the fingerprint fixes the URL, so both are keys and the buffer is one long: a hash aggregate
     first = req.groupBy("fp", "req_url").agg(F.min("page_id").alias("first_page_id"))
     return first.select("fp", F.col("req_url").alias("url"), "first_page_id")

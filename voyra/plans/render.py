@@ -49,14 +49,40 @@ def attraction_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with their visit string (events joined on doc_id = event_id)
     and whether the title is shown (reviews under 200 characters have none)."""
-    r = E.reviews(spark, sf_dir, with_lang=False, extra=("n_chars",))
+    # numbered and joined with the visits without texts, which come in last
+    r = review_numbers(spark, sf_dir, "n_chars")
     v = E.visit_strings(spark, sf_dir).withColumnRenamed("event_id", "doc_id")
-    return r.join(v, "doc_id", "left").select(
+    t = tables.documents(spark, sf_dir, "doc_id", F.substring("text", 1, E.TITLE_CHARS).alias("title"), F.col("text").alias("review"))
+    return r.join(v, "doc_id", "left").join(t, "doc_id").select(
         "attr_name", "attr_page", "review_id", "doc_id",
         F.when(F.col("n_chars") >= 200, F.col("title")).alias("title"),
         F.when(F.col("visit") != "NONE", F.col("visit")).alias("visit"), "review")
 
 
+def review_numbers(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """doc_id, attr_name, review_id, attr_page and further columns of documents, without texts."""
+    d = number_by_id(tables.documents(spark, sf_dir, "doc_id", "source", *extra), ["source"], "doc_id", "review_id")
+    return d.select("doc_id", F.col("source").alias("attr_name"), "review_id",
+                    F.floor(F.col("review_id") / E.REVIEWS_PER_PAGE).cast("long").alias("attr_page"), *extra)
+
+
+def _review_head(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
+    """``pages`` (attr_name, attr_page, _lo, _hi: first and last number on it) with the beginning
+    of their markup: the heading and the pager, which counts all reviews."""
+    totals = tables.documents(spark, sf_dir, "source").groupBy(F.col("source").alias("attr_name")).agg(F.count(F.lit(1)).alias("total"))
+    head = F.concat(
+        F.lit("<!DOCTYPE html><html><body><h1>"), esc(F.col("attr_name")), F.lit("</h1>"),
+        F.lit('<div class="pager">Showing '), (F.col("_lo") + 1).cast("string"), F.lit("-"),
+        (F.col("_hi") + 1).cast("string"), F.lit(" of "), F.format_number("total", 0), F.lit(" reviews</div>"))
+    return pages.join(totals, "attr_name").withColumn("head", head)
+
+
+def review_page_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """attr_name, attr_page, html: the beginning of each listing page, down to the pager."""
+    g = review_numbers(spark, sf_dir).groupBy("attr_name", "attr_page").agg(F.min("review_id").alias("_lo"), F.max("review_id").alias("_hi"))
+    return _review_head(spark, sf_dir, g).select("attr_name", "attr_page", F.col("head").alias("html"))
+
+
 def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """attr_name, attr_page, url, html: one listing page of up to ten reviews."""
     s = review_slots(spark, sf_dir)
@@ -67,16 +93,12 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("visit").isNotNull(), F.concat(F.lit('<div class="time">'), esc(F.col("visit")), F.lit("</div>")))
         .otherwise(F.lit("")),
         F.lit('<div class="body">'), _items(F.split("review", "\n"), "span"), F.lit("</div></div>"))
-    totals = s.groupBy("attr_name").agg(F.count(F.lit(1)).alias("total"))
     g = s.groupBy("attr_name", "attr_page").agg(
         F.array_sort(F.collect_list(F.struct("review_id", slot.alias("h")))).alias("_s"),
         F.min("review_id").alias("_lo"), F.max("review_id").alias("_hi"))
-    g = g.join(totals, "attr_name")
+    g = _review_head(spark, sf_dir, g)
     html = F.concat(
-        F.lit("<!DOCTYPE html><html><body><h1>"), esc(F.col("attr_name")), F.lit("</h1>"),
-        F.lit('<div class="pager">Showing '), (F.col("_lo") + 1).cast("string"), F.lit("-"),
-        (F.col("_hi") + 1).cast("string"), F.lit(" of "), F.format_number("total", 0), F.lit(" reviews</div>"),
-        F.array_join(F.transform("_s", lambda e: e["h"]), ""), F.lit("</body></html>"))
+        "head", F.array_join(F.transform("_s", lambda e: e["h"]), ""), F.lit("</body></html>"))
     return g.select("attr_name", "attr_page", E.review_page_url(F.col("attr_name"), F.col("attr_page")).alias("url"),
                     html.alias("html"))
 
@@ -86,6 +108,21 @@ def forum_url(conv_id, page) -> Column:
                     (page + 1).cast("string"), F.lit(".html"))
 
 
+def _next_link(pages: DataFrame) -> DataFrame:
+    """``pages`` (conv_id, page) with ``nxt``, the link to the next page of the thread, if there is one."""
+    last = pages.groupBy("conv_id").agg(F.max("page").alias("_last"))
+    nxt = F.when(F.col("page") < F.col("_last"), F.concat(
+        F.lit('<a class="next" href="'), forum_url(F.col("conv_id"), F.col("page") + 1), F.lit('">Next</a>'))).otherwise(F.lit(""))
+    return pages.join(last, "conv_id").withColumn("nxt", nxt)
+
+
+def forum_page_feet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, page, html: the end of each thread page, after its posts."""
+    pages = tables.conversations(spark, sf_dir, "conv_id", "turn").select(
+        "conv_id", F.floor(F.col("turn") / E.POSTS_PER_PAGE).cast("long").alias("page")).distinct()
+    return _next_link(pages).select("conv_id", "page", F.concat("nxt", F.lit("</body></html>")).alias("html"))
+
+
 def forum_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conv_id, page, url, html: one thread page of up to three posts, with a
     next link when a later page exists. System posts show no user name."""
@@ -96,16 +133,16 @@ def forum_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.concat(F.lit('<div class="username">'), esc(F.col("username")), F.lit("</div>"))).otherwise(F.lit("")),
         F.lit('<div class="posttime">'), esc(F.col("posttime")), F.lit('</div><div class="posttext">'),
         _items(F.split("text", "\n"), "p"), F.lit("</div></div>"))
-    last = p.groupBy("conv_id").agg(F.max("page").alias("_last"))
     g = p.groupBy("conv_id", "page").agg(F.array_sort(F.collect_list(F.struct("turn", post.alias("h")))).alias("_p"))
-    g = g.join(last, "conv_id")
+    last = tables.conversations(spark, sf_dir, "conv_id", "turn").select("conv_id", F.floor(F.col("turn") / E.POSTS_PER_PAGE).cast("long").alias("page"))
+    last = last.groupBy("conv_id").agg(F.max("page").alias("_last"))
     nxt = F.when(F.col("page") < F.col("_last"), F.concat(
-        F.lit('<a class="next" href="'), forum_url(F.col("conv_id"), F.col("page") + 1), F.lit('">Next</a>'))) \
-        .otherwise(F.lit(""))
+        F.lit('<a class="next" href="'), forum_url(F.col("conv_id"), F.col("page") + 1), F.lit('">Next</a>'))).otherwise(F.lit(""))
+    g = g.join(last, "conv_id").withColumn("nxt", nxt)
     html = F.concat(
         F.lit('<!DOCTYPE html><html><body><h1 class="topic">Thread '), F.col("conv_id").cast("string"),
         F.lit('</h1><div class="pageno">Page '), (F.col("page") + 1).cast("string"), F.lit("</div>"),
-        F.array_join(F.transform("_p", lambda e: e["h"]), ""), nxt, F.lit("</body></html>"))
+        F.array_join(F.transform("_p", lambda e: e["h"]), ""), "nxt", F.lit("</body></html>"))
     return g.select("conv_id", "page", forum_url(F.col("conv_id"), F.col("page")).alias("url"), html.alias("html"))
 
 
