@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from voyra.operators import items
 from voyra.operators import profile as P
 from voyra.operators import reviews as R
+from voyra.operators import sketches as SK
 from voyra.operators import tasks as TK
 from voyra.operators import threads as TH
 from voyra.plans import entities as E
 from voyra.plans import sql as S
 from voyra.plans.registry import query
+from voyra.session import materialize, scratch_dir
 from voyra.sources import tables
 
 
@@ -149,3 +151,31 @@ def page_totals(spark, sf_dir):
     from voyra.functions.text import page_count
     return g.select("attr_name", "n_items", page_count("n_items", 10, "ceil").alias("n_pages"),
                     page_count("n_items", 10, "floor").alias("n_pages_floor"))
+
+
+def _days_sql(by):
+    day = "CAST(CAST(ts AS DATE) AS VARCHAR)" if by else "'all'"
+    group = "GROUP BY 1" if by else ""
+    return f"""
+SELECT {day} AS day, count(*) AS n, arg_min(top, (-freq, top)) AS top, max(freq) AS freq, true AS close_enough
+FROM (SELECT ts, event_type AS top, count(*) OVER (PARTITION BY {day}, event_type) AS freq FROM events) {group}"""
+
+
+@query("describe_days", sql=_days_sql(True) + " UNION ALL " + _days_sql(False))
+def describe_days(spark, sf_dir):
+    """Rows, most frequent event type and its count of every day and of all days, from sketches stored
+    a day each (the last day is added by itself), and whether the estimated number of
+    users is within three standard errors of the exact one."""
+    e = tables.events(spark, sf_dir, "ts", "user_id", "event_type").withColumn("on_day", F.to_date("ts"))
+    path = scratch_dir(spark, "day-sketches")
+    last = e.agg(F.max("on_day")).first()[0]
+    for part in (e.where(F.col("on_day") < F.lit(last)), e.where(F.col("on_day") == F.lit(last))):
+        SK.add_days(SK.day_sketches(part, F.col("on_day"), "user_id", "event_type"), path)
+    days = materialize(SK.read_days(spark, path).withColumn("day", F.col("day").cast("string")))
+    got = SK.merged(days, ["day"]).unionByName(SK.merged(days).withColumn("day", F.lit("all")))
+    exact = e.groupBy(F.col("on_day").cast("string").alias("day")).agg(F.count_distinct("user_id").alias("users"))
+    exact = exact.unionByName(e.agg(F.count_distinct("user_id").alias("users")).withColumn("day", F.lit("all")))
+    # of equally frequent types the smaller name
+    top = F.get(F.array_sort(F.transform("top", lambda t: F.struct((-t["count"]).alias("less"), t["item"].alias("item")))), 0)
+    close = F.abs(F.col("n_distinct") - F.col("users")) <= 3 * SK.standard_error() * F.col("users") + 1
+    return got.join(exact, "day").select("day", "n", top["item"].alias("top"), (-top["less"]).cast("long").alias("freq"), close.alias("close_enough"))

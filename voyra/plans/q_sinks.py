@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voyra.functions import urls as U
 from voyra.operators import labels as L
 from voyra.operators import reviews as R
 from voyra.operators import tasks as TK
@@ -17,8 +18,9 @@ from voyra.plans import sql as S
 from voyra.plans.q_joins import TASKS_SQL
 from voyra.plans.q_sources import review_page_documents
 from voyra.plans.registry import query
-from voyra.session import scratch_dir
+from voyra.session import materialize, scratch_dir
 from voyra.sinks import files as sinks
+from voyra.sinks.seen import SeenSet
 from voyra.sinks.versions import Merge, Store
 from voyra.sources import files as src
 from voyra.sources import tables
@@ -173,3 +175,36 @@ def sink_upsert(spark, sf_dir):
     store.commit({"counts": Merge(counts(d.where(F.col("lang") == "en"), 1))}, {"counts": ["attr_name"]})
     store.commit({"counts": Merge(counts(d.where(F.col("lang") != "en"), 2))})
     return store.read("counts")
+
+
+@query("write_counts", sql="""
+SELECT count(*) FILTER (WHERE event_type <> 'error') AS kept, count(*) FILTER (WHERE event_type = 'error') AS failed,
+       count(*) FILTER (WHERE user_id IS NULL OR ts IS NULL) AS quarantined, count(*) AS written
+FROM events""")
+def write_counts(spark, sf_dir):
+    """Fetch attempts go to the folder of their outcome in two runs; the pass that writes them
+    counts what was kept, failed and quarantined, and the runs' stored counts are added up."""
+    e = tables.events(spark, sf_dir, "event_id", "ts", "user_id", "event_type")
+    e = e.withColumn("failed", F.col("event_type") == "error")
+    path = scratch_dir(spark, "counted")
+    first = F.col("event_id") % 2 == 0
+    for run in (e.where(first), e.where(~first | F.col("event_id").isNull())):
+        sinks.write_counted(run, path, {"kept": ~F.col("failed"), "failed": F.col("failed"),
+                                        "quarantined": F.col("user_id").isNull() | F.col("ts").isNull(), "written": F.lit(True)}, ["failed"])
+    names = ("kept", "failed", "quarantined", "written")
+    return sinks.read_counts(spark, path).agg(*[F.sum(c).cast("long").alias(c) for c in names])
+
+
+@query("seen_set", sql="""
+SELECT page_id, url, 0 AS left_over FROM pages
+WHERE sha1(url) NOT IN (SELECT sha1(url) FROM pages WHERE url LIKE '%utm_source%')""")
+def seen_set(spark, sf_dir):
+    """Requests that a stored, bucketed set of fingerprints doesn't hold (it has those of the tracking
+    links); once they are added, none is left over."""
+    req = tables.pages(spark, sf_dir, "page_id", "url").withColumn("fp", U.url_fingerprint("url"))
+    seen = SeenSet(spark, scratch_dir(spark, "seen-set"), buckets=8)
+    seen.add(req.where(F.col("url").contains("utm_source")))
+    new = materialize(seen.unseen(req))
+    seen.add(new)
+    left = seen.unseen(req).agg(F.count(F.lit(1))).scalar()
+    return new.select("page_id", "url", left.cast("int").alias("left_over"))

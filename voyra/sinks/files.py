@@ -8,7 +8,7 @@ commit protocol publishes a task's files only when the task succeeds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from voyra.sources.files import CSV_OPTIONS
@@ -95,6 +95,25 @@ def write_routed(df: DataFrame, kind_col: str, path: str) -> str:
     return write_json(df, path, partition_by=[kind_col])
 
 
+def write_counted(df: DataFrame, path: str, counts: dict[str, Column], partition_by: list[str] | None = None) -> dict[str, int]:
+    """Appends ``df`` as JSON lines and counts while it writes: for each name the rows for which the
+    condition holds. The counts come from the writing pass (no second scan), and are
+    appended to ``<path>_counts`` once the rows are published; they are returned, too."""
+    spark = df.sparkSession
+    seen = Observation()
+    rows = df.observe(seen, *[F.count_if(c).alias(k) for k, c in counts.items()])
+    _writer(rows, "append", partition_by, None).json(path)
+    got = {k: seen.get[k] for k in counts}
+    one = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in got.items()])
+    one.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}_counts")
+    return got
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of every run that ``write_counted`` appended to ``path``."""
+    return spark.read.parquet(f"{path.rstrip('/')}_counts")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", props: dict | None = None) -> None:
     """Database sink through Spark's JDBC writer (the reference's commented-out
     database writes). Upserts are computed first (union + latest per key);
