@@ -542,22 +542,117 @@ def test_mixed_documents_row_by_row(spark, docs):
 
 # 5 ---------------------------------------------------------------------------
 
+def small_model(size=40, seed=2):
+    from voyra.llm import attention as A
+    p = {n: x.astype(float) * (3 if n == "embed" else 1) for n, x in A.initial(size, seed).items()}
+    rng = np.random.default_rng(seed)
+    for n in ("place", "bias"):
+        p[n] = rng.standard_normal(p[n].shape)
+    groups = A.FREQUENT + A.CLASSES
+    v = A.Vocabulary(rng.integers(0, A.CLASSES, size), rng.integers(0, groups, size), np.arange(size),
+                     -rng.random((groups, size)), -rng.random(size))
+    return p, v
+
+
+def brute_score(tokens, p, v, end):
+    """One id after the other; each sees the inputs of the block before and of its own block up to itself."""
+    from voyra.llm import attention as A
+    inputs = [len(p["embed"]) - 1, *tokens[:-1]]
+    total = 0.0
+    for i, t in enumerate(tokens):
+        x = p["embed"][inputs[i]]
+        q = x @ p["q"] / math.sqrt(A.WIDTH)
+        first = max(0, (i // A.BLOCK - 1) * A.BLOCK)
+        seen = p["embed"][inputs[first: i + 1]]
+        s = seen @ p["k"] @ q + p["place"][i - np.arange(first, i + 1)]
+        w = np.exp(s - s.max())
+        y = x + (w / w.sum()) @ (seen @ p["v"]) @ p["o"]
+        z = (y + np.maximum(y @ p["up"], 0) @ p["down"]) @ p["out"] + p["bias"]
+        z = z - z.max()
+        total += (z[v.class_of[t]] - np.log(np.exp(z).sum())) / math.log(10)
+        before = end if i == 0 else tokens[i - 1]
+        total += v.table[v.group_of[before], v.column[t]] + v.own[t]
+    return total
+
+
+def test_scores_against_a_forward_pass_by_hand(monkeypatch):
+    from voyra.llm import attention as A
+    p, v = small_model()
+    rng = np.random.default_rng(0)
+    sizes = np.array([1, 3, A.BLOCK, A.BLOCK + 1, 2 * A.BLOCK, 50, 1, 100])
+    tokens = rng.integers(0, 40, sizes.sum())
+    ends = np.cumsum(sizes)
+    want = [brute_score(tokens[e - n: e], p, v, 39) for e, n in zip(ends, sizes)]
+    assert A.score_documents(tokens, sizes, p, v, 39) == pytest.approx(want, rel=1e-9)
+    monkeypatch.setattr(A, "SLICE", 20)
+    assert A.score_documents(tokens, sizes, p, v, 39) == pytest.approx(want, rel=1e-9)
+
+
 def test_gradient_matches_differences():
     from voyra.llm import attention as A
+    p, v = small_model()
     rng = np.random.default_rng(1)
-    flat = A.initial(2)
-    inputs = rng.integers(0, A.CLASSES + 1, (3, A.CONTEXT))
-    targets = rng.integers(0, A.CLASSES, (3, A.CONTEXT))
-    valid = rng.random((3, A.CONTEXT)) < 0.8
-
-    def loss(x):
-        p, _ = A.forward(A._views(x), inputs)
-        return -(np.log(np.take_along_axis(p, targets[..., None], -1)[..., 0]) * valid).sum() / valid.sum()
-    g = A.gradient(A._views(flat), inputs, targets, valid)
-    for i in rng.choice(len(flat), 25, replace=False):
-        step = np.zeros_like(flat)
-        step[i] = 1e-4
-        assert g[i] == pytest.approx((loss(flat + step) - loss(flat - step)) / 2e-4, abs=2e-4)
+    tokens = rng.integers(0, 40, 60)
+    inputs, targets, full = A.blocks(tokens, np.array([1, 9, 20, 30]))
+    pairs, goal = inputs[np.stack([full - 1, full], 1).ravel()], targets[full]
+
+    def loss():
+        z = A.forward(p, pairs, np.arange(1, len(pairs), 2))[0]
+        z = z - z.max(-1, keepdims=True)
+        own = np.take_along_axis(z, v.class_of[np.maximum(goal, 0)][..., None], -1)[..., 0]
+        return -((own - np.log(np.exp(z).sum(-1))) * (goal >= 0)).sum() / (goal >= 0).sum()
+    g, rows, hot = A.gradient(p, pairs, goal, v.class_of)
+    whole = np.zeros_like(p["embed"])
+    whole[rows] = hot
+    g["embed"] = whole
+    assert set(g) == set(p)
+    for n, x in p.items():
+        for i in rng.choice(x.size, min(x.size, 12), replace=False):
+            at = np.unravel_index(i, x.shape)
+            keep, step = x[at], 1e-6
+            x[at] = keep + step
+            up = loss()
+            x[at] = keep - step
+            down = loss()
+            x[at] = keep
+            assert g[n][at] == pytest.approx((up - down) / (2 * step), abs=1e-6), n
+
+
+def test_classes_and_shares_are_distributions(spark, docs, monkeypatch):
+    """The two factors sum to one over all ids, whatever is before; counts are those of the training texts."""
+    from voyra.llm import attention as A
+    from voyra.llm.bpe import vocabulary_path
+    tok = library()
+    size = len(tok.get_vocab(with_added_tokens=True))
+    end = size - 1
+    rows_ = A.prepare_chunks(docs.selectExpr("doc_id AS id", "text"), 33, vocabulary_path(), end)
+    v, n = A.vocabulary(rows_.filter("bucket IS NULL"), end, size)
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(TEXTS))}
+    ids = {i: tok.encode((t or "").translate(LOWER), add_special_tokens=False).ids + [end] for i, t in enumerate(TEXTS)}
+    assert n == sum(len(x) for i, x in ids.items() if not held[i])
+    every = np.arange(size)
+    for before in (end, ids[5][0], 7):
+        share = np.bincount(v.class_of, weights=10 ** v.inside(np.full(size, before), every), minlength=A.CLASSES)
+        assert share[np.unique(v.class_of)] == pytest.approx(1, abs=1e-3)
+    assert sorted(v.group_of[v.group_of < A.FREQUENT]) == list(range(A.FREQUENT))
+
+
+def test_word_cache_gives_the_same_ids(monkeypatch):
+    import pyarrow as pa
+    from voyra.llm import attention as A
+    from voyra.llm.bpe import encode_words, vocabulary_path
+    path = vocabulary_path()
+    rng = np.random.default_rng(0)
+    words = np.array([f"w{i}é x"[: 3 + i % 4].strip() + "z" * (i % 9) + str(i) for i in range(300)])
+    keys = np.arange(300, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    monkeypatch.setattr(A, "CACHE_WORDS", 120)
+    known = A.WordIds(path)
+    for _ in range(12):
+        pick = rng.choice(300, 50, replace=False)
+        ids, size = known(keys[pick], pa.array(words[pick].tolist()))
+        want = encode_words(words[pick].tolist(), path)
+        assert ids.tolist() == [x for w in want for x in w] and size.tolist() == [len(w) for w in want]
+        assert len(known.keys) <= 120 + 50 and (np.diff(known.keys.astype(float)) > 0).all()
 
 
 def test_attention_scores(docs, empty):
@@ -572,17 +667,27 @@ def test_attention_scores(docs, empty):
         assert got[i][:4] == (held[i], len(ws), sum(count[w] > 0 for w in ws), n)
         assert got[i][4] == pytest.approx(base, abs=1e-6) and got[i][5] < 0 and math.isfinite(got[i][5])
     assert attention.score(empty).count() == 0
+    again = rows(attention.score(docs), "score")
+    assert {i: g[5] for i, g in got.items()} == {i: g[0] for i, g in again.items()}
 
 
-def test_every_id_is_scored_once():
-    from voyra.llm import attention as A
-    rng = np.random.default_rng(0)
-    sizes = np.array([1, 3, A.CONTEXT, A.CONTEXT + 1, 100])
-    tokens = rng.integers(0, 50, sizes.sum())
-    class_of, inside = np.zeros(50, np.int64), np.full(50, -1.0)
-    flat = np.zeros(len(A.initial()))                 # every class has probability 1 / CLASSES
-    got = A.score_documents(tokens, sizes, flat, class_of, inside)
-    assert got == pytest.approx(sizes * (-1.0 - math.log10(A.CLASSES)), rel=1e-5)
+def test_attention_scores_of_repeated_and_unknown_ids(spark, docs):
+    from voyra.llm import attention
+    table = [(3, "a b c"), (3, "a b c"), (3, "other words"), (None, "a b c"), (None, None), (4, "zzz " * 50)]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in table], "doc_id long, text string, tokens string, score int")
+    got = attention.score(df).collect()
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == Counter([(3, 4), (3, 4), (3, 3), (None, 4), (None, 1), (4, 51)])
+    same = [r["score"] for r in got if r["n_tokens"] == 4]
+    assert same[0] == pytest.approx(same[1]) == pytest.approx(same[2]) and all(r["score"] < 0 for r in got)
+
+
+def test_held_out_texts_score_above_the_base(spark, docs):
+    """The model beats the unigram of words on texts that neither has seen."""
+    from voyra.llm import attention
+    from voyra.llm.common import read
+    table = read(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text")
+    r = attention.score(table).filter("held_out").selectExpr("sum(score) / sum(n_tokens)", "sum(base_score) / sum(n_tokens)").first()
+    assert r[0] > r[1]
 
 
 # pipeline --------------------------------------------------------------------
