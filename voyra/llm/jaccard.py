@@ -72,6 +72,7 @@ def shingle_sets(s: B.Slice, length: int = SHINGLE) -> tuple[np.ndarray, np.ndar
 def _scan(docs: DataFrame, length: int, pieces: int) -> DataFrame:
     """Packed (uid, hash) entries of (id, text, uid), and one row for each batch and block with the
     documents' own figures (uid, id, set size, two sums that tell sets apart)."""
+    fan = packs.FAN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -79,7 +80,7 @@ def _scan(docs: DataFrame, length: int, pieces: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             docs_, hashes, stats = (np.concatenate(x) for x in zip(*held))
-            rows = packs.batch_rows(docs_, hashes, packs.REPEATED, pieces, PACK_BYTES)
+            rows = packs.batch_rows(docs_, hashes, packs.REPEATED, pieces, PACK_BYTES, fan)
             block = packs.block_of(stats["uid"], pieces)
             for b in np.unique(block):
                 rows.append((-1 - int(b), b"", b"", b"", stats[block == b].tobytes()))

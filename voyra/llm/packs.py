@@ -8,6 +8,12 @@ travel under the key of their own document block (a negative number) through
 the same shuffle. A hash that a third of all documents hold thus costs its
 bucket one entry a batch. Buckets find the hashes that further batches share.
 
+A batch never sends more than ``FAN`` rows for buckets and as many for blocks, however many
+of them there are: beyond ``FAN`` it sends to ranges of them (those with the same remainder),
+and a range's entries are gathered in lanes, each about as large as a bucket, which pack
+them anew for the buckets and blocks. What is known to be shared when a lane has
+seen it leaves at once, as it does from a batch.
+
 The result has one row for each (block, sender) with the flagged entries.
 """
 
@@ -24,6 +30,7 @@ from voyra.llm import bytehash as B
 SCHEMA = "key long, docs binary, counts binary, hashes binary, extra binary"
 BATCH_ENTRIES = 200_000
 BUCKET_BYTES = 6 << 20         # text for each bucket and for each block of documents
+FAN = 4096                     # rows that a batch sends at most, for buckets and for blocks
 
 REPEATED = "repeated"          # flag every document of a hash that two documents hold
 LATER = "later"                # flag those with a larger id than the smallest that holds it
@@ -108,15 +115,22 @@ def _flags(docs: np.ndarray, first: np.ndarray, group: np.ndarray, mode: str) ->
     return (np.bincount(group) > 1)[group] if len(group) else first
 
 
-def batch_rows(docs: np.ndarray, hashes: np.ndarray, mode: str, pieces: int, width: int) -> list[Row]:
-    """Packed rows of one gathered batch: one entry a hash for the buckets, known ones for the blocks."""
+def _bucket(hashes: np.ndarray, pieces: int, width: int) -> np.ndarray:
+    bits = hashes >> np.uint64(8 * width) if width < 8 else B.mix(hashes)
+    return (bits % np.uint64(pieces)).astype(np.int64)
+
+
+def batch_rows(docs: np.ndarray, hashes: np.ndarray, mode: str, pieces: int, width: int, fan: int | None) -> list[Row]:
+    """Packed rows of one gathered batch: one entry a hash for the buckets, known ones for the blocks;
+    for ranges of them where there are more than ``fan`` (None: never; it is the last sender)."""
     docs, hashes, first, group = _runs(docs, hashes)
-    if width < 8:
-        bucket_bits, low = hashes >> np.uint64(8 * width), hashes & np.uint64((1 << 8 * width) - 1)
-    else:
-        bucket_bits, low = B.mix(hashes), hashes
+    if fan is not None and pieces > fan:
+        known = _flags(docs, first, group, mode)
+        key = np.concatenate([_bucket(hashes[first], pieces, width) % fan, -1 - block_of(docs[known], pieces) % fan])
+        return pack(key, np.concatenate([docs[first], docs[known]]), np.concatenate([hashes[first], hashes[known]]), 8)
+    low = hashes & np.uint64((1 << 8 * width) - 1) if width < 8 else hashes
     known = _flags(docs, first, group, mode)
-    key = np.concatenate([(bucket_bits[first] % np.uint64(pieces)).astype(np.int64), -1 - block_of(docs[known], pieces)])
+    key = np.concatenate([_bucket(hashes[first], pieces, width), -1 - block_of(docs[known], pieces)])
     return pack(key, np.concatenate([docs[first], docs[known]]), np.concatenate([low[first], low[known]]), width)
 
 
@@ -141,4 +155,19 @@ def shared(packed: DataFrame, mode: str, pieces: int, width: int) -> DataFrame:
         docs, hashes = docs[hit], hashes[hit]
         return pa.Table.from_batches([record_batch(pack(block_of(docs, pieces), docs, hashes, width))])
 
+    def deal(table: pa.Table) -> pa.Table:
+        """A lane of a range, packed for its buckets, or for its blocks."""
+        docs, hashes = unpack(table, 8)
+        if table.column("key")[0].as_py() >= 0:
+            rows = batch_rows(docs, hashes, mode, pieces, width, None)
+        else:
+            low = hashes & np.uint64((1 << 8 * width) - 1) if width < 8 else hashes
+            rows = pack(-1 - block_of(docs, pieces), docs, low, width)
+        return pa.Table.from_batches([record_batch(rows)])
+
+    if pieces > FAN:
+        # rows with ``extra`` have their own block's key already
+        lane = F.pmod(F.xxhash64("docs", "counts"), F.lit(-(-pieces // FAN)))
+        ranged = packed.filter("extra IS NULL").withColumn("lane", lane).groupBy("key", "lane")
+        packed = ranged.applyInArrow(lambda t: deal(t.drop_columns(["lane"])), SCHEMA).unionByName(packed.filter("extra IS NOT NULL"))
     return packed.groupBy("key").applyInArrow(reduce, SCHEMA)

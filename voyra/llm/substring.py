@@ -48,17 +48,17 @@ def levels(window: int, first: int = FIRST) -> list[int]:
     return out
 
 
-def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray]], mode: str, pieces: int, width: int) -> Iterator[pa.RecordBatch]:
+def _gathered(parts: Iterator[tuple[np.ndarray, np.ndarray]], mode: str, pieces: int, width: int, fan: int) -> Iterator[pa.RecordBatch]:
     docs, hashes, size = [], [], 0
     for d, h in parts:
         docs.append(d)
         hashes.append(h)
         size += len(h)
         if size >= packs.BATCH_ENTRIES:
-            yield packs.record_batch(packs.batch_rows(np.concatenate(docs), np.concatenate(hashes), mode, pieces, width))
+            yield packs.record_batch(packs.batch_rows(np.concatenate(docs), np.concatenate(hashes), mode, pieces, width, fan))
             docs, hashes, size = [], [], 0
     if size:
-        yield packs.record_batch(packs.batch_rows(np.concatenate(docs), np.concatenate(hashes), mode, pieces, width))
+        yield packs.record_batch(packs.batch_rows(np.concatenate(docs), np.concatenate(hashes), mode, pieces, width, fan))
 
 
 def _text_windows(src: DataFrame, length: int, mode: str, pieces: int, width: int) -> DataFrame:
@@ -68,7 +68,8 @@ def _text_windows(src: DataFrame, length: int, mode: str, pieces: int, width: in
             for s in B.slices(b.column(1)):
                 at = s.window_ok(length)
                 yield ids[s.lo + s.row[at]], B.window_hash(s.word_hash(), length)[at]
-    return src.mapInArrow(lambda it: _gathered(parts(it), mode, pieces, width), packs.SCHEMA)
+    fan = packs.FAN
+    return src.mapInArrow(lambda it: _gathered(parts(it), mode, pieces, width, fan), packs.SCHEMA)
 
 
 def _state_windows(state: DataFrame, mode: str, pieces: int, width: int) -> DataFrame:
@@ -76,7 +77,8 @@ def _state_windows(state: DataFrame, mode: str, pieces: int, width: int) -> Data
         for b in batches:
             for docs, _, hashes in _entries(pa.Table.from_batches([b])):
                 yield docs, hashes
-    return state.mapInArrow(lambda it: _gathered(parts(it), mode, pieces, width), packs.SCHEMA)
+    fan = packs.FAN
+    return state.mapInArrow(lambda it: _gathered(parts(it), mode, pieces, width, fan), packs.SCHEMA)
 
 
 def _entries(table: pa.Table) -> Iterator[Entries]:
