@@ -344,3 +344,42 @@ def test_features_are_words_and_beginnings_once():
     from voyra.llm import toxicity as X
     one, same, other = X.feature_sets(pa.array(["Abcdefgh x Été", "abcdefgh, x! abcdefgh été", None]))[0].to_pylist()
     assert one == same and len(one) == 8 * (4 + 1 + 2) and other == b""     # été: 5 bytes, so its first 4 too
+
+
+# 2, 4: rows that a batch sends ------------------------------------------------
+
+def test_rows_of_a_batch_do_not_grow_with_the_buckets():
+    from voyra.llm import packs
+    rng = np.random.default_rng(0)
+    docs, hashes = rng.integers(0, 5000, 200_000), rng.integers(0, 1 << 40, 200_000).astype(np.uint64) << np.uint64(20)
+    size = {}
+    for pieces in (packs.FAN, 10_001, 100_001, 1_000_001):
+        rows = packs.batch_rows(docs, hashes, packs.REPEATED, pieces, 8, packs.FAN)
+        size[pieces] = len(rows), sum(sum(len(x) for x in r[1:4]) for r in rows)
+        assert len(rows) <= 2 * packs.FAN
+    first = size[packs.FAN]
+    assert all(abs(n - first[0]) < 0.1 * first[0] and abs(b - first[1]) < 0.1 * first[1] for n, b in size.values())
+
+
+@pytest.mark.parametrize("fan", [3, 16])
+def test_ranges_and_lanes_change_no_result(prepared, monkeypatch, fan):
+    """The operators with ranges of buckets and blocks, in lanes, against those without."""
+    from voyra.llm import jaccard, packs, substring
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(90)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for k in rng.choice(90, int(rng.integers(0, 30)), replace=False):
+            w[k] = f"v{rng.integers(30)}"
+        texts.append(" ".join(w[int(rng.integers(0, 20)):]))
+    df = prepared.createDataFrame(list(enumerate(texts + [None, ""])), "doc_id long, text string").repartition(4)
+
+    def results():
+        cut, d = substring.deduplicate(df)
+        return (sorted((r["doc_id"], *r[d]) for r in cut.collect()),
+                sorted((r["id"], r["n_shingles"], r["class_id"], r["component_id"]) for r in jaccard.join(df).collect()))
+    want = results()
+    assert len({r[3] for r in want[1]}) > 3 and any(r[2] for r in want[0])
+    monkeypatch.setattr(packs, "FAN", fan)              # 33 buckets and blocks
+    assert results() == want
