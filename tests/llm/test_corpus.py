@@ -772,5 +772,6 @@ def test_word_ids_equal_the_tokenizer():
     from voyra.llm import attention as A
     from voyra.llm.bpe import encode_words, vocabulary_path
     words = ["the", "a", "zzzzqx", "it's", "\u00e9t\u00e9", "x1y2", "--", "<b>", "\u4f60\u597d", "abcdefghijklmnopqrstuvwxyz" * 9, "\ufb01n", "!"]
+    words += ["the,", "été.", "straße!?", "über", "ÿþ", "Été,", "don't,", "e\u0301te", "a,b", ",", "ñ...", "x" * 400 + "é;", "abc!!??..", "ö÷", "i\u0307"]
     assert A.word_ids(words, vocabulary_path()) == encode_words(words, vocabulary_path())
     assert A.word_ids([], vocabulary_path()) == []

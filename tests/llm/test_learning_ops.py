@@ -383,3 +383,22 @@ def test_ranges_and_lanes_change_no_result(prepared, monkeypatch, fan):
     assert len({r[3] for r in want[1]}) > 3 and any(r[2] for r in want[0])
     monkeypatch.setattr(packs, "FAN", fan)              # 33 buckets and blocks
     assert results() == want
+
+
+# 5: windows that are learnt from ----------------------------------------------
+
+def test_picked_windows_are_those_of_the_layout():
+    from voyra.llm import attention as A
+    rng = np.random.default_rng(0)
+    sizes = np.array([1, 5, A.BLOCK, 3 * A.BLOCK + 1, 40, 1])
+    tokens = rng.integers(0, 900, sizes.sum())
+    ids = [10, 11, None, 13, 14, 15]
+    r = {"ids": ids, "doc_tokens": A._pack(sizes), "n_tokens": len(tokens), "chunk": 7 << 32,
+         "tokens": pa.compress(tokens.astype("<u2").tobytes(), codec="zstd", asbytes=True)}
+    inputs, targets, full = A.blocks(tokens, sizes)
+    train = [i for i, x in enumerate(np.repeat(A.held_out(ids), -(-sizes // A.BLOCK))) if not x]
+    got, goal = A._picked(r, 900, 1, 1.0)
+    assert (got.reshape(-1, 2, A.BLOCK) == np.stack([inputs[full - 1], inputs[full]], 1)[train]).all()
+    assert (goal == targets[full][train]).all()
+    some, few = A._picked(r, 900, 1, 0.4)
+    assert 0 < len(few) < len(goal) and {tuple(x) for x in few} <= {tuple(x) for x in goal}
