@@ -32,7 +32,7 @@ def main() -> None:
     sections = survey_sections()
     rows = []
     for k, fn in QUERIES.items():
-        sec, what = sections.get(k, ("flagship", "pages -> cleaned titles, links -> per-host counts"))
+        sec, what = sections.get(k, ("beyond the inventory", "pages -> cleaned titles, links -> per-host counts"))
         doc = (inspect.getdoc(fn) or what).split("\n")[0]
         mod = fn.__module__ if fn.__module__ != "voyra.plans.registry" else ""
         mod = mod or inspect.getmodule(inspect.unwrap(fn)).__name__
@@ -41,7 +41,7 @@ def main() -> None:
            "Generated by `scripts/operator_index.py`: every query registered in `__spark_entry__.py`,",
            "the SURVEY section it implements, where it is defined and how it is checked.", "",
            "| SURVEY section | key | defined in | what it does | check |", "|---|---|---|---|---|"]
-    for sec, k, mod, doc, chk in sorted(rows, key=lambda r: (r[0] != "flagship", r[0], r[1])):
+    for sec, k, mod, doc, chk in sorted(rows, key=lambda r: (r[0] != "beyond the inventory", r[0], r[1])):
         out.append(f"| {sec} | `{k}` | `{mod}` | {doc.replace('|', '/')} | {chk} |")
     with open(os.path.join(ROOT, "OPERATORS.md"), "w") as f:
         f.write("\n".join(out) + "\n")

@@ -117,6 +117,7 @@ def class_report(spark, sf_dir):
 @query("confusion_matrix", sql=NB_SQL + """
 SELECT label, prediction, count(*) AS n FROM preds WHERE part = 'test' GROUP BY label, prediction""")
 def confusion_matrix(spark, sf_dir):
+    """Test documents by label and prediction."""
     return C.confusion(nb_predictions(spark, sf_dir).where(F.col("part") == "test"))
 
 
