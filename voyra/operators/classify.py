@@ -182,13 +182,15 @@ def lr_pipeline(max_tokens: int | None = None, num_features: int = 1 << 18, max_
 
 
 def lr_predictions(model, docs: DataFrame) -> DataFrame:
-    """doc_id, label, prediction (class name), score (its probability)."""
+    """doc_id, label, prediction (class name), score (its probability among the classes that have one)."""
     from pyspark.ml.feature import StringIndexerModel
     from pyspark.ml.functions import vector_to_array
     idx = [s for s in model.stages if isinstance(s, StringIndexerModel)][0]
     names = F.array(*[F.lit(x) for x in idx.labels])
     out = model.transform(docs)
-    prob = vector_to_array("probability")
-    # the indexer keeps one extra index for labels unseen in training: no name
-    name = F.try_element_at(names, (F.col("prediction").cast("int") + 1))
-    return out.select("doc_id", "label", name.alias("prediction"), F.array_max(prob).alias("score"))
+    # the indexer keeps one extra index for labels unseen in training; it is no class, and no answer
+    out = out.withColumn("_p", F.slice(vector_to_array("probability"), 1, len(idx.labels)))
+    top = F.array_max("_p")
+    name = F.try_element_at(names, F.array_position("_p", top).cast("int"))
+    total = F.aggregate("_p", F.lit(0.0), lambda a, x: a + x)
+    return out.select("doc_id", "label", name.alias("prediction"), (top / total).alias("score"))

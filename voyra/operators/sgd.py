@@ -123,7 +123,7 @@ def _summed(rows: DataFrame, weights: np.ndarray, tasks: int) -> tuple[np.ndarra
     return sum((np.frombuffer(r["g"]).reshape(shape) for r in got), np.zeros(shape)), sum(r["n"] for r in got)
 
 
-def fit(train: DataFrame, epochs: int = 3, batch_size: int = 256, rate: float = 8.0, seed: int = 42, num_features: int = 1 << 12,
+def fit(train: DataFrame, epochs: int = 8, batch_size: int = 1024, rate: float = 20.0, seed: int = 42, num_features: int = 1 << 12,
         id_col: str = "doc_id", label: str = "label", text: str = "text") -> Model:
     """Train on (id, label, text); rows without a label teach nothing."""
     spark = train.sparkSession

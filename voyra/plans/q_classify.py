@@ -167,7 +167,7 @@ def _accurate(preds):
 
 
 @query("classifier_train", sql=TEST_SQL.format(", true AS known, true AS accurate"))
-def classifier_train(spark, sf_dir, epochs: int = 3, batch_size: int = 256, rate: float = 8.0):
+def classifier_train(spark, sf_dir, epochs: int = 8, batch_size: int = 1024, rate: float = 20.0):
     """Mini-batch training on the training part; the test part's predictions, and whether
     they are known classes and right often enough."""
     d = E.labelled(spark, sf_dir).withColumn("part", L.split_part("doc_id"))

@@ -15,8 +15,7 @@ from voyra.plans import sql as S
 from voyra.plans.registry import query
 from voyra.sources import tables
 
-H1_OR_NULL_SQL = r"""CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')
-  THEN trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')) END"""
+H1_OR_NULL_SQL = S.title("html")
 
 
 @query("build_attraction", sql=S.with_(S.INFO) + """

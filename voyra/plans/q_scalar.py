@@ -252,8 +252,7 @@ def zip_map(spark, sf_dir):
         F.array_join(F.transform(F.map_values("m"), lambda v: F.array_join(v, ":")), "|").alias("vals"))
 
 
-TITLE_SQL = f"""CASE WHEN regexp_matches(html, '(?s)<h1[^>]*>(.*?)</h1>')
-  THEN {S.unescape("trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'))")} END"""
+TITLE_SQL = S.title("html")
 
 
 @query("html_title", sql=f"SELECT page_id, {TITLE_SQL} AS title FROM pages")

@@ -58,6 +58,13 @@ def unescape(expr: str) -> str:
     return expr
 
 
+def title(html: str) -> str:
+    """Text of a page's first heading, tags removed, entities decoded; NULL without one."""
+    h1 = "'(?s)<h1[^>]*>(.*?)</h1>'"
+    text = f"trim(regexp_replace(regexp_extract({html}, {h1}, 1), '<[^>]*>', '', 'g'))"
+    return f"CASE WHEN regexp_matches({html}, {h1}) THEN {unescape(text)} END"
+
+
 LINK_RX = (r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
            r"""|<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)""")
 
