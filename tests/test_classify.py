@@ -184,3 +184,35 @@ def test_gradient_sums_are_a_tree(spark, monkeypatch):
     whole = pa.Table.from_batches([pa.RecordBatch.from_pylist([r.asDict() for r in rows.collect()], schema=pa.schema(
         [("doc_id", pa.int64()), ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float64())), ("cls", pa.int64())]))])
     assert n == 60 and np.allclose(g, G.gradient(whole, w))
+
+
+def test_sgd_jobs_do_not_grow_with_batches(spark, monkeypatch):
+    """An epoch is one pass, however many batches it has; every shard learns, and a text counts once."""
+    import numpy as np
+    from voyra.operators import sgd as G
+    df = spark.createDataFrame(sgd_rows(), "doc_id LONG, text STRING, label STRING")
+    trees, tree = [], G._tree
+    monkeypatch.setattr(G, "_tree", lambda *a: trees.append(tree(*a)) or trees[-1])
+    monkeypatch.setattr(G, "STEPS", 2)
+    model = G.fit(df, 3, 10, 3.0, num_features=256)                       # 25 batches, 13 shards
+    assert [n for _, n in trees] == [242, 242, 242]
+    again = G.fit(df.repartition(5), 3, 10, 3.0, num_features=256)
+    assert np.allclose(model.weights, again.weights, atol=1e-9)
+    got = G.predict(model, df.where("label IS NOT NULL"), ["label"]).collect()
+    assert np.mean([r.prediction == r.label for r in got]) >= 0.95
+
+
+def test_token_counts_hold_a_batch_of_texts_only(spark):
+    """No aggregate over a task's whole share of the texts; the model goes out by its measured size."""
+    docs = spark.createDataFrame([(i, "a b a c" if i % 2 else None, "x" if i % 3 else "y") for i in range(20)], "doc_id LONG, text STRING, label STRING")
+    counts = C.token_counts(docs, ["doc_id", "label"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "MapInArrow" in plan
+    got = sorted((r.doc_id, r.token.split(" ")[0], r.n) for r in counts.collect())
+    assert got == sorted([(i, t, n) for i in range(1, 20, 2) for t, n in (("a", 2), ("b", 1), ("c", 1))] + [(i, "", 0) for i in range(0, 20, 2)])
+    from voyra.session import scratch_dir
+    model = C.nb_fit(docs, scratch_dir(spark, "nb"))
+    big = C.NaiveBayes(model.classes, model.weights, C.MODEL_BYTES + 1)
+    joins = [C._scored(m, counts, ["doc_id"])._jdf.queryExecution().optimizedPlan().toString() for m in (model, big)]
+    assert "broadcast" in joins[0] and "broadcast" not in joins[1]
+    assert sorted(map(str, C._scored(model, counts, ["doc_id"]).collect())) == sorted(map(str, C._scored(big, counts, ["doc_id"]).collect()))

@@ -18,7 +18,9 @@ words are counted where they are cut and only counts move on), and both halves r
 counts. Fit = one partial aggregate on (token, class), written as the model table,
 one row per token with a weight for each class. Score = the counts joined with the
 model on token, and one sum for each class straight into a partial aggregate on the
-document. A frequent token is one hot join key: it counts once per document, and AQE's
+document. A model of at most ``MODEL_BYTES`` by measure is broadcast: the counts of a document lie
+together, so its partial sums leave a task as one row and no count is shuffled. A larger model is
+joined by shuffle; a frequent token is then one hot join key: it counts once per document, and AQE's
 skew rule splits it; one model row answers it. The class table (prior and denominator, one
 row per class) goes through the driver: classes are labels that a model is trained for, and
 each is a column of sums; the plan is the same at every size.
@@ -27,13 +29,20 @@ each is a column of sums; the plan is the same at every size.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values --------------------------------------------------------
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"   # tokens are runs of letters and digits
 MAX_TOKENS = 512                  # the reference's maxlen
+COUNTED_ROWS = 1 << 16            # counts that leave Python at once
+MODEL_BYTES = 128 << 20           # a model of at most so many bytes goes to every executor
 # --- end of fixed values -------------------------------------------------
 
 
@@ -47,22 +56,43 @@ def tokens(text: str | Column, max_tokens: int | None = MAX_TOKENS) -> Column:
 def token_counts(docs: DataFrame, keep: list[str], text: str = "text", max_tokens: int | None = None) -> DataFrame:
     """(keep..., token, n) of every row of ``docs``: how often its text has each token. A row without
     tokens has one entry, with a token that is in no text and n = 0; rows that agree in
-    ``keep`` have entries of their own, for the reader to add up."""
-    t = F.col("_t")
+    ``keep`` have entries of their own, for the reader to add up. Texts are cut where they are dealt to and
+    counted a batch of rows at a time, so a task's memory doesn't grow with its share of the texts."""
     # rows are dealt out by a number of their own, so no id, and no text without tokens, is a hot key
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keep, F.col(text).alias("_text")).repartition("_row")
-    rows = rows.withColumn("_t", F.coalesce(tokens("_text", max_tokens), F.array().cast("array<string>")))
-    none = F.array(F.concat(F.lit(" "), F.col("_row").cast("string")))
-    rows = rows.select("_row", *keep, (F.size(t) > 0).cast("long").alias("_some"), F.explode(F.when(F.size(t) > 0, t).otherwise(none)).alias("token"))
-    return rows.groupBy("_row", *keep, "token").agg(F.sum("_some").alias("n")).drop("_row")
+    rows = rows.select(*keep, "_row", tokens("_text", max_tokens).alias("_t"))
+    schema = T.StructType([*rows.select(*keep).schema.fields, T.StructField("token", T.StringType()), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, words, n = _counted(b.column(len(keep) + 1), b.column(len(keep)))
+            for lo in range(0, len(row), COUNTED_ROWS):
+                at = pa.array(row[lo: lo + COUNTED_ROWS])
+                yield pa.RecordBatch.from_arrays([*[b.column(i).take(at) for i in range(len(keep))], words[lo: lo + COUNTED_ROWS],
+                                                  pa.array(n[lo: lo + COUNTED_ROWS])], schema.names)
+    return rows.mapInArrow(run, schema)
+
+
+def _counted(lists: pa.Array, ids: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(row, token, n) of the different tokens of each list, row by row, then of the lists without any
+    (null ones, too): a blank and the list's id, 0."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    width = max(len(coded.dictionary), 1)
+    key, n = np.unique(np.repeat(np.arange(len(size)), size) * width + coded.indices.to_numpy(), return_counts=True)
+    none = np.flatnonzero(size == 0)
+    blank = pc.binary_join_element_wise("", ids.take(pa.array(none)).cast(pa.string()), " ")
+    return (np.concatenate([key // width, none]), pa.concat_arrays([coded.dictionary.take(pa.array(key % width)), blank]),
+            np.concatenate([n, np.zeros(len(none), np.int64)]))
 
 
 class NaiveBayes:
     """Fitted model: ``classes`` (cls, prior, denom), a list with one entry per class, by name, and
     ``weights`` (token, ws), one row per token with a weight for each of them."""
 
-    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame):
-        self.classes, self.weights = classes, weights
+    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame, size: int | None = None):
+        """``size``: bytes of the weights, if measured."""
+        self.classes, self.weights, self.size = classes, weights, size
 
 
 def nb_fit_counts(counts: DataFrame, train: DataFrame, path: str, label: str = "label") -> NaiveBayes:
@@ -76,11 +106,12 @@ def nb_fit_counts(counts: DataFrame, train: DataFrame, path: str, label: str = "
     sums = [F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("n"))), F.lit(0)) for c in names]
     per_class.groupBy("token").agg(F.array(*sums).alias("ns")).write.mode("overwrite").parquet(path)
     model = spark.read.schema("token STRING, ns ARRAY<BIGINT>").parquet(path)
-    totals = model.agg(F.count(F.lit(1)).alias("v"), *[F.sum(F.col("ns")[i]) for i in range(len(names))]).first()
+    totals = model.agg(F.count(F.lit(1)).alias("v"), *[F.sum(F.col("ns")[i]) for i in range(len(names))], F.sum(F.octet_length("token")).alias("b")).first()
     docs = sum(n_docs.values())
     classes = [(c, math.log(n_docs[c] / docs), math.log((totals[i + 1] or 0) + totals[0]) if (totals[i + 1] or 0) + totals[0] else 0.0)
                for i, c in enumerate(names)]
-    return NaiveBayes(classes, model.select("token", F.transform("ns", lambda n: F.log(n + F.lit(1))).alias("ws")))
+    size = (totals["b"] or 0) + totals["v"] * (8 * len(names) + 64)           # texts, weights, and what a row takes besides
+    return NaiveBayes(classes, model.select("token", F.transform("ns", lambda n: F.log(n + F.lit(1))).alias("ws")), size)
 
 
 def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text",
@@ -92,7 +123,9 @@ def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text"
 def _scored(model: NaiveBayes, counts: DataFrame, keep: list[str]) -> DataFrame:
     """Per document: keep columns and ``_s`` = array<struct<ns, cls, score>> of
     every class, sorted by (-score, cls)."""
-    j = counts.join(model.weights, "token", "left")
+    # where the model is small by measure, counts stay where they are, and a document's meet in one task
+    small = model.size is not None and model.size <= MODEL_BYTES
+    j = counts.join(F.broadcast(model.weights) if small else model.weights, "token", "left")
     n_in = F.coalesce(F.sum(F.when(F.col("ws").isNotNull(), F.col("n"))), F.lit(0))
     # a token that is in no class's texts weighs log(1) = 0
     sums = [F.coalesce(F.sum(F.col("n") * F.col("ws")[i]), F.lit(0.0)).alias(f"_s{i}") for i in range(len(model.classes))]

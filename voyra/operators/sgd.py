@@ -1,15 +1,24 @@
 """Text classification by mini-batch gradient descent: epochs, batch size, learning rate.
 
 Multinomial logistic regression on hashed token counts (``num_features`` buckets, counts as
-log(1 + n), each text at length one). Every epoch puts the texts into a new order, given
+log(1 + n), each text at length one). Texts are dealt into shards of about ``STEPS`` batches by
+a hash. Every epoch puts the texts of a shard into a new order, given
 by a hash of the seed, the epoch and the text's id, and cuts it into batches of about
-``batch_size``. A batch is one step: tasks sum the gradients of their texts, groups of tasks
-add their sums up, one task adds those (a tree, so no task reads more than
-``FAN`` sums), and the driver moves the weights, whose size is the model's: classes times
-features. The rate follows one cycle: up to ``rate`` over the first ``WARM`` of all steps,
-then down to zero.
+``batch_size``. A batch is one step. The rate follows one cycle: up to ``rate`` over the first
+``WARM`` of all steps, then down to zero.
 
-Features are written once. A lost executor repeats its part of one step.
+An epoch is one Spark job, however many batches it has: each task takes the steps of its shards,
+all of which begin with the weights that the epoch before ended with, and the weights after the
+epoch are the mean over the shards, by their texts. So every epoch learns from every text, and
+the jobs are as many as the epochs. Tables of one shard are trained step by step as by one machine.
+Batches so large that a task should not hold ``STEPS`` of them (more than ``SHARD_ROWS`` texts)
+are one job a step: tasks sum the gradients of their texts.
+
+Weights and gradients are summed by a tree: groups of tasks add their sums up, one task adds those, so
+no task reads more than ``FAN`` sums, and one sum of the model's size, classes times
+features, comes to the driver an epoch (or step).
+
+Features are written once. A lost executor repeats its shards of one epoch.
 """
 
 from __future__ import annotations
@@ -28,6 +37,8 @@ from voyra.session import scratch_dir
 
 FAN = 64
 WARM = 0.3
+STEPS = 16              # steps of a shard in an epoch
+SHARD_ROWS = 1 << 16    # texts that a task may hold at once
 
 
 @dataclass
@@ -105,15 +116,21 @@ def _summed(rows: DataFrame, weights: np.ndarray, tasks: int) -> tuple[np.ndarra
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n]), pa.array([g.tobytes()], pa.binary())],
                                              ["part", "n", "g"])
 
+    return _tree(rows.select("at", "x", "cls").mapInArrow(partial, schema), shape, tasks)
+
+
+def _tree(sums: DataFrame, shape: tuple[int, ...], tasks: int) -> tuple[np.ndarray, int]:
+    """Sum of the arrays of ``shape`` and of the numbers in ``sums`` (part, from 0 to below ``tasks``, n, g)."""
+    schema = "part int, n long, g binary"
+
     def add(t: pa.Table) -> pa.Table:
-        t = t.sort_by("part")                       # one order of addition, so reruns agree
+        t = t.sort_by([("part", "ascending"), ("n", "ascending")])      # one order of addition, so reruns agree
         g = np.zeros(shape)
         for blob in t.column("g"):
             g += np.frombuffer(blob.as_py()).reshape(shape)
         return pa.table({"part": pa.array([t.column("part")[0].as_py() // FAN], pa.int32()), "n": pa.array([sum(t.column("n").to_pylist())]),
                          "g": pa.array([g.tobytes()], pa.binary())})
 
-    sums = rows.select("at", "x", "cls").mapInArrow(partial, schema)
     while True:
         sums = sums.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(add, schema)
         tasks = -(-tasks // FAN)
@@ -123,6 +140,39 @@ def _summed(rows: DataFrame, weights: np.ndarray, tasks: int) -> tuple[np.ndarra
     return sum((np.frombuffer(r["g"]).reshape(shape) for r in got), np.zeros(shape)), sum(r["n"] for r in got)
 
 
+def _epoch(rows: DataFrame, weights: np.ndarray, shards: int, batches: int, epoch: int, epochs: int, rate: float, seed: int) -> np.ndarray:
+    """Weights after an epoch over ``rows`` (shard, id, cls, at, x), of which each shard takes ``batches`` steps."""
+    shape, steps = weights.shape, epochs * batches
+    mine = F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "id"), F.lit(batches)).cast("int")
+
+    def trained(t: pa.Table) -> pa.RecordBatch:
+        w, batch = weights, t.column("batch").to_numpy()
+        for b in np.unique(batch):
+            own = t.filter(pa.array(batch == b))
+            w = w - rate_at(epoch * batches + int(b), steps, rate) * gradient(own, w) / own.num_rows
+        return pa.RecordBatch.from_arrays([t.column("shard").combine_chunks().slice(0, 1), pa.array([t.num_rows]),
+                                           pa.array([(w * t.num_rows).tobytes()], pa.binary())], ["part", "n", "g"])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for p in parts:
+            if not p.num_rows:
+                continue
+            shard = p.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if held and held[0].column(0)[0].as_py() != shard[lo]:
+                    yield trained(pa.Table.from_batches(held))
+                    held = []
+                held.append(p.slice(lo, hi - lo))
+        if held:
+            yield trained(pa.Table.from_batches(held))
+
+    local = rows.select("shard", mine.alias("batch"), "at", "x", "cls").mapInArrow(run, "part int, n long, g binary")
+    total, n = _tree(local, shape, shards)
+    return total / n
+
+
 def fit(train: DataFrame, epochs: int = 8, batch_size: int = 1024, rate: float = 20.0, seed: int = 42, num_features: int = 1 << 12,
         id_col: str = "doc_id", label: str = "label", text: str = "text") -> Model:
     """Train on (id, label, text); rows without a label teach nothing."""
@@ -130,21 +180,38 @@ def fit(train: DataFrame, epochs: int = 8, batch_size: int = 1024, rate: float =
     train = train.where(F.col(label).isNotNull())
     classes = [r[0] for r in train.select(label).distinct().orderBy(label).collect()]        # one row a class
     code = F.create_map(*[F.lit(v) for i, c in enumerate(classes) for v in (c, i)]) if classes else F.lit(None)
-    path = scratch_dir(spark, "sgd-features")
+    path, whole = scratch_dir(spark, "sgd-features"), scratch_dir(spark, "sgd-shards")
     rows = features(train, [id_col, label], text, num_features)
     rows.select(F.col(id_col).alias("id"), (F.try_element_at(code, F.col(label)) if classes else F.lit(0)).cast("long").alias("cls"),
                 "at", "x").write.parquet(path)
-    rows = spark.read.schema("id BIGINT, cls BIGINT, at ARRAY<INT>, x ARRAY<DOUBLE>").parquet(path)
-    n, tasks = rows.count(), rows.rdd.getNumPartitions()           # of the plan; nothing runs as an RDD
-    weights, batches = np.zeros((len(classes), num_features + 1)), max(1, math.ceil(n / batch_size))
-    steps = epochs * batches if n and len(classes) > 1 else 0
-    for step in range(steps):
+    columns = "id BIGINT, cls BIGINT, at ARRAY<INT>, x ARRAY<DOUBLE>"
+    rows = spark.read.schema(columns).parquet(path)
+    n, weights = rows.count(), np.zeros((len(classes), num_features + 1))
+    if not n or len(classes) < 2:
+        return Model(classes, weights)
+    if batch_size > SHARD_ROWS // STEPS:
+        return Model(classes, _step_by_step(rows, weights, n, epochs, batch_size, rate, seed))
+    shards = -(-n // (STEPS * batch_size))
+    batches = max(1, math.ceil(n / (shards * batch_size)))
+    # written once, a shard in one piece
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)).cast("int"))
+    dealt.repartition(shards, "shard").sortWithinPartitions("shard", "id", "cls").write.parquet(whole)
+    rows = spark.read.schema(f"{columns}, shard INT").parquet(whole)
+    for epoch in range(epochs):
+        weights = _epoch(rows, weights, shards, batches, epoch, epochs, rate, seed)
+    return Model(classes, weights)
+
+
+def _step_by_step(rows: DataFrame, weights: np.ndarray, n: int, epochs: int, batch_size: int, rate: float, seed: int) -> np.ndarray:
+    """Weights after all steps over the ``n`` rows, a job each."""
+    tasks, batches = rows.rdd.getNumPartitions(), max(1, math.ceil(n / batch_size))           # of the plan; nothing runs as an RDD
+    for step in range(epochs * batches):
         epoch, batch = divmod(step, batches)
         mine = F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), "id"), F.lit(batches)) == batch
         g, size = _summed(rows.where(mine), weights, tasks)
         if size:
-            weights = weights - rate_at(step, steps, rate) * g / size
-    return Model(classes, weights)
+            weights = weights - rate_at(step, epochs * batches, rate) * g / size
+    return weights
 
 
 def predict(model: Model, docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
