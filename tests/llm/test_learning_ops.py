@@ -402,3 +402,27 @@ def test_picked_windows_are_those_of_the_layout():
     assert (goal == targets[full][train]).all()
     some, few = A._picked(r, 900, 1, 0.4)
     assert 0 < len(few) < len(goal) and {tuple(x) for x in few} <= {tuple(x) for x in goal}
+
+
+def test_attention_learns_from_every_training_id():
+    """The pass over a chunk has every id of its training texts once as a target, and the batch of blocks in a
+    row has the gradient of the same windows taken apart."""
+    from voyra.llm import attention as A
+    rng = np.random.default_rng(3)
+    ids = [i for i in range(60)]
+    sizes = rng.integers(1, 40, len(ids))
+    tokens = rng.integers(0, 900, int(sizes.sum()))
+    r = {"ids": ids, "chunk": 5, "n_tokens": len(tokens), "doc_tokens": A._pack(sizes),
+         "tokens": pa.compress(tokens.astype("<u2").tobytes(), codec="zstd", asbytes=True)}
+    steps, visits, made = A._all_windows(r, 900, 0)
+    made = list(made)
+    train = np.repeat(~A.held_out(ids), sizes)
+    goals = np.concatenate([t[t >= 0] for _, t, _ in made])
+    assert len(made) == steps and sorted(goals) == sorted(tokens[train])
+    assert visits[:901].sum() == train.sum() and visits[901] == (~A.held_out(ids)).sum()
+    p, cls = A.initial(901), rng.integers(0, A.CLASSES, 901)
+    inputs, targets, at = made[0]
+    pairs = np.stack([inputs[at - 1], inputs[at]], axis=1).reshape(-1, A.BLOCK)
+    g, rows, hot = A.gradient(p, inputs, targets, cls, at)
+    g2, rows2, hot2 = A.gradient(p, pairs, targets, cls)
+    assert all(np.allclose(g[n], g2[n], atol=1e-5) for n in g) and rows.tolist() == rows2.tolist() and np.allclose(hot, hot2, atol=1e-5)

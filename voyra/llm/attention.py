@@ -17,11 +17,11 @@ Windows are two blocks of ``BLOCK`` ids that overlap by one block: each id is sc
 last block of its window, and attends to the block before and to what is before it in its
 own; places are told by their distance. An id's keys and values are made once.
 
-Training has two steps. First all parameters are fitted by Adam on a bounded sample of windows
-(about ``SAMPLE_TOKENS`` ids, picked by hash from all training windows). Then, where the data
-is, every partition goes on from there with a ``REFINE``-th of all its training windows;
-embeddings stay, and the other parameters (a few thousand numbers), weighted by the ids
-seen, are averaged in a fixed order.
+The model learns from every training id. A start is fitted by Adam on a bounded set of windows
+(about ``SAMPLE_TOKENS`` ids, picked by hash from all training windows; all of them where there are
+fewer). From there, where the data is, every partition takes all its training windows, with all
+parameters, and the partitions' parameters are averaged in a fixed order: embeddings by how often
+a partition has the id, the others by the ids it has.
 
 The base score is an add-0.5 unigram model over words. Distinct words of a chunk
 go to buckets by hash with their training counts, and total counts come back to
@@ -63,7 +63,8 @@ BATCH = 256            # windows a step
 RATE = 0.02
 SAMPLE_TOKENS = 3_000_000
 PASSES = 6             # over the sample at most, where the corpus has fewer ids
-REFINE = 64
+STEP_BLOCKS = 1024     # blocks a step of the pass over all windows
+FAN = 16               # partitions whose parameters are added at once
 SLICE = 300_000        # ids that are laid out in blocks at once
 SCORED = 512           # windows that are scored at once: what they need stays in a core's cache
 BINS = 1 << 22         # pairs that are counted in a dense table
@@ -318,10 +319,11 @@ def forward(p: dict[str, np.ndarray], inputs: np.ndarray, at: np.ndarray) -> tup
     return d, (row, x, own, q, keys, values, att, h, y.reshape(own.shape), u.reshape(len(at), BLOCK, 2 * WIDTH), z.reshape(own.shape))
 
 
-def gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, class_of: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """(gradients of the mean loss by name, rows of the embedding, their gradients) of a batch of windows:
-    ``inputs`` are pairs of blocks, ``targets`` those of each pair's second."""
-    at = np.arange(1, len(inputs), 2)
+def gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, class_of: np.ndarray,
+             at: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """(gradients of the mean loss by name, rows of the embedding, their gradients) of a batch of windows: those
+    of the blocks ``at`` of ``inputs``, without it pairs of blocks; ``targets`` are those of each window's second."""
+    at = np.arange(1, len(inputs), 2) if at is None else at
     d, (row, x, own, q, keys, values, att, h, y, u, z) = forward(p, inputs, at)
     valid = targets >= 0
     cls = class_of[np.maximum(targets, 0)]
@@ -346,15 +348,22 @@ def gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     dq = ds @ keys * np.float32(WIDTH ** -0.5)
     dk = ds.transpose(0, 2, 1) @ q
     g["q"] = outer(own, dq)
-    # the keys of a window are its two blocks, one after the other
-    dk, dv = dk.reshape(x.shape), dv.reshape(x.shape)
+    dk, dv = _by_block(dk, at, len(x)), _by_block(dv, at, len(x))
     g["k"], g["v"] = outer(x, dk), outer(x, dv)
     dx = dk @ p["k"].T + dv @ p["v"].T
     dx[at] += dy + dq @ p["q"].T
-    rows, which = np.unique(row, return_inverse=True)
-    hot = np.zeros((len(rows), WIDTH), dx.dtype)
-    np.add.at(hot, which.ravel(), dx.reshape(-1, WIDTH))
-    return g, rows, hot
+    order = np.argsort(row, axis=None, kind="stable")
+    sorted_rows = row.ravel()[order]
+    first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
+    return g, sorted_rows[first], np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+
+
+def _by_block(windows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Sums over the windows of the blocks ``at``, each two blocks one after the other, by block (of ``n``)."""
+    out = np.zeros((n, BLOCK, WIDTH), windows.dtype)
+    out[at - 1] += windows[:, :BLOCK]
+    out[at] += windows[:, BLOCK:]
+    return out
 
 
 def adam(p: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarray]], steps: int, class_of: np.ndarray, rate: float,
@@ -363,9 +372,9 @@ def adam(p: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarra
     p = {n: x.copy() if embeddings or n != "embed" else x for n, x in p.items()}
     mean, square, seen = {n: np.zeros_like(x) for n, x in p.items() if embeddings or n != "embed"}, None, 0
     square = {n: np.zeros_like(x) for n, x in mean.items()}
-    for t, (inputs, targets) in enumerate(batches, 1):
+    for t, (inputs, targets, *at) in enumerate(batches, 1):
         now = np.float32(rate * min(1.0, t / 100) * (1 - t / (steps + 1)))
-        g, rows, hot = gradient(p, inputs, targets, class_of)
+        g, rows, hot = gradient(p, inputs, targets, class_of, *at)
         seen += int((targets >= 0).sum())
         late, late2 = 1 - 0.9 ** t, 1 - 0.99 ** t
         for n, x in g.items():
@@ -410,11 +419,33 @@ def _batched(windows: list[tuple[np.ndarray, np.ndarray]], seed: int, passes: in
     return steps, ((inputs[o].reshape(-1, BLOCK), targets[o]) for o in (order[i: i + BATCH] for i in range(0, len(order), BATCH)))
 
 
+def _all_windows(r: dict, end: int, seed: int) -> tuple[int, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """(steps, how often each input occurs, batches) of all training windows of a chunk: stretches of ``STEP_BLOCKS``
+    blocks, those of a slice in a random order. The last count is that of the texts' beginnings."""
+    tokens, sizes = _tokens(r, end)
+    mine = ~held_out(r["ids"])
+    tokens, sizes = tokens[np.repeat(mine, sizes)].astype(np.int64), sizes[mine]
+    visits = np.append(np.bincount(tokens, minlength=end + 1), len(sizes))
+    begin, part = np.cumsum(sizes) - sizes, np.cumsum(sizes) // SLICE
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    cuts = list(zip(first, np.append(first[1:], len(sizes))))
+    starts = [np.arange(1, int((1 - (-sizes[lo:hi] // BLOCK)).sum()), STEP_BLOCKS) for lo, hi in cuts]
+
+    def batches() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        rng = np.random.default_rng(seed)
+        for (lo, hi), begins in zip(cuts, starts):
+            inputs, targets, _ = blocks(tokens[begin[lo]: begin[hi - 1] + sizes[hi - 1]], sizes[lo:hi])
+            for i in rng.permutation(begins):
+                j = min(i + STEP_BLOCKS, len(inputs))
+                yield inputs[i - 1: j], targets[i:j], np.arange(1, j - i + 1)
+    return sum(len(s) for s in starts), visits, batches()
+
+
 _PACKED = ("ids", "doc_tokens", "n_tokens", "tokens", "chunk")
 
 
 def train(chunks: DataFrame, vocabulary: Vocabulary, end: int, tokens: int) -> dict[str, np.ndarray]:
-    """Parameters fitted to a sample, then refined on a share of all training windows (``tokens`` ids)."""
+    """Parameters fitted to all training windows (``tokens`` ids), from a start that a bounded set of them gives."""
     size, class_of = len(vocabulary.class_of), vocabulary.class_of
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,35 +472,47 @@ def train(chunks: DataFrame, vocabulary: Vocabulary, end: int, tokens: int) -> d
         return initial(size)
     p = {n: np.frombuffer(fitted[n], np.float32).reshape(s) for n, s in shapes(size).items()}
 
+    rest = [n for n in p if n != "embed"]
+
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, key = [], None
+        from pyspark import TaskContext
+        q, seen, visits = p, 0, np.zeros(size + 1)
         for b in batches:
             for r in b.to_pylist():
-                key = r["chunk"] if key is None else key
-                windows.append(_picked(r, end, 2, 1 / REFINE))
-        if windows and sum(len(w[1]) for w in windows):
-            steps, made = _batched(windows, 1)
-            q, seen = adam(p, made, steps, class_of, RATE / 10, embeddings=False)
-            flat = np.concatenate([q[n].ravel() for n in q if n != "embed"]).astype(float) * seen
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([seen], pa.int64()), pa.array([flat.tobytes()], pa.binary())],
-                                             ["chunk", "seen", "params"])
+                steps, inputs, made = _all_windows(r, end, r["chunk"] & 0xFFFFFFFF)
+                q, ids = adam(q, made, steps, class_of, RATE / 10)
+                seen, visits = seen + ids, visits + inputs
+        if seen:
+            flat = np.concatenate([q[n].ravel() for n in rest]).astype(float) * seen
+            moved = ((q["embed"] - p["embed"]) * visits[:, None]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()),
+                                              *[pa.array([x.tobytes()], pa.binary()) for x in (flat, moved, visits)]], names)
 
     def add(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")              # one order of addition: a rerun gives the same numbers
-        total = np.zeros(sum(x.size for n, x in p.items() if n != "embed"))
-        for blob in table.column("params"):
-            total += np.frombuffer(blob.as_py())
-        return pa.table({"chunk": table.column("chunk").slice(0, 1), "seen": pa.array([sum(table.column("seen").to_pylist())], pa.int64()),
-                         "params": pa.array([total.tobytes()], pa.binary())})
-
-    kind = "chunk long, seen long, params binary"
-    local = chunks.select(*_PACKED).mapInArrow(refine, kind)
-    # sums of sums: tasks by the high part of their chunk's key, then all
-    sums = local.groupBy(F.pmod(F.xxhash64("chunk"), F.lit(64))).applyInArrow(add, kind).groupBy(F.lit("all")).applyInArrow(add, kind)
+        table = table.sort_by("part")               # one order of addition: a rerun gives the same numbers
+        sums = []
+        for name, kind in zip(names[2:], (np.float64, np.float32, np.float64)):
+            total = 0.0
+            for blob in table.column(name):
+                total = total + np.frombuffer(blob.as_buffer(), kind)
+            sums.append(pa.array([total.astype(kind).tobytes()], pa.binary()))
+        return pa.table({n: c for n, c in zip(names, [pa.array([table.column("part")[0].as_py() // FAN], pa.int32()),
+                                                      pa.array([sum(table.column("seen").to_pylist())], pa.int64()), *sums])})
+
+    names, kind = ["part", "seen", "params", "moved", "visits"], "part int, seen long, params binary, moved binary, visits binary"
+    packed = chunks.select(*_PACKED)
+    sums, tasks = packed.mapInArrow(refine, kind), packed.rdd.getNumPartitions()         # of the plan; nothing runs as an RDD
+    while True:
+        sums = sums.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(add, kind)
+        tasks = -(-tasks // FAN)
+        if tasks <= 1:
+            break
     got = scratch(sums, "attention-refined").first()
     if got is None:
         return p
-    flat, out, at = np.frombuffer(got["params"]) / got["seen"], {"embed": p["embed"]}, 0
+    visits, at = np.frombuffer(got["visits"]), 0
+    moved = np.frombuffer(got["moved"], np.float32).reshape(p["embed"].shape) / np.maximum(visits, 1)[:, None]
+    flat, out = np.frombuffer(got["params"]) / got["seen"], {"embed": (p["embed"] + moved).astype(np.float32)}
     for n, s in list(shapes(size).items())[1:]:
         out[n] = flat[at: at + int(np.prod(s))].reshape(s).astype(np.float32)
         at += int(np.prod(s))
