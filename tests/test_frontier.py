@@ -67,3 +67,21 @@ def test_walk_from_nothing(spark):
     none = spark.createDataFrame([], FR.LINKS)
     assert FR.walk(spark, none, spark.createDataFrame([], "url string"), SITE).count() == 0
     assert FR.walk(spark, none, spark.createDataFrame([("http://h/list1",)], "url string"), SITE).count() == 1
+
+
+def test_rounds_send_hashes_of_the_level_only(spark, monkeypatch):
+    """Neither the links nor what was found before goes through the driver, and all levels lie in one folder."""
+    from voyra.operators import frontier as FR
+    site = FR.Site((("page", "^p"),), {"page": ("page",)})
+    links = spark.createDataFrame([(f"p{i}", f"p{j}", "page", "") for i in range(9) for j in (i + 1, i - 1, 0)], FR.LINKS)
+    roots = spark.createDataFrame([("p0",)], "url string")
+    sent, broadcast = [], FR.F.broadcast
+    monkeypatch.setattr(FR.F, "broadcast", lambda df: sent.append(df.columns) or broadcast(df))
+    got = FR.walk(spark, links, roots, site)
+    folders = {f.rsplit("/", 1)[0] for f in got.inputFiles()}
+    # p-1 is reached from p0
+    want = sorted([(f"p{i}", i, f"p{i - 1}" if i else None) for i in range(10)] + [("p-1", 1, "p0")])
+    assert sorted((r.url, r.depth, r.parent) for r in got.collect()) == want
+    assert sent and {tuple(c) for c in sent} == {("_h",)} and len(folders) == 1
+    monkeypatch.setattr(FR, "SENT_ROWS", 0)
+    assert sorted((r.url, r.depth, r.parent) for r in FR.walk(spark, links, roots, site).collect()) == want

@@ -9,7 +9,10 @@ written), and writes the level. What a link's label says where a kind of page be
 (an attraction's name, a thread's topic) goes along with all pages below it.
 
 Levels are written tables, so a lost executor repeats its tasks only; the number of
-rounds is the depth of the site, not the number of its pages.
+rounds is the depth of the site, not the number of its pages. What a round sends through the
+driver goes by the level, not by what was found before: hashes of the level's URLs pick the links
+that may be theirs, hashes of the new URLs pick the earlier ones that may be the same (URLs decide), and all
+levels lie in one folder, so no job lists a folder a level.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ class Site:
         return out
 
 
+SENT_ROWS = 1 << 16       # hashes of at most so many URLs go to every executor
+
 LINKS = "from_url STRING, to_url STRING, kind STRING, label STRING"
 
 
@@ -59,6 +64,14 @@ def typed_links(pages: DataFrame, site: Site) -> DataFrame:
     return found.where(site.may_lead(site.kind(F.col("from_url")), F.col("kind"))).select("from_url", "to_url", "kind", "label")
 
 
+def _near(rows: DataFrame, url: str, few: DataFrame, n: int) -> DataFrame:
+    """The ``rows`` whose ``url`` may be one of the ``n`` URLs of ``few`` (url); all, if those are many."""
+    if n > SENT_ROWS:
+        return rows
+    hashes = few.select(F.xxhash64("url").alias("_h")).distinct()
+    return rows.join(F.broadcast(hashes), F.xxhash64(url) == F.col("_h"), "left_semi")
+
+
 def walk(spark: SparkSession, links: DataFrame, roots: DataFrame, site: Site, max_depth: int | None = None) -> DataFrame:
     """(url, kind, depth, parent, context) of every page reached from ``roots`` (url), once:
     at its least depth, with the smallest parent URL there; ``context`` is the label of the
@@ -67,22 +80,31 @@ def walk(spark: SparkSession, links: DataFrame, roots: DataFrame, site: Site, ma
     table = scratch_dir(spark, "typed-links")
     links.where("from_url IS NOT NULL AND to_url IS NOT NULL").write.parquet(table)
     links = spark.read.schema(LINKS).parquet(table)
-    seen, depth = scratch_dir(spark, "frontier"), 0
-    columns = "url STRING, kind STRING, parent STRING, context STRING, depth BIGINT"
+    seen, levels, depth = scratch_dir(spark, "frontier"), scratch_dir(spark, "frontier-levels"), 0
+    row = "url STRING, kind STRING, parent STRING, context STRING"
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{levels}/{name}")
+        return spark.read.schema(row).parquet(f"{levels}/{name}")
     none = F.lit(None).cast("string")
     level = roots.where("url IS NOT NULL").select("url").distinct().select(
         "url", site.kind(F.col("url")).alias("kind"), none.alias("parent"), none.alias("context"))
     while True:
-        level.write.parquet(f"{seen}/depth={depth}")
-        level = spark.read.schema(columns.rsplit(", ", 1)[0]).parquet(f"{seen}/depth={depth}")
-        if level.isEmpty() or depth == max_depth:
-            return spark.read.schema(columns).parquet(seen).select("url", "kind", "depth", "parent", "context")
+        level = stored(level, f"level-{depth}")
+        n = level.count()
+        if n or not depth:
+            level.withColumn("depth", F.lit(depth).cast("long")).write.mode("append").parquet(seen)
+        reached = spark.read.schema(f"{row}, depth BIGINT").parquet(seen)
+        if not n or depth == max_depth:
+            return reached.select("url", "kind", "depth", "parent", "context")
         names = F.col("l.kind").isin(*site.names) if site.names else F.lit(False)
-        step = level.alias("p").join(links.alias("l"), F.col("p.url") == F.col("l.from_url")).select(
+        near = _near(links, "from_url", level, n).hint("merge")
+        step = level.alias("p").join(near.alias("l"), F.col("p.url") == F.col("l.from_url")).select(
             F.col("l.to_url").alias("url"), F.col("l.kind").alias("kind"), F.col("p.url").alias("parent"),
             F.when(names, F.coalesce("l.label", F.lit(""))).otherwise(F.col("p.context")).alias("context"))
         # the URL fixes the kind; of several ways the smallest parent, then the smallest context
         step = step.groupBy("url", "kind").agg(F.min(F.struct("parent", "context")).alias("way"))
-        old = spark.read.schema(columns).parquet(seen).select(F.col("url").alias("old"))
-        level = step.join(old, F.col("url") == F.col("old"), "left_anti").select("url", "kind", "way.parent", "way.context")
+        step = stored(step.select("url", "kind", "way.parent", "way.context"), f"found-{depth}")
+        old = _near(reached.select(F.col("url").alias("old")), "old", step.select("url"), step.count()).hint("merge")
+        level = step.join(old, F.col("url") == F.col("old"), "left_anti")
         depth += 1
