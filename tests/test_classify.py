@@ -216,3 +216,20 @@ def test_token_counts_hold_a_batch_of_texts_only(spark):
     joins = [C._scored(m, counts, ["doc_id"])._jdf.queryExecution().optimizedPlan().toString() for m in (model, big)]
     assert "broadcast" in joins[0] and "broadcast" not in joins[1]
     assert sorted(map(str, C._scored(model, counts, ["doc_id"]).collect())) == sorted(map(str, C._scored(big, counts, ["doc_id"]).collect()))
+
+
+def test_codes_are_joined_where_the_texts_are(spark, monkeypatch):
+    """No shuffle by class, which would put a class with all its texts into one task."""
+    from voyra.operators import labels as L
+    df = spark.createDataFrame([(i, "t" * 50, "ab"[i % 2] if i % 5 else None) for i in range(40)], "id long, text string, lang string")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    codes = spark.createDataFrame([("a", 0), ("b", 1)], "lang string, code long")
+    try:
+        for out in (L.attach_codes(df, codes, "lang"), L.attach_names(df.withColumn("code", F.lit(1).cast("long")).drop("lang"), codes, "lang")):
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+            assert out.count() == 40
+        monkeypatch.setattr(L, "SENT_BYTES", 0)
+        assert "SortMergeJoin" in L.attach_codes(df, codes, "lang")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(threshold)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from voyra.operators.numbering import seq_number
 
 
+SENT_BYTES = 32 << 20
+
+
 def category_codes(values: DataFrame, col: str, out: str = "code") -> DataFrame:
     """Distinct values of ``col`` -> (col, code), code = position in sorted
     order, 0-based (a ``StringIndexer`` with alphabetical order gives the same).
@@ -20,15 +23,22 @@ def category_codes(values: DataFrame, col: str, out: str = "code") -> DataFrame:
 
 
 def attach_codes(df: DataFrame, codes: DataFrame, col: str, code: str = "code") -> DataFrame:
-    """name -> code. The code table has one row per class; AQE broadcasts it
-    when its measured size is under the broadcast threshold, else it joins
+    """name -> code. The code table has one row per class; it goes to every executor
+    when it is small by measure, so rows stay where they are (classes are few, and a shuffle by class
+    would put a class, texts and all, into one task), else it joins
     by sort-merge (and splits a skewed class with the skew-join rule)."""
-    return df.join(codes.select(col, code), col, "left")
+    return df.join(sent(codes.select(col, code), col), col, "left")
 
 
 def attach_names(df: DataFrame, codes: DataFrame, col: str, code: str = "code") -> DataFrame:
     """code -> name (the reverse lookup)."""
-    return df.join(codes.select(code, col), code, "left")
+    return df.join(sent(codes.select(code, col), col), code, "left")
+
+
+def sent(codes: DataFrame, col: str) -> DataFrame:
+    """``codes``, a row a class, marked for broadcast if its names and rows measure at most ``SENT_BYTES``."""
+    size = codes.agg(F.sum(F.coalesce(F.octet_length(F.col(col).cast("string")), F.lit(0)) + F.lit(64))).first()[0] or 0
+    return F.broadcast(codes) if size <= SENT_BYTES else codes
 
 
 def md5_bucket(col: str | Column, buckets: int = 10) -> Column:

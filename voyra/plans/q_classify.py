@@ -142,8 +142,8 @@ def label_map(spark, sf_dir):
         .withColumn("label", F.col("code").cast("int")).drop("code").select("doc_id", "text", "label")
     path = sinks.write_csv(f, scratch_dir(spark, "label-map"))
     back = src.read_labelled_csv(spark, path, "doc_id BIGINT, text STRING, label INT")
-    named = back.join(codes.select(F.col("code").cast("int").alias("label"), F.col("source").alias("name")),
-                      "label", "left")
+    names = L.sent(codes.select(F.col("code").cast("int").alias("label"), F.col("source").alias("name")), "name")
+    named = back.join(names, "label", "left")
     return named.select("doc_id", F.md5("text").alias("text_md5"), "label", "name")
 
 
