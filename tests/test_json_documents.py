@@ -119,3 +119,16 @@ def test_appended_sink_and_reader(spark, tmp_dir):
     assert sorted(map(key, back.select("document.*").collect())) == sorted(map(key, 2 * pages.collect()))
     text = spark.read.text(f"{tmp_dir}/out", wholetext=True).agg(F.max("value")).first()[0]
     assert "}{" in text and "\n  " in text
+
+
+def test_appended_files_are_bounded(spark, tmp_path, monkeypatch):
+    """A reader holds a file whole, so files end after a number of records, and are cut without copies of the body."""
+    from voyra.sinks import files as FS
+    monkeypatch.setattr(FS, "APPENDED_ROWS", 2, raising=False)
+    df = spark.createDataFrame([("k", i) for i in range(40)], "attr_name string, attr_page long").coalesce(1)
+    path = FS.write_json_appended(df, str(tmp_path / "out"), "attr_name", "attr_page", per_row=4)
+    pieces = JD.read_pieces(spark, path, "part-*").collect()
+    per_file = {p.path: sum(q.path == p.path for q in pieces) for p in pieces}
+    assert len(pieces) == 40 and max(per_file.values()) <= 8
+    body = '{"a": "é}"} x {"b": 1}'.encode()
+    assert list(JD.split(memoryview(body))) == list(JD.split(body))

@@ -41,20 +41,22 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+APPENDED_ROWS = 256
+
+
 def write_json_appended(df: DataFrame, path: str, key: str, order: str, per_row: int = 8,
                         max_records: int | None = None) -> str:
     """Appends indented documents, those of a key one straight after the other, as a
     crawler that reopens its file does. ``order`` (whole numbers from 0 within the key) puts
     ``per_row`` neighbours into one line-wise record, so no key is gathered whole;
-    ``read_documents`` takes the files apart again."""
+    ``read_documents`` takes the files apart again. A file ends after ``max_records`` records
+    (``APPENDED_ROWS`` without it), as its reader holds it whole."""
     doc = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"pretty": "true"})
     rows = df.select(F.col(f"`{key}`").alias("k"), F.floor(F.col(f"`{order}`") / per_row).alias("part"),
                      F.col(f"`{order}`").alias("o"), doc.alias("doc"))
     rows = rows.groupBy("k", "part").agg(F.array_sort(F.collect_list(F.struct("o", "doc"))).alias("docs"))
     w = rows.select(F.array_join(F.transform("docs", lambda d: d["doc"]), "").alias("value")).write.mode("append")
-    if max_records:
-        w = w.option("maxRecordsPerFile", max_records)
-    w.text(path)
+    w.option("maxRecordsPerFile", max_records or APPENDED_ROWS).text(path)
     return path
 
 
