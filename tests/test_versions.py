@@ -150,3 +150,14 @@ def test_pages_and_tasks_when_a_run_dies(spark, tmp_dir, monkeypatch, when):
     land(spark, other, 0, ("b", 0, "w"))
     ST.pages_and_tasks(page_stream(spark, other), store, f"{tmp_dir}/ckpt2", parse)
     assert ("b", 0) in state()[1] and len(state()[0]) == 4
+
+
+def test_stored_rows_are_not_written_again(spark, tmp_path, monkeypatch):
+    from voyra.sinks import versions as V
+    made, fresh = [], V.scratch_dir
+    monkeypatch.setattr(V, "scratch_dir", lambda *a: made.append(a[1]) or fresh(*a))
+    store = V.Store(spark, str(tmp_path / "store"))
+    for k, rows in enumerate(([(1, "a"), (2, "b")], [(2, "c"), (3, "d")])):
+        spark.createDataFrame(rows, "id long, v string").write.parquet(str(tmp_path / f"in{k}"))
+        store.commit({"t": V.Merge(spark.read.parquet(str(tmp_path / f"in{k}")), stored=True)}, {"t": ["id"]})
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a"), (2, "c"), (3, "d")] and made == []

@@ -128,10 +128,11 @@ def stream_pages(spark, sf_dir):
     seeds = tables.documents(spark, sf_dir, "source").groupBy(F.col("source").alias("attr_name")).agg(F.count(F.lit(1)).alias("n"))
     TK.task_init(spark, seeds, "n", E.review_page_url, store.path)
     pages = render.review_pages(spark, sf_dir).select("url", "html").withColumn("half", F.pmod(F.xxhash64("url"), F.lit(2)))
-    sinks.write_parquet(pages, f"{landing}/all", partition_by=["half"], dynamic=False)
+    sinks.write_parquet(pages, f"{landing}/all", dynamic=False)
+    pages = spark.read.schema(pages.schema).parquet(f"{landing}/all")
     fetched = f"{landing}/fetched"
     for half in (0, 1):
-        spark.read.schema("url STRING, html STRING").parquet(f"{landing}/all/half={half}").write.parquet(f"{fetched}/step={half}")
+        pages.where(F.col("half") == half).select("url", "html").write.parquet(f"{fetched}/step={half}")
         ST.pages_and_tasks(ST.file_stream(spark, fetched, schema="url STRING, html STRING, step INT"), store, ckpt, page_documents)
     docs, tasks = store.read("pages"), TK.read_tasks(spark, store.path)
     both = docs.join(tasks.withColumnRenamed("page", "attr_page"), ["attr_name", "attr_page"])

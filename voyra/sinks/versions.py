@@ -76,10 +76,12 @@ class Version:
 class Merge:
     """Rows to put into a table. ``rows`` replaces the rows of the same key; with ``resolve``, a
     function of the joined frame, old and new columns (``old_<c>``, ``new_<c>``; a side
-    that has no row is null) make the row that stays. Rows of one key in ``rows`` must be one."""
+    that has no row is null) make the row that stays. Rows of one key in ``rows`` must be one.
+    ``stored`` says that ``rows`` are a written table, which is not written once more."""
 
     rows: DataFrame
     resolve: Callable[[DataFrame], DataFrame] | None = None
+    stored: bool = False
 
 
 class Store:
@@ -197,11 +199,14 @@ class Store:
     def _created(self, name: str, change: Merge, key: list[str], commit: str) -> Table:
         rows = change.rows if change.resolve is None else change.resolve(self._joined(None, change.rows, key))
         # written once: the count decides the buckets
-        staged = scratch_dir(self.spark, f"table-{name}")
-        seen = Observation()
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staged)
-        buckets = self._count_for(seen.get["n"])
-        rows = self.spark.read.schema(rows.schema).parquet(staged)
+        if change.stored and change.resolve is None:
+            buckets = self._count_for(rows.count())
+        else:
+            staged = scratch_dir(self.spark, f"table-{name}")
+            seen = Observation()
+            rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staged)
+            buckets = self._count_for(seen.get["n"])
+            rows = self.spark.read.schema(rows.schema).parquet(staged)
         n, folders = self._write(name, self._dealt(rows, key, buckets), commit)
         return Table(rows.schema.json(), key, buckets, n, folders)
 
@@ -221,15 +226,16 @@ class Store:
     def _merged(self, name: str, table: Table, change: Merge, commit: str) -> Table:
         schema = _schema(table)
         # the change is computed once, with its buckets: which are touched, and then the merge
-        staged = scratch_dir(self.spark, f"change-{name}")
         new = change.rows if change.resolve is not None else change.rows.select(*[F.col(f"`{c}`") for c in schema.names])
         new = new.withColumns({f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields if f.name in new.columns})
         total = sum(table.rows.values())
         grown = total > GROWTH * BUCKET_ROWS * table.buckets
         buckets = self._count_for(total) if grown else table.buckets
         new = self._dealt(new, table.key, buckets)
-        new.write.parquet(staged)
-        new = self.spark.read.schema(new.schema).parquet(staged)
+        if not change.stored:
+            staged = scratch_dir(self.spark, f"change-{name}")
+            new.write.parquet(staged)
+            new = self.spark.read.schema(new.schema).parquet(staged)
         touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())           # one row a bucket
         old = self._frame(table) if grown else self._frame(table, touched)
         j = self._joined(old, new.drop(BUCKET), table.key)

@@ -88,7 +88,7 @@ def pages_and_tasks(stream: DataFrame, store: Store | str, checkpoint: str, pars
         docs.write.parquet(staged)
         docs = spark.read.schema(docs.schema).parquet(staged)
         done = docs.select("attr_name", F.col("attr_page").alias("page"), F.lit(True).alias("done"))
-        store.commit({pages: Merge(docs), TASKS: completed(done)}, {pages: ["attr_name", "attr_page"]},
+        store.commit({pages: Merge(docs, stored=True), TASKS: completed(done)}, {pages: ["attr_name", "attr_page"]},
                      batch=_input_of(batch, batch_id))
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
