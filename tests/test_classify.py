@@ -218,6 +218,30 @@ def test_token_counts_hold_a_batch_of_texts_only(spark):
     assert sorted(map(str, C._scored(model, counts, ["doc_id"]).collect())) == sorted(map(str, C._scored(big, counts, ["doc_id"]).collect()))
 
 
+def test_a_large_model_shuffles_counts_of_rare_tokens_only(spark, monkeypatch):
+    """Weights of frequent tokens go out as far as they are small; documents and sums are those of one model in one piece."""
+    from voyra.session import scratch_dir
+    texts = ["often often some", "often some rare", "often rarest", "often some", None, "", "of no class", "often some seldom"]
+    docs = spark.createDataFrame([(i, t, [None, "x", "y"][i % 3]) for i, t in enumerate(texts)] + [(3, "rare often", "x"), (None, "some some", "y")],
+                                 "doc_id LONG, text STRING, label STRING")
+    counts = C.token_counts(docs, ["doc_id", "label"])
+    train = docs.where("text IS NULL OR text <> 'of no class'")
+    one = C.nb_fit(train, scratch_dir(spark, "nb"))
+    assert one.split is None
+    monkeypatch.setattr(C, "MODEL_BYTES", 200)          # two tokens of two classes
+    two = C.nb_fit(train, scratch_dir(spark, "nb"))
+    frequent, others = ({r.token for r in w.collect()} for w in two.split)
+    assert frequent == {"often", "some"} and others == {r.token for r in one.weights.collect()} - frequent and others
+    plan = C._scored(two, counts, ["doc_id", "label"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" in plan and plan.count("strategy=broadcast") == 2
+    rows = [{(r.doc_id, r.label): {x.cls: round(x.score, 9) for x in r._s} for r in C._scored(m, counts, ["doc_id", "label"]).collect()} for m in (one, two)]
+    assert rows[0] == rows[1] and len(rows[0]) == 10
+    monkeypatch.setattr(C, "MODEL_BYTES", 1)            # no token fits
+    none = C.nb_fit(train, scratch_dir(spark, "nb"))
+    assert none.split[0].count() == 0
+    assert {(r.doc_id, r.label): {x.cls: round(x.score, 9) for x in r._s} for r in C._scored(none, counts, ["doc_id", "label"]).collect()} == rows[0]
+
+
 def test_codes_are_joined_where_the_texts_are(spark, monkeypatch):
     """No shuffle by class, which would put a class with all its texts into one task."""
     from voyra.operators import labels as L

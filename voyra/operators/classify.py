@@ -19,9 +19,10 @@ counts. Fit = one partial aggregate on (token, class), written as the model tabl
 one row per token with a weight for each class. Score = the counts joined with the
 model on token, and one sum for each class straight into a partial aggregate on the
 document. A model of at most ``MODEL_BYTES`` by measure is broadcast: the counts of a document lie
-together, so its partial sums leave a task as one row and no count is shuffled. A larger model is
-joined by shuffle; a frequent token is then one hot join key: it counts once per document, and AQE's
-skew rule splits it; one model row answers it. The class table (prior and denominator, one
+together, so its partial sums leave a task as one row and no count is shuffled. Of a larger model the
+most frequent tokens, as many as are that small, are broadcast; only counts of the others are joined by
+shuffle, and none of those is a hot join key by the model. So what a task sorts, and the documents it has sums of,
+are those of rare tokens. The class table (prior and denominator, one
 row per class) goes through the driver: classes are labels that a model is trained for, and
 each is a column of sums; the plan is the same at every size.
 """
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"   # tokens are runs of letters and digits
 MAX_TOKENS = 512                  # the reference's maxlen
 COUNTED_ROWS = 1 << 16            # counts that leave Python at once
-MODEL_BYTES = 128 << 20           # a model of at most so many bytes goes to every executor
+MODEL_BYTES = 128 << 20           # weights of at most so many bytes go to every executor
 # --- end of fixed values -------------------------------------------------
 
 
@@ -90,9 +91,11 @@ class NaiveBayes:
     """Fitted model: ``classes`` (cls, prior, denom), a list with one entry per class, by name, and
     ``weights`` (token, ws), one row per token with a weight for each of them."""
 
-    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame, size: int | None = None):
-        """``size``: bytes of the weights, if measured."""
-        self.classes, self.weights, self.size = classes, weights, size
+    def __init__(self, classes: list[tuple[str, float, float]], weights: DataFrame, size: int | None = None,
+                 split: tuple[DataFrame, DataFrame] | None = None):
+        """``size``: bytes of the weights, if measured; ``split``: the weights in two, of frequent tokens (at most
+        ``MODEL_BYTES``) and of all others, if they are larger."""
+        self.classes, self.weights, self.size, self.split = classes, weights, size, split
 
 
 def nb_fit_counts(counts: DataFrame, train: DataFrame, path: str, label: str = "label") -> NaiveBayes:
@@ -106,12 +109,28 @@ def nb_fit_counts(counts: DataFrame, train: DataFrame, path: str, label: str = "
     sums = [F.coalesce(F.sum(F.when(F.col("cls") == c, F.col("n"))), F.lit(0)) for c in names]
     per_class.groupBy("token").agg(F.array(*sums).alias("ns")).write.mode("overwrite").parquet(path)
     model = spark.read.schema("token STRING, ns ARRAY<BIGINT>").parquet(path)
+    all_n = F.aggregate("ns", F.lit(0).cast("long"), lambda a, n: a + n)
     totals = model.agg(F.count(F.lit(1)).alias("v"), *[F.sum(F.col("ns")[i]) for i in range(len(names))], F.sum(F.octet_length("token")).alias("b")).first()
     docs = sum(n_docs.values())
     classes = [(c, math.log(n_docs[c] / docs), math.log((totals[i + 1] or 0) + totals[0]) if (totals[i + 1] or 0) + totals[0] else 0.0)
                for i, c in enumerate(names)]
-    size = (totals["b"] or 0) + totals["v"] * (8 * len(names) + 64)           # texts, weights, and what a row takes besides
-    return NaiveBayes(classes, model.select("token", F.transform("ns", lambda n: F.log(n + F.lit(1))).alias("ws")), size)
+    row = 8 * len(names) + 64                                                 # weights, and what a row takes besides its token
+    size = (totals["b"] or 0) + totals["v"] * row
+
+    def weights(rows: DataFrame) -> DataFrame:
+        return rows.select("token", F.transform("ns", lambda n: F.log(n + F.lit(1))).alias("ws"))
+    split = None
+    if size > MODEL_BYTES:
+        scale = F.floor(F.log2(all_n))
+        by_scale = model.groupBy(scale.alias("scale")).agg((F.sum(F.octet_length("token")) + F.count(F.lit(1)) * row).alias("b")).collect()  # up to 64 rows
+        least, left = 64, MODEL_BYTES
+        for r in sorted(by_scale, key=lambda r: -r["scale"]):
+            left -= r["b"]
+            if left < 0:
+                break
+            least = r["scale"]
+        split = weights(model.where(scale >= least)), weights(model.where(scale < least))
+    return NaiveBayes(classes, weights(model), size, split)
 
 
 def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text",
@@ -123,9 +142,15 @@ def nb_fit(train: DataFrame, path: str, label: str = "label", text: str = "text"
 def _scored(model: NaiveBayes, counts: DataFrame, keep: list[str]) -> DataFrame:
     """Per document: keep columns and ``_s`` = array<struct<ns, cls, score>> of
     every class, sorted by (-score, cls)."""
-    # where the model is small by measure, counts stay where they are, and a document's meet in one task
-    small = model.size is not None and model.size <= MODEL_BYTES
-    j = counts.join(F.broadcast(model.weights) if small else model.weights, "token", "left")
+    # where weights are small by measure, counts stay where they are, and a document's meet in one task
+    if model.split is not None:
+        frequent, others = model.split
+        j = counts.join(F.broadcast(frequent), "token", "left").select(*keep, "n", "ws")
+        rare = counts.where(F.col("n") > 0).join(F.broadcast(frequent.select("token")), "token", "left_anti")
+        j = j.unionByName(rare.join(others, "token").select(*keep, "n", "ws"))
+    else:
+        small = model.size is not None and model.size <= MODEL_BYTES
+        j = counts.join(F.broadcast(model.weights) if small else model.weights, "token", "left")
     n_in = F.coalesce(F.sum(F.when(F.col("ws").isNotNull(), F.col("n"))), F.lit(0))
     # a token that is in no class's texts weighs log(1) = 0
     sums = [F.coalesce(F.sum(F.col("n") * F.col("ws")[i]), F.lit(0.0)).alias(f"_s{i}") for i in range(len(model.classes))]
