@@ -426,3 +426,42 @@ def test_attention_learns_from_every_training_id():
     g, rows, hot = A.gradient(p, inputs, targets, cls, at)
     g2, rows2, hot2 = A.gradient(p, pairs, targets, cls)
     assert all(np.allclose(g[n], g2[n], atol=1e-5) for n in g) and rows.tolist() == rows2.tolist() and np.allclose(hot, hot2, atol=1e-5)
+
+
+@pytest.mark.parametrize("scale", [1, 300])
+def test_attention_stretches_in_parts(monkeypatch, scale):
+    """The gradient of a stretch, made in parts, is that of its windows taken apart, also with logits that are too large for exp;
+    places without an id get none."""
+    from voyra.llm import attention as A
+    monkeypatch.setattr(A, "PART", 3)
+    rng = np.random.default_rng(5)
+    tokens, sizes = rng.integers(0, 50, 150), np.array([1, 40, 8, 60, 17, 24])
+    p, cls = {n: x.astype(float) for n, x in A.initial(50).items()}, rng.integers(0, A.CLASSES, 50)
+    p["out"], p["place"] = p["out"] * scale, rng.standard_normal(2 * A.BLOCK)
+    inputs, targets, _ = A.blocks(tokens, sizes)
+    at = np.arange(1, len(inputs))
+    g, rows, hot = A.gradient(p, inputs, targets[1:], cls, at)
+    g2, rows2, hot2 = A.gradient(p, np.stack([inputs[at - 1], inputs[at]], axis=1).reshape(-1, A.BLOCK), targets[1:], cls)
+    whole, whole2 = np.zeros_like(p["embed"]), np.zeros_like(p["embed"])
+    whole[rows], whole2[rows2] = hot, hot2
+    assert set(g) == set(g2) == set(p) - {"embed"} and all(np.allclose(g[n], g2[n], rtol=1e-9, atol=1e-11) for n in g)
+    assert np.allclose(whole, whole2, rtol=1e-9, atol=1e-11)
+
+
+def test_attention_scores_hold_no_array_of_all_ids():
+    """Scoring a chunk takes memory by slice, not by chunk, and gives what its documents get alone."""
+    import tracemalloc
+    from voyra.llm import attention as A
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(1, 2000, 2000)
+    tokens = rng.integers(0, 50, int(sizes.sum())).astype("<u2")
+    p, cls = A.initial(50), rng.integers(0, A.CLASSES, 50)
+    v = A.Vocabulary(cls, A.FREQUENT + cls, np.arange(50), rng.standard_normal((A.FREQUENT + A.CLASSES, 50)).astype(np.float32), np.zeros(50))
+    tracemalloc.start()
+    got = A.score_documents(tokens, sizes, p, v, 49)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(tokens)
+    ends = np.cumsum(sizes)
+    for i in (0, 700, 1999):
+        assert got[i] == pytest.approx(A.score_documents(tokens[ends[i] - sizes[i]: ends[i]], sizes[i: i + 1], p, v, 49)[0], rel=1e-6)

@@ -67,6 +67,7 @@ STEP_BLOCKS = 1024     # blocks a step of the pass over all windows
 FAN = 16               # partitions whose parameters are added at once
 SLICE = 300_000        # ids that are laid out in blocks at once
 SCORED = 512           # windows that are scored at once: what they need stays in a core's cache
+PART = 256             # windows whose gradients are made at once, likewise
 BINS = 1 << 22         # pairs that are counted in a dense table
 CACHE_WORDS = 1 << 20  # distinct words that a worker remembers
 
@@ -296,8 +297,7 @@ def _windows(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Class logits after each input of the blocks ``at`` (each with the block before it as its
     window), and what the gradient needs."""
-    row = np.where(inputs < 0, len(p["embed"]) - 1, inputs)
-    x = p["embed"][row]
+    row, x = _embedded(p, inputs)
     # places in one list: one product of matrices for all
     flat = x.reshape(-1, WIDTH)
     keys, values = (_windows(flat @ p[n], at) for n in ("k", "v"))
@@ -323,6 +323,8 @@ def gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
              at: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """(gradients of the mean loss by name, rows of the embedding, their gradients) of a batch of windows: those
     of the blocks ``at`` of ``inputs``, without it pairs of blocks; ``targets`` are those of each window's second."""
+    if at is not None and len(at) == len(inputs) - 1:
+        return _stretch_gradient(p, inputs, targets, class_of)
     at = np.arange(1, len(inputs), 2) if at is None else at
     d, (row, x, own, q, keys, values, att, h, y, u, z) = forward(p, inputs, at)
     valid = targets >= 0
@@ -352,10 +354,126 @@ def gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     g["k"], g["v"] = outer(x, dk), outer(x, dv)
     dx = dk @ p["k"].T + dv @ p["v"].T
     dx[at] += dy + dq @ p["q"].T
-    order = np.argsort(row, axis=None, kind="stable")
-    sorted_rows = row.ravel()[order]
+    return g, *_by_row(row, dx)
+
+
+def _by_row(row: np.ndarray, dx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    key = row.ravel()
+    order = np.argsort(key.astype(np.uint16) if key.max(initial=0) < 1 << 16 else key, kind="stable")       # 16 bits are sorted by radix
+    sorted_rows = key[order]
     first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
-    return g, sorted_rows[first], np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+    return sorted_rows[first], np.add.reduceat(dx.reshape(-1, WIDTH).take(order, axis=0), first, axis=0)
+
+
+def _turned(flat: np.ndarray) -> np.ndarray:
+    """The columns (places) of the window of every block but the first, as a view."""
+    row, one = flat.strides
+    return np.ndarray((flat.shape[1] // BLOCK - 1, WIDTH, 2 * BLOCK), flat.dtype, flat, 0, (BLOCK * one, row, one))
+
+
+def _rows(flat: np.ndarray) -> np.ndarray:
+    """The rows (places) of the window of every block but the first, as a view."""
+    row, one = flat.strides
+    return np.ndarray((len(flat) // BLOCK - 1, 2 * BLOCK, WIDTH), flat.dtype, flat, 0, (BLOCK * row, row, one))
+
+
+def _by_place(way: np.ndarray, sent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two factors whose product, by block, is what its places get from the windows that it is the second and the first
+    block of: ``way`` by [window, place of the second block, place of the window], ``sent`` by [window, place of the second block]."""
+    n = len(way)
+    both, rows = np.empty((n + 1, 2 * BLOCK, BLOCK), way.dtype), np.empty((n + 2, BLOCK, WIDTH), way.dtype)
+    both[1:, :BLOCK], both[:-1, BLOCK:], rows[1:-1] = way[:, :, BLOCK:], way[:, :, :BLOCK], sent
+    both[0, :BLOCK] = both[-1, BLOCK:] = rows[0] = rows[-1] = 0
+    return both.transpose(0, 2, 1), _rows(rows.reshape(-1, WIDTH))
+
+
+def _embedded(p: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    row = np.where(inputs < 0, len(p["embed"]) - 1, inputs)
+    return row, p["embed"].take(row, axis=0)
+
+
+def _stretch(p: dict[str, np.ndarray], inputs: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What ``forward`` makes before the classes, for all blocks but the first of a stretch with the embeddings ``x``. Keys are
+    made with places along the last axis: products of small matrices are several times slower with a turned one."""
+    flat = x.reshape(-1, WIDTH)
+    own = flat[BLOCK:]
+    q = own @ (p["q"] * np.float32(WIDTH ** -0.5))
+    att = q.reshape(-1, BLOCK, WIDTH) @ _turned(p["k"].T @ flat.T)
+    att += p["place"][_AWAY] + _LATER
+    none = inputs == EMPTY
+    lack = none.any(axis=1)
+    if lack.any():
+        some = np.flatnonzero(lack[:-1] | lack[1:])
+        att[some] -= np.concatenate([none[some], none[some + 1]], axis=1)[:, None] * np.float32(1e9)
+    att = _exp(att.reshape(-1, 2 * BLOCK))
+    att /= np.maximum(_row_sums(att), np.float32(1e-30))[:, None]
+    att = att.reshape(-1, BLOCK, 2 * BLOCK)
+    h = (att @ _rows(flat @ p["v"])).reshape(-1, WIDTH)
+    y = h @ p["o"]
+    y += own
+    u = y @ p["up"]
+    np.maximum(u, 0, out=u)
+    z = u @ p["down"]
+    z += y
+    return q, att, h, y, u, z
+
+
+def _stretch_gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
+                      class_of: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """``gradient`` of the windows of all blocks of a stretch but the first: with fewer passes over what is as wide as the
+    classes, and ``PART`` windows at a time, so that what is between stays in a core's cache."""
+    row, x = _embedded(p, inputs)
+    goal = targets.ravel()
+    valid = goal >= 0
+    cls = class_of[np.maximum(goal, 0)]
+    weight = (valid / max(int(valid.sum()), 1)).astype(x.dtype)
+    scale = np.float32(WIDTH ** -0.5)
+    three = np.concatenate([p["q"] * scale, p["k"], p["v"]], axis=1)
+    moved, direct = np.empty((*x.shape[:2], 3 * WIDTH), x.dtype), np.empty(x.shape, x.dtype)
+    moved[0] = direct[0] = 0                                       # moved: the gradients of queries, keys and values
+    g = {n: np.zeros_like(p[n]) for n in ("out", "bias", "down", "up", "o", "place")}
+    for i in range(0, len(targets), PART):
+        j = min(i + PART, len(targets))
+        part, xs = slice(i * BLOCK, j * BLOCK), x[i: j + 1]
+        flat = xs.reshape(-1, WIDTH)
+        q, att, h, y, u, z = _stretch(p, inputs[i: j + 1], xs)
+        # d is the gradient by class, times the sum of the exponentials, over the weight: ``share`` goes to narrower factors
+        d = z @ p["out"]
+        d += p["bias"]
+        if d.max() > 60 or d.min() < -60:
+            d -= d.max(axis=-1, keepdims=True)
+        np.exp(d, out=d)
+        total = _row_sums(d)
+        d.ravel()[cls[part] + np.arange(0, d.size, CLASSES)] -= total
+        share = weight[part] / total
+        g["bias"] += share @ d
+        z *= share[:, None]
+        g["out"] += z.T @ d
+        dz = d @ p["out"].T
+        dz *= share[:, None]
+        g["down"] += u.T @ dz
+        du = dz @ p["down"].T
+        du *= u > 0
+        g["up"] += y.T @ du
+        dz += du @ p["up"].T
+        g["o"] += h.T @ dz
+        direct[i + 1: j + 1] = dz.reshape(-1, BLOCK, WIDTH)
+        dh = (dz @ p["o"].T).reshape(-1, BLOCK, WIDTH)
+        ds = dh @ _turned(p["v"].T @ flat.T)
+        ds -= _row_sums((dh.reshape(h.shape) * h)).reshape(-1, BLOCK, 1)
+        ds *= att
+        g["place"] += np.bincount(_AWAY.ravel(), weights=ds.sum(axis=0).ravel(), minlength=2 * BLOCK).astype(x.dtype)
+        np.matmul(ds, _rows(flat @ p["k"]), out=moved[i + 1: j + 1, :, :WIDTH])
+        for k, way, sent in ((WIDTH, ds, q.reshape(-1, BLOCK, WIDTH)), (2 * WIDTH, att, dh)):
+            into, before = moved[i: j + 1, :, k: k + WIDTH], moved[i, :, k: k + WIDTH].copy()
+            np.matmul(*_by_place(way, sent), out=into)
+            into[0] += before
+    moved = moved.reshape(-1, 3 * WIDTH)
+    g["q"], g["k"], g["v"] = np.split(x.reshape(-1, WIDTH).T @ moved, 3, axis=1)
+    g["q"] = g["q"] * scale
+    dx = moved @ three.T
+    dx += direct.reshape(dx.shape)
+    return g, *_by_row(row, dx)
 
 
 def _by_block(windows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -369,22 +487,25 @@ def _by_block(windows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 def adam(p: dict[str, np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarray]], steps: int, class_of: np.ndarray, rate: float,
          embeddings: bool = True) -> tuple[dict[str, np.ndarray], int]:
     """Parameters after ``steps`` batches, with a rate that rises, then falls; and the ids seen."""
-    p = {n: x.copy() if embeddings or n != "embed" else x for n, x in p.items()}
-    mean, square, seen = {n: np.zeros_like(x) for n, x in p.items() if embeddings or n != "embed"}, None, 0
-    square = {n: np.zeros_like(x) for n, x in mean.items()}
+    names, seen = [n for n in p if n != "embed"], 0
+    flat = np.concatenate([p[n].ravel() for n in names])            # all but the embeddings, which ``p`` has as views
+    cuts = np.cumsum([0, *(p[n].size for n in names)])
+    p = {"embed": p["embed"].copy() if embeddings else p["embed"], **{n: flat[i:j].reshape(p[n].shape) for n, i, j in zip(names, cuts, cuts[1:])}}
+    mean, square = np.zeros_like(flat), np.zeros_like(flat)
+    mean_hot, square_hot = (np.zeros_like(p["embed"]) if embeddings else None for _ in range(2))
     for t, (inputs, targets, *at) in enumerate(batches, 1):
         now = np.float32(rate * min(1.0, t / 100) * (1 - t / (steps + 1)))
         g, rows, hot = gradient(p, inputs, targets, class_of, *at)
         seen += int((targets >= 0).sum())
         late, late2 = 1 - 0.9 ** t, 1 - 0.99 ** t
-        for n, x in g.items():
-            mean[n] = 0.9 * mean[n] + 0.1 * x
-            square[n] = 0.99 * square[n] + 0.01 * x * x
-            p[n] = p[n] - now * (mean[n] / np.float32(late)) / (np.sqrt(square[n] / np.float32(late2)) + np.float32(1e-8))
+        x = np.concatenate([g[n].ravel() for n in names])
+        mean, square = 0.9 * mean + 0.1 * x, 0.99 * square + 0.01 * x * x
+        flat -= now * (mean / np.float32(late)) / (np.sqrt(square / np.float32(late2)) + np.float32(1e-8))
         if embeddings:                       # only the rows of this batch move
-            mean["embed"][rows] = 0.9 * mean["embed"][rows] + 0.1 * hot
-            square["embed"][rows] = 0.99 * square["embed"][rows] + 0.01 * hot * hot
-            p["embed"][rows] -= now * mean["embed"][rows] / (np.sqrt(square["embed"][rows]) + np.float32(1e-8))
+            m = 0.9 * mean_hot.take(rows, axis=0) + 0.1 * hot
+            s = 0.99 * square_hot.take(rows, axis=0) + 0.01 * hot * hot
+            mean_hot[rows], square_hot[rows] = m, s
+            p["embed"][rows] -= now * m / (np.sqrt(s) + np.float32(1e-8))
     return p, seen
 
 
@@ -424,7 +545,7 @@ def _all_windows(r: dict, end: int, seed: int) -> tuple[int, np.ndarray, Iterato
     blocks, those of a slice in a random order. The last count is that of the texts' beginnings."""
     tokens, sizes = _tokens(r, end)
     mine = ~held_out(r["ids"])
-    tokens, sizes = tokens[np.repeat(mine, sizes)].astype(np.int64), sizes[mine]
+    tokens, sizes = tokens[np.repeat(mine, sizes)], sizes[mine]
     visits = np.append(np.bincount(tokens, minlength=end + 1), len(sizes))
     begin, part = np.cumsum(sizes) - sizes, np.cumsum(sizes) // SLICE
     first = np.flatnonzero(np.diff(part, prepend=-1))
@@ -434,7 +555,7 @@ def _all_windows(r: dict, end: int, seed: int) -> tuple[int, np.ndarray, Iterato
     def batches() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         rng = np.random.default_rng(seed)
         for (lo, hi), begins in zip(cuts, starts):
-            inputs, targets, _ = blocks(tokens[begin[lo]: begin[hi - 1] + sizes[hi - 1]], sizes[lo:hi])
+            inputs, targets, _ = blocks(tokens[begin[lo]: begin[hi - 1] + sizes[hi - 1]].astype(np.int64), sizes[lo:hi])
             for i in rng.permutation(begins):
                 j = min(i + STEP_BLOCKS, len(inputs))
                 yield inputs[i - 1: j], targets[i:j], np.arange(1, j - i + 1)
@@ -628,26 +749,27 @@ def _cluster(neighbours: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def score_documents(tokens: np.ndarray, sizes: np.ndarray, p: dict[str, np.ndarray], vocabulary: Vocabulary, end: int) -> np.ndarray:
-    """log10 probability of every document; each id is scored in one window."""
-    tokens = tokens.astype(np.int64)
-    begin = np.cumsum(sizes) - sizes
-    before = np.concatenate([[end], tokens[:-1]])
-    before[begin[sizes > 0]] = end
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    out = np.bincount(owner, weights=vocabulary.inside(before, tokens), minlength=len(sizes))
+    """log10 probability of every document; each id is scored in one window. What is as long as the ids is made by slice."""
+    begin, out = np.cumsum(sizes) - sizes, np.zeros(len(sizes))
     part = np.cumsum(sizes) // SLICE
     for lo, hi in zip(*(lambda a: (a, np.append(a[1:], len(sizes))))(np.flatnonzero(np.diff(part, prepend=-1)))):
-        inputs, targets, _ = blocks(tokens[begin[lo]: begin[hi - 1] + sizes[hi - 1]], sizes[lo:hi])
-        doc = np.repeat(np.arange(lo, hi), 1 - (-sizes[lo:hi] // BLOCK))
+        size, mine = sizes[lo:hi], tokens[begin[lo]: begin[hi - 1] + sizes[hi - 1]].astype(np.int64)
+        before = np.concatenate([[end], mine[:-1]])
+        before[(np.cumsum(size) - size)[size > 0]] = end
+        out[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size), weights=vocabulary.inside(before, mine), minlength=hi - lo)
+        inputs, targets, _ = blocks(mine, size)
+        doc = np.repeat(np.arange(hi - lo), 1 - (-size // BLOCK))
+        found, spot = np.zeros(targets.shape), vocabulary.class_of[np.maximum(targets, 0)]
         for i in range(1, len(inputs), SCORED):                # empty blocks between texts are carried along, and not counted
-            at = np.arange(i, min(i + SCORED, len(inputs)))
-            z = forward(p, inputs[i - 1: at[-1] + 1], at - i + 1)[0].reshape(-1, CLASSES)
-            t = targets[at].ravel()
+            j = min(i + SCORED, len(inputs))
+            z = _stretch(p, inputs[i - 1: j], _embedded(p, inputs[i - 1: j])[1])[-1] @ p["out"]
+            z += p["bias"]
             if z.max(initial=0) > 60:
                 z -= z.max(axis=-1, keepdims=True)
-            own = z.ravel()[np.arange(len(t)) * CLASSES + vocabulary.class_of[np.maximum(t, 0)]].astype(float)
-            found = ((own - np.log(_row_sums(_exp(z)))) * (t >= 0)).reshape(-1, BLOCK)
-            out += np.bincount(doc[at], weights=found.sum(axis=1) / np.log(10), minlength=len(sizes))
+            own = z.take(spot[i:j].ravel() + np.arange(0, z.size, CLASSES)).astype(float)
+            found[i:j] = (own - np.log(_row_sums(_exp(z)))).reshape(-1, BLOCK)
+        found[targets < 0] = 0
+        out[lo:hi] += np.bincount(doc, weights=found.sum(axis=1) / np.log(10), minlength=hi - lo)
     return out
 
 
