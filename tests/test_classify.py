@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from voyra.operators import classify as C
@@ -172,6 +173,34 @@ def test_sgd_parameters_act(spark):
     assert none.classes == [] and G.predict(none, df.limit(2), ["doc_id"]).count() == 2
 
 
+def test_features_of_a_text_are_one_row_from_where_it_is_cut(spark):
+    """Counts of single tokens are not shuffled, and no expression goes over a text once for each of its entries; rows that
+    agree in their keys are one text, in a batch or over several."""
+    import collections
+    from voyra.operators import sgd as G
+    rows = [(i, f"a b a c w{i}", "x") for i in range(40)] + [(7, "b z", "x"), (7, None, "x"), (7, "b", "y"), (50, None, "x"), (51, " .", None)]
+    rows += [(None, f"q a v{i % 3}", "x") for i in range(30)] + [(None, "q", None), (None, "a q", None)]
+    df, k = spark.createDataFrame(rows, "doc_id LONG, text STRING, label STRING").repartition(5), 64
+    bucket = {r.t: r.b for r in df.select(F.explode(C.tokens("text", None)).alias("t")).select("t", F.pmod(F.xxhash64("t"), F.lit(k)).alias("b")).distinct().collect()}
+    want = {(i, label): collections.Counter() for i, _, label in rows}
+    for i, text, label in rows:
+        want[i, label].update(bucket[t] for t in (text or "").replace(".", "").split())
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("2", old):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            x = G.features(df, ["doc_id", "label"], num_features=k)
+            plan, got = x._jdf.queryExecution().executedPlan().toString(), x.collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        assert "Aggregate" not in plan and "aggregate(" not in plan and plan.count("MapInArrow") == 2
+        assert len(got) == len(want) and {(r.doc_id, r.label) for r in got} == set(want)
+        for r in got:
+            n = want[r.doc_id, r.label]
+            v = [math.log1p(n[b]) for b in sorted(n)]
+            assert r["at"] == sorted(n) and r["x"] == pytest.approx([y / math.sqrt(sum(z * z for z in v)) for y in v])
+
+
 def test_gradient_sums_are_a_tree(spark, monkeypatch):
     import numpy as np
     from voyra.operators import sgd as G

@@ -29,10 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voyra.operators.classify import token_counts
+from voyra.operators.classify import tokens
 from voyra.session import scratch_dir
 
 FAN = 64
@@ -54,14 +56,66 @@ class Model:
 
 
 def features(docs: DataFrame, keep: list[str], text: str = "text", num_features: int = 1 << 12) -> DataFrame:
-    """(keep..., at, x): the buckets that a text's tokens fall into, ascending, and their values."""
-    counts = token_counts(docs, keep, text)
-    bucket = F.pmod(F.xxhash64("token"), F.lit(num_features)).cast("int")
-    per = counts.groupBy(*keep, F.when(F.col("n") > 0, bucket).alias("b")).agg(F.sum("n").alias("n"))
-    entries = F.array_sort(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", F.log1p("n").alias("v")))))
-    g = per.groupBy(*keep).agg(entries.alias("e"))
-    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x["v"] * x["v"]))
-    return g.select(*keep, F.col("e.b").alias("at"), F.transform("e", lambda x: x["v"] / norm).alias("x"))
+    """(keep..., at, x): the buckets that a text's tokens fall into, ascending, and their values.
+    Texts of rows that agree in ``keep`` are one text. Buckets are counted a batch of texts at a time, where
+    the texts are cut; a text moves on as its counts, in one row."""
+    # rows are dealt out by a number of their own, so no id is a hot key
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *keep, F.col(text).alias("_text")).repartition("_row")
+    buckets = F.transform(tokens("_text", None), lambda t: F.pmod(F.xxhash64(t), F.lit(num_features)).cast("int"))
+    kept = rows.select(*keep).schema.fields
+    counts = rows.select(*keep, buckets.alias("at")).mapInArrow(
+        lambda batches: (_merged(b, keep, num_features) for b in batches if b.num_rows), _with(kept, "at array<int>, n array<long>"))
+    alike = counts.repartition(*keep).sortWithinPartitions(*keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None                       # the key that was read last: its rows may go on in the next batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if last is not None:
+                b = pa.Table.from_batches([pa.RecordBatch.from_arrays(last.columns, schema=b.schema), b]).combine_chunks().to_batches()[0]
+            b = _merged(b, keep, num_features)
+            last = b.slice(b.num_rows - 1)
+            yield _valued(b.slice(0, b.num_rows - 1), keep)
+        if last is not None:
+            yield _valued(last, keep)
+    return alike.mapInArrow(run, _with(kept, "at array<int>, x array<double>"))
+
+
+def _with(fields: list[T.StructField], more: str) -> T.StructType:
+    return T.StructType([*fields, *T.StructType.fromDDL(more).fields])
+
+
+def _merged(b: pa.RecordBatch, keep: list[str], num_features: int) -> pa.RecordBatch:
+    """(keep..., at, n) of the rows of ``b`` (keep..., at[, n]; without ``n``, each entry counts one): neighbours
+    that agree in ``keep`` are one row, buckets ascend, each once."""
+    keys = list(zip(*(b.column(i).to_pylist() for i in range(len(keep))), strict=True))
+    new = np.array([i == 0 or k != keys[i - 1] for i, k in enumerate(keys)])
+    lists, first = b.column(len(keep)), np.flatnonzero(new)
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    place = np.repeat(np.cumsum(new) - 1, size) * num_features + lists.flatten().to_numpy()
+    if b.num_columns == len(keep) + 1:
+        place, n = np.unique(place, return_counts=True)
+    elif len(first) == b.num_rows:                    # no two rows to add up
+        n = b.column(len(keep) + 1).flatten().to_numpy()
+    else:
+        place, to = np.unique(place, return_inverse=True)
+        n = np.bincount(to, b.column(len(keep) + 1).flatten().to_numpy(), len(place)).astype(np.int64)
+    ends = pa.array(np.searchsorted(place, np.arange(len(first) + 1) * num_features), pa.int32())
+    return pa.RecordBatch.from_arrays([*[b.column(i).take(pa.array(first)) for i in range(len(keep))],
+                                       pa.ListArray.from_arrays(ends, pa.array(place % num_features, pa.int32())),
+                                       pa.ListArray.from_arrays(ends, pa.array(n, pa.int64()))], [*keep, "at", "n"])
+
+
+def _valued(b: pa.RecordBatch, keep: list[str]) -> pa.RecordBatch:
+    """``b`` (keep..., at, n) with values instead of counts: log(1 + n), each row at length one."""
+    lists = b.column(len(keep) + 1)
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    row, v = np.repeat(np.arange(b.num_rows), size), np.log1p(lists.flatten().to_numpy())
+    v = v / np.sqrt(np.bincount(row, v * v, b.num_rows))[row]
+    at, ends = b.column(len(keep)).flatten(), pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+    return pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.ListArray.from_arrays(ends, at), pa.ListArray.from_arrays(ends, pa.array(v))],
+                                      [*keep, "at", "x"])
 
 
 def rate_at(step: int, steps: int, rate: float) -> float:
